@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import exact_dedup
+from . import exact_dedup, personal_data
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,3 +29,21 @@ SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_siz
        doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
 FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
 """
+
+
+def _joined(spans: Column) -> Column:
+    return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"].cast("string"), x["end"].cast("string"))), ",")
+
+
+@query
+def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = personal_data.with_spans(table(spark, sf_dir, "documents"), "pii")
+    base = [k.name for k in personal_data.KINDS if k.base]
+    count = lambda kind: F.size(F.filter("pii", lambda x: x["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+    return found.select(
+        "doc_id",
+        *[count(kind) for kind in base],
+        F.sha2(_joined(F.filter("pii", lambda x: x["kind"].isin(base))), 256).alias("base_sha256"),
+        _joined(F.col("pii")).alias("spans"),
+        F.transform("pii", lambda x: x["score"]).alias("scores"),
+    )
