@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers as tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, personal_data
+from . import bpe, exact_dedup, personal_data
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -47,3 +48,9 @@ def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
         _joined(F.col("pii")).alias("spans"),
         F.transform("pii", lambda x: x["score"]).alias("scores"),
     )
+
+
+@query
+def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return bpe.with_tokens(docs, tokenizers.path("byte_bpe_50k.tiktoken"), tokenizers.PATTERN).drop("text")
