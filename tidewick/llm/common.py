@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,3 +40,16 @@ def scratch(df: DataFrame, *names: str) -> list[str]:
         taken.add(name.lower())
         found.append(name)
     return found
+
+
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the Python workers of every machine this package, once for an application."""
+    context = spark.sparkContext
+    if context.applicationId not in _shipped:
+        package = Path(__file__).resolve().parents[1]
+        held = shutil.make_archive(f"{tempfile.mkdtemp()}/{package.name}", "zip", package.parent, package.name)
+        context.addPyFile(held)
+        _shipped.add(context.applicationId)
