@@ -9,7 +9,7 @@ import public_tokenizers as tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, packing, personal_data
+from . import bpe, exact_dedup, packing, personal_data, secrets
 from .common import ship, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -38,6 +38,10 @@ FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
 """
 
 
+def _number(spans: str, kind: str) -> Column:
+    return F.size(F.filter(spans, lambda x: x["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+
+
 def _joined(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"].cast("string"), x["end"].cast("string"))), ",")
 
@@ -46,10 +50,9 @@ def _joined(spans: Column) -> Column:
 def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = personal_data.with_spans(table(spark, sf_dir, "documents"), "pii")
     base = [k.name for k in personal_data.KINDS if k.base]
-    count = lambda kind: F.size(F.filter("pii", lambda x: x["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
     return found.select(
         "doc_id",
-        *[count(kind) for kind in base],
+        *[_number("pii", kind) for kind in base],
         F.sha2(_joined(F.filter("pii", lambda x: x["kind"].isin(base))), 256).alias("base_sha256"),
         _joined(F.col("pii")).alias("spans"),
         F.transform("pii", lambda x: x["score"]).alias("scores"),
@@ -65,3 +68,15 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op3_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizers.path("byte_bpe_50k.json"))
+
+
+@query
+def op4_secret_formats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan(table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda x: x["kind"] != "format")
+    return found.select(
+        "doc_id",
+        *[_number("spans", kind) for kind in secrets.KINDS],
+        F.sha2(_joined(base), 256).alias("base_sha256"),
+        _joined(F.col("spans")).alias("spans"),
+    )
