@@ -9,7 +9,7 @@ import public_tokenizers as tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, packing, personal_data, secrets
+from . import bpe, exact_dedup, packing, personal_data, secrets, url_filter
 from .common import ship, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -80,3 +80,23 @@ def op4_secret_formats(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(_joined(base), 256).alias("base_sha256"),
         _joined(F.col("spans")).alias("spans"),
     )
+
+
+# action, host, path
+URL_RULES = (
+    ("block", "com", "/en/"),
+    ("allow", "example.com", "/en/7"),
+    ("allow", "net", "/de/"),
+    ("block", "example.net", "/de/8"),
+    ("block", "org", "/es/"),
+)
+
+
+@query
+def op2_host_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page's outcome is the label of the document that its url names by number: bad when of low quality or toxic."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    labels = table(spark, sf_dir, "labels").select("doc_id", F.greatest(1 - F.col("quality"), F.col("toxic")).alias("bad"))
+    named = pages.select(url_filter.host_of(F.col("url")).alias("host"), F.try_to_number(F.regexp_extract(url_filter.path_of(F.col("url")), "^/[^/]*/([0-9]{1,18})", 1), F.lit("9" * 18)).cast("bigint").alias("doc_id"))
+    outcomes = named.join(labels, "doc_id", "left").select("host", "bad")
+    return url_filter.judge(pages, outcomes, URL_RULES).drop("url")
