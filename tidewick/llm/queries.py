@@ -9,7 +9,7 @@ import public_tokenizers as tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, packing, personal_data, secrets, url_filter
+from . import bpe, exact_dedup, html_text, packing, personal_data, secrets, url_filter
 from .common import ship, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -100,3 +100,9 @@ def op2_host_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     named = pages.select(url_filter.host_of(F.col("url")).alias("host"), F.try_to_number(F.regexp_extract(url_filter.path_of(F.col("url")), "^/[^/]*/([0-9]{1,18})", 1), F.lit("9" * 18)).cast("bigint").alias("doc_id"))
     outcomes = named.join(labels, "doc_id", "left").select("host", "bad")
     return url_filter.judge(pages, outcomes, URL_RULES).drop("url")
+
+
+@query
+def op5_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_text.with_main_text(pages).select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
