@@ -9,7 +9,7 @@ import public_tokenizers as tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, html_text, packing, personal_data, secrets, url_filter
+from . import bpe, exact_dedup, html_text, packing, personal_data, quality, secrets, url_filter
 from .common import ship, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -106,3 +106,10 @@ def op2_host_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
     return html_text.with_main_text(pages).select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
+
+
+@query
+def op1_quality_discriminant(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = quality.with_quality(docs, table(spark, sf_dir, "labels"))
+    return scored.withColumn("predicted", F.when(F.col("score") >= quality.CUT, 1).otherwise(0))
