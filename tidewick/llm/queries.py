@@ -9,7 +9,7 @@ import public_tokenizers as tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, html_text, jaccard_join, packing, personal_data, quality, secrets, url_filter
+from . import bpe, exact_dedup, fingerprints, html_text, jaccard_join, packing, personal_data, quality, secrets, url_filter
 from .common import ship, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -118,3 +118,8 @@ def op1_quality_discriminant(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_jaccard_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.similarity_components(table(spark, sf_dir, "documents"), words=3, percent=90)
+
+
+@query
+def op6_imatch_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.with_fingerprints(table(spark, sf_dir, "documents"))
