@@ -201,9 +201,14 @@ def similarity_components(docs: DataFrame, words: int = 5, percent: int = 80, id
 
 
 def keep_one_of_each(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of docs whose id is the least of its component; of rows that repeat that id, one. Others have no near copy left."""
-    component, place = scratch(docs, "component", "place")
+    """The rows of docs whose id is the least of its component, so that no near copy is left.
+
+    Of rows with equal id and text one stays. Rows are told apart by their id, so that those with a null one stay, and
+    those that repeat an id go together.
+    """
+    gone_id, mark, place = scratch(docs, "gone", "mark", "place")
     found = similarity_components(docs.select(id_col, text_col), words, percent, id_col, text_col)
-    gone = found.where(~F.col("component_id").eqNullSafe(F.col(id_col))).select(F.col(id_col).alias(component)).distinct()
-    kept = docs.join(gone, docs[id_col] == gone[component], "left_anti")
-    return kept.withColumn(place, F.row_number().over(Window.partitionBy(id_col).orderBy(text_col))).where(F.col(place) == 1).select(*docs.columns)
+    gone = found.where(~F.col("component_id").eqNullSafe(F.col(id_col))).select(F.col(id_col).alias(gone_id)).distinct()
+    kept = docs.join(gone, docs[id_col] == gone[gone_id], "left_anti").withColumn(mark, F.xxhash64(text_of(text_col)))
+    first = F.row_number().over(Window.partitionBy(id_col, mark).orderBy(F.lit(0)))
+    return kept.withColumn(place, first).where(F.col(place) == 1).select(*docs.columns)
