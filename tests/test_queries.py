@@ -3,8 +3,7 @@
 from __future__ import annotations
 
 import pytest
-from compare import assert_same, tables
-from conftest import TINY
+from compare import TINY, assert_same, tables
 
 from tidewick.plans import registry
 
