@@ -45,3 +45,45 @@ def secret_spans(text: str | None) -> list[tuple[str, int, int]]:
     out += [("access", m.start(), m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 20]
     out += [("hex", m.start(), m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 24]
     return sorted(out, key=lambda x: (x[1], ("assign", "access", "hex").index(x[0])))
+
+
+def words_of(text: str | None) -> list[str]:
+    return re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+
+
+def shingles(text: str | None, n: int) -> frozenset:
+    w = words_of(text)
+    if not w:
+        return frozenset()
+    return frozenset([tuple(w)]) if len(w) < n else frozenset(zip(*(w[i:] for i in range(n))))
+
+
+def components(rows: list[tuple[int, str | None]], n: int, percent: int) -> dict[int, int]:
+    """The least id reachable, comparing all pairs."""
+    root = {i: i for i, _ in rows}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    sets = [(i, shingles(t, n)) for i, t in rows]
+    for k, (i, x) in enumerate(sets):
+        for j, y in sets[:k]:
+            if x and y and 100 * len(x & y) >= percent * len(x | y):
+                a, b = find(i), find(j)
+                root[max(a, b)] = min(a, b)
+    return {i: find(i) for i in root}
+
+
+def host_and_path(url: str | None) -> tuple[str, str]:
+    if not url or "://" not in url:
+        return "", ""
+    rest = url.split("://", 1)[1]
+    host = re.split("[/?#]", rest, maxsplit=1)[0]
+    return re.sub("[A-Z]", lambda m: m[0].lower(), host), re.split("[?#]", rest[len(host) :], maxsplit=1)[0]
+
+
+def rule_for(host: str, path: str, rules) -> tuple | None:
+    fits = [r for r in rules if (host == r[1] or host.endswith("." + r[1])) and path.startswith(r[2])]
+    return max(fits, key=lambda r: len(r[1] + r[2]), default=None)

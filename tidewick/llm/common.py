@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import shutil
 import tempfile
+from collections.abc import Iterator
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,6 +44,12 @@ def scratch(df: DataFrame, *names: str) -> list[str]:
     return found
 
 
+def in_parts(texts: pa.Array, size: int = 256) -> Iterator[list]:
+    """The values of an Arrow array by small lists, so that a task never holds a whole batch as Python objects."""
+    for start in range(0, len(texts), size):
+        yield texts.slice(start, size).to_pylist()
+
+
 _shipped: set[str] = set()
 
 

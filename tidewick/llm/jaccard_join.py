@@ -1,16 +1,17 @@
 """N-gram Jaccard join by grouped prefixes, and its connected components.
 
 Documents with equal shingle sets are one class from the start. Of sets x and y with similarity of t or more, at most
-d(x) = |x| - ceil(t |x|) shingles of x are not in y. So if each set is represented by its ``SAMPLED`` * d + 1 smallest
-hashes, two linked sets share all but d of those of the one whose hashes end first. On these samples, a fifth of all
-shingles at t = 0.9, document frequencies are counted exactly, over all classes, and prefix filtering in order of frequency
-does the rest: only what is left of the rarest ones when the guaranteed overlap is taken away can lead to a link. Most
-prefixes hold nothing that any other document holds, and their documents are done.
-
-Classes with identical prefixes and size are one group. A shingle's groups are a bucket; buckets with the same groups are
-one. Groups of a bucket are expanded to their classes, and their whole sets are compared in Arrow batches, exactly. Large
+d(x) = |x| - ceil(t |x|) shingles of x are not in y. So if each set is represented by its d + ceil(d / 2) + 1 smallest
+hashes, two linked sets share all but d of those of the one whose hashes end first. On these samples, three twentieths of
+all shingles at t = 0.9, document frequencies are counted exactly, over all classes, and prefix filtering in order of
+frequency does the rest: only what is left of the rarest ones when the guaranteed overlap is taken away can lead to a link.
+Most prefixes hold nothing that any other document holds, and their documents are done.
+
+Classes with identical prefixes and size are one group. Groups that share a prefix shingle meet in the bucket of the least
+of them. Groups of a bucket are expanded to their classes, and their whole sets are compared in Arrow batches, exactly. Large
 buckets are dealt out as pairs of blocks, so that no task holds one as a whole. A bucket returns a spanning forest of its
-links, not all pairs; components are found by star contraction over these.
+links, not all pairs; components are found by star contraction over these. Texts are only shuffled for documents in a
+bucket, as far as a bitmap of their ids, of a fixed size, tells them from the rest on the map side.
 
 Defined cases: a null or empty text, or one of white space, has the empty set and is linked with nothing; repeated rows are
 linked unless empty; a null id counts as greater than any other; an empty table gives an empty result.
@@ -22,13 +23,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import checkpointed, scratch, text_of
+from .common import checkpointed, in_parts, scratch, text_of
 from .shingles import shingle_sets
 
-SAMPLED = 2
+BITMAPS = 1024  # of 32,768 bits each
+CUT_BITS = 16  # dropped from the 64 of a shingle's hash in samples; alike beginnings only lead to more comparisons
 BLOCK_ROWS, BLOCK_SHINGLES = 1000, 2_000_000
 COLUMNS = 4096
 MADE = "n bigint, sig_a bigint, sig_b bigint, sample array<bigint>"
@@ -43,21 +46,29 @@ def _unshared(n: Column, percent: int) -> Column:
     return F.floor(n * (100 - percent) / 100)
 
 
+def _sample_size(d, half=lambda x: -(-x // 2)):
+    return d + half(d) + 1
+
+
 def with_sets(docs: DataFrame, words: int, percent: int, text_col: str) -> DataFrame:
     """docs with the size of each shingle set, a signature of it and its sample."""
 
-    @F.pandas_udf(MADE)
-    def made(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    @F.arrow_udf(MADE)
+    def made(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
-            rows = []
-            for found in shingle_sets(texts.tolist(), words):
-                n = len(found)
-                with np.errstate(over="ignore"):
-                    spread = (found ^ (found >> np.uint64(31))) * np.uint64(0x94D049BB133111EB)
-                    sums = (int(found.sum(dtype=np.uint64)), int((spread ^ (spread >> np.uint64(27))).sum(dtype=np.uint64)))
-                sample = found[: SAMPLED * unshared(n, percent) + 1].view(np.int64)
-                rows.append((n, *(s - 2**64 if s >= 2**63 else s for s in sums), sample))
-            yield pd.DataFrame(rows, columns=["n", "sig_a", "sig_b", "sample"])
+            sizes, first, second, samples = [], [], [], []
+            for part in in_parts(texts):
+                for found in shingle_sets(part, words):
+                    with np.errstate(over="ignore"):
+                        spread = (found ^ (found >> np.uint64(31))) * np.uint64(0x94D049BB133111EB)
+                        second.append((spread ^ (spread >> np.uint64(27))).sum(dtype=np.uint64))
+                    first.append(found.sum(dtype=np.uint64))
+                    sizes.append(len(found))
+                    samples.append((found[: _sample_size(unshared(len(found), percent))] >> np.uint64(CUT_BITS)).astype(np.int64))
+            ends = np.cumsum([0, *map(len, samples)], dtype=np.int32)
+            values = np.concatenate(samples) if samples else np.zeros(0, dtype=np.int64)
+            signed = lambda x: pa.array(np.array(x, dtype=np.uint64).view(np.int64))
+            yield pa.StructArray.from_arrays([pa.array(sizes, pa.int64()), signed(first), signed(second), pa.ListArray.from_arrays(pa.array(ends), pa.array(values))], ["n", "sig_a", "sig_b", "sample"])
 
     return docs.withColumn("made", made(text_of(text_col))).select(*[c for c in docs.columns if c != text_col], "made.*")
 
@@ -146,26 +157,26 @@ def _verified(words: int, percent: int):
 
 def _buckets(classes: DataFrame, percent: int) -> DataFrame:
     """From rows (row, n, sample): rows (bucket, row) such that linked classes meet in a bucket."""
-    tokens = classes.select("row", "n", F.explode("sample").alias("token"))
+    sampled = _sample_size(_unshared(F.col("n"), percent), lambda d: F.ceil(d / 2))
+    tokens = classes.select("row", F.explode("sample").alias("token"))
     common = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
-    d = _unshared(F.col("n"), percent)
-    least_d = _unshared(F.ceil(F.col("n") * percent / 100), percent)
     # As many of the sample as go without the overlap that is certain; those of one document come first in order of frequency.
-    prefix = SAMPLED * d + 1 - (SAMPLED - 1) * least_d
+    least_d = _unshared(F.ceil(F.col("n") * percent / 100), percent)
+    prefix = sampled - F.ceil(least_d / 2)
     own = Window.partitionBy("row")
-    shared = tokens.join(common, "token").withColumn("alone", SAMPLED * d + 1 - F.count(F.lit(1)).over(own))
-    ranked = shared.withColumn("place", F.row_number().over(own.orderBy("df", "token")))
+    shared = tokens.join(common, "token").withColumns({"alike": F.count(F.lit(1)).over(own), "place": F.row_number().over(own.orderBy("df", "token"))})
+    ranked = shared.join(classes.select("row", "n"), "row").withColumn("alone", sampled - F.col("alike"))
     prefixes = checkpointed(ranked.where(F.col("alone") + F.col("place") <= prefix).select("row", "n", "token"))
     marks = prefixes.groupBy("row", "n").agg(F.sum(F.hash("token").cast("bigint")).alias("h"), F.bit_xor(F.xxhash64("token")).alias("x"), F.count(F.lit(1)).alias("c"))
     alike = marks.groupBy("n", "h", "x", "c").agg(F.min("row").alias("group"), F.count(F.lit(1)).alias("members"))
     member = checkpointed(marks.join(alike, ["n", "h", "x", "c"]).select("group", "row", "n", "members"))
     posted = prefixes.join(member.where("row = group").select("row", "group"), "row").select("token", "group")
-    held = posted.groupBy("token").agg(F.count(F.lit(1)).alias("c"), F.bit_xor(F.xxhash64("group")).alias("x"), F.sum(F.hash("group").cast("bigint")).alias("h"))
-    kept = held.where("c > 1").groupBy("c", "x", "h").agg(F.min("token").alias("token")).select("token")
-    met = posted.join(kept, "token").select(F.struct(F.lit(0).alias("kind"), F.col("token").alias("of")).alias("bucket"), "group")
+    # A shingle's groups meet in the bucket of the least of them, so that the many shingles of near copies share a few buckets.
+    heads = posted.groupBy("token").agg(F.count(F.lit(1)).alias("c"), F.min("group").alias("bucket")).where("c > 1").select("token", "bucket")
+    met = posted.join(heads, "token").select("bucket", "group")
     # A group of several classes is a bucket, too, in case it meets no other.
-    alone = member.where("row = group and members > 1").select(F.struct(F.lit(1).alias("kind"), F.col("group").alias("of")).alias("bucket"), "group")
-    return met.unionByName(alone).join(member, "group").select("bucket", "row", "n")
+    alone = member.where("row = group and members > 1").select(F.col("group").alias("bucket"), "group")
+    return met.unionByName(alone).distinct().join(member, "group").select("bucket", "row", "n")
 
 
 def _dealt(rows: DataFrame) -> DataFrame:
@@ -177,6 +188,19 @@ def _dealt(rows: DataFrame) -> DataFrame:
     return dealt.select("bucket", "row", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
 
 
+def _perhaps(rows: DataFrame, wanted: DataFrame, key: str) -> DataFrame:
+    """The rows whose key may be among the wanted ones, by a bitmap of hashes that has at most ``BITMAPS`` rows to broadcast.
+
+    All rows with a wanted key stay; how many others do depends on how full the bitmap is.
+    """
+    at = F.pmod(F.xxhash64(F.col(key)), F.lit(BITMAPS * 32768))
+    bits = wanted.select(at.alias("at")).groupBy(F.call_function("bitmap_bucket_number", "at").alias("bucket_")).agg(F.call_function("bitmap_construct_agg", F.call_function("bitmap_bit_position", "at")).alias("bits_"))
+    place = F.call_function("bitmap_bit_position", at)
+    byte = F.conv(F.hex(F.expr("substring(bits_, CAST(place_ DIV 8 AS INT) + 1, 1)")), 16, 10).cast("int")
+    found = rows.withColumns({"bucket_": F.call_function("bitmap_bucket_number", at), "place_": place}).join(F.broadcast(checkpointed(bits)), "bucket_")
+    return found.where(byte.bitwiseAND(F.call_function("shiftleft", F.lit(1), (F.col("place_") % 8).cast("int"))) != 0).select(*rows.columns)
+
+
 def similarity_components(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """A row for each row of docs: id_col, n_shingles and component_id, the least id reachable by links, its own included.
 
@@ -187,10 +211,9 @@ def similarity_components(docs: DataFrame, words: int = 5, percent: int = 80, id
     classes = checkpointed(sets.where("n > 0").groupBy("n", "sig_a", "sig_b").agg(F.min("row").alias("row"), F.min("id").alias("least")))
     first = sets.join(classes.select("row"), "row", "left_semi")
     met = _dealt(checkpointed(_buckets(first.select("row", "n", "sample"), percent)))
-    texts = met.join(first.select("row", "id", "mark"), "row")
-    texts = texts.join(whole, [texts["id"].eqNullSafe(whole["id"]), texts["mark"] == whole["mark"]]).select("bucket", "i", "j", "row", "text")
-    by_task = texts.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j").select("bucket.*", "i", "j", "row", "text")
-    by_task = by_task.withColumn("bucket", F.concat_ws(":", "kind", "of")).select("bucket", "i", "j", "row", "text")
+    texts = met.join(sets.select("row", "id", "mark"), "row")
+    texts = texts.join(_perhaps(whole, texts, "mark"), [texts["id"].eqNullSafe(whole["id"]), texts["mark"] == whole["mark"]]).select("bucket", "i", "j", "row", "text")
+    by_task = texts.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
     roots = components(by_task.mapInPandas(_verified(words, percent), "a bigint, b bigint")).withColumnRenamed("node", "row")
     joined = classes.join(roots, "row", "left").withColumn("root", F.coalesce("root", "row"))
     least = joined.where(F.col("root") != F.col("row")).select("root", "least").unionByName(joined.where(F.col("root") == F.col("row")).select("root", "least"))

@@ -24,12 +24,13 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import checkpointed, text_of
+from .common import checkpointed, in_parts, text_of
 
 LENGTH = 2048
 END = 0
@@ -55,22 +56,24 @@ def byte_level(path: str) -> tiktoken.Encoding:
 def tokenized(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH) -> DataFrame:
     """A row for each piece: where it starts, its length, a checksum of its ids, its task and its place there by length."""
 
-    def pieces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, task = byte_level(path).encode, TaskContext.get().partitionId()
         seen = np.zeros(length + 1, dtype=np.int64)
         for batch in batches:
             rows = []
-            for doc_id, text in zip(batch["id"], batch["text"]):
-                ids = np.array([*encode(text, allowed_special="all"), END], dtype="<u4")
-                first = (len(ids) - 1) % length + 1
-                for piece, start in enumerate([0, *range(first, len(ids), length)]):
-                    part = ids[start : first if piece == 0 else start + length]
-                    rows.append((doc_id, piece, start, len(part), zlib.crc32(part.tobytes()), task, seen[len(part)]))
-                    seen[len(part)] += 1
-            out = pd.DataFrame(rows, columns=[c.split()[0] for c in PIECES.split(", ")])
-            yield out.astype({"doc_id": "Int64"})
-
-    return docs.select(F.col(id_col).cast("bigint").alias("id"), text_of(text_col).alias("text")).mapInPandas(pieces, PIECES)
+            for doc_ids, texts in zip(in_parts(batch["id"]), in_parts(batch["text"])):
+                for doc_id, text in zip(doc_ids, texts):
+                    ids = np.array([*encode(text, allowed_special="all"), END], dtype="<u4")
+                    first = (len(ids) - 1) % length + 1
+                    for piece, start in enumerate([0, *range(first, len(ids), length)]):
+                        part = ids[start : first if piece == 0 else start + length]
+                        rows.append((doc_id, piece, start, len(part), zlib.crc32(part.tobytes()), task, int(seen[len(part)])))
+                        seen[len(part)] += 1
+            columns = zip(*rows) if rows else [[]] * len(PIECES.split(", "))
+            kinds = [pa.int32() if c.endswith(" int") else pa.int64() for c in PIECES.split(", ")]
+            yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(columns, kinds)], names=[c.split()[0] for c in PIECES.split(", ")])
+
+    return docs.select(F.col(id_col).cast("bigint").alias("id"), text_of(text_col).alias("text")).mapInArrow(pieces, PIECES)
 
 
 def patterns(present: np.ndarray, length: int = LENGTH, most: int = 400_000) -> np.ndarray:

@@ -21,11 +21,12 @@ from operator import eq
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import checkpointed, scratch, text_of
+from .common import checkpointed, in_parts, scratch, text_of
 
 CUT = 0.3
 FOLDS, HELD = 5, 0
@@ -123,10 +124,11 @@ def held_out(key: Column, folds: int = FOLDS, held: int = HELD) -> Column:
 
 
 def with_statistics(docs: DataFrame, out: str, text_col: str = "text") -> DataFrame:
-    @F.pandas_udf(T.ArrayType(T.DoubleType()))
-    def measured(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf(T.ArrayType(T.DoubleType()))
+    def measured(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
-            yield pd.Series([statistics(x) for x in texts], dtype="object")
+            rows = np.array([statistics(x) for part in in_parts(texts) for x in part], dtype=float).reshape(-1, len(NAMES))
+            yield pa.ListArray.from_arrays(pa.array(np.arange(len(rows) + 1, dtype=np.int32) * len(NAMES)), pa.array(rows.ravel()))
 
     return docs.withColumn(out, measured(text_of(text_col)))
 
