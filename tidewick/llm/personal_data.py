@@ -14,6 +14,7 @@ get their own result; an empty table gives an empty result; other columns pass t
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -23,6 +24,7 @@ from .common import scratch, text_of
 
 NEAR = 40
 THRESHOLD = 0.5
+BLOCK = 128  # matches or spans that are put together at a time
 
 
 @dataclass(frozen=True)
@@ -84,20 +86,43 @@ def _score(kind: Kind, value: Column, before: Column) -> Column:
 SPAN = "array<struct<kind:string,start:bigint,end:bigint,score:double>>"
 
 
-def _spans(kind: Kind, text: Column, hits: Column, gaps: Column) -> Column:
-    """Spans of one kind in order of start."""
+def _bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body of a value that is computed once, however often body uses it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _blocks(values: Column) -> Column:
+    """The values of an array that has some, as an array of arrays of BLOCK values."""
+    return F.transform(F.sequence(F.lit(0), F.floor((F.size(values) - 1) / BLOCK).cast("int")), lambda k: F.slice(values, k * BLOCK + 1, F.lit(BLOCK)))
+
+
+def _spans(kind: Kind, hits: Column, gaps: Column) -> Column:
+    """Spans of one kind in order of start.
+
+    Appending to an array copies it, so that positions are summed by blocks of matches: a long text with many matches takes
+    time in proportion to their number.
+    """
     pairs = F.arrays_zip(hits.alias("hit"), F.slice(gaps, 1, F.size(hits)).alias("gap"))
+    zero = F.lit(0).cast("bigint")
+
+    def width(block: Column) -> Column:
+        return F.aggregate(block, zero, lambda total, pair: total + F.length(pair["gap"]) + F.length(pair["hit"]))
+
+    def place_block(state: Column, block: Column) -> Column:
+        here = F.array(F.struct(state["at"].alias("at"), block.alias("pairs")))
+        return F.struct((state["at"] + width(block)).alias("at"), F.concat(state["found"], here).alias("found"))
 
-    def follow(state: Column, pair: Column) -> Column:
+    def place(state: Column, pair: Column) -> Column:
         start = state["at"] + F.length(pair["gap"])
         end = start + F.length(pair["hit"])
         found = F.array(F.struct(start.alias("start"), end.alias("end"), pair["hit"].alias("hit"), F.right(pair["gap"], F.lit(NEAR)).alias("before")))
-        return F.struct(end.alias("at"), F.concat(state["found"], found).alias("found"))
+        return F.struct(end.alias("at"), F.when(_holds(kind.name, pair["hit"]), F.concat(state["found"], found)).otherwise(state["found"]).alias("found"))
 
-    empty = F.array().cast("array<struct<start:bigint,end:bigint,hit:string,before:string>>")
-    placed = F.aggregate(pairs, F.struct(F.lit(0).cast("bigint").alias("at"), empty.alias("found")), follow, lambda state: state["found"])
-    held = F.filter(placed, lambda x: _holds(kind.name, x["hit"]))
-    scored = F.transform(held, lambda x: F.struct(F.lit(kind.name).alias("kind"), x["start"].alias("start"), x["end"].alias("end"), _score(kind, x["hit"], x["before"]).alias("score")))
+    no_blocks = F.array().cast("array<struct<at:bigint,pairs:array<struct<hit:string,gap:string>>>>")
+    none = F.array().cast("array<struct<start:bigint,end:bigint,hit:string,before:string>>")
+    blocks = F.aggregate(_bound(pairs, _blocks), F.struct(zero.alias("at"), no_blocks.alias("found")), place_block, lambda state: state["found"])
+    placed = F.flatten(F.transform(blocks, lambda b: F.aggregate(b["pairs"], F.struct(b["at"].alias("at"), none.alias("found")), place, lambda state: state["found"])))
+    scored = F.transform(placed, lambda x: F.struct(F.lit(kind.name).alias("kind"), x["start"].alias("start"), x["end"].alias("end"), _score(kind, x["hit"], x["before"]).alias("score")))
     return scored if kind.base else F.filter(scored, lambda x: x["score"] >= THRESHOLD)
 
 
@@ -114,7 +139,7 @@ def with_spans(docs: DataFrame, out: str = "pii", text_col: str = "text") -> Dat
             needed &= F.contains(F.col(text), F.lit("+"))
         work = work.withColumn(hits, F.when(needed, F.regexp_extract_all(F.col(text), F.lit(kind.pattern), F.lit(0))))
         work = work.withColumn(gaps, F.when(F.size(hits) > 0, F.split(F.col(text), kind.pattern, -1)))
-        work = work.withColumn(part, F.when(F.size(hits) > 0, _spans(kind, F.col(text), F.col(hits), F.col(gaps))).otherwise(F.array().cast(SPAN)).cast(SPAN))
+        work = work.withColumn(part, F.when(F.size(hits) > 0, _spans(kind, F.col(hits), F.col(gaps))).otherwise(F.array().cast(SPAN)).cast(SPAN))
         parts.append(part)
     return work.withColumn(out, F.concat(*parts)).select(*docs.columns, out)
 
