@@ -226,6 +226,15 @@ def test_quality_odd_rows(spark, odd, none):
     assert len(good - kept) <= 0.03 * len(good)
 
 
+def test_keep_good_learns_from_all(spark, odd):
+    """Classes that overlap, more rows of each than a sample would hold: the same texts go as by the query."""
+    docs = spark.range(80_000).select(F.col("id").alias("doc_id"), F.expr("concat_ws(' ', transform(sequence(1, 6), k -> concat(if(xxhash64(id, k) % 100 < if(id % 4 = 0, 0, 25), 'W', 'w'), pmod(xxhash64(k, id), 90)))) ").alias("text"))
+    labels = docs.select("doc_id", F.when(F.col("doc_id") % 4 == 0, 0).otherwise(1).alias("quality"))
+    kept = {r["doc_id"] for r in quality.keep_good(docs, labels).select("doc_id").collect()}
+    expected = {r["doc_id"] for r in quality.with_quality(docs, labels).where(F.col("score") >= quality.CUT).select("doc_id").collect()}
+    assert 0 < len(expected) < 80_000 and kept == expected
+
+
 # Host reputation.
 
 

@@ -32,7 +32,6 @@ CUT = 0.3
 FOLDS, HELD = 5, 0
 TO_POOLED, TO_IDENTITY = 0.1, 0.02
 BINS = 2000
-SAMPLE = 20_000
 # Frequent short words of the four languages.
 COMMON = frozenset("the of and to in is that for it was on with as be by at le la les de des un une et en du que qui dans pour der die das und ist nicht ein eine mit von zu den el los las una por con no se es del al".split())
 NAMES = (
@@ -169,11 +168,16 @@ def with_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
     """docs with held_out and a score from 0 to 1. labels: rows (id_col, quality), of which held-out ones are not used."""
     (x,) = scratch(docs, "statistics")
     measured = checkpointed(with_statistics(docs.withColumn("held_out", held_out(F.col(id_col))), x, text_col).drop(text_col))
-    known = labels.where(F.col("quality").isin(0, 1)).select(F.col(id_col).alias("labelled"), F.col("quality").cast("int").alias("label"))
-    train = measured.where(~F.col("held_out")).join(known, F.col(id_col) == F.col("labelled")).select(F.col(x).alias("x"), "label")
+    train = _labelled(measured.where(~F.col("held_out")), labels, id_col, x)
     return measured.withColumn(out, scored(fit(train), F.col(x))).drop(x)
 
 
+def _labelled(measured: DataFrame, labels: DataFrame, id_col: str, x: str) -> DataFrame:
+    """Rows (x, label) of all measured rows that have a usable label."""
+    known = labels.where(F.col("quality").isin(0, 1)).select(F.col(id_col).alias("labelled"), F.col("quality").cast("int").alias("label"))
+    return measured.select(id_col, F.col(x).alias("x")).join(known, F.col(id_col) == F.col("labelled")).select("x", "label")
+
+
 def scored(model: Discriminant | float, x: Column) -> Column:
     if isinstance(model, float):
         return F.lit(model)
@@ -185,15 +189,13 @@ def scored(model: Discriminant | float, x: Column) -> Column:
     return score(x)
 
 
-def keep_good(docs: DataFrame, labels: DataFrame, cut: float = CUT, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE) -> DataFrame:
+def keep_good(docs: DataFrame, labels: DataFrame, cut: float = CUT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of docs whose text scores cut or more.
 
-    The model learns from at most ``sample`` labelled rows of each class that are not held out, those of the smallest hash
-    of their id, so that they can be sent to every task and no text is shuffled.
+    The model learns from all labelled rows that are not held out, as in ``with_quality``. Statistics meet the labels
+    without the text, so that no text is shuffled; they are computed again where rows are kept, so that none is stored.
     """
-    (x, label, labelled) = scratch(docs, "statistics", "label", "labelled")
-    known = labels.where(F.col("quality").isin(0, 1) & ~held_out(F.col(id_col))).select(F.col(id_col).alias(labelled), F.col("quality").cast("int").alias(label))
-    one, other = (known.where(F.col(label) == k).orderBy(F.xxhash64(labelled), labelled).limit(sample) for k in (0, 1))
-    train = docs.join(F.broadcast(checkpointed(one.unionByName(other))), docs[id_col] == F.col(labelled))
-    model = fit(checkpointed(with_statistics(train, x, text_col).select(F.col(x).alias("x"), F.col(label).alias("label"))))
+    (x,) = scratch(docs, "statistics")
+    learning = docs.where(~held_out(F.col(id_col))).select(id_col, text_col)
+    model = fit(_labelled(checkpointed(with_statistics(learning, x, text_col).drop(text_col)), labels, id_col, x))
     return with_statistics(docs, x, text_col).where(scored(model, F.col(x)) >= cut).drop(x)
