@@ -166,3 +166,37 @@ def test_pages_are_partitions(spark):
     assert records.where("volatility_5m is null").count() == 10
     newest, end = exchange.NewestReader(options | {"page": "3"}).read({"since": 0})
     assert len(list(newest)) == 6 and end == {"since": 3 * exchange.MINUTE}
+
+
+def uneven_client(symbol, since, limit):
+    """A has a bar each minute to 1500, B one in three to 2100, C none."""
+    minutes = {"A": range(1501), "B": range(0, 2101, 3), "C": ()}[symbol]
+    return [[m * exchange.MINUTE, 1.0, 2.0, 0.5, 1.5, 3.0] for m in minutes if m * exchange.MINUTE >= since][: int(limit)]
+
+
+UNEVEN = {"client": "test_candles:uneven_client", "symbols": "A,B,C", "start": "0", "page": "100"}
+
+
+def test_slower_symbol_loses_no_bars():
+    reader, offset, found = exchange.NewestReader(UNEVEN), {"since": 0}, []
+    for _ in range(20):
+        before = offset
+        rows, offset = reader.read(before)
+        rows = list(rows)
+        assert list(reader.readBetweenOffsets(before, offset)) == rows
+        found += [r[:2] for r in rows]
+    assert len(found) == 1501 + 701 == len(set(found))
+    assert offset == {"since": {"A": 1501 * exchange.MINUTE, "B": 2101 * exchange.MINUTE, "C": 0}}
+
+
+def test_stream_drains_each_symbol(spark, tmp_path):
+    live = exchange.LiveReader(UNEVEN)
+    end = live.latestOffset()
+    assert end == live.latestOffset() == {"since": {"A": 1501 * exchange.MINUTE, "B": 2101 * exchange.MINUTE, "C": 0}}
+    assert live.partitions(end, end) == []
+    assert {p.symbol for p in live.partitions({"since": {"A": 1400 * exchange.MINUTE}}, end)} == {"A", "B"}
+    spark.dataSource.register(exchange.CandlePages)
+    stream = spark.readStream.format("candle_pages").options(**UNEVEN | {"client": "tests.test_candles:uneven_client"}).load().writeStream.format("parquet").option("checkpointLocation", f"{tmp_path}/c")
+    stream.trigger(availableNow=True).start(f"{tmp_path}/out").awaitTermination(60)
+    rows = spark.read.parquet(f"{tmp_path}/out")
+    assert {r["symbol"]: r["count"] for r in rows.distinct().groupBy("symbol").count().collect()} == {"A": 1501, "B": 701} and rows.count() == 2202

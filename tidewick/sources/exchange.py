@@ -1,7 +1,11 @@
 """An exchange as a data source: pages of candles are input partitions, fetched by tasks side by side.
 
 ``spark.read.format("candle_pages")`` reads a history; ``readStream`` the newest bars. The client is named by the option
-``client`` as module:function and gives fetch(symbol, since_ms, limit) -> rows [ts_ms, open, high, low, close, volume].
+``client`` as module:function and gives fetch(symbol, since_ms, limit) -> rows [ts_ms, open, high, low, close, volume], the
+first ones from since_ms on. Bars of a symbol are a minute or more apart and appear in order; symbols needn't keep step.
+
+A stream's offset tells for each symbol the time from which its bars are still to be read: {"since": {symbol: ms}}, or
+{"since": ms} where it is the same for all. A symbol that an offset doesn't name begins at the option ``start``.
 """
 
 from __future__ import annotations
@@ -11,7 +15,7 @@ import time
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition, SimpleDataSourceStreamReader
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition, SimpleDataSourceStreamReader
 
 MINUTE = 60_000
 ROW = "symbol string, ts_ms bigint, open double, high double, low double, close double, volume double"
@@ -51,6 +55,13 @@ def _client(options: dict) -> Callable:
     return getattr(importlib.import_module(module), name)
 
 
+def _rows_of(options: dict, page: Page) -> Iterator[tuple]:
+    fetch, pause = _client(options), float(options.get("pause", 2.0))
+    for row in patiently(lambda: fetch(page.symbol, page.since, -(-(page.until - page.since) // MINUTE)), base=pause):
+        if page.since <= row[0] < page.until:
+            yield (page.symbol, int(row[0]), *map(float, row[1:6]))
+
+
 class PageReader(DataSourceReader):
     def __init__(self, options: dict):
         self.options = options
@@ -60,14 +71,74 @@ class PageReader(DataSourceReader):
         return pages(o["symbols"].split(","), int(o["start"]), int(o["end"]), int(o.get("page", 1000)))
 
     def read(self, page: Page) -> Iterator[tuple]:
+        return _rows_of(self.options, page)
+
+
+def _by_symbol(options: dict, offset: dict) -> dict[str, int]:
+    since, symbols = offset["since"], options["symbols"].split(",")
+    return {s: int(since.get(s, options["start"])) for s in symbols} if isinstance(since, dict) else dict.fromkeys(symbols, int(since))
+
+
+def _offset(since: dict[str, int]) -> dict:
+    return {"since": next(iter(since.values())) if len(set(since.values())) == 1 else since}
+
+
+class LiveReader(DataSourceStreamReader):
+    """Micro-batches of all bars that came since the last one, fetched by tasks in pages of each symbol.
+
+    The driver only looks for the time of each symbol's newest bar, by single bars: doubled steps from the last known one,
+    then halving. Bars later than the clock are left for a later batch.
+    """
+
+    def __init__(self, options: dict):
+        self.options = options
+        self.newest: dict[str, int] = {}
+
+    def initialOffset(self) -> dict:
+        return {"since": int(self.options["start"])}
+
+    def _first(self, symbol: str, since: int, until: int) -> int | None:
+        """The time of the symbol's first bar from since on, before until."""
         fetch, pause = _client(self.options), float(self.options.get("pause", 2.0))
-        for row in patiently(lambda: fetch(page.symbol, page.since, (page.until - page.since) // MINUTE), base=pause):
-            if page.since <= row[0] < page.until:
-                yield (page.symbol, int(row[0]), *map(float, row[1:6]))
+        return min((int(row[0]) for row in patiently(lambda: fetch(symbol, since, 1), base=pause) if since <= row[0] < until), default=None)
+
+    def _end(self, symbol: str) -> int:
+        """The time from which the symbol has no bar yet."""
+        since = self.newest.get(symbol, int(self.options["start"]))
+        until = int(time.time() * 1000) + MINUTE
+        last = self._first(symbol, since, until)
+        if last is None:
+            return since
+        step = MINUTE
+        while last + step < until:
+            found = self._first(symbol, last + step, until)
+            if found is None:
+                until = last + step
+            else:
+                last, step = found, 2 * step
+        while until - last > MINUTE:
+            middle = last + max(MINUTE, (until - last) // 2)
+            found = self._first(symbol, middle, until)
+            if found is None:
+                until = middle
+            else:
+                last = found
+        return last + MINUTE
+
+    def latestOffset(self) -> dict:
+        self.newest = {s: self._end(s) for s in self.options["symbols"].split(",")}
+        return _offset(self.newest)
+
+    def partitions(self, start: dict, end: dict) -> list[Page]:
+        since, until = _by_symbol(self.options, start), _by_symbol(self.options, end)
+        return [page for s in since for page in pages([s], since[s], until[s], int(self.options.get("page", 1000)))]
+
+    def read(self, page: Page) -> Iterator[tuple]:
+        return _rows_of(self.options, page)
 
 
 class NewestReader(SimpleDataSourceStreamReader):
-    """Micro-batches of the bars that came since the last one."""
+    """The next page of each symbol's bars, for a caller that reads by itself; each symbol keeps its own offset."""
 
     def __init__(self, options: dict):
         self.options = options
@@ -75,21 +146,21 @@ class NewestReader(SimpleDataSourceStreamReader):
     def initialOffset(self) -> dict:
         return {"since": int(self.options["start"])}
 
-    def _rows(self, since: int, until: int | None) -> tuple[list[tuple], int]:
-        fetch, out, last = _client(self.options), [], since
-        for symbol in self.options["symbols"].split(","):
-            for row in patiently(lambda s=symbol: fetch(s, since, int(self.options.get("page", 1000)))):
-                if since <= row[0] and (until is None or row[0] < until):
+    def _rows(self, since: dict[str, int], until: dict[str, int] | None) -> tuple[list[tuple], dict[str, int]]:
+        fetch, out, last = _client(self.options), [], dict(since)
+        for symbol in since:
+            for row in patiently(lambda s=symbol: fetch(s, since[s], int(self.options.get("page", 1000)))):
+                if since[symbol] <= row[0] and (until is None or row[0] < until[symbol]):
                     out.append((symbol, int(row[0]), *map(float, row[1:6])))
-                    last = max(last, int(row[0]) + MINUTE)
+                    last[symbol] = max(last[symbol], int(row[0]) + MINUTE)
         return out, last
 
     def read(self, start: dict) -> tuple[Iterator[tuple], dict]:
-        rows, last = self._rows(start["since"], None)
-        return iter(rows), {"since": last}
+        rows, last = self._rows(_by_symbol(self.options, start), None)
+        return iter(rows), _offset(last)
 
     def readBetweenOffsets(self, start: dict, end: dict) -> Iterator[tuple]:
-        return iter(self._rows(start["since"], end["since"])[0])
+        return iter(self._rows(_by_symbol(self.options, start), _by_symbol(self.options, end))[0])
 
 
 class CandlePages(DataSource):
@@ -103,5 +174,5 @@ class CandlePages(DataSource):
     def reader(self, schema) -> DataSourceReader:
         return PageReader(self.options)
 
-    def simpleStreamReader(self, schema) -> SimpleDataSourceStreamReader:
-        return NewestReader(self.options)
+    def streamReader(self, schema) -> DataSourceStreamReader:
+        return LiveReader(self.options)
