@@ -202,6 +202,21 @@ def test_automaton_merges_states():
     assert learned.log_likelihood("a1a1a1a1") > learned.log_likelihood("aa11aa11") + 3
 
 
+def test_formats_of_any_length_and_class(spark):
+    """Short runs, runs without digits, and formats that are longer or rarer than a sample of the examples would show."""
+    r = random.Random(11)
+    code = lambda n, chars: "".join(r.choice(chars) for _ in range(n))
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    short = lambda: f"{code(2, upper)}-{code(4, upper)}"
+    long = lambda: "/".join(code(5, upper) for _ in range(30))
+    known = [f"x password={short()} y" for _ in range(600)] + [f"x token={long()} y" for _ in range(60)]
+    plain = [f"{code(r.randint(6, 9), lower)} {code(20, lower)}" for _ in range(300)]
+    hidden = [short(), long()]
+    rows = {x["doc_id"]: x["spans"] for x in secrets.scan(docs_of(spark, [*known, *plain, *(f"see {x} here" for x in hidden)])).collect()}
+    assert [[(x["kind"], x["start"], x["end"]) for x in rows[960 + k]] for k in (0, 1)] == [[("format", 4, 4 + len(x))] for x in hidden]
+    assert not any(rows[k] for k in range(660, 960))
+
+
 # Quality.
 
 

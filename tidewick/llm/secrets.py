@@ -1,15 +1,16 @@
 """Secret scans with inferred formats.
 
 Fixed patterns find three kinds of credentials: assigned values, access keys and long hexadecimal strings. Those found are
-labelled examples, from which a probabilistic automaton is inferred for each kind (ALERGIA): the prefix tree of a sample
+labelled examples, from which a probabilistic automaton is inferred for each kind (ALERGIA): the prefix tree of the examples
 is built and states whose frequencies of stopping and of each next symbol agree within Hoeffding's bound are merged. An
-automaton of ordinary long words is inferred likewise. Then every other candidate of every text, a run of 16 or more
-credential characters with a letter and a digit, is scored by the logarithm of its best format likelihood over its
-likelihood as a word; those above ``MARGIN`` a character become spans of kind ``format``.
+automaton of all unlabelled runs is inferred likewise. Then every other run of credential characters in every text, from
+the length of the shortest example on, is scored by the logarithm of its best format likelihood over its likelihood as an
+ordinary run; those above ``MARGIN`` a character become spans of kind ``format``.
 
-Symbols are character classes with equally likely members, so that automata tell formats, not values. The sample is bounded
-by ``SAMPLE`` distinct values of at most ``LONGEST`` characters for each kind, those of the smallest hash; the scan itself
-covers every text as a whole, in one pass.
+Symbols are character classes with equally likely members, so that automata tell formats, not values. All distinct examples
+and runs are learned, whole: Spark counts the prefix tree's nodes, of which those seen twice or more reach the driver (the
+bound can't tell a state seen once from any other, so that those join the first state). Spark then counts what all
+strings do in the merged automaton. The number of nodes on the driver grows with that of examples.
 
 Defined cases: a null text counts as empty; without examples of a kind its automaton is left out, without any no span is
 added; repeated rows each get their own result; an empty table gives an empty result.
@@ -19,8 +20,8 @@ from __future__ import annotations
 
 import math
 import re
-from collections import deque
-from collections.abc import Iterator
+from collections import Counter, deque
+from collections.abc import Iterable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -28,8 +29,8 @@ from pyspark.sql import functions as F
 
 from .common import checkpointed, text_of
 
-SAMPLE = 400
-LONGEST = 128
+SHORTEST = 6
+HELD = 100_000
 CONFIDENCE = 0.05
 SMOOTHING = 0.1
 MARGIN = 0.35
@@ -37,36 +38,71 @@ KINDS = ("assign", "access", "hex")
 ASSIGN = re.compile(r"""(?ai:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")
-RUN = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
-MIXED = re.compile(r"(?=[^0-9]*[0-9])(?=[^A-Za-z]*[A-Za-z])")
-FOUND = "doc_id bigint, base array<struct<kind:string,start:bigint,end:bigint,value:string>>, runs array<struct<start:bigint,end:bigint,value:string>>"
-CLASSES = {c: (name, len(chars)) for name, chars in (("digit", "0123456789"), ("a-f", "abcdef"), ("g-z", "ghijklmnopqrstuvwxyz"), ("A-F", "ABCDEF"), ("G-Z", "GHIJKLMNOPQRSTUVWXYZ")) for c in chars}
+RUN = "[A-Za-z0-9+/_=-]{%d,}"
+FOUND = "doc_id bigint, spans array<struct<kind:string,start:bigint,end:bigint,score:double>>"
+# A class's symbol is its first member; other characters are their own symbols.
+CLASSES = ("0123456789", "abcdef", "ghijklmnopqrstuvwxyz", "ABCDEF", "GHIJKLMNOPQRSTUVWXYZ")
+SYMBOL = {ord(c): chars[0] for chars in CLASSES for c in chars}
+LOG_SIZE = {chars[0]: math.log(len(chars)) for chars in CLASSES}
+
+
+def shape(s: str) -> str:
+    return s.translate(SYMBOL)
+
+
+def tree_nodes(shapes: Iterable[tuple[str, int]]) -> dict[int, list]:
+    """Nodes of the prefix tree of counted shapes, by a hash of their prefix: the node above, symbol, times seen, times stopped."""
+    found: dict[int, list] = {0: [0, "", 0, 0]}
+    for s, times in shapes:
+        node = 0
+        found[0][2] += times
+        for c in s:
+            above, node = node, ((node * 6364136223846793005 + (ord(c) + 1) * 1442695040888963407) ^ (node >> 29)) % (1 << 63)
+            found.setdefault(node, [above, c, 0, 0])[2] += times
+        found[node][3] += times
+    return found
 
 
 class Automaton:
     """A probabilistic deterministic automaton inferred from strings."""
 
-    def __init__(self, strings: list[str]):
-        self.seen, self.stops, self.next = [0], [0], [{}]  # next: symbol -> [state, times]
-        for s in strings:
-            state = 0
-            self.seen[0] += 1
-            for c in s:
-                edge = self.next[state].get(symbol := self.symbol(c))
-                if edge is None:
-                    edge = self.next[state][symbol] = [len(self.seen), 0]
-                    self.seen.append(0)
-                    self.stops.append(0)
-                    self.next.append({})
-                edge[1] += 1
-                state = edge[0]
-                self.seen[state] += 1
-            self.stops[state] += 1
+    def __init__(self, strings: Iterable[str] = ()):
+        shapes = Counter(map(shape, strings)).items()
+        self.build([(node, *x) for node, x in tree_nodes(shapes).items() if x[2] > 1])
+        self.count(self.walked(shapes))
+
+    def build(self, nodes: list[tuple]) -> None:
+        """Merge the states of a prefix tree, of rows (node, above, symbol, seen, stops)."""
+        place = {0: 0} | {node: k for k, node in enumerate((x[0] for x in nodes if x[0]), 1)}
+        self.seen, self.stops, self.next = [0] * len(place), [0] * len(place), [{} for _ in place]  # next: symbol -> [state, times]
+        for node, above, symbol, seen, stops in nodes:
+            self.seen[place[node]], self.stops[place[node]] = seen, stops
+            if node:
+                self.next[place[above]][symbol] = [place[node], seen]
         self._merge()
 
-    @staticmethod
-    def symbol(c: str) -> str:
-        return CLASSES[c][0] if c in CLASSES else c
+    def walked(self, shapes: Iterable[tuple[str, int]]) -> Counter:
+        """How often shapes take each symbol at each state, and stop there (the empty symbol); without an edge they go on from the first state."""
+        found = Counter()
+        for s, times in shapes:
+            state = 0
+            for c in s:
+                found[state, c] += times
+                state = self.next[state][c][0] if c in self.next[state] else 0
+            found[state, ""] += times
+        return found
+
+    def count(self, walked: dict[tuple[int, str], int]) -> None:
+        """Set all frequencies to those of a walk, and leave out states that it never met."""
+        place = {state: k for k, state in enumerate(sorted({0} | {state for state, _ in walked}))}
+        seen, stops, edges = [0] * len(place), [0] * len(place), [{} for _ in place]
+        for (state, symbol), times in walked.items():
+            seen[place[state]] += times
+            if symbol:
+                edges[place[state]][symbol] = [place[self.next[state][symbol][0]] if symbol in self.next[state] else 0, times]
+            else:
+                stops[place[state]] += times
+        self.seen, self.stops, self.next = seen, stops, edges
 
     def _differ(self, a: int, n: int, b: int, m: int) -> bool:
         return abs(a / n - b / m) > math.sqrt(0.5 * math.log(2 / CONFIDENCE)) * (1 / math.sqrt(n) + 1 / math.sqrt(m))
@@ -104,7 +140,7 @@ class Automaton:
 
     def _merge(self) -> None:
         """Settle states breadth first: each new one is folded into the first settled state like it, or settled itself."""
-        settled, fringe = [0], deque((0, s) for s in sorted(self.next[0]))
+        settled, fringe = {0: None}, deque((0, s) for s in sorted(self.next[0]))  # in order of settling
         while fringe:
             above, symbol = fringe.popleft()
             state = self.next[above][symbol][0]
@@ -112,7 +148,7 @@ class Automaton:
                 continue
             same = next((s for s in settled if self._alike(s, state)), None)
             if same is None:
-                settled.append(state)
+                settled[state] = None
                 fringe += [(state, s) for s in sorted(self.next[state])]
             else:
                 self.next[above][symbol][0] = same
@@ -122,29 +158,33 @@ class Automaton:
 
     def log_likelihood(self, s: str) -> float:
         state, total = 0, 0.0
-        for c in s:
-            size = CLASSES[c][1] if c in CLASSES else 1
-            edge = self.next[state].get(self.symbol(c))
+        for c in shape(s):
+            edge = self.next[state].get(c)
             # A symbol that was never seen here counts a little, and the walk stays where it is.
-            total += math.log(((edge[1] if edge else 0) + SMOOTHING) / (self.seen[state] + 12 * SMOOTHING) / size)
+            total += math.log(((edge[1] if edge else 0) + SMOOTHING) / (self.seen[state] + 12 * SMOOTHING)) - LOG_SIZE.get(c, 0.0)
             state = edge[0] if edge else state
         return total + math.log((self.stops[state] + SMOOTHING) / (self.seen[state] + 12 * SMOOTHING))
 
 
 class Formats:
-    """Scores strings by the formats inferred from labelled examples against ordinary words."""
+    """Scores strings by the formats inferred from labelled examples against ordinary runs."""
 
-    def __init__(self, examples: dict[str, list[str]], words: list[str]):
-        self.kinds = {kind: Automaton(values) for kind, values in examples.items() if values}
-        self.words = Automaton(words) if words else None
+    def __init__(self, kinds: dict[str, Automaton], words: Automaton | None, shortest: int):
+        self.kinds, self.words, self.shortest = kinds, words, shortest
+        self.known: dict[str, float] = {}
 
     def score(self, s: str) -> float:
-        """Log-likelihood ratio a character of the best format; minus infinity without examples."""
+        """Log-likelihood ratio a character of the best format; minus infinity without examples. Equal shapes score equally."""
         if not self.kinds:
             return -math.inf
-        # Without words to learn from, every one of 66 characters is as likely.
-        word = self.words.log_likelihood(s) if self.words else -math.log(66) * len(s)
-        return (max(a.log_likelihood(s) for a in self.kinds.values()) - word) / len(s)
+        if (found := self.known.get(key := shape(s))) is None:
+            # Without words to learn from, every one of 66 characters is as likely.
+            word = self.words.log_likelihood(s) if self.words else -math.log(66) * len(s)
+            found = (max(a.log_likelihood(s) for a in self.kinds.values()) - word) / len(s)
+            if len(self.known) >= HELD:
+                self.known.clear()
+            self.known[key] = found
+        return found
 
 
 def base_spans(text: str) -> list[tuple[str, int, int, str]]:
@@ -155,54 +195,96 @@ def base_spans(text: str) -> list[tuple[str, int, int, str]]:
     return sorted(out, key=lambda x: (x[1], KINDS.index(x[0])))
 
 
-def _scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def other_runs(text: str, base: list[tuple[str, int, int, str]], pattern: re.Pattern) -> Iterator[re.Match]:
+    """Runs that overlap no base span; those are known already. Both are in order of start."""
+    i = 0
+    for m in pattern.finditer(text):
+        while i < len(base) and base[i][2] <= m.start():
+            i += 1
+        if i == len(base) or base[i][1] >= m.end():
+            yield m
+
+
+def _values(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Examples and, of kind word, other runs; repeated ones are left out as far as a task remembers them."""
+    held: set[tuple[str, str]] = set()
+    pattern = re.compile(RUN % SHORTEST)
     for batch in batches:
-        rows = []
-        for doc_id, text in zip(batch["id"], batch["text"]):
+        for text in batch["text"]:
             base = base_spans(text)
-            runs, i = [], 0
-            for m in RUN.finditer(text):
-                # Runs that overlap a base span are known already; both lists are in order of start.
-                while i < len(base) and base[i][2] <= m.start():
-                    i += 1
-                if not any(b[1] < m.end() and m.start() < b[2] for b in base[i : i + 8]):
-                    runs.append((m.start(), m.end(), m[0]))
-            as_dicts = lambda names, found: [dict(zip(names, x)) for x in found]
-            rows.append((doc_id, as_dicts(("kind", "start", "end", "value"), base), as_dicts(("start", "end", "value"), runs)))
-        yield pd.DataFrame(rows, columns=["doc_id", "base", "runs"]).astype({"doc_id": "Int64"})
+            held.update((x[0], x[3]) for x in base)
+            held.update(("word", m[0]) for m in other_runs(text, base, pattern))
+            if len(held) > HELD:
+                yield pd.DataFrame(sorted(held), columns=["kind", "value"])
+                held.clear()
+    yield pd.DataFrame(sorted(held), columns=["kind", "value"])
 
 
-def _sampled(values: DataFrame, most: int = SAMPLE) -> list[str]:
-    """At most ``most`` distinct values, those of the smallest hash."""
-    kept = values.where(F.length("value") <= LONGEST).distinct().orderBy(F.xxhash64("value"), "value").limit(most)
-    return [row["value"] for row in kept.collect()]
+def _by_kind(batch: pd.DataFrame) -> Iterator[tuple[str, list[tuple[str, int]]]]:
+    for kind, part in batch.groupby("kind"):
+        yield kind, list(zip(part["shape"], part["times"].tolist()))
 
 
-def infer(found: DataFrame) -> Formats:
-    """Automata from what a scan has found."""
-    base = found.select(F.explode("base").alias("x")).select("x.kind", "x.value")
-    runs = found.select(F.explode("runs").alias("x")).select("x.value")
-    examples = {kind: _sampled(base.where(F.col("kind") == kind).select("value")) for kind in KINDS}
-    return Formats(examples, _sampled(runs.where(~F.col("value").rlike("[0-9]"))))
+def _tree(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        rows = [(kind, node, *x) for kind, shapes in _by_kind(batch) for node, x in tree_nodes(shapes).items()]
+        yield pd.DataFrame(rows, columns=["kind", "node", "above", "symbol", "seen", "stops"])
+
+
+def infer(texts: DataFrame) -> Formats:
+    """Automata from all examples and all other runs of the texts."""
+    values = checkpointed(texts.mapInPandas(_values, "kind string, value string").distinct())
+    shortest = values.where("kind <> 'word'").agg(F.min(F.length("value"))).head()[0]
+    if shortest is None:
+        return Formats({}, None, SHORTEST)
+    shaped = F.translate("value", "".join(map(chr, SYMBOL)), "".join(SYMBOL.values()))
+    shapes = checkpointed(values.where(F.length("value") >= shortest).groupBy("kind", shaped.alias("shape")).agg(F.count(F.lit(1)).alias("times")))
+    nodes = shapes.mapInPandas(_tree, "kind string, node bigint, above bigint, symbol string, seen bigint, stops bigint")
+    twice = nodes.groupBy("kind", "node", "above", "symbol").agg(F.sum("seen").alias("seen"), F.sum("stops").alias("stops")).where("seen > 1")
+    trees: dict[str, list[tuple]] = {kind: [] for (kind,) in shapes.select("kind").distinct().collect()}
+    for kind, *node in twice.orderBy("kind", "node").toLocalIterator():
+        trees[kind].append(tuple(node))
+    automata = {kind: Automaton() for kind in trees}
+    for kind, tree in trees.items():
+        automata[kind].build(tree)
+    shared = texts.sparkSession.sparkContext.broadcast(automata)
+
+    def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = [(kind, *at, times) for kind, part in _by_kind(batch) for at, times in shared.value[kind].walked(part).items()]
+            yield pd.DataFrame(rows, columns=["kind", "state", "symbol", "times"])
+
+    walked: dict[str, dict] = {kind: {} for kind in automata}
+    for kind, state, symbol, times in shapes.mapInPandas(walk, "kind string, state int, symbol string, times bigint").groupBy("kind", "state", "symbol").agg(F.sum("times")).collect():
+        walked[kind][state, symbol] = times  # as many as the merged automata have edges
+    for kind, automaton in automata.items():
+        automaton.count(walked[kind])
+    return Formats({kind: automata[kind] for kind in KINDS if kind in automata}, automata.get("word"), shortest)
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", margin: float = MARGIN) -> DataFrame:
     """A row for each row of docs: its id and its spans (kind, start, end, score); the base kinds have no score."""
-    found = checkpointed(docs.select(F.col(id_col).cast("bigint").alias("id"), text_of(text_col).alias("text")).mapInPandas(_scan, FOUND))
-    formats = docs.sparkSession.sparkContext.broadcast(infer(found))
-
-    @F.pandas_udf("array<double>")
-    def scored(values: pd.Series) -> pd.Series:
-        score = formats.value.score
-        return values.map(lambda xs: [score(x) if MIXED.match(x) else -math.inf for x in xs])
-
-    scores = F.when(F.size("runs") > 0, scored(F.transform("runs", lambda x: x["value"]))).otherwise(F.array().cast("array<double>"))
-    placed = found.withColumn("scores", scores)
-    kind = "array<struct<kind:string,start:bigint,end:bigint,score:double>>"
-    added = F.transform(
-        F.filter(F.arrays_zip("runs", "scores"), lambda x: x["scores"] >= margin),
-        lambda x: F.struct(F.lit("format").alias("kind"), x["runs"]["start"].alias("start"), x["runs"]["end"].alias("end"), x["scores"].alias("score")),
-    ).cast(kind)
-    base = F.transform("base", lambda x: F.struct(x["kind"].alias("kind"), x["start"].alias("start"), x["end"].alias("end"), F.lit(None).cast("double").alias("score"))).cast(kind)
-    order = lambda a, b: (a["start"] - b["start"]).cast("int")  # noqa: E731  stable: base kinds come in listed order, format last
-    return placed.select(F.col("doc_id").alias(id_col), F.array_sort(F.concat(base, added), order).alias("spans"))
+    texts = docs.select(F.col(id_col).cast("bigint").alias("id"), text_of(text_col).alias("text"))
+    formats = docs.sparkSession.sparkContext.broadcast(infer(texts.select("text")))
+
+    def scanned(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        learned = formats.value
+        pattern = re.compile(RUN % learned.shortest)
+        known: dict[str, float] = {}
+        for batch in batches:
+            rows = []
+            for doc_id, text in zip(batch["id"], batch["text"]):
+                base = base_spans(text)
+                spans = [(kind, start, end, None) for kind, start, end, _ in base]
+                for m in other_runs(text, base, pattern) if learned.kinds else ():
+                    if (score := known.get(m[0])) is None:
+                        if len(known) >= HELD:
+                            known.clear()
+                        score = known[m[0]] = learned.score(m[0])
+                    if score >= margin:
+                        spans.append(("format", m.start(), m.end(), score))
+                spans.sort(key=lambda x: x[1])  # stable: base kinds come in listed order, format last
+                rows.append((doc_id, [dict(zip(("kind", "start", "end", "score"), x)) for x in spans]))
+            yield pd.DataFrame(rows, columns=["doc_id", "spans"]).astype({"doc_id": "Int64"})
+
+    return texts.mapInPandas(scanned, FOUND).withColumnRenamed("doc_id", id_col)
