@@ -296,6 +296,15 @@ def test_consensus_overrides_a_page(spark):
     assert {r["page_id"]: r["text"] for r in html_text.with_main_text(frame).collect()}[9] == "short"
 
 
+def test_all_containers_vote(spark):
+    """The story lies in page-specific levels inside one shared div."""
+    story = lambda slug: "".join(f"<div class={slug}{x}>" for x in "xyz") + f"<p>{slug} story text</p>" * (20 if slug != "five" else 1) + "</div>" * 3
+    page = lambda slug, side: f"<body><div class=story>{story(slug)}</div><div class={slug}-box><p>{side}</p></div></body>"
+    rows = [(i, "http://x.org/a", page(slug, "")) for i, slug in enumerate(f"{x}page" for x in "abcdefghi")] + [(9, "http://x.org/b", page("five", "a side box that is longer than the story"))]
+    frame = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    assert {r["page_id"]: r["text"] for r in html_text.with_main_text(frame).collect()}[9] == "five story text"
+
+
 @pytest.mark.parametrize("page", ["<a " * 50_000, "<a x=\"" * 50_000, "<div>" * 20_000 + "x", "</p>" * 50_000, "<!-- " * 50_000, "<" * 200_000])
 def test_broken_pages_end(page):
     html_text.extract(page, None)

@@ -9,7 +9,7 @@ The text is that of the container's blocks in page order, without menus, headers
 notices, adverts, forms, scripts, styles and reader comments: elements are left out by their tag, role, or a word of their
 class or id. Character references are decoded, white space inside a block becomes one space, blocks are joined by one.
 
-Votes are pre-aggregated before they are shuffled and only ``VOTES`` paths of each page vote, so that a host with a third of
+All containers of positive score vote; votes are pre-aggregated before they are shuffled, so that a host with a third of
 all pages is no hot spot; pages meet their host's path in a shuffle join that adaptive execution can split.
 
 Defined cases: a null html or url counts as empty; a page without text gives the empty text; repeated rows each get their
@@ -30,7 +30,6 @@ from pyspark.sql import types as T
 from .common import scratch
 from .url_filter import host_of
 
-VOTES = 3
 VOTED = T.ArrayType(T.StructType([T.StructField("path", T.StringType()), T.StructField("share", T.DoubleType())]))
 DEPTH = 400
 LEVEL, TITLE = 0.9, 1.15
@@ -179,12 +178,12 @@ def containers(root: Node) -> list[tuple[float, str, Node]]:
 
 
 def votes_of(page: str) -> list[tuple[str, float]]:
-    """Up to VOTES paths of a page's best containers with their share of its best score."""
+    """All paths of a page's containers of positive score with their share of its best score."""
     found = [x for x in containers(parse(page)) if x[0] > 0]
     best: dict[str, float] = {}
     for score, path, _ in found:
         best.setdefault(path, score / found[0][0])
-    return list(best.items())[:VOTES]
+    return list(best.items())
 
 
 def extract(page: str, path: str | None) -> str:
