@@ -399,3 +399,83 @@ def test_jaccard_odd_rows(spark, odd, none):
 def test_long_chain_is_one_component(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101)], "a bigint, b bigint")
     assert {x["node"]: x["root"] for x in jaccard_join.components(edges).collect()} == {**{i: 0 for i in range(41)}, 100: 100, 101: 100}
+
+
+def test_words_of_a_pattern_do_not_meet():
+    """A Thue-Morse word and its complement have equal values of any polynomial modulo a power of two."""
+    word = "".join("ab"[bin(i).count("1") % 2] for i in range(4096))
+    other = word.translate(str.maketrans("ab", "ba"))
+    for n in (1, 3):
+        one, two = shingle_sets([word, other], n)
+        assert len(one) == len(two) == 1 and one[0] != two[0]
+
+
+def test_links_count_true_shingles(monkeypatch):
+    """Sets that only agree by their hashes don't link."""
+    texts = ["one two three four", "five six seven eight", "one two three four"]
+    monkeypatch.setattr(jaccard_join, "shingle_sets", lambda texts, words: [np.arange(2, dtype=np.uint64)] * len(texts))
+    assert list(jaccard_join.linked(texts, 3, 90)) == [(0, 2)]
+
+
+def test_slices_of_long_texts(monkeypatch):
+    from tidewick.llm import shingles
+
+    texts = [" ".join(f"w{i % 89}" for i in range(400)), "x" * 300 + " y z", " ", "", "é\x0bÜ a b c"]
+    whole = shingle_sets(texts, 3)
+    monkeypatch.setattr(shingles, "CHUNK", 50)
+    assert all((a == b).all() for a, b in zip(whole, shingle_sets(texts, 3), strict=True))
+
+
+@pytest.mark.parametrize("rows_in_block", [3, 7])
+def test_open_rows_meet_all_blocks(spark, monkeypatch, rows_in_block):
+    """A bucket of several components, of which pivots see few, and lone texts that share its rare words."""
+    monkeypatch.setattr(jaccard_join, "BLOCK_ROWS", rows_in_block)
+    monkeypatch.setattr(jaccard_join, "PIVOTS", 1)
+    r = random.Random(9)
+    base = [f"w{i}" for i in range(40)]
+    rows = []
+    for k in range(90):
+        w = list(base)
+        for j in range(k % 9):  # from near copies to texts that share only some words
+            w[(5 * j + k // 9) % 40] = f"n{k // 3}" if j < 3 else f"m{r.randrange(30)}"
+        rows.append((k, " ".join(w)))
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    for words, percent in ((3, 60), (1, 80)):
+        found = {x["doc_id"]: x["component_id"] for x in jaccard_join.similarity_components(frame, words, percent).collect()}
+        assert found == brute.components(rows, words, percent)
+        assert len(set(found.values())) > 1
+
+
+def test_rows_of_one_id_go_by_their_text(spark):
+    base = " ".join(f"w{i}" for i in range(50))
+    near = base + " tail"
+    rows = [(1, base), (2, near), (2, "a clean text of its own that shares no shingle"), (None, near + " end"), (None, "another clean text"), (7, "seven"), (7, "seven"), (8, ""), (8, "")]
+    kept = jaccard_join.keep_one_of_each(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert sorted((r["doc_id"] or 0, r["text"]) for r in kept) == sorted([(1, base), (2, rows[2][1]), (0, "another clean text"), (7, "seven"), (8, "")])
+
+
+def test_quality_equals_plain_discriminant(texts):
+    """Differences by the densities' own formulas, on the same statistics."""
+    x = np.array([quality.statistics(t) for t in texts.values()])
+    label = np.arange(len(x)) % 3 == 0
+    own = [x[~label], x[label]]
+    model = quality.Discriminant(np.array([len(o) for o in own]), np.array([o.sum(axis=0) for o in own]), np.array([o.T @ o for o in own]))
+    size = len(quality.NAMES)
+    pooled = sum(len(o) * np.cov(o.T, bias=True) for o in own) / len(x)
+    pooled = (1 - quality.TO_IDENTITY) * pooled + quality.TO_IDENTITY * (np.trace(pooled) / size + 1e-9) * np.eye(size)
+    logs = []
+    for o in own:
+        c, d = (1 - quality.TO_POOLED) * np.cov(o.T, bias=True) + quality.TO_POOLED * pooled, x - o.mean(axis=0)
+        logs.append(np.log(len(o) / len(x)) - 0.5 * np.linalg.slogdet(c)[1] - 0.5 * (d * np.linalg.solve(c, d.T).T).sum(axis=1))
+    apart = logs[1] - logs[0]
+    assert np.allclose(model.difference(x), np.sign(apart) * np.sqrt(np.abs(apart)), atol=1e-5)
+    assert np.allclose(model.score(x), 1 / (1 + np.exp(-np.clip(model.difference(x), -30, 30))))
+
+
+def test_quality_clashing_columns(spark, odd):
+    labels = spark.createDataFrame([(5, 1), (5, 0)], "doc_id bigint, quality int")
+    docs = odd.withColumns({c: F.lit("own") for c in ("label", "labelled", "x", "id", "score", "held_out", "quality")})
+    rows = quality.with_quality(docs, labels)
+    assert set(rows.columns) == set(docs.columns) - {"text"}
+    assert all(r["label"] == r["labelled"] == r["x"] == r["id"] == r["quality"] == "own" and 0 <= r["score"] <= 1 for r in rows.collect())
+    assert quality.keep_good(docs, labels).columns == docs.columns

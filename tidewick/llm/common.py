@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import shutil
 import tempfile
 from collections.abc import Iterator
@@ -19,11 +20,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def checkpointed(df: DataFrame) -> DataFrame:
     """The rows of df, computed now and kept in the folder that all executors share.
 
-    The cluster names that folder in spark.checkpoint.dir. A temporary one is used only where none is set, as in tests.
+    The cluster names that folder in spark.checkpoint.dir. Where none is set, a temporary one is used in local mode, as in
+    tests; on a cluster, whose machines don't share such a folder, that is an error.
     """
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp())
+        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not folder and not re.match(r"local(\[|$)", context.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
+        context.setCheckpointDir(folder or tempfile.mkdtemp())
     return df.checkpoint(eager=True)
 
 
@@ -51,11 +56,17 @@ def in_parts(texts: pa.Array, size: int = 256) -> Iterator[list]:
 
 
 _shipped: set[str] = set()
+BATCH_SETTING, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 8 << 20
 
 
 def ship(spark: SparkSession) -> None:
-    """Give the Python workers of every machine this package, once for an application."""
+    """Give the Python workers of every machine this package, once for an application, and bound Arrow batches by bytes.
+
+    A batch of 10,000 rows, which is the default, may be any size; a worker holds one or two of them.
+    """
     context = spark.sparkContext
+    if spark.conf.get(BATCH_SETTING) in (None, "67108864b"):  # as it is by default
+        spark.conf.set(BATCH_SETTING, f"{BATCH_BYTES}b")
     if context.applicationId not in _shipped:
         package = Path(__file__).resolve().parents[1]
         held = shutil.make_archive(f"{tempfile.mkdtemp()}/{package.name}", "zip", package.parent, package.name)

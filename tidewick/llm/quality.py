@@ -6,11 +6,14 @@ towards the pooled one and that towards a scaled identity, so that few labels or
 singular. A text's score is the difference of the classes' log-densities, by Mahalanobis distances with Cholesky factors
 that are computed once and sent to all tasks, made a probability by a logistic curve fitted to a histogram of differences.
 
-Only the text is an input of a score. Statistics of all texts are computed once and kept in the shared folder.
-
-Defined cases: a null text counts as empty, which has the statistics of no words; null labels don't count; where a class has
-no labelled row, all score the share of label 1 in what there is (1 without any labels); repeated rows each get their
-score; an empty table gives an empty result; other columns pass through.
+Only the text is an input of a score. For all scores of a table, statistics are computed once and kept in the shared folder;
+to keep rows, they are computed anew beside the text, so that no text is shuffled or stored.
+
+Defined cases: a null text counts as empty, which has the statistics of no words; very long texts are measured whole; null
+labels don't count, and a row that several labels name counts for each; where a class has fewer than two labelled rows, all
+score the share of label 1 in what there is (1 without any labels); equal texts score equally, and repeated rows each get
+their score; an empty table gives an empty result. Columns of docs named like the two results are replaced; all others but
+the text pass through, whatever their names.
 """
 
 from __future__ import annotations
@@ -122,11 +125,15 @@ def held_out(key: Column, folds: int = FOLDS, held: int = HELD) -> Column:
     return F.coalesce(F.crc32(key.cast("string").cast("binary")) % folds == held, F.lit(False))
 
 
+def _measured(texts: pa.Array) -> np.ndarray:
+    return np.array([statistics(x) for part in in_parts(texts) for x in part], dtype=float).reshape(-1, len(NAMES))
+
+
 def with_statistics(docs: DataFrame, out: str, text_col: str = "text") -> DataFrame:
     @F.arrow_udf(T.ArrayType(T.DoubleType()))
     def measured(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
-            rows = np.array([statistics(x) for part in in_parts(texts) for x in part], dtype=float).reshape(-1, len(NAMES))
+            rows = _measured(texts)
             yield pa.ListArray.from_arrays(pa.array(np.arange(len(rows) + 1, dtype=np.int32) * len(NAMES)), pa.array(rows.ravel()))
 
     return docs.withColumn(out, measured(text_of(text_col)))
@@ -164,21 +171,22 @@ def fit(rows: DataFrame) -> Discriminant | float:
     return model
 
 
-def with_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", out: str = "score") -> DataFrame:
-    """docs with held_out and a score from 0 to 1. labels: rows (id_col, quality), of which held-out ones are not used."""
-    (x,) = scratch(docs, "statistics")
-    measured = checkpointed(with_statistics(docs.withColumn("held_out", held_out(F.col(id_col))), x, text_col).drop(text_col))
-    train = _labelled(measured.where(~F.col("held_out")), labels, id_col, x)
-    return measured.withColumn(out, scored(fit(train), F.col(x))).drop(x)
+def with_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", out: str = "score", held: str = "held_out") -> DataFrame:
+    """docs without the text, with ``held`` and a score from 0 to 1. labels: rows (id_col, quality), of which held-out ones are not used."""
+    (x,) = scratch(docs.select(*docs.columns, F.lit(0).alias(held), F.lit(0).alias(out)), "statistics")
+    measured = checkpointed(with_statistics(docs.withColumn(held, held_out(F.col(id_col))), x, text_col).drop(text_col))
+    train = _labelled(measured.where(~F.col(held)), labels, id_col, x)
+    return measured.withColumn(out, _scored(fit(train), F.col(x))).drop(x)
 
 
 def _labelled(measured: DataFrame, labels: DataFrame, id_col: str, x: str) -> DataFrame:
     """Rows (x, label) of all measured rows that have a usable label."""
     known = labels.where(F.col("quality").isin(0, 1)).select(F.col(id_col).alias("labelled"), F.col("quality").cast("int").alias("label"))
-    return measured.select(id_col, F.col(x).alias("x")).join(known, F.col(id_col) == F.col("labelled")).select("x", "label")
+    rows = measured.select(F.col(id_col).alias("id"), F.col(x).alias("x"))
+    return rows.join(known, F.col("id") == F.col("labelled")).select("x", "label")
 
 
-def scored(model: Discriminant | float, x: Column) -> Column:
+def _scored(model: Discriminant | float, x: Column) -> Column:
     if isinstance(model, float):
         return F.lit(model)
 
@@ -189,13 +197,24 @@ def scored(model: Discriminant | float, x: Column) -> Column:
     return score(x)
 
 
+def _scored_text(model: Discriminant | float, text: Column) -> Column:
+    """The score from the text by one function, so that a task needs one Python worker."""
+    if isinstance(model, float):
+        return F.lit(model)
+
+    @F.arrow_udf(T.DoubleType())
+    def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            yield pa.array(model.score(_measured(texts)))
+
+    return score(text)
+
+
 def keep_good(docs: DataFrame, labels: DataFrame, cut: float = CUT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of docs whose text scores cut or more.
 
-    The model learns from all labelled rows that are not held out, as in ``with_quality``. Statistics meet the labels
-    without the text, so that no text is shuffled; they are computed again where rows are kept, so that none is stored.
+    The model learns from all labelled rows that are not held out, as in ``with_quality``.
     """
-    (x,) = scratch(docs, "statistics")
-    learning = docs.where(~held_out(F.col(id_col))).select(id_col, text_col)
-    model = fit(_labelled(checkpointed(with_statistics(learning, x, text_col).drop(text_col)), labels, id_col, x))
-    return with_statistics(docs, x, text_col).where(scored(model, F.col(x)) >= cut).drop(x)
+    learning = docs.where(~held_out(F.col(id_col))).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    model = fit(_labelled(checkpointed(with_statistics(learning, "x").drop("text")), labels.select(F.col(id_col).alias("id"), "quality"), "id", "x"))
+    return docs.where(_scored_text(model, text_of(text_col)) >= cut)
