@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import math
 import random
+import time
 
 import numpy as np
 import pandas as pd
@@ -12,8 +13,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidewick.operators import collect, features, quality, sequence, windows
+from tidewick.plans import jobs
 from tidewick.sources import exchange
 from tidewick.sources.candles import COLUMNS, SCHEMA, read_store, write_store
+from tidewick.streaming import live
 
 T0 = dt.datetime(2024, 1, 1)
 
@@ -200,3 +203,94 @@ def test_stream_drains_each_symbol(spark, tmp_path):
     stream.trigger(availableNow=True).start(f"{tmp_path}/out").awaitTermination(60)
     rows = spark.read.parquet(f"{tmp_path}/out")
     assert {r["symbol"]: r["count"] for r in rows.distinct().groupBy("symbol").count().collect()} == {"A": 1501, "B": 701} and rows.count() == 2202
+
+
+def keyed_client(key, secret):
+    return lambda *args: [[key, secret]] if args == ("keys",) else fake_client(*args)
+
+
+def test_keys_come_from_the_environment(monkeypatch):
+    monkeypatch.setenv("TEST_KEY", "k")
+    assert exchange._client({"client": "tests.test_candles:keyed_client", "keys": "TEST_KEY,TEST_SECRET"})("keys") == [["k", ""]]
+
+
+def test_backfill_job(spark, tmp_path):
+    store, options = f"{tmp_path}/store", {"client": "tests.test_candles:keyed_client", "keys": "TEST_KEY,TEST_SECRET", "rate": "1000"}
+    day = lambda n: str((T0 + dt.timedelta(days=n)).date())
+    dry = jobs.backfill(spark, ["A", "B"], store, options, day(1), day(2), dry_run=True)
+    assert dry.count() == 2 * 1440 and not (tmp_path / "store").exists()
+    jobs.backfill(spark, ["A"], store, options, day(1), day(2))
+    first = read_store(spark, store)
+    # Volatility begins anew with each page of 1,000.
+    assert first.count() == 1440 and first.where("volatility_5m is null").count() == 10 and set(first.columns) == set(COLUMNS)
+    # A begins within what is there and has nothing left; B has none yet.
+    jobs.backfill(spark, ["A", "B"], store, options, day(1), day(2))
+    assert {r["symbol"]: r["count"] for r in read_store(spark, store).groupBy("symbol").count().collect()} == {"A": 1440, "B": 1440}
+    # A request that begins before keeps its end; the view removes what was collected again.
+    jobs.backfill(spark, ["A"], store, options, end=day(2), days=2)
+    rows = read_store(spark, store).where("symbol = 'A'")
+    assert rows.count() == 3 * 1440 and quality.latest(rows).count() == 2 * 1440
+    assert jobs.backfill(spark, ["A"], store, options, day(1), day(1)).count() == 0
+
+
+def test_default_range():
+    now = dt.datetime(2024, 5, 6, 7, 8, 9, 10)
+    assert jobs.default_range(now=now) == (dt.datetime(2023, 5, 7, 7, 8), dt.datetime(2024, 5, 6, 7, 8))
+    assert jobs.default_range("2024-01-01", "2024-01-03") == (T0, T0 + dt.timedelta(days=2))
+    assert jobs.default_range(end="2024-01-03", days=2)[0] == T0
+
+
+def test_export_job(spark, tmp_path):
+    rows = frame(spark, bars(rng_closes(2000), symbol="A/B"))
+    path = jobs.export_symbol(rows, "A/B", str(tmp_path), "2024-01-01", "2024-01-02")
+    assert path == f"{tmp_path}/A_B/20240101_20240102.parquet" and spark.read.parquet(path).count() == 1439
+    assert jobs.export_symbol(rows, "A/B", str(tmp_path)).endswith("A_B/all_now.parquet")
+    assert collect.load_symbol(rows, "A/B").count() == 2000 and collect.load_symbol(rows, "A/B", end="2024-01-01 00:05").count() == 5
+
+
+def test_read_through_format(spark):
+    spark.dataSource.register(exchange.CandlePages)
+    rows = spark.read.format("candle_pages").options(client="tests.test_candles:uneven_client", symbols="A,B,C", start="0", end=str(2500 * exchange.MINUTE), page="500").load()
+    assert {r["symbol"]: r["count"] for r in rows.groupBy("symbol").count().collect()} == {"A": 1501, "B": 701}
+
+
+def test_throttle():
+    now, slept = [0.0], []
+
+    def sleep(s):
+        slept.append(s)
+        now[0] += s
+
+    call = exchange.throttled(lambda x: x, 2, clock=lambda: now[0], sleep=sleep)
+    assert [call(k) for k in range(3)] == [0, 1, 2] and slept == [0.5, 0.5]
+
+
+def test_live_job(spark, tmp_path):
+    """The newest bars go through the exchange stream into the store by days; a replayed batch adds nothing."""
+    options = UNEVEN | {"client": "tests.test_candles:uneven_client"}
+    stream = lambda: live.exchange_stream(spark, options)
+    live.start_collector(stream(), f"{tmp_path}/store", f"{tmp_path}/state", {"availableNow": True}).awaitTermination(60)
+    found = {r["symbol"]: r for r in read_store(spark, f"{tmp_path}/store").collect()}
+    epoch = dt.datetime(1970, 1, 1)
+    assert found["A"]["timestamp"] == epoch + dt.timedelta(minutes=1499) and found["B"]["timestamp"] == epoch + dt.timedelta(minutes=2097)
+    assert found["A"]["volatility_5m"] == 0.0 and set(found) == {"A", "B"}
+    batch = spark.createDataFrame([tuple(r) for r in found.values()], read_store(spark, f"{tmp_path}/store").schema)
+    for _ in range(2):
+        write_store(batch, f"{tmp_path}/store", batch="live-0")
+    assert read_store(spark, f"{tmp_path}/store").count() == 2
+
+
+def test_features_drop_rows_without_return(spark):
+    """A close of 0 or less has no return, nor has the row after it; the rest is numbered on."""
+    closes = [1.0, 2.0, 0.0, 3.0, 4.0, -1.0, 5.0, 6.0]
+    rows = [(*x[:2], abs(x[2]) + 1, abs(x[2]) + 2, -2.0, *x[5:]) for x in bars(closes)]
+    got = features.build_features(frame(spark, rows)).orderBy("i").collect()
+    assert [(r["i"], r["close"], r["n"]) for r in got] == [(0, 2.0, 3), (1, 4.0, 3), (2, 6.0, 3)]
+    assert np.allclose([r["log_return"] for r in got], np.log([2, 4 / 3, 6 / 5]))
+
+
+def test_backward_fill_of_a_long_symbol(spark):
+    rows = spark.range(60_000).select(F.lit("A").alias("symbol"), F.col("id").alias("i"), F.lit(60_000).alias("n"), F.when(F.col("id") % 20_000 == 19_999, F.col("id").cast("double")).alias("v"))
+    began = time.monotonic()
+    found = features.backfilled(rows, "v").agg(F.sum("v")).head()[0]
+    assert found == 20_000 * (19_999 + 39_999 + 59_999) and time.monotonic() - began < 30

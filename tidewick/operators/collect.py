@@ -43,6 +43,16 @@ def to_records(candles: DataFrame, collected_at: Column, page: int | None = PAGE
     return rows.select("symbol", "timestamp", "open", "high", "low", "close", "volume", F.nanvl("volatility", F.lit(None).cast("double")).alias("volatility_5m"), collected_at.alias("collected_at"))
 
 
+def load_symbol(view: DataFrame, symbol: str, start: str | None = None, end: str | None = None) -> DataFrame:
+    """A symbol's candles by time, from start on and before end, each of which may be left out."""
+    rows = view.where(F.col("symbol") == symbol)
+    if start:
+        rows = rows.where(F.col("timestamp") >= F.lit(start).cast("timestamp_ntz"))
+    if end:
+        rows = rows.where(F.col("timestamp") < F.lit(end).cast("timestamp_ntz"))
+    return rows.select("timestamp", "open", "high", "low", "close", "volume", "volatility_5m").orderBy("timestamp")
+
+
 def as_json(records: DataFrame) -> DataFrame:
     return records.select("symbol", "timestamp", F.to_json(F.struct("*")).alias("record"))
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import log_ratio, log_volume
+from ..sources.shared import kept
 from .sequence import chunked, numbered, own_rows, within
 
 SPAN = 5
@@ -41,20 +42,24 @@ def rolling_volatility(view: DataFrame, span: int = SPAN, page: int | None = Non
 def backfilled(rows: DataFrame, column: str) -> DataFrame:
     """Numbered rows with nulls of the column replaced by the symbol's next value; nulls at the end stay.
 
-    The next value is looked for within a chunk, then taken from the first later chunk that has any.
+    The next value is looked for within a chunk, then taken from the first later chunk that has any. Both go through rows
+    backwards, as a frame that only grows is read once, while one that begins at the row is read anew for each row.
     """
     cut = chunked(rows, 0, 0)
-    ahead = within().rowsBetween(0, Window.unboundedFollowing)
+    next_value = lambda value, by: F.last(value, ignorenulls=True).over(by.rowsBetween(Window.unboundedPreceding, 0))
     every = cut.groupBy("symbol", "chunk_").agg(F.min_by(column, F.when(F.col(column).isNotNull(), F.col("i"))).alias("first_"))
-    later = F.first("first_", ignorenulls=True).over(Window.partitionBy("symbol").orderBy("chunk_").rowsBetween(1, Window.unboundedFollowing))
-    every = every.select("symbol", "chunk_", later.alias("later_"))
-    found = cut.withColumn("next_", F.first(column, ignorenulls=True).over(ahead)).join(every, ["symbol", "chunk_"])
+    down = Window.partitionBy("symbol").orderBy(F.desc("chunk_"))
+    every = every.withColumn("later_", next_value("first_", down)).select("symbol", "chunk_", F.lag("later_").over(down).alias("later_"))
+    found = cut.withColumn("next_", next_value(column, Window.partitionBy("symbol", "chunk_").orderBy(F.desc("i")))).join(every, ["symbol", "chunk_"])
     return own_rows(found.withColumn(column, F.coalesce("next_", "later_"))).drop("next_", "later_")
 
 
 def build_features(view: DataFrame) -> DataFrame:
-    """Rows from each symbol's second on, numbered anew from 0, with returns, range and volume, and volatility filled from ahead."""
+    """Rows that have a return, numbered anew from 0, with returns, range and volume, and volatility filled from ahead.
+
+    A symbol's first row has no return, nor has one whose close, or that of the row before, is not positive. Numbered rows
+    are kept in the shared folder, as several steps read them.
+    """
     rows = log_returns(view.select("symbol", "timestamp", "open", "high", "low", "close", "volume", "volatility_5m"))
-    rows = rows.where("i > 0").withColumns({"i": F.col("i") - 1, "n": F.col("n") - 1})
     derived = {"price_range": F.try_divide(F.col("high") - F.col("low"), F.nullif("close", F.lit(0.0))), "log_volume": log_volume(F.col("volume"))}
-    return backfilled(rows.withColumns(derived), "volatility_5m")
+    return backfilled(kept(numbered(kept(rows.where("log_return IS NOT NULL").drop("i", "n").withColumns(derived)))), "volatility_5m")

@@ -17,13 +17,19 @@ def baseline_predictor(dataset: DataFrame) -> DataFrame:
 
 
 def evaluate(scored: DataFrame) -> DataFrame:
-    """From rows (split, y, prediction), both logarithms: errors and correlations on the test split, beside the baseline's error."""
-    base = baseline_predictor(scored)
-    test = scored.where("split = 'test'").select("y", "prediction", F.exp("y").alias("v"), F.exp("prediction").alias("p"))
-    return test.join(F.broadcast(base)).agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.sqrt(F.avg(F.pow(F.col("p") - F.col("v"), 2))).alias("rmse"),
-        F.sqrt(F.avg(F.pow(F.col("baseline_vol") - F.col("v"), 2))).alias("rmse_baseline"),
-        F.corr("p", "v").alias("pearson"),
-        F.corr("prediction", "y").alias("pearson_log"),
+    """From rows (split, y, prediction), both logarithms: errors and correlations on the test split, beside the baseline's error.
+
+    One pass: a constant's mean square error is the variance plus the square of its distance from the mean.
+    """
+    on = lambda split, x: F.when(F.col("split") == split, x)
+    v, p = on("test", F.exp("y")), on("test", F.exp("prediction"))
+    found = scored.agg(
+        F.count(v).alias("rows"),
+        F.sqrt(F.avg(F.pow(p - v, 2))).alias("rmse"),
+        F.corr(p, v).alias("pearson"),
+        F.corr(on("test", F.col("prediction")), on("test", F.col("y"))).alias("pearson_log"),
+        F.exp(F.avg(on("train", F.col("y")))).alias("baseline_"),
+        F.avg(v).alias("mean_"),
+        F.var_pop(v).alias("spread_"),
     )
+    return found.select("rows", "rmse", F.sqrt(F.col("spread_") + F.pow(F.col("baseline_") - F.col("mean_"), 2)).alias("rmse_baseline"), "pearson", "pearson_log")

@@ -109,8 +109,12 @@ def window_dataset(features: DataFrame, lookback: int = LOOKBACK, horizon: int =
 
 
 def training_batches(dataset: DataFrame, size: int = 64, seed: int = 0, shards: int = 64) -> DataFrame:
-    """Dataset rows with shard and batch: train in random order, the others by time. Batches are cut within shards of rows."""
-    key = F.when(F.col("split") == "train", F.xxhash64(F.lit(seed), "symbol", "i"))
-    rows = dataset.withColumn("key_", key).withColumn("shard", F.pmod(F.coalesce("key_", F.floor(F.col("i") / 4096)), F.lit(shards)).cast("int"))
+    """Dataset rows with shard and batch: train in random order, the others by time. Batches are cut within shards of rows.
+
+    The order of train is that of a digest of seed, symbol and i, so that a seed gives the same batches anywhere.
+    """
+    key = F.when(F.col("split") == "train", F.md5(F.concat_ws("|", F.lit(seed).cast("string"), "symbol", F.col("i").cast("string"))))
+    dealt = F.coalesce(F.conv(F.substring("key_", 1, 6), 16, 10).cast("bigint"), F.floor(F.col("i") / 4096))
+    rows = dataset.withColumn("key_", key).withColumn("shard", F.pmod(dealt, F.lit(shards)).cast("int"))
     order = Window.partitionBy("split", "shard").orderBy("key_", "symbol", "i")
     return rows.withColumn("batch", F.floor((F.row_number().over(order) - 1) / size)).drop("key_")

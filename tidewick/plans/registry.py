@@ -6,8 +6,6 @@ deduplicated view ohlcv, and for some the feature rows feats. What passes throug
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,7 +14,9 @@ from pyspark.sql import functions as F
 from ..functions.columns import day_tag, path_name
 from ..operators import collect, features, metrics, quality, windows
 from ..sources import candles as source
+from ..sources.shared import kept, shared_folder
 from ..streaming import live
+from . import jobs
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -38,9 +38,9 @@ RETURNS = f"""{VIEW}, rets AS (
 FEATS = f"""{RETURNS}, feats AS (
   SELECT symbol, timestamp, open, high, low, close, volume,
          FIRST_VALUE(volatility_5m IGNORE NULLS) OVER (PARTITION BY symbol ORDER BY timestamp ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS volatility_5m,
-         i - 1 AS i, COUNT(*) OVER (PARTITION BY symbol) AS n, log_return, (high - low) / NULLIF(close, 0) AS price_range,
+         ROW_NUMBER() OVER (PARTITION BY symbol ORDER BY timestamp) - 1 AS i, COUNT(*) OVER (PARTITION BY symbol) AS n, log_return, (high - low) / NULLIF(close, 0) AS price_range,
          CASE WHEN volume > -1 THEN LN(1 + volume) END AS log_volume
-  FROM rets WHERE i > 0
+  FROM rets WHERE log_return IS NOT NULL
 )"""
 ISLES = f"""{FEATS}, steps AS (
   SELECT *, CASE WHEN timestamp = LAG(timestamp) OVER (PARTITION BY symbol ORDER BY i) + INTERVAL 1 MINUTE THEN 0 ELSE 1 END AS hole FROM feats
@@ -59,15 +59,25 @@ def _ends(lookback: int, horizon: int, columns: str = "LAG(timestamp) OVER w AS
 )"""
 
 
-LABEL = f"LN(STDDEV_POP(log_return) OVER (PARTITION BY symbol ORDER BY i ROWS BETWEEN CURRENT ROW AND {H - 1} FOLLOWING) + 1e-8) AS y"
-PERSISTENCE = f"LN(STDDEV_POP(log_return) OVER (PARTITION BY symbol ORDER BY i ROWS BETWEEN {H} PRECEDING AND 1 PRECEDING) + 1e-8) AS prediction"
-SPLIT = f"""{_ends(L, H, LABEL + ', ' + PERSISTENCE)}, ranked AS (
+def _label(horizon: int) -> str:
+    return f"LN(STDDEV_POP(log_return) OVER (PARTITION BY symbol ORDER BY i ROWS BETWEEN CURRENT ROW AND {horizon - 1} FOLLOWING) + 1e-8) AS y"
+
+
+def _persistence(horizon: int) -> str:
+    return f"LN(STDDEV_POP(log_return) OVER (PARTITION BY symbol ORDER BY i ROWS BETWEEN {horizon} PRECEDING AND 1 PRECEDING) + 1e-8) AS prediction"
+
+
+def _split(lookback: int, horizon: int) -> str:
+    return f"""{_ends(lookback, horizon, _label(horizon) + ', ' + _persistence(horizon))}, ranked AS (
   SELECT *, ROW_NUMBER() OVER (PARTITION BY symbol ORDER BY i) AS r, COUNT(*) OVER (PARTITION BY symbol) AS c FROM ends WHERE ok
 ), dataset AS (
   SELECT symbol, i, y, prediction, CASE WHEN r > c - FLOOR(c * 0.15e0) THEN 'test' WHEN r > c - FLOOR(c * 0.15e0) - FLOOR(c * 0.15e0) THEN 'val' ELSE 'train' END AS split FROM ranked
 )"""
 
 
+LABEL, SPLIT = _label(H), _split(L, H)
+
+
 def query(sql: str | None = None):
     def register(function: Callable[[SparkSession, str], DataFrame]):
         QUERIES[function.__name__] = function
@@ -87,19 +97,14 @@ def view(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def feats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return features.build_features(view(spark, sf_dir))
+    """Features, kept, as most queries on windows read them several times."""
+    return kept(features.build_features(view(spark, sf_dir)))
 
 
 def rounded(df: DataFrame, *columns: str, places: int = 9) -> DataFrame:
     return df.withColumns({c: F.round(c, places) for c in columns})
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """A new folder where the cluster keeps what all executors share."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() or tempfile.mkdtemp()
-    return f"{base.rstrip('/')}/candles-{uuid.uuid4().hex}"
-
-
 @query(f"{RAW} SELECT * FROM raw")
 def fixture(spark, sf_dir):
     return raw(spark, sf_dir)
@@ -202,6 +207,18 @@ _SLICE = f"timestamp >= TIMESTAMP '{START}' AND timestamp < TIMESTAMP '{END}'"
 
 @query(f"{VIEW} SELECT timestamp, open, high, low, close, volume, volatility_5m FROM ohlcv WHERE symbol = '{SYMBOL}' AND {_SLICE}")
 def load_symbol(spark, sf_dir):
+    return collect.load_symbol(view(spark, sf_dir), SYMBOL, START, END)
+
+
+@query(f"{VIEW} SELECT timestamp, open, high, low, close, volume, volatility_5m FROM ohlcv WHERE symbol = '{SYMBOL}'")
+def load_symbol_all(spark, sf_dir):
+    """Without bounds."""
+    return collect.load_symbol(view(spark, sf_dir), SYMBOL)
+
+
+@query(f"{VIEW} SELECT timestamp, open, high, low, close, volume, volatility_5m FROM ohlcv WHERE symbol = '{SYMBOL}' AND {_SLICE}")
+def load_symbol_sql(spark, sf_dir):
+    """The same by a parameterised statement."""
     columns = ", ".join(("timestamp", *source.PRICES, "volume", "volatility_5m"))
     text = f"SELECT {columns} FROM {{view}} WHERE symbol = :symbol AND timestamp >= CAST(:start AS TIMESTAMP_NTZ) AND timestamp < CAST(:end AS TIMESTAMP_NTZ) ORDER BY timestamp"
     return spark.sql(text, args={"symbol": SYMBOL, "start": START, "end": END}, view=view(spark, sf_dir))
@@ -274,9 +291,18 @@ def candles_to_records(spark, sf_dir):
     return rounded(collect.to_records(fetched, F.lit("2024-02-01 00:00:00").cast("timestamp_ntz")), "volatility_5m")
 
 
-@query()
+_NUMBERS = (*source.PRICES, "volume", "volatility_5m")
+
+
+@query(f"""{VIEW} SELECT symbol, timestamp, 'symbol,timestamp,open,high,low,close,volume,' || CASE WHEN volatility_5m IS NULL THEN '' ELSE 'volatility_5m,' END || 'collected_at' AS keys,
+symbol AS told_symbol, timestamp AS told_timestamp, {', '.join(f'{c} AS told_{c}' for c in _NUMBERS)} FROM ohlcv""")
 def record_json(spark, sf_dir):
-    return collect.as_json(view(spark, sf_dir))
+    """Each record's JSON, read again: its keys and values."""
+    told = lambda c: F.get_json_object("record", f"$.{c}")
+    return collect.as_json(view(spark, sf_dir)).select(
+        "symbol", "timestamp", F.array_join(F.json_object_keys("record"), ",").alias("keys"), told("symbol").alias("told_symbol"), told("timestamp").cast("timestamp_ntz").alias("told_timestamp"),
+        *[told(c).cast("double").alias(f"told_{c}") for c in _NUMBERS],
+    )
 
 
 @query(f"{_rolled('symbol')} SELECT symbol, timestamp, volatility FROM rolled")
@@ -303,7 +329,7 @@ def bfill_volatility(spark, sf_dir):
 
 @query(f"""{FEATS} SELECT symbol, timestamp, i, open, high, low, close, volume, volatility_5m, ROUND(log_return, 9) AS log_return, ROUND(price_range, 9) AS price_range, ROUND(log_volume, 9) AS log_volume FROM feats""")
 def build_features(spark, sf_dir):
-    return rounded(feats(spark, sf_dir).drop("n"), "log_return", "price_range", "log_volume")
+    return rounded(features.build_features(view(spark, sf_dir)).drop("n"), "log_return", "price_range", "log_volume")
 
 
 @query(f"{_ends(L, H)} SELECT symbol, i, ts FROM ends WHERE ok")
@@ -359,9 +385,15 @@ def normalize_window(spark, sf_dir):
     return found.withColumns(z).select("symbol", "i", "k", *windows.PRICES, *z)
 
 
-@query()
+_OWN = [f"CAST(MAX(CASE WHEN k = {k} THEN {c} / first_close END) AS FLOAT)" for k in range(LONG) for c in windows.PRICES]
+
+
+@query(f"""{_LONG} SELECT symbol, i, COUNT(*) AS rows, 8 AS width, {', '.join(f'ROUND(CAST({x} AS DOUBLE), 6) AS price_{j}' for j, x in enumerate(_OWN))} FROM long GROUP BY symbol, i""")
 def window_arrays(spark, sf_dir):
-    return windows.window_arrays(feats(spark, sf_dir), LONG, 2)
+    """The arrays' sizes and their prices, row by row of the window."""
+    x = lambda j: F.round(F.col("x")[j // 4][j % 4].cast("double"), 6).alias(f"price_{j}")
+    found = windows.window_arrays(feats(spark, sf_dir), LONG, 2)
+    return found.select("symbol", "i", F.size("x").cast("bigint").alias("rows"), F.size(F.col("x")[0]).alias("width"), *[x(j) for j in range(4 * LONG)])
 
 
 @query(f"{SPLIT} SELECT symbol, i, split FROM dataset")
@@ -374,17 +406,22 @@ def window_dataset(spark, sf_dir):
     return rounded(windows.window_dataset(feats(spark, sf_dir), L, H), "y", places=6)
 
 
-@query()
+@query(f"""{SPLIT}, keyed AS (SELECT *, CASE WHEN split = 'train' THEN MD5('0|' || symbol || '|' || i) END AS key FROM dataset),
+sharded AS (SELECT *, CAST(COALESCE(CAST('0x' || SUBSTR(key, 1, 6) AS BIGINT), i // 4096) % 64 AS INT) AS shard FROM keyed)
+SELECT symbol, i, split, shard, (ROW_NUMBER() OVER (PARTITION BY split, shard ORDER BY key, symbol, i) - 1) // 64 AS batch, ROUND(y, 6) AS y FROM sharded""")
 def training_batches(spark, sf_dir):
-    return windows.training_batches(windows.window_dataset(feats(spark, sf_dir), L, H))
+    return rounded(windows.training_batches(windows.window_dataset(feats(spark, sf_dir), L, H)), "y", places=6)
 
 
-def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return windows.time_split(windows.persistence(feats(spark, sf_dir), L, H))
+def _scored(spark: SparkSession, sf_dir: str, lookback: int = L, horizon: int = H) -> DataFrame:
+    return windows.time_split(windows.persistence(feats(spark, sf_dir), lookback, horizon))
 
 
-@query(f"""{SPLIT}, level AS (SELECT EXP(AVG(y)) AS b FROM dataset WHERE split = 'train'), t AS (SELECT *, EXP(y) AS v, EXP(prediction) AS p FROM dataset, level WHERE split = 'test')
-SELECT COUNT(*) AS rows, ROUND(SQRT(AVG((p - v) ** 2)), 6) AS rmse, ROUND(SQRT(AVG((b - v) ** 2)), 6) AS rmse_baseline, ROUND(CORR(p, v), 6) AS pearson, ROUND(CORR(prediction, y), 6) AS pearson_log FROM t""")
+_EVALUATED = """{}, level AS (SELECT EXP(AVG(y)) AS b FROM dataset WHERE split = 'train'), t AS (SELECT *, EXP(y) AS v, EXP(prediction) AS p FROM dataset, level WHERE split = 'test')
+SELECT COUNT(*) AS rows, ROUND(SQRT(AVG((p - v) ** 2)), 6) AS rmse, ROUND(SQRT(AVG((b - v) ** 2)), 6) AS rmse_baseline, ROUND(CORR(p, v), 6) AS pearson, ROUND(CORR(prediction, y), 6) AS pearson_log FROM t"""
+
+
+@query(_EVALUATED.format(SPLIT))
 def eval_metrics(spark, sf_dir):
     return rounded(metrics.evaluate(_scored(spark, sf_dir)), "rmse", "rmse_baseline", "pearson", "pearson_log", places=6)
 
@@ -394,24 +431,69 @@ def baseline_predictor(spark, sf_dir):
     return rounded(metrics.baseline_predictor(_scored(spark, sf_dir)), "mean_log", "baseline_vol", places=6)
 
 
-@query(f"""{SPLIT} SELECT split, COUNT(*) AS rows, {', '.join(f'ROUND({f}(y), 6) AS {n}_log, ROUND(EXP({f}(y)), 6) AS {n}_vol' for f, n in (('MIN', 'min'), ('AVG', 'mean'), ('MAX', 'max')))} FROM dataset GROUP BY split""")
+_SUMMARY = f"""SELECT split, COUNT(*) AS rows, {', '.join(f'ROUND({f}(y), 6) AS {n}_log, ROUND(EXP({f}(y)), 6) AS {n}_vol' for f, n in (('MIN', 'min'), ('AVG', 'mean'), ('MAX', 'max')))} FROM dataset GROUP BY split"""
+
+
+@query(f"{SPLIT} {_SUMMARY}")
 def label_summary(spark, sf_dir):
     found = metrics.label_summary(_scored(spark, sf_dir))
     return rounded(found, *[c for c in found.columns if c not in ("split", "rows")], places=6)
 
 
+# The same with the operators' own windows, of 360 rows and 30 ahead.
+FULL = (windows.LOOKBACK, windows.HORIZON)
+
+
+@query(f"{_ends(*FULL, _label(windows.HORIZON))} SELECT symbol, i, ROUND(y, 6) AS y FROM ends WHERE ok")
+def realized_vol_label_full(spark, sf_dir):
+    return rounded(windows.realized_vol_label(feats(spark, sf_dir)), "y", places=6)
+
+
+@query(f"{_ends(*FULL, _stats(windows.LOOKBACK, 7))} SELECT symbol, i, {_NAMES} FROM ends WHERE ok")
+def window_norm_stats_full(spark, sf_dir):
+    found = windows.window_norm_stats(feats(spark, sf_dir))
+    return rounded(found, *[c for c in found.columns if c not in ("symbol", "i", "first_close")], places=7)
+
+
+@query(f"{_split(*FULL)} SELECT symbol, i, split, ROUND(y, 6) AS y FROM dataset")
+def window_dataset_full(spark, sf_dir):
+    return rounded(windows.window_dataset(feats(spark, sf_dir)), "y", places=6)
+
+
+@query(_EVALUATED.format(_split(*FULL)))
+def eval_metrics_full(spark, sf_dir):
+    return rounded(metrics.evaluate(_scored(spark, sf_dir, *FULL)), "rmse", "rmse_baseline", "pearson", "pearson_log", places=6)
+
+
+@query(f"{_split(*FULL)} {_SUMMARY}")
+def label_summary_full(spark, sf_dir):
+    found = metrics.label_summary(_scored(spark, sf_dir, *FULL))
+    return rounded(found, *[c for c in found.columns if c not in ("split", "rows")], places=6)
+
+
 @query(f"""{VIEW} SELECT symbol, 'features/' || REPLACE(symbol || '/USDT', '/', '_') || '/' || SUBSTR(REPLACE('{START[:10]}', '-', ''), 1, 8) || '_now.parquet' AS object_path FROM (SELECT DISTINCT symbol FROM ohlcv)""")
 def export_path(spark, sf_dir):
     name = path_name(F.concat("symbol", F.lit("/USDT")))
     return view(spark, sf_dir).select("symbol").distinct().select("symbol", F.concat(F.lit("features/"), name, F.lit("/"), day_tag(F.lit(START[:10]), "all"), F.lit("_"), day_tag(F.lit(None).cast("string"), "now"), F.lit(".parquet")).alias("object_path"))
 
 
-@query()
+_ROUNDED = "ROUND(log_return, 9) AS log_return, ROUND(price_range, 9) AS price_range, ROUND(log_volume, 9) AS log_volume"
+
+
+@query(f"{FEATS} SELECT symbol, timestamp, i, n, open, high, low, close, volume, volatility_5m, {_ROUNDED}, REPLACE(symbol, '/', '_') AS symbol_path FROM feats")
 def export_features(spark, sf_dir):
-    """Features written as one folder for each symbol, and read again."""
+    """Features of all symbols written as one folder for each, and read again."""
     path = f"{shared_folder(spark)}/features"
-    feats(spark, sf_dir).withColumn("symbol_path", path_name(F.col("symbol"))).write.partitionBy("symbol_path").parquet(path)
-    return spark.read.parquet(path)
+    features.build_features(view(spark, sf_dir)).withColumn("symbol_path", path_name(F.col("symbol"))).write.partitionBy("symbol_path").parquet(path)
+    return rounded(spark.read.parquet(path), "log_return", "price_range", "log_volume")
+
+
+@query(f"{FEATS.replace('FROM ohlcv WINDOW', f'FROM ohlcv WHERE {_SLICE} WINDOW')} SELECT timestamp, open, high, low, close, volume, volatility_5m, {_ROUNDED}, '{jobs.export_name(SYMBOL, START, END)}' AS place FROM feats WHERE symbol = '{SYMBOL}'")
+def export_symbol(spark, sf_dir):
+    """A symbol's range written under its name, and read again."""
+    folder = shared_folder(spark)
+    path = jobs.export_symbol(view(spark, sf_dir), SYMBOL, folder, START, END)
+    return rounded(spark.read.parquet(path), "log_return", "price_range", "log_volume").withColumn("place", F.lit(path.removeprefix(f"{folder}/")))
 
 
 @query(f"{RAW} SELECT * FROM raw WHERE {_SLICE}")
@@ -422,13 +504,22 @@ def store_scan(spark, sf_dir):
     return source.read_store(spark, path, START, END)
 
 
-@query()
+# A batch of the stream is a day; symbols with a bad candle in a day have no bar from it.
+_GOOD = "high >= open AND high >= close AND low <= open AND low <= close AND high >= low AND NOT volume < 0"
+
+
+@query(f"""{VIEW}, days AS (SELECT *, timestamp::DATE AS d, BOOL_AND({_GOOD}) OVER (PARTITION BY symbol, timestamp::DATE) AS good FROM ohlcv),
+last AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY symbol, d ORDER BY timestamp DESC) AS back, COUNT(*) OVER (PARTITION BY symbol, d) AS c FROM days WHERE good),
+steps AS (SELECT *, LN(close / LAG(close) OVER (PARTITION BY symbol, d ORDER BY timestamp)) AS r FROM last WHERE back <= 7)
+SELECT symbol, timestamp, open, high, low, close, volume, ROUND(v, 9) AS volatility_5m FROM (
+  SELECT *, CASE WHEN COUNT(r) OVER w = 5 THEN STDDEV_SAMP(r) OVER w END AS v FROM steps WINDOW w AS (PARTITION BY symbol, d ORDER BY timestamp ROWS BETWEEN 4 PRECEDING AND CURRENT ROW)) WHERE back = LEAST(2, c)""")
 def stream_closed_bars(spark, sf_dir):
-    """The collector over a store of candles as one finished stream."""
+    """The collector over candles that arrive a day at a time, into a store by days."""
     folder = shared_folder(spark)
-    view(spark, sf_dir).write.parquet(f"{folder}/in")
-    live.start_collector(live.candle_stream(spark, f"{folder}/in"), f"{folder}/out", f"{folder}/state", {"availableNow": True}).awaitTermination()
-    return spark.read.parquet(f"{folder}/out").drop("batch")
+    days = kept(view(spark, sf_dir)).withColumn("day", F.to_date("timestamp"))
+    days.repartition("day").sortWithinPartitions("day").write.partitionBy("day").parquet(f"{folder}/in")
+    live.start_collector(live.candle_stream(spark, f"{folder}/in", files=1), f"{folder}/out", f"{folder}/state", {"availableNow": True}).awaitTermination()
+    return rounded(source.read_store(spark, f"{folder}/out").drop("collected_at"), "volatility_5m")
 
 
 @query("SELECT DATE_TRUNC('day', ts)::TIMESTAMP AS day, event_type, COUNT(*) AS n FROM events GROUP BY ALL")
@@ -437,7 +528,10 @@ def stream_daily_counts(spark, sf_dir):
     folder = shared_folder(spark)
     schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
     events = spark.readStream.schema(schema).option("pathGlobFilter", "*.parquet").parquet(f"{sf_dir}/events.parquet*")
-    name = f"daily_counts_{uuid.uuid4().hex}"
-    stream = live.daily_counts(events).writeStream.outputMode("complete").format("memory").queryName(name)
+
+    def put(counts, number):
+        counts.write.mode("overwrite").parquet(f"{folder}/out")
+
+    stream = live.daily_counts(events).writeStream.outputMode("complete").foreachBatch(put)
     stream.option("checkpointLocation", f"{folder}/state").trigger(availableNow=True).start().awaitTermination()
-    return spark.table(name).select(F.col("day").cast("timestamp_ntz").alias("day"), "event_type", "n")
+    return spark.read.parquet(f"{folder}/out").select(F.col("day").cast("timestamp_ntz").alias("day"), "event_type", "n")

@@ -57,24 +57,34 @@ base AS (
 
 
 def derived(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw candles, with re-collected duplicates, gaps and defects, from the orders table."""
+    """Raw candles, with re-collected duplicates, gaps and defects, from the orders table.
+
+    Made data for tests: its text is the one that DuckDB runs, whose windows go by the five priorities, so in five tasks.
+    """
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
     return spark.sql(f"WITH {STEPS.replace('FROM orders', 'FROM {orders}').format(NTZ='TIMESTAMP_NTZ', orders='{orders}')} {DERIVED}", orders=orders)
 
 
-def write_store(candles: DataFrame, path: str, mode: str = "append", dry_run: bool = False) -> DataFrame:
-    """Append candles to a store partitioned by the day of the bar; a dry run only returns them."""
-    dated = candles.withColumn("trade_day", F.to_date("timestamp"))
+def write_store(candles: DataFrame, path: str, mode: str = "append", dry_run: bool = False, batch: str | None = None) -> DataFrame:
+    """Add candles to a store partitioned by the day of the bar; a dry run only returns them.
+
+    A named batch is a folder within each day, which is replaced when the same batch is written again, as after a failure.
+    """
+    dated = candles.withColumns({"trade_day": F.to_date("timestamp"), "batch": F.lit(batch or "-")})
     if not dry_run:
-        dated.write.mode(mode).partitionBy("trade_day").parquet(path)
-    return dated
+        writer = dated.write.partitionBy("trade_day", "batch")
+        if batch:
+            writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
+        else:
+            writer.mode(mode).parquet(path)
+    return dated.drop("batch")
 
 
 def read_store(spark: SparkSession, path: str, start: str | None = None, end: str | None = None) -> DataFrame:
     """Candles from start on, before end. The bounds on days are stated too, as only those prune the store's folders."""
-    found = spark.read.schema(T.StructType([*SCHEMA.fields, T.StructField("trade_day", T.DateType())])).parquet(path)
+    found = spark.read.schema(T.StructType([*SCHEMA.fields, T.StructField("trade_day", T.DateType()), T.StructField("batch", T.StringType())])).parquet(path)
     if start:
         found = found.where((F.col("trade_day") >= F.lit(dt.datetime.fromisoformat(start).date())) & (F.col("timestamp") >= F.lit(start).cast("timestamp_ntz")))
     if end:
         found = found.where((F.col("trade_day") <= F.lit(dt.datetime.fromisoformat(end).date())) & (F.col("timestamp") < F.lit(end).cast("timestamp_ntz")))
-    return found.drop("trade_day")
+    return found.drop("trade_day", "batch")

@@ -3,14 +3,21 @@
 ``spark.read.format("candle_pages")`` reads a history; ``readStream`` the newest bars. The client is named by the option
 ``client`` as module:function and gives fetch(symbol, since_ms, limit) -> rows [ts_ms, open, high, low, close, volume], the
 first ones from since_ms on. Bars of a symbol are a minute or more apart and appear in order; symbols needn't keep step.
+With the option ``keys``, the names of two environment variables, the function is called with their values first, on the
+machine that fetches, and returns fetch. ``rate`` is the most requests a second of one task.
+
+A history's symbols share the options ``start`` and ``end``, or each has its own in ``ranges``: JSON {symbol: [start, end]}.
 
 A stream's offset tells for each symbol the time from which its bars are still to be read: {"since": {symbol: ms}}, or
 {"since": ms} where it is the same for all. A symbol that an offset doesn't name begins at the option ``start``.
+With ``trail`` a symbol's new bars come with those of so many minutes before them, which a rolling measure of them needs.
 """
 
 from __future__ import annotations
 
 import importlib
+import json
+import os
 import time
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
@@ -50,9 +57,27 @@ def pages(symbols: list[str], start: int, end: int, size: int) -> list[Page]:
     return [Page(s, since, min(since + step, end)) for s in symbols for since in range(start, end, step)]
 
 
+def throttled(fetch: Callable, rate: float, clock: Callable[[], float] = time.monotonic, sleep: Callable[[float], None] = time.sleep) -> Callable:
+    """fetch with pauses, so that so many calls a second are begun at most."""
+    free = clock()
+
+    def call(*args):
+        nonlocal free
+        now = clock()
+        if free > now:
+            sleep(free - now)
+        free = max(free, now) + 1 / rate
+        return fetch(*args)
+
+    return call
+
+
 def _client(options: dict) -> Callable:
     module, _, name = options["client"].partition(":")
-    return getattr(importlib.import_module(module), name)
+    fetch = getattr(importlib.import_module(module), name)
+    if options.get("keys"):
+        fetch = fetch(*(os.environ.get(x, "") for x in options["keys"].split(",")))
+    return throttled(fetch, float(options["rate"])) if options.get("rate") else fetch
 
 
 def _rows_of(options: dict, page: Page) -> Iterator[tuple]:
@@ -67,11 +92,13 @@ class PageReader(DataSourceReader):
         self.options = options
 
     def partitions(self) -> list[Page]:
-        o = self.options
-        return pages(o["symbols"].split(","), int(o["start"]), int(o["end"]), int(o.get("page", 1000)))
+        o, size = self.options, int(self.options.get("page", 1000))
+        if o.get("ranges"):
+            return [page for s, (start, end) in json.loads(o["ranges"]).items() for page in pages([s], start, end, size)]
+        return pages(o["symbols"].split(","), int(o["start"]), int(o["end"]), size)
 
-    def read(self, page: Page) -> Iterator[tuple]:
-        return _rows_of(self.options, page)
+    def read(self, page: Page | None) -> Iterator[tuple]:
+        return _rows_of(self.options, page) if page else iter(())
 
 
 def _by_symbol(options: dict, offset: dict) -> dict[str, int]:
@@ -131,7 +158,8 @@ class LiveReader(DataSourceStreamReader):
 
     def partitions(self, start: dict, end: dict) -> list[Page]:
         since, until = _by_symbol(self.options, start), _by_symbol(self.options, end)
-        return [page for s in since for page in pages([s], since[s], until[s], int(self.options.get("page", 1000)))]
+        trail, size = int(self.options.get("trail", 0)) * MINUTE, int(self.options.get("page", 1000))
+        return [page for s in since if since[s] < until[s] for page in pages([s], max(0, since[s] - trail), until[s], size)]
 
     def read(self, page: Page) -> Iterator[tuple]:
         return _rows_of(self.options, page)

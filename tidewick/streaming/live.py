@@ -1,18 +1,22 @@
-"""The live path as a stream: batches are validated and each symbol's latest closed bar is appended to the store.
+"""The live path as a stream: batches are validated and each symbol's latest closed bar is added to the store.
 
-Row windows don't run on streams, and the collector keeps no state but fetches the trailing bars each time; so each micro-batch
-is handled as a table. Replayed batches rewrite the same folder, so that a failure in between leaves no duplicates.
+Row windows don't run on streams, and the collector keeps no state but reads the trailing bars each time; so each micro-batch
+is handled as a table. A replayed batch replaces its own folders of the store, so that a failure in between leaves no
+duplicates.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
-from ..operators.collect import latest_closed_bar
 from ..functions.columns import well_formed
-from ..sources.candles import COLUMNS, SCHEMA
+from ..operators.collect import FETCHED, latest_closed_bar
+from ..sources.candles import COLUMNS, SCHEMA, write_store
+from ..sources.exchange import CandlePages
+
+TRAIL = 60  # minutes before a symbol's new bars that are read again for its volatility
 
 
 def candle_stream(spark: SparkSession, path: str, files: int | None = None) -> DataFrame:
@@ -20,17 +24,25 @@ def candle_stream(spark: SparkSession, path: str, files: int | None = None) -> D
     return (reader.option("maxFilesPerTrigger", files) if files else reader).parquet(path)
 
 
-def closed_bars(batch: DataFrame) -> DataFrame:
-    """Latest closed bars of the symbols whose rows are all well formed."""
+def exchange_stream(spark: SparkSession, options: dict, trail: int = TRAIL) -> DataFrame:
+    """New bars of each symbol with the trailing ones before them, from the exchange source; options as there."""
+    spark.dataSource.register(CandlePages)
+    rows = spark.readStream.format("candle_pages").options(**options, trail=str(trail)).load()
+    return rows.select("symbol", F.timestamp_millis("ts_ms").cast("timestamp_ntz").alias("timestamp"), "open", "high", "low", "close", "volume")
+
+
+def closed_bars(batch: DataFrame, collected_at: Column | None = None) -> DataFrame:
+    """Latest closed bars of the symbols whose last bars are all well formed, collected now unless said otherwise."""
+    last = batch.drop("volatility_5m").withColumn("collected_at", F.current_timestamp().cast("timestamp_ntz") if collected_at is None else collected_at)
     good = batch.groupBy("symbol").agg(F.bool_and(well_formed()).alias("good_")).where("good_").select("symbol")
-    return latest_closed_bar(batch.drop("volatility_5m").join(good, "symbol")).select(COLUMNS)
+    return latest_closed_bar(last.join(good, "symbol"), FETCHED).select(COLUMNS)
 
 
-def start_collector(candles: DataFrame, store: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
-    """Append each batch's closed bars under store/batch=N. By default a batch begins every minute."""
+def start_collector(candles: DataFrame, store: str, checkpoint: str, trigger: dict | None = None, collected_at: Column | None = None) -> StreamingQuery:
+    """Add each batch's closed bars to the store's days. By default a batch begins every minute."""
 
     def put(batch: DataFrame, number: int) -> None:
-        closed_bars(batch).write.mode("overwrite").parquet(f"{store}/batch={number}")
+        write_store(closed_bars(batch, collected_at), store, batch=f"live-{number}")
 
     return candles.writeStream.foreachBatch(put).option("checkpointLocation", checkpoint).trigger(**(trigger or {"processingTime": "1 minute"})).start()
 
