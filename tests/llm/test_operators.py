@@ -305,6 +305,33 @@ def test_all_containers_vote(spark):
     assert {r["page_id"]: r["text"] for r in html_text.with_main_text(frame).collect()}[9] == "five story text"
 
 
+def test_deep_pages():
+    """Nesting has no limit: what is left out stays so at any depth, in time in proportion to the page."""
+    for depth in (10, 405, 50_000):
+        page = "<div>" * depth + "<nav>MENU</nav>body"
+        assert html_text.extract(page, None) == "body"
+        assert len(html_text.votes_of(page)) == depth
+    assert html_text.extract("<b>" * 20_000 + "<p>x</p><li>y</li>" * 5_000, None).split() == ["x", "y"] * 5_000
+
+
+def test_words_of_content_and_of_boxes():
+    inside = lambda x: html_text.extract(f"<body><article><p>Begin.</p>{x}<p>End.</p></article></body>", None)
+    for content in ("<p class='share-price'>X</p>", "<div class='alert-history'>X</div>", "<p class='search-results-study'>X</p>", "<h2 id='related-work'>X</h2>", "<p class='form-of-address'>X</p>"):
+        assert inside(content) == "Begin. X End.", content
+    for box in ("<div class='share-buttons'>X</div>", "<div class='share'>X</div>", "<div id='related'>X</div>", "<p class='notice'>X</p>", "<div class='alert alert-2'>X</div>", "<div class='newsletter-signup'>X</div>", "<section class='commentList'><p>X</p></section>", "<div class='ad'>X</div>", "<p hidden>X</p>"):
+        assert inside(box) == "Begin. End.", box
+
+
+def test_main_text_odd_rows(spark, monkeypatch):
+    """Repeated rows, clashing names, nulls; winners beyond the broadcast are joined by salted hosts."""
+    rows = [(1, "http://a.b/1", "<p>x</p>", "h", "p", 1, "old"), (1, "http://a.b/1", "<p>x</p>", "h", "p", 1, "old"), (2, None, None, "h", "p", 1, "old"), (None, "http://A.b/2", "<div class=story><p>y " + "z " * 50_000 + "</p></div>", "h", "p", 1, None)]
+    frame = spark.createDataFrame(rows, "page_id bigint, url string, html string, host string, path string, salt int, text string")
+    for size in (html_text.BROADCAST, 0):
+        found = html_text.with_main_text(frame, broadcast=size)
+        assert found.columns == frame.columns
+        assert sorted((r["page_id"] or 0, r["text"], r["host"]) for r in found.collect()) == [(0, "y " + "z " * 49_999 + "z", "h"), (1, "x", "h"), (1, "x", "h"), (2, "", "h")]
+
+
 @pytest.mark.parametrize("page", ["<a " * 50_000, "<a x=\"" * 50_000, "<div>" * 20_000 + "x", "</p>" * 50_000, "<!-- " * 50_000, "<" * 200_000])
 def test_broken_pages_end(page):
     html_text.extract(page, None)

@@ -2,41 +2,49 @@
 
 Every page's containers are scored by the text that they hold, links and boilerplate counted against them. Each page votes,
 by score, for the generalised paths of its containers (tags and classes from the root, numbers in classes set to 0, so that
-pages of one template agree); votes are summed for each host in Spark, and the best path of a host wins. Pages are then
-extracted again by the winning path; a page without such a container falls back to its own best one.
+pages of one template agree; a path is told by a digest, so that deep pages cost no more than others of their size). Votes
+are summed for each host in Spark, and the best path of a host wins. Pages are then extracted again by the winning path; a
+page without such a container falls back to its own best one.
 
 The text is that of the container's blocks in page order, without menus, headers and footers of the page, sidebars,
-notices, adverts, forms, scripts, styles and reader comments: elements are left out by their tag, role, or a word of their
-class or id. Character references are decoded, white space inside a block becomes one space, blocks are joined by one.
+notices, adverts, forms, scripts, styles and reader comments: elements are left out by their tag or role, or by their class
+or id, where it holds a word of ``STRONG``, or is one of ``WEAK``, alone or with a word for a box (share-buttons, but not
+share-price, which may stand on content). Character references are decoded, white space inside a block becomes one space,
+blocks are joined by one.
 
 All containers of positive score vote; votes are pre-aggregated before they are shuffled, so that a host with a third of
-all pages is no hot spot; pages meet their host's path in a shuffle join that adaptive execution can split.
+all pages is no hot spot. Winners, a short row for each host, are broadcast where they have ``BROADCAST`` bytes at most, so
+that no page is shuffled; beyond, hosts are salted on both sides.
 
-Defined cases: a null html or url counts as empty; a page without text gives the empty text; repeated rows each get their
-own result; an empty table gives an empty result.
+Defined cases: a null html or url counts as empty (the empty host votes like any other); a page without text gives the empty
+text; very long and deeply nested pages are read whole, in time in proportion to their length; equal votes go to the deeper
+path, then by digest, equal scores on a page likewise; repeated rows each get their own result and vote each; a column named
+like the result is replaced, all others pass through, whatever their names; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import html
 import re
-from collections.abc import Iterator
+from hashlib import blake2b
+from collections.abc import Iterable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import scratch
+from .common import checkpointed, scratch
 from .url_filter import host_of
 
-VOTED = T.ArrayType(T.StructType([T.StructField("path", T.StringType()), T.StructField("share", T.DoubleType())]))
-DEPTH = 400
+VOTED = T.ArrayType(T.StructType([T.StructField("path", T.StringType()), T.StructField("depth", T.IntegerType()), T.StructField("share", T.DoubleType())]))
+BROADCAST, SALTS = 32 << 20, 64
 LEVEL, TITLE = 0.9, 1.15
 WEIGHTS = {"article": 1.5, "main": 1.2, "body": 0.9}
 # Possessive, so that a tag that never ends costs one pass.
 TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/<>]*+)((?>[^<>"'=]++|=\s*+(?:"[^"]*"|'[^']*')|[="'])*+)>""", re.S)
 ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
+HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|/|$)")
 WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript iframe noembed noframes xmp".split())
@@ -47,46 +55,84 @@ ENDS = {"li": ({"li"}, {"ul", "ol", "menu", "dir"}), "dt": ({"dt", "dd"}, {"dl"}
 # Left out by tag, by role and by a word of the class or id.
 SKIP_TAGS = RAW | frozenset("head nav aside footer form button select option input svg canvas object embed audio video template dialog menu datalist".split())
 SKIP_ROLES = frozenset("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar toolbar".split())
-SKIP_WORDS = frozenset(
-    "ad ads adv advert adverts advertisement advertising adsense banner promo promos promotion sponsor sponsored sponsors outbrain taboola "
-    "nav navbar navigation menu menus breadcrumb breadcrumbs pagination pager toc sidebar sidebars aside rail widget widgets "
-    "footer foot masthead topbar toolbar header comment comments commentlist disqus reply replies respond discussion "
-    "cookie cookies consent gdpr notice notices alert warning popup modal overlay newsletter subscribe subscription signup login "
-    "share sharing social related recommended recommendations form search hidden".split()
+STRONG = frozenset(
+    "ad ads adv advert adverts advertisement advertising adsense promo promos sponsor sponsored sponsors outbrain taboola "
+    "nav navbar navigation menu menus breadcrumb breadcrumbs pagination pager toc sidebar sidebars masthead topbar toolbar "
+    "footer comment comments commentlist disqus reply replies respond cookie cookies consent gdpr popup modal newsletter".split()
 )
+WEAK = frozenset(
+    "banner promotion aside rail widget widgets foot header discussion notice notices alert alerts warning overlay subscribe "
+    "subscription signup login share sharing social related recommended recommendations form search hidden".split()
+)
+BOXES = frozenset("area bar bars block box btn button buttons container content group icon icons inner items link links list message panel section strip text top bottom wrap wrapper".split())
 # What holds the text of a page must not be left out for a word of its own class, as in <body class="has-sidebar">.
 ROOTS = frozenset(("html", "body", "main", "article"))
 CONTAINERS = frozenset(("article", "main", "section", "div", "td", "body", "center"))
 
 
 class Node:
-    __slots__ = ("tag", "names", "parts", "parent", "skip")
+    """An element: the digest of its path, and its texts and elements in order."""
+
+    __slots__ = ("tag", "key", "depth", "parts", "skip")
+
+    def __init__(self, tag: str, key: bytes, depth: int, skip: bool):
+        self.tag, self.key, self.depth, self.skip, self.parts = tag, key, depth, skip, []
 
-    def __init__(self, tag: str, names: str, parent: Node | None, skip: bool):
-        self.tag, self.names, self.parent, self.skip, self.parts = tag, names, parent, skip, []
 
+def _named_so(names: str) -> bool:
+    """Whether a class or id tells of something beside the text."""
+    for name in names.split():
+        words = [w.lower() for w in WORD.findall(name)]
+        if any(w in STRONG for w in words):
+            return True
+        weak = [w for w in words if w in WEAK]
+        if weak and all(w in WEAK or w in BOXES or w.isdigit() for w in words):
+            return True
+    return False
 
-def _left_out(tag: str, attributes: dict[str, str], parent: Node) -> bool:
+
+def _left_out(tag: str, attributes: dict[str, str], in_article: bool) -> bool:
     if tag in SKIP_TAGS or attributes.get("role", "").lower() in SKIP_ROLES or attributes.get("aria-hidden") == "true" or "hidden" in attributes:
         return True
     if tag == "header":
         # An article's own header holds its title; the page's holds its name and menu.
-        above = parent
-        while above and above.tag not in ("article", "main"):
-            above = above.parent
-        return above is None
+        return not in_article
     if tag in ROOTS:
         # An article inside a comment list is left out with the list, or by its own class.
         return tag == "article" and bool({"comment", "reply"} & {w.lower() for w in WORD.findall(attributes.get("class", ""))})
-    words = WORD.findall(f"{attributes.get('class', '')} {attributes.get('id', '')}")
-    return any(w.lower() in SKIP_WORDS for w in words)
+    return _named_so(attributes.get("class", "")) or _named_so(attributes.get("id", ""))
+
+
+class Open:
+    """The open elements, innermost last, with the places of each tag and of blocks among them."""
+
+    def __init__(self, root: Node):
+        self.nodes, self.places, self.blocks = [root], {}, [0]
+
+    def innermost(self, tags: Iterable[str]) -> int:
+        return max((self.places[t][-1] for t in tags if self.places.get(t)), default=-1)
+
+    def push(self, node: Node) -> None:
+        self.places.setdefault(node.tag, []).append(len(self.nodes))
+        if node.tag not in INLINE:
+            self.blocks.append(len(self.nodes))
+        self.nodes.append(node)
+
+    def close(self, place: int) -> None:
+        """Close the element at the place, and with it all inside."""
+        while len(self.nodes) > place:
+            self.places[self.nodes.pop().tag].pop()
+            if self.blocks[-1] == len(self.nodes):
+                self.blocks.pop()
 
 
 def parse(page: str) -> Node:
     """The tree of a page, lenient to tags that are not closed or closed twice."""
-    root = node = Node("", "", None, False)
-    depth, at, end = 0, 0, len(page)
+    root = Node("", b"", 0, False)
+    held = Open(root)
+    at, end = 0, len(page)
     while at < end:
+        node = held.nodes[-1]
         found = TAG.search(page, at)
         if found is None:
             node.parts.append(page[at:])
@@ -98,34 +144,30 @@ def parse(page: str) -> Node:
             continue
         tag = found[2].lower()
         if found[1]:
-            above = node
-            while above and above.tag != tag:
-                above = above.parent
-            if above and above.parent:
-                while node is not above.parent:
-                    node, depth = node.parent, depth - 1
+            if (place := held.innermost((tag,))) > 0:
+                held.close(place)
             elif tag == "p":
                 node.parts.append(" ")
             continue
-        ends = ENDS.get(tag, ({"p"}, {"table", "td", "th", "button", "object"}) if tag in CLOSES_P else None)
-        if ends:
-            above = node
-            while above and above.tag not in ends[0] and above.tag not in ends[1] and (above.tag in INLINE or tag in ENDS):
-                above = above.parent
-            if above and above.tag in ends[0]:
-                while node is not above.parent:
-                    node, depth = node.parent, depth - 1
+        if tag in ENDS:
+            place = held.innermost(ENDS[tag][0])
+            if place > held.innermost(ENDS[tag][1]):
+                held.close(place)
+        elif tag in CLOSES_P and (place := held.innermost("p")) > 0 and place == held.blocks[-1]:
+            held.close(place)
+        node = held.nodes[-1]
         attributes = {name.lower(): html.unescape(a or b or c or "") for name, a, b, c in ATTRIBUTE.findall(found[3])} if "=" in found[3] else {}
-        if re.search(r"(?:^|\s)hidden(?:\s|/|$)", found[3]):
+        if HIDDEN.search(found[3]):
             attributes["hidden"] = ""
         names = re.sub("[0-9]+", "0", ".".join(sorted(set(attributes.get("class", "").split()))))
-        new = Node(tag, names, node, node.skip or _left_out(tag, attributes, node))
+        key = blake2b(f"{tag}.{names}".encode("utf-8", "surrogatepass"), digest_size=12, key=node.key).digest()
+        new = Node(tag, key, len(held.nodes), node.skip or _left_out(tag, attributes, held.innermost(("article", "main")) > 0))
         node.parts.append(new)
         if tag in RAW:
             close = re.compile(rf"</{tag}(?=[\s/>]|\Z)[^>]*>?", re.I).search(page, at)
             at = close.end() if close else end
-        elif tag not in VOID and not found[3].endswith("/") and depth < DEPTH:
-            node, depth = new, depth + 1
+        elif tag not in VOID and not found[3].endswith("/"):
+            held.push(new)
     return root
 
 
@@ -143,15 +185,7 @@ def text_under(top: Node) -> str:
     return " ".join(html.unescape("".join(out)).split())
 
 
-def path_of(node: Node) -> str:
-    steps = []
-    while node.parent:
-        steps.append(f"{node.tag}.{node.names}" if node.names else node.tag)
-        node = node.parent
-    return "/".join(reversed(steps))
-
-
-def containers(root: Node) -> list[tuple[float, str, Node]]:
+def containers(root: Node) -> list[tuple[float, Node]]:
     """Containers by score, best first.
 
     A container scores its text, that of inner containers a little less for each level between, so that of nested ones the
@@ -173,24 +207,24 @@ def containers(root: Node) -> list[tuple[float, str, Node]]:
         sums[id(node)] = (text, text if node.tag == "a" else linked, title)
         if node.tag in CONTAINERS and text:
             weight = WEIGHTS.get(node.tag, 1.0) * (TITLE if title else 1)
-            found.append(((text - 2 * linked) * weight, path_of(node), node))
-    return sorted(found, key=lambda x: (-x[0], x[1]))
+            found.append(((text - 2 * linked) * weight, node))
+    return sorted(found, key=lambda x: (-x[0], -x[1].depth, x[1].key))
 
 
-def votes_of(page: str) -> list[tuple[str, float]]:
-    """All paths of a page's containers of positive score with their share of its best score."""
+def votes_of(page: str) -> list[tuple[str, int, float]]:
+    """All paths of a page's containers of positive score with their depth and share of its best score."""
     found = [x for x in containers(parse(page)) if x[0] > 0]
-    best: dict[str, float] = {}
-    for score, path, _ in found:
-        best.setdefault(path, score / found[0][0])
-    return list(best.items())
+    best: dict[str, tuple[int, float]] = {}
+    for score, node in found:
+        best.setdefault(node.key.hex(), (node.depth, score / found[0][0]))
+    return [(path, *x) for path, x in best.items()]
 
 
 def extract(page: str, path: str | None) -> str:
     """The text of all containers at the path, or of the page's best one where there is none."""
     root = parse(page)
     found = containers(root)
-    chosen = [node for _, at, node in found if at == path] or [node for _, _, node in found[:1]] or [root]
+    chosen = [node for _, node in found if node.key.hex() == path] or [node for _, node in found[:1]] or [root]
     if len(chosen) > 1:
         # In page order, and none inside another.
         held, order, work = {id(n) for n in chosen}, [], [root]
@@ -206,7 +240,7 @@ def extract(page: str, path: str | None) -> str:
 
 @F.pandas_udf(VOTED)
 def _votes(pages: pd.Series) -> pd.Series:
-    return pages.map(lambda page: [{"path": path, "share": share} for path, share in votes_of(page)])
+    return pages.map(lambda page: [dict(zip(("path", "depth", "share"), x)) for x in votes_of(page)])
 
 
 @F.pandas_udf(T.StringType())
@@ -216,17 +250,23 @@ def _extracted(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Se
 
 
 def consensus(pages: DataFrame, html_col: str = "html", url_col: str = "url") -> DataFrame:
-    """The winning path of each host: host, path, votes."""
+    """The winning path of each host: host, path (its digest), depth, votes."""
     votes = pages.select(host_of(F.col(url_col)).alias("host"), F.explode(_votes(F.coalesce(F.col(html_col), F.lit("")))).alias("vote"))
     # Shares are counted in thousandths, so that sums are the same in any order.
-    summed = votes.groupBy("host", F.col("vote.path").alias("path")).agg(F.sum(F.round(F.col("vote.share") * 1000).cast("bigint")).alias("votes"))
-    best = F.row_number().over(Window.partitionBy("host").orderBy(F.desc("votes"), F.desc(F.length("path")), "path"))
-    return summed.withColumn("place", best).where("place = 1").drop("place")
+    summed = votes.groupBy("host", F.col("vote.path").alias("path")).agg(F.sum(F.round(F.col("vote.share") * 1000).cast("bigint")).alias("votes"), F.max("vote.depth").alias("depth"))
+    best = summed.groupBy("host").agg(F.max(F.struct("votes", "depth", "path")).alias("best"))
+    return best.select("host", "best.path", "best.depth", "best.votes")
 
 
-def with_main_text(pages: DataFrame, out: str = "text", html_col: str = "html", url_col: str = "url") -> DataFrame:
+def with_main_text(pages: DataFrame, out: str = "text", html_col: str = "html", url_col: str = "url", broadcast: int = BROADCAST) -> DataFrame:
     """pages with the main text of each whole html."""
-    host, path = scratch(pages, "host", "path")
-    paths = consensus(pages, html_col, url_col).select(F.col("host").alias(host), F.col("path").alias(path))
-    joined = pages.withColumn(host, host_of(F.col(url_col))).join(paths, host, "left")
+    host, path, salt = scratch(pages, "host", "path", "salt")
+    paths = checkpointed(consensus(pages, html_col, url_col).select(F.col("host").alias(host), F.col("path").alias(path)))
+    rows = pages.withColumn(host, host_of(F.col(url_col)))
+    size = paths.agg(F.sum(F.length(host) + F.length(path) + 64)).head()[0] or 0
+    if size <= broadcast:
+        joined = rows.join(F.broadcast(paths), host, "left")
+    else:
+        salts = paths.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        joined = rows.withColumn(salt, F.pmod(F.xxhash64(url_col, html_col, F.monotonically_increasing_id()), F.lit(SALTS)).cast("int")).join(salts, [host, salt], "left")
     return joined.withColumn(out, _extracted(F.coalesce(F.col(html_col), F.lit("")), F.col(path))).select(*[c for c in pages.columns if c != out], out)
