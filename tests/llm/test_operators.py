@@ -272,6 +272,58 @@ def test_reputation_shrinks(spark):
     assert url_filter.reputations(spark.createDataFrame([], "host string, bad int")).count() == 0
 
 
+def test_bad_domain_blocks_its_new_host(spark):
+    """Hosts at the corpus's rate, one of them with few labels all bad, a bad host, and a bad domain with a host never seen."""
+    r = random.Random(6)
+    rows = [(f"www.d{i}.org", int(r.random() < 0.25)) for i in range(200) for _ in range(60)] + [("few.d1.org", 1)] * 2 + [("one.mixed.org", 1)] * 100
+    rows += [(f"s{i}.bad.net", int(r.random() < 0.95)) for i in range(10) for _ in range(40)]
+    outcomes = spark.createDataFrame(rows, "host string, bad int")
+    urls = ["http://www.d7.org/x", "http://few.d1.org/", "http://one.mixed.org/", "http://never.bad.net/x", "http://s1.bad.net/", "http://unknown.example/"]
+    pages = spark.createDataFrame([(i, u, "own", "own", 1.0) for i, u in enumerate(urls)] * 2, "page_id int, url string, corpus string, rule string, bound double")
+    new = outcomes.unionByName(pages.select(url_filter.host_of(F.col("url")).alias("host"), F.lit(None).cast("int").alias("bad")))
+    for limit in (url_filter.BROADCAST, 0):
+        judged = url_filter.judge(pages, new, broadcast=limit)
+        assert sorted(judged.columns) == sorted(["page_id", "url", "corpus", "host", "path", "rule", "verdict", "bad_rate", "bound"])
+        found = judged.collect()
+        assert len(found) == 12 and all(x["corpus"] == "own" and x["rule"] is None for x in found)
+        assert {x["page_id"]: x["verdict"] for x in found} == {0: "allow", 1: "allow", 2: "block", 3: "block", 4: "block", 5: "allow"}
+    assert url_filter.judge(pages.where("false"), new).count() == 0
+
+
+def test_posteriors_equal_plain_beta_binomials(spark):
+    """Each level by its own formulas; a host's posterior by integrating prior times likelihood."""
+    r = random.Random(8)
+    rows = [(f"h{h}.d{d}.{s}", int(r.random() < rate)) for s, rate0 in (("com", 0.2), ("org", 0.5)) for d in range(6) for h in range(3) for rate in [min(0.95, rate0 * r.choice((0.3, 1, 1.8)))] for _ in range(r.choice((0, 3, 12, 40)))]
+    found = {x["host"]: x for x in url_filter.reputations(spark.createDataFrame(rows, "host string, bad int")).collect()}
+    level = lambda names: {key: (sum(1 for h, _ in rows if key == names(h)), sum(b for h, b in rows if key == names(h))) for key in {names(h) for h, _ in rows}}
+    means = {"": (sum(b for _, b in rows) + 1) / (len(rows) + 2)}
+    for names in (lambda h: h.split(".", 2)[2], lambda h: h.split(".", 1)[1], lambda h: h):
+        units = {key: (n, k, means[key.split(".", 1)[1] if "." in key else ""]) for key, (n, k) in level(names).items()}
+        beyond, room = sum((k - n * m) ** 2 - n * m * (1 - m) for n, k, m in units.values()), sum(n * (n - 1) * m * (1 - m) for n, k, m in units.values())
+        strength = 1 / (beyond / room) - 1 if beyond > 0 else url_filter.POOLED
+        means |= {key: (k + strength * m) / (n + strength) for key, (n, k, m) in units.items()}
+    assert found.keys() == units.keys() and strength < url_filter.POOLED
+    grid = np.linspace(0, 1, 200_001)[1:-1]
+    for host, (n, k, m) in units.items():
+        density = np.log(grid) * (k + strength * m - 1) + np.log1p(-grid) * (n - k + strength * (1 - m) - 1)
+        weight = np.exp(density - density.max())
+        mean = (grid * weight).sum() / weight.sum()
+        deviation = np.sqrt(((grid - mean) ** 2 * weight).sum() / weight.sum())
+        assert np.isclose(found[host]["bad_rate"], means[host]) and np.isclose(found[host]["bad_rate"], mean, atol=2e-3)
+        assert np.isclose(found[host]["bound"], max(0, found[host]["bad_rate"] - url_filter.Z * found[host]["deviation"])) and np.isclose(found[host]["deviation"], deviation, atol=2e-3)
+
+
+def test_registered_domains(spark):
+    hosts = ["a.b.co.uk", "b.co.uk", "co.uk", "x.y.com", "com", "", "u:p@x.y.com:80", "10.0.0.1", "a.b.ck", "www.ck", "a.www.ck", "z.kobe.jp"]
+    frame = spark.createDataFrame([(h,) for h in hosts], "host string")
+    plain = {r["host"]: (r["domain"], r["suffix"]) for r in url_filter.registered(frame).collect()}
+    assert plain["a.b.co.uk"] == plain["b.co.uk"] == ("b.co.uk", "co.uk") and plain["u:p@x.y.com:80"] == ("y.com", "com") and plain[""] == ("", "")
+    assert plain["10.0.0.1"] == ("10.0.0.1", "")
+    ruled = {r["host"]: (r["domain"], r["suffix"]) for r in url_filter.registered(frame, ["com", "uk", "co.uk", "*.ck", "!www.ck", "jp", "*.kobe.jp"]).collect()}
+    assert ruled["a.b.co.uk"] == ("b.co.uk", "co.uk") and ruled["co.uk"] == ("co.uk", "co.uk") and ruled["x.y.com"] == ("y.com", "com")
+    assert ruled["a.b.ck"] == ("a.b.ck", "b.ck") and ruled["www.ck"] == ("www.ck", "ck") and ruled["a.www.ck"] == ("www.ck", "ck") and ruled["z.kobe.jp"] == ("z.kobe.jp", "z.kobe.jp")
+
+
 # Main text.
 
 

@@ -49,6 +49,25 @@ def scratch(df: DataFrame, *names: str) -> list[str]:
     return found
 
 
+BROADCAST, SALTS = 32 << 20, 64
+
+
+def meet(rows: DataFrame, table: DataFrame, key: str, limit: int = BROADCAST) -> DataFrame:
+    """rows with the columns of table, which has a short row for each key; null ones where the key has none.
+
+    The table is counted first and broadcast if it has ``limit`` bytes at most, so that rows aren't shuffled. A larger one is
+    given to all of ``SALTS`` tasks that share each key's rows, so that a key with a third of all rows is no hot spot.
+    """
+    table = checkpointed(table)
+    texts = [F.coalesce(F.length(c), F.lit(0)) if kind == "string" else F.lit(0) for c, kind in table.dtypes]
+    size = table.agg(F.sum(sum(texts, F.lit(64)))).head()[0] or 0
+    if size <= limit:
+        return rows.join(F.broadcast(table), key, "left")
+    (salt,) = scratch(rows.join(table, key), "salt")
+    spread = table.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return rows.withColumn(salt, F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int")).join(spread, [key, salt], "left").drop(salt)
+
+
 def in_parts(texts: pa.Array, size: int = 256) -> Iterator[list]:
     """The values of an Arrow array by small lists, so that a task never holds a whole batch as Python objects."""
     for start in range(0, len(texts), size):

@@ -13,8 +13,8 @@ share-price, which may stand on content). Character references are decoded, whit
 blocks are joined by one.
 
 All containers of positive score vote; votes are pre-aggregated before they are shuffled, so that a host with a third of
-all pages is no hot spot. Winners, a short row for each host, are broadcast where they have ``BROADCAST`` bytes at most, so
-that no page is shuffled; beyond, hosts are salted on both sides.
+all pages is no hot spot. Winners, a short row for each host, are broadcast where they are few (``common.meet``), so that no
+page is shuffled; beyond, hosts are salted on both sides.
 
 Defined cases: a null html or url counts as empty (the empty host votes like any other); a page without text gives the empty
 text; very long and deeply nested pages are read whole, in time in proportion to their length; equal votes go to the deeper
@@ -34,11 +34,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import checkpointed, scratch
+from .common import BROADCAST, meet, scratch
 from .url_filter import host_of
 
 VOTED = T.ArrayType(T.StructType([T.StructField("path", T.StringType()), T.StructField("depth", T.IntegerType()), T.StructField("share", T.DoubleType())]))
-BROADCAST, SALTS = 32 << 20, 64
 LEVEL, TITLE = 0.9, 1.15
 WEIGHTS = {"article": 1.5, "main": 1.2, "body": 0.9}
 # Possessive, so that a tag that never ends costs one pass.
@@ -260,13 +259,7 @@ def consensus(pages: DataFrame, html_col: str = "html", url_col: str = "url") ->
 
 def with_main_text(pages: DataFrame, out: str = "text", html_col: str = "html", url_col: str = "url", broadcast: int = BROADCAST) -> DataFrame:
     """pages with the main text of each whole html."""
-    host, path, salt = scratch(pages, "host", "path", "salt")
-    paths = checkpointed(consensus(pages, html_col, url_col).select(F.col("host").alias(host), F.col("path").alias(path)))
-    rows = pages.withColumn(host, host_of(F.col(url_col)))
-    size = paths.agg(F.sum(F.length(host) + F.length(path) + 64)).head()[0] or 0
-    if size <= broadcast:
-        joined = rows.join(F.broadcast(paths), host, "left")
-    else:
-        salts = paths.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        joined = rows.withColumn(salt, F.pmod(F.xxhash64(url_col, html_col, F.monotonically_increasing_id()), F.lit(SALTS)).cast("int")).join(salts, [host, salt], "left")
+    host, path = scratch(pages, "host", "path")
+    paths = consensus(pages, html_col, url_col).select(F.col("host").alias(host), F.col("path").alias(path))
+    joined = meet(pages.withColumn(host, host_of(F.col(url_col))), paths, host, broadcast)
     return joined.withColumn(out, _extracted(F.coalesce(F.col(html_col), F.lit("")), F.col(path))).select(*[c for c in pages.columns if c != out], out)

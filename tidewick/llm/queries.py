@@ -97,8 +97,11 @@ def op2_host_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A page's outcome is the label of the document that its url names by number: bad when of low quality or toxic."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     labels = table(spark, sf_dir, "labels").select("doc_id", F.greatest(1 - F.col("quality"), F.col("toxic")).alias("bad"))
-    named = pages.select(url_filter.host_of(F.col("url")).alias("host"), F.try_to_number(F.regexp_extract(url_filter.path_of(F.col("url")), "^/[^/]*/([0-9]{1,18})", 1), F.lit("9" * 18)).cast("bigint").alias("doc_id"))
-    outcomes = named.join(labels, "doc_id", "left").select("host", "bad")
+    number = F.try_to_number(F.regexp_extract(url_filter.path_of(F.col("url")), "^/[^/]*/([0-9]{1,18})", 1), F.lit("9" * 18)).cast("bigint")
+    # Urls that name the same document are counted before labels are joined; those that name none only tell of their host.
+    named = pages.groupBy(url_filter.host_of(F.col("url")).alias("host"), number.alias("doc_id")).agg(F.count(F.lit(1)).alias("times"))
+    told = named.where("doc_id IS NOT NULL").join(labels, "doc_id", "left").select("host", "bad", "times")
+    outcomes = told.unionByName(named.where("doc_id IS NULL").select("host", F.lit(None).cast(labels.schema["bad"].dataType).alias("bad"), "times"))
     return url_filter.judge(pages, outcomes, URL_RULES).drop("url")
 
 

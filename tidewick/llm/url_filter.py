@@ -3,18 +3,24 @@
 Labelled page outcomes (bad or not) are counted by host. Rates are shrunk down a hierarchy: the corpus to the suffix, the
 suffix to the registered domain, the domain to the host. At each level a unit's outcomes are beta-binomial: its prior has
 the parent's posterior mean and a strength fitted by moments, from how much rates spread around their parents beyond
-chance. A host without labels gets its domain's posterior, and so on up. A page is blocked when the lower bound of its
-host's bad rate (posterior mean less ``Z`` standard deviations) passes ``LIMIT``.
+chance; where they don't, the strength is infinite and all units have their parent's rate. A host without labels gets its
+domain's posterior, and so on up. A page is blocked when the lower bound of its host's bad rate (posterior mean less ``Z``
+standard deviations) passes the corpus's rate by the factor ``LIFT``: how common bad pages are differs between corpora, and
+a fixed limit would block all or none.
 
-Counting is a partial aggregation by host and pages meet their host's verdict in a shuffle join that adaptive execution can
-split, so that a host with a third of all pages is no hot spot; only a few sums for each level reach the driver.
+The suffixes under which names are registered are given as public-suffix rules (``co.uk``, ``*.ck``, ``!www.ck``), or else
+told by a short rule; user names and ports don't count, and an address of numbers is its own domain.
+
+Counting is a partial aggregation by host, and pages meet their host's verdict by a broadcast of checked size or salted, so
+that a host with a third of all pages is no hot spot; only a few sums for each level reach the driver.
 
 Rules are (action, host, path): a rule fits its host and all subdomains if the url's path starts with the rule's, the
-longest fitting one wins and overrides the reputation.
+longest fitting one wins (of equally long ones the first in order of action, host and path) and overrides the reputation.
 
-Defined cases: a null url, or one without ``://``, has an empty host and path, which are judged like any other; pages
-without labels only use the priors; without any label all are allowed; repeated rows each get their verdict; an empty table
-gives an empty result.
+Defined cases: a null url, or one without ``://``, has an empty host and path, which are judged like any other; long urls
+are read whole; pages without labels only use the priors; without any label all are allowed; repeated rows each get their
+verdict, and each counts; columns named like a result (host, path, rule, verdict, bad_rate, bound) are replaced, others pass
+through; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -24,12 +30,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed, scratch
+from .common import BROADCAST, checkpointed, meet, scratch
 
-LIMIT = 0.5
+LIFT = 1.25
 Z = 1.645
-STRENGTHS = (1.0, 10_000.0)
-# Suffixes under which names are registered are one label, or two for these.
+POOLED = 1e15  # stands for an infinite strength
+LEAST = 1e-3  # so that a host without labels has its parent's rate, however much rates spread
+# Without rules, suffixes are one label, or two for these.
 LONG_SUFFIX = r"(?:co|com|net|org|gov|ac|edu)\.[a-z]{2}"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -42,13 +49,28 @@ def path_of(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(url, r"^(?s:.*?)://[^/?#]*([^?#]*)", 1), F.lit(""))
 
 
-def suffix_of(host: Column) -> Column:
-    return F.regexp_extract(host, rf"({LONG_SUFFIX}|[^.]*)$", 1)
+def bare(host: Column) -> Column:
+    """The host without user name and port."""
+    return F.regexp_replace(host, r"^.*@|:[0-9]*$", "")
 
 
-def domain_of(host: Column) -> Column:
-    """The registered domain: the suffix and one label before it."""
-    return F.regexp_extract(host, rf"((?:[^.]*\.)?(?:{LONG_SUFFIX}|[^.]*))$", 1)
+def registered(hosts: DataFrame, rules: Sequence[str] | None = None) -> DataFrame:
+    """Rows (host, ...) with domain and suffix; the domain is the suffix and one label before it. rules: public-suffix rules."""
+    labels, numeric = F.split(bare(F.col("host")), r"\."), bare(F.col("host")).rlike(r"^([0-9]+\.){3}[0-9]+$|^\[")
+    if rules is None:
+        size = F.when(bare(F.col("host")).rlike(rf"(^|\.){LONG_SUFFIX}$"), 2).otherwise(1)
+        found = hosts.withColumn("size_", size)
+    else:
+        table = hosts.sparkSession.createDataFrame([(r.removeprefix("!"), r.startswith("!")) for r in rules], "rule_ string, except_ boolean")
+        last = lambda n: F.array_join(F.slice(F.col("labels_"), F.size("labels_") - n + 1, n), ".")
+        names = hosts.select("host", labels.alias("labels_")).select("host", "labels_", F.explode(F.sequence(F.lit(1), F.size("labels_"))).alias("n_"))
+        # The last n labels, and with a star for the first of them, may be rules.
+        names = names.select("host", "n_", F.explode(F.array(last(F.col("n_")), F.concat(F.lit("*."), F.when(F.col("n_") > 1, last(F.col("n_") - 1))))).alias("rule_"))
+        best = names.join(F.broadcast(table), "rule_").groupBy("host").agg(F.max(F.struct("except_", "n_")).alias("best_"))
+        sizes = best.select("host", (F.col("best_.n_") - F.col("best_.except_").cast("int")).alias("size_"))
+        found = hosts.join(sizes, "host", "left").withColumn("size_", F.coalesce("size_", F.lit(1)))
+    tail = lambda n: F.when(numeric, bare(F.col("host"))).otherwise(F.array_join(F.slice(labels, F.greatest(F.lit(1), F.size(labels) - n + 1), n), "."))
+    return found.withColumns({"domain": tail(F.col("size_") + 1), "suffix": F.when(numeric, "").otherwise(tail(F.col("size_")))}).drop("size_")
 
 
 def rule_for(host: Column, path: Column, rules: Sequence[tuple[str, str, str]]) -> tuple[Column, Column]:
@@ -72,43 +94,51 @@ def _strength(units: DataFrame) -> float:
         F.sum(F.pow(F.col("k") - F.col("n") * F.col("m"), 2) - F.col("n") * chance).alias("beyond"),
         F.sum(F.col("n") * (F.col("n") - 1) * chance).alias("room"),
     ).head()
-    low, high = STRENGTHS
     share = sums["beyond"] / sums["room"] if sums["room"] else 0.0
-    return min(high, max(low, 1 / share - 1)) if share > 0 else high
-
-
-def reputations(outcomes: DataFrame, z: float = Z) -> DataFrame:
-    """From rows (host, bad: 1, 0, or null where unlabelled), a row for each host: its posterior mean, deviation and lower bound."""
-    hosts = checkpointed(
-        outcomes.groupBy("host")
-        .agg(F.count("bad").alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).alias("k"))
-        .withColumns({"domain": domain_of(F.col("host")), "suffix": suffix_of(F.col("host"))})
-    )
-    domains = hosts.groupBy("suffix", "domain").agg(F.sum("n").alias("n"), F.sum("k").alias("k"))
-    suffixes = domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("k").alias("k"))
-    total = suffixes.agg(F.sum("n").alias("n"), F.sum("k").alias("k")).head()
-    # One outcome of each sort is counted for the corpus, so that its mean is never 0 or 1.
-    overall = ((total["k"] or 0) + 1) / ((total["n"] or 0) + 2) if total["n"] else 0.0
+    return max(LEAST, 1 / share - 1) if share > 0 else POOLED
+
+
+def corpus_rate(n: int | None, k: int | None) -> float:
+    """The share of bad outcomes, one of each sort added, so that it is never 0 or 1."""
+    return ((k or 0) + 1) / ((n or 0) + 2)
+
+
+def reputations(outcomes: DataFrame, z: float = Z, suffixes: Sequence[str] | None = None) -> DataFrame:
+    """From rows (host, bad: 1, 0 or null where unlabelled, and times, where there is such a column), a row for each host.
+
+    Its labelled outcomes, the posterior mean and deviation of its bad rate and their lower bound; corpus is the rate of all.
+    """
+    times = F.col("times") if "times" in outcomes.columns else F.lit(1)
+    counts = {"n": F.sum(F.when(F.col("bad").isNotNull(), times).otherwise(0)), "k": F.sum(F.when(F.col("bad") == 1, times).otherwise(0))}
+    hosts = checkpointed(registered(outcomes.groupBy("host").agg(*[x.alias(c) for c, x in counts.items()]), suffixes))
+    summed = [F.sum(c).alias(c) for c in counts]
+    domains = hosts.groupBy("suffix", "domain").agg(*summed)
+    suffixed = domains.groupBy("suffix").agg(*summed)
+    overall = corpus_rate(*suffixed.agg(*summed).head())
 
     def shrunk(units: DataFrame) -> DataFrame:
         strength = _strength(units)
         return units.withColumns({"a": F.col("k") + strength * F.col("m"), "b": F.col("n") - F.col("k") + strength * (1 - F.col("m"))})
 
     mean = F.col("a") / (F.col("a") + F.col("b"))
-    suffixes = shrunk(suffixes.withColumn("m", F.lit(overall))).select("suffix", mean.alias("m"))
-    domains = shrunk(domains.join(suffixes, "suffix")).select("suffix", "domain", mean.alias("m"))
+    tops = shrunk(suffixed.withColumn("m", F.lit(overall))).select("suffix", mean.alias("m"))
+    domains = shrunk(domains.join(tops, "suffix")).select("suffix", "domain", mean.alias("m"))
     hosts = shrunk(hosts.join(domains, ["suffix", "domain"]))
     spread = F.sqrt(mean * (1 - mean) / (F.col("a") + F.col("b") + 1))
-    return hosts.select("host", "domain", "suffix", F.col("n").alias("labelled"), mean.alias("bad_rate"), spread.alias("deviation"), F.greatest(F.lit(0.0), mean - z * spread).alias("bound"))
+    return hosts.select(
+        "host", "domain", "suffix", F.col("n").alias("labelled"), mean.alias("bad_rate"), spread.alias("deviation"), F.greatest(F.lit(0.0), mean - z * spread).alias("bound"), F.lit(overall).alias("corpus")
+    )
 
 
 def judge(
-    pages: DataFrame, outcomes: DataFrame, rules: Sequence[tuple[str, str, str]] = (), key: str = "page_id", url_col: str = "url", limit: float = LIMIT
+    pages: DataFrame, outcomes: DataFrame, rules: Sequence[tuple[str, str, str]] = (), url_col: str = "url", lift: float = LIFT, suffixes: Sequence[str] | None = None, broadcast: int = BROADCAST
 ) -> DataFrame:
-    """pages with host, path, rule, verdict, bad_rate and bound. outcomes: rows (host, bad), where bad may be null."""
-    host, path = scratch(pages.drop("host", "path"), "host", "path")
-    found = pages.drop("host", "path").withColumns({host: host_of(F.col(url_col)), path: path_of(F.col(url_col))})
-    known = reputations(outcomes).select(F.col("host").alias(host), "bad_rate", "bound")
+    """pages with host, path, rule, verdict, bad_rate and bound. outcomes: as for ``reputations``."""
+    made = ("host", "path", "rule", "verdict", "bad_rate", "bound")
+    host, path, rate, bound, corpus = scratch(pages, "host", "path", "bad_rate", "bound", "corpus")
+    found = pages.withColumns({host: host_of(F.col(url_col)), path: path_of(F.col(url_col))})
+    known = reputations(outcomes, suffixes=suffixes).select(F.col("host").alias(host), F.col("bad_rate").alias(rate), F.col("bound").alias(bound), F.col("corpus").alias(corpus))
     rule, action = rule_for(F.col(host), F.col(path), rules)
-    learned = F.when(F.col("bound") > limit, "block").otherwise("allow")
-    return found.join(known, host, "left").select(*[c for c in found.columns if c not in (host, path)], host, path, rule.alias("rule"), F.coalesce(action, learned).alias("verdict"), "bad_rate", "bound")
+    learned = F.when(F.col(bound) > lift * F.col(corpus), "block").otherwise("allow")
+    results = zip((F.col(host), F.col(path), rule, F.coalesce(action, learned), F.col(rate), F.col(bound)), made)
+    return meet(found, known, host, broadcast).select(*[c for c in pages.columns if c not in made], *[x.alias(c) for x, c in results])
