@@ -312,7 +312,8 @@ def keep_one_of_each(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
     sets, classes = _classes(docs, words, percent, id_col, text_col)
     rows = checkpointed(sets.join(classes.select("n", "sig_a", "sig_b", "root"), ["n", "sig_a", "sig_b"], "left").select("id", *MARKS, "root"))
     order = F.struct(F.col("id").isNull().alias("last"), "id", *MARKS)
-    best = rows.where("root is not null").groupBy("root").agg(F.min(order).alias("best"))
+    # Kept, so that the join deals both sides anew and adaptive execution can split a large component.
+    best = checkpointed(rows.where("root is not null").groupBy("root").agg(F.min(order).alias("best"), F.count(F.lit(1)).alias("c")).where("c > 1").drop("c"))
     lost = rows.join(best, "root").where(order != F.col("best")).select("id", *MARKS, F.lit(True).alias("gone"))
     twice = rows.groupBy("id", *MARKS).agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("id", *MARKS, F.lit(False).alias("gone"))
     told = checkpointed(lost.unionByName(twice).groupBy("id", *MARKS).agg(F.bool_or("gone").alias("gone")))
