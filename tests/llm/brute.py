@@ -5,6 +5,9 @@ from __future__ import annotations
 import hashlib
 import re
 
+import regex
+import xxhash
+
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
@@ -88,3 +91,40 @@ def host_and_path(url: str | None) -> tuple[str, str]:
 def rule_for(host: str, path: str, rules) -> tuple | None:
     fits = [r for r in rules if (host == r[1] or host.endswith("." + r[1])) and path.startswith(r[2])]
     return max(fits, key=lambda r: len(r[1] + r[2]), default=None)
+
+
+def edited_texts(rows: dict[int, str | None]) -> tuple[dict[int, str], dict[int, int]]:
+    """Each text with its last half replaced from the next one's beginning, and which that is."""
+    order = sorted(rows, reverse=True)
+    follows = {i: order[(k + 1) % len(order)] for k, i in enumerate(order)}
+    text = {i: t or "" for i, t in rows.items()}
+    return {i: t[: len(t) - len(t) // 2] + text[follows[i]][: len(t) // 2] for i, t in text.items()}, follows
+
+
+def imatch(rows: dict[int, str | None], low: float, high: float, halves: int, scales) -> dict[int, tuple]:
+    """For each id: the terms of each subset, of its text and its edited text, and both likenesses."""
+    terms_of = lambda t: {w for w in regex.split(r"[^\p{L}\p{N}]+", t.lower()) if w}
+    hashed = lambda w: xxhash.xxh64(w.encode(), seed=42).intdigest()
+    edited, follows = edited_texts(rows)
+    own, new = {i: terms_of(t or "") for i, t in rows.items()}, {i: terms_of(t) for i, t in edited.items()}
+    df: dict[str, int] = {}
+    for found in own.values():
+        for w in found:
+            df[w] = df.get(w, 0) + 1
+    band = {w for w, n in df.items() if max(2, low * len(rows)) <= n <= max(2, high * len(rows))}
+
+    def subsets(found: set) -> dict:
+        out: dict = {}
+        for w in found & band:
+            h = hashed(w)
+            places = [(0, bit) for bit in range(halves) if h >> bit & 1]
+            places += [(k + 1, h >> shift & (1 << bits) - 1) for k, (shift, bits, kept) in enumerate(scales) if (h >> shift & (1 << bits) - 1) < kept]
+            for place in places:
+                out.setdefault(place, set()).add(w)
+        return out or {"whole": found}
+
+    def like(a: dict, b: dict) -> float:
+        return sum(a[k] == b[k] for k in a.keys() & b.keys()) / len(a.keys() | b.keys())
+
+    prints, news = {i: subsets(x) for i, x in own.items()}, {i: subsets(x) for i, x in new.items()}
+    return {i: (prints[i], news[i], like(prints[i], news[i]), like(prints[i], prints[follows[i]])) for i in rows}

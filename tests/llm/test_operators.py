@@ -414,6 +414,24 @@ def test_fingerprints(spark, texts):
     assert (rows["near_edited"] > rows["near_next"]).mean() > 0.9
 
 
+@pytest.mark.parametrize("broadcast", [fingerprints.BROADCAST, 0])
+def test_fingerprints_equal_plain_imatch(spark, texts, monkeypatch, broadcast):
+    """Likenesses, and which fingerprints are equal, with the lexicon broadcast and joined."""
+    monkeypatch.setattr(fingerprints, "BROADCAST", broadcast)
+    rows = {i: texts[i] for i in sorted(texts)[:120]} | {10**6: None, 10**6 + 1: "", 10**6 + 2: "once-only 😀 terms", 10**6 + 3: "ONCE only TERMS"}
+    frame = spark.createDataFrame(list(rows.items()), "doc_id bigint, text string")
+    plain = brute.imatch(rows, 0.02, 0.3, fingerprints.HALVES, fingerprints.SCALES)
+    found = {r["doc_id"]: r for r in fingerprints.with_fingerprints(frame, low=0.02, high=0.3).collect()}
+    assert found.keys() == plain.keys()
+    known: dict = {}
+    for i, (own, new, near_edited, near_next) in plain.items():
+        assert np.isclose(found[i]["near_edited"], near_edited) and np.isclose(found[i]["near_next"], near_next)
+        for subsets, told in ((own, found[i]["fingerprint"]), (new, found[i]["edited_fingerprint"])):
+            assert len(told) == 16 * len(subsets)
+            assert known.setdefault(repr(sorted((repr(k), sorted(v)) for k, v in subsets.items())), told) == told
+    assert len(set(known.values())) == len(known)
+
+
 def test_fingerprints_odd_rows(spark, odd, none):
     rows = fingerprints.with_fingerprints(odd).collect()
     assert len(rows) == 10

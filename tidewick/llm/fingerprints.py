@@ -6,13 +6,18 @@ random subsets of the lexicon those in the subset are hashed. Subsets keep from
 that coarse ones agree only for near-equal texts, and fine ones, which hold a term or two of a text, agree about as often
 as the texts' terms do. Likeness is the share of agreeing subsets among those that either text has terms in.
 
-Native: only SQL functions. The lexicon has at most (mean distinct terms of a text) / ``LOW`` terms, whatever the number of
-texts; it is broadcast where it has ``BROADCAST`` terms at most, and joined by a shuffle else. Texts are shuffled once, by
-id, for each to meet the part of its neighbour that the edited text needs.
+Each term names the few subsets that it is in, by bits of its hash; the pairs of subset and term are sorted, and one pass
+over them hashes each subset's run. A fingerprint holds a number for each subset with terms: 57 bits of hash, 7 of its name.
 
-Defined cases: a null text counts as empty; a text without lexicon terms has the hash of all its terms in every place, so
-that only equal sets of terms agree; a null id comes last; of rows that repeat an id the greatest beginning is the one
-before's neighbour; each repeated row gets its result; the only id is its own neighbour; an empty table gives an empty result.
+Native: only SQL functions. The lexicon has at most (mean distinct terms of a text) / ``LOW`` terms, whatever the number of
+texts; it is broadcast where it has ``BROADCAST`` terms at most, and joined by a shuffle else, where adaptive execution can
+split the most frequent terms. Texts are shuffled once, by id, for each to meet the part of its neighbour that the edited
+text needs.
+
+Defined cases: a null text counts as empty; very long texts are read whole; a text without lexicon terms has the hash of all
+its terms, so that only equal sets of terms agree; a null id comes last; of rows that repeat an id the greatest beginning is
+the one before's neighbour, and the greatest fingerprint stands for it; each repeated row gets its result; the only id is its
+own neighbour; only id and text are read, so that other columns may have any names; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -25,11 +30,12 @@ from .common import checkpointed, text_of
 LOW, HIGH = 0.002, 0.2
 BROADCAST = 1_000_000
 WORD = r"[^\p{L}\p{N}]+"
+HALVES = 4
 # Subsets by the bits of a term's hash that decide: (first bit, bits, subsets); of 2**bits equal parts the first ones are used.
 SCALES = ((4, 3, 8), (7, 5, 32), (12, 8, 32), (20, 11, 16))
-HALVES = 4
-NOTHING = 42  # what xxhash64 gives for no values, its seed
+NAME_BITS, NO_SUBSET = 7, 127
 NO_ID = -(2**63)
+ABOUT = "struct<n:int,sha:binary,own:bigint,new:bigint>"
 
 
 def terms(text: Column) -> Column:
@@ -39,58 +45,60 @@ def terms(text: Column) -> Column:
 
 
 def lexicon(texts: DataFrame, text_col: str, low: float = LOW, high: float = HIGH) -> DataFrame:
-    """Rows (term) of the band, of frequency 2 at least, and the term 0, which marks texts and is in no subset."""
+    """Rows (term) of the band, of frequency 2 at least."""
     counted = texts.select(F.explode(terms(F.col(text_col))).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     n = texts.count()
-    band = counted.where((F.col("df") >= max(2.0, low * n)) & (F.col("df") <= max(2.0, high * n)) & (F.col("term") != 0)).select("term")
-    return checkpointed(band.unionByName(texts.sparkSession.range(1).select(F.col("id").alias("term"))))
+    return checkpointed(counted.where((F.col("df") >= max(2.0, low * n)) & (F.col("df") <= max(2.0, high * n))).select("term"))
 
 
 def _part(h: Column, shift: int, bits: int) -> Column:
     return F.shiftrightunsigned(h, shift).bitwiseAND(F.lit(2**bits - 1).cast("bigint"))
 
 
-def _subset_hashes(found: Column) -> Column:
-    """One hash for each subset, of the sorted terms in it."""
-    halves = F.array(*[F.xxhash64(F.filter(found, _bit(bit))) for bit in range(HALVES)])
-    parts = [halves]
-    for shift, bits, kept in SCALES:
-        some = found if kept == 2**bits else F.filter(found, _below(shift, bits, kept))
-        parts.append(F.transform(F.sequence(F.lit(0), F.lit(kept - 1)), _hash_of_part(some, shift, bits)))
-    return F.concat(*parts)
-
-
-def _bit(bit: int):
-    return lambda h: _part(h, bit, 1) == 1
+def _named(subset: Column, h: Column) -> Column:
+    """A subset's name above the hash's other bits."""
+    return F.shiftleft(subset.cast("bigint"), 64 - NAME_BITS).bitwiseOR(F.shiftrightunsigned(h, NAME_BITS))
 
 
-def _below(shift: int, bits: int, kept: int):
-    return lambda h: _part(h, shift, bits) < kept
+def _name(code: Column) -> Column:
+    return F.shiftrightunsigned(code, 64 - NAME_BITS)
 
 
-def _hash_of_part(found: Column, shift: int, bits: int):
-    return lambda j: F.xxhash64(F.filter(found, lambda h: _part(h, shift, bits) == j))
+def _in_subsets(term: Column) -> Column:
+    """The term under the name of each subset that it is in, null for those it isn't in."""
+    found = [F.when(_part(term, bit, 1) == 1, _named(F.lit(bit), term)) for bit in range(HALVES)]
+    first = HALVES
+    for shift, bits, kept in SCALES:
+        part = _part(term, shift, bits)
+        code = _named(part + first, term)
+        found.append(code if kept == 2**bits else F.when(part < kept, code))
+        first += kept
+    return F.array(*found)
 
 
-def _short(h: Column) -> Column:
-    """15 bits of a hash; 0 for a subset without terms."""
-    return F.when(h == NOTHING, 0).otherwise(1 + F.pmod(h, F.lit(32767))).cast("smallint")
+def fingerprint(found: Column, whole: Column) -> Column:
+    """From a text's lexicon terms and the hash of all its terms, a number for each subset with terms, in order of subsets."""
+    codes = F.sort_array(F.array_compact(F.flatten(F.transform(found, _in_subsets))))
+    none = F.array().cast("array<bigint>")
+    start = F.struct(F.lit(-1).cast("bigint").alias("name"), F.lit(0).cast("bigint").alias("h"), none.alias("out"))
+    put = lambda state: F.when(state["name"] >= 0, F.concat(state["out"], F.array(_named(state["name"], state["h"])))).otherwise(state["out"])
 
+    def follow(state: Column, code: Column) -> Column:
+        same = state["name"] == _name(code)
+        return F.struct(_name(code).alias("name"), F.xxhash64(F.when(same, state["h"]).otherwise(0).cast("bigint"), code).alias("h"), F.when(same, state["out"]).otherwise(put(state)).alias("out"))
 
-def fingerprint(found: Column, whole: Column) -> Column:
-    """Array of 15-bit hashes, from the sorted lexicon terms and, for texts without any, the hash of all terms."""
-    return F.when(F.size(found) > 0, F.transform(_subset_hashes(found), _short)).otherwise(F.array_repeat(_short(whole), HALVES + sum(s[2] for s in SCALES)))
+    return F.when(F.size(found) > 0, F.aggregate(codes, start, follow, put)).otherwise(F.array(_named(F.lit(NO_SUBSET), whole)))
 
 
 def likeness(a: Column, b: Column) -> Column:
     """The share of agreeing subsets among those that either has terms in."""
-    both = F.zip_with(a, b, lambda x, y: F.when(x == y, F.when(x == 0, -1).otherwise(1)).otherwise(0))
-    agree, either = F.size(F.filter(both, lambda x: x == 1)), F.size(F.filter(both, lambda x: x >= 0))
-    return F.when(either > 0, agree / either).otherwise(1.0)
+    agree = F.size(F.array_intersect(a, b))
+    either = F.size(F.array_union(F.transform(a, _name), F.transform(b, _name)))
+    return agree / either
 
 
 def shown(print_: Column) -> Column:
-    return F.array_join(F.transform(print_, lambda x: F.lpad(F.hex(x.cast("bigint")), 4, "0")), "")
+    return F.array_join(F.transform(print_, lambda x: F.lpad(F.hex(x), 16, "0")), "")
 
 
 def neighbours(ids: DataFrame) -> DataFrame:
@@ -114,29 +122,37 @@ def with_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     """
     texts = docs.select(F.coalesce(F.col(id_col).cast("bigint"), F.lit(NO_ID)).alias("key"), text_of(text_col).alias("text"))
     band = lexicon(texts, "text", low, high)
-    band = F.broadcast(band) if band.count() <= BROADCAST else band
     order = checkpointed(neighbours(texts.groupBy("key").agg(F.max(F.length("text")).alias("n"))))
     begin = texts.join(order.select(F.col("key").alias("owner"), F.floor(F.col("n") / 2).cast("int").alias("need"), F.col("next").alias("key")), "key")
     begin = begin.select(F.col("owner").alias("key"), F.expr("substring(text, 1, need)").alias("begin")).groupBy("key").agg(F.max("begin").alias("begin"))
     both = texts.join(begin, "key").withColumn("n", F.length("text"))
     half = F.expr("concat(substring(text, 1, n - n div 2), substring(begin, 1, n div 2))")
     both = both.withColumn("edited", half).withColumn("row", F.monotonically_increasing_id())
-    own, new = terms(F.col("text")), terms(F.col("edited"))
-    sides = both.select("key", "row", "n", F.sha2("edited", 256).alias("sha"), F.array(F.struct(F.lit(0).alias("side"), own.alias("terms")), F.struct(F.lit(1).alias("side"), new.alias("terms"))).alias("sides"))
-    sides = sides.select("key", "row", "n", "sha", F.explode("sides").alias("s")).select("key", "row", "n", "sha", "s.side", "s.terms")
-    sides = sides.withColumn("whole", F.xxhash64(F.sort_array("terms"), F.size("terms")))
-    held = sides.select("key", "row", "n", "sha", "side", "whole", F.explode(F.concat(F.array(F.lit(0).cast("bigint")), F.col("terms"))).alias("term")).join(band, "term")
-    found = held.groupBy("key", "row", "n", "sha", "side", "whole").agg(F.sort_array(F.array_remove(F.collect_set("term"), F.lit(0).cast("bigint"))).alias("found"))
-    prints = found.withColumn("print", fingerprint(F.col("found"), F.col("whole")))
-    pick = lambda side: F.max(F.when(F.col("side") == side, F.col("print")))
-    rows = checkpointed(prints.groupBy("key", "row", "n", "sha").agg(pick(0).alias("print"), pick(1).alias("edited")))
+    sides = both.select("key", "row", "n", F.unhex(F.sha2("edited", 256)).alias("sha"), terms(F.col("text")).alias("own"), terms(F.col("edited")).alias("new"))
+    # A row for each term and the sides that have it (1, 2, or both: 3), and one with what belongs to the text as a whole.
+    whole = lambda side: F.xxhash64(F.sort_array(side), F.size(side))
+    about = F.struct(F.col("n").alias("n"), F.col("sha").alias("sha"), whole("own").alias("own"), whole("new").alias("new"))
+    element = lambda terms, side: F.transform(terms, lambda t: F.struct(t.alias("term"), F.lit(side).alias("side"), F.lit(None).cast(ABOUT).alias("about")))
+    elements = F.concat(
+        F.array(F.struct(F.lit(None).cast("bigint").alias("term"), F.lit(0).alias("side"), about.cast(ABOUT).alias("about"))),
+        element(F.array_intersect("own", "new"), 3), element(F.array_except("own", "new"), 1), element(F.array_except("new", "own"), 2),
+    )
+    spread = sides.select("key", "row", F.explode(elements).alias("e")).select("key", "row", "e.*")
+    if band.count() <= BROADCAST:
+        marked = spread.join(F.broadcast(band.withColumn("known", F.lit(True))), "term", "left").where("known OR side = 0")
+    else:
+        spread = checkpointed(spread)
+        marked = spread.where("side > 0").join(band, "term").select(*spread.columns).unionByName(spread.where("side = 0"))
+    on = lambda bit: F.collect_list(F.when(F.col("side").bitwiseAND(bit) > 0, F.col("term")))
+    found = marked.groupBy("key", "row").agg(F.max("about").alias("about"), on(1).alias("own"), on(2).alias("new"))
+    rows = checkpointed(found.select("key", "row", "about.n", "about.sha", fingerprint(F.col("own"), F.col("about.own")).alias("print"), fingerprint(F.col("new"), F.col("about.new")).alias("edited")))
     # Rows that repeat an id stand for their neighbour by the greatest fingerprint.
     after = rows.groupBy("key").agg(F.max("print").alias("print")).join(order.select(F.col("key").alias("owner"), F.col("next").alias("key")), "key")
     joined = rows.join(after.select(F.col("owner").alias("key"), F.col("print").alias("after")), "key")
     return joined.select(
         F.when(F.col("key") != NO_ID, F.col("key")).alias(id_col),
         F.col("n").cast("bigint").alias("n_chars"),
-        F.col("sha").alias("edited_sha256"),
+        F.lower(F.hex("sha")).alias("edited_sha256"),
         shown(F.col("print")).alias("fingerprint"),
         shown(F.col("edited")).alias("edited_fingerprint"),
         likeness(F.col("print"), F.col("edited")).alias("near_edited"),
