@@ -9,8 +9,9 @@ sequence whose neighbours all agree is the one that merging gives.
 Pieces (matches of the pattern) recur, so that each task keeps what it has found for up to ``MEMO`` of them; the memo is
 emptied when full, so that memory stays bounded.
 
-Defined cases: a null text counts as empty and has no tokens; repeated rows each get their own result; an empty table gives
-an empty result; other columns pass through.
+Defined cases: a null text counts as empty and has no tokens; very long texts and pieces are encoded whole; equal texts have
+equal results, and repeated rows each get theirs; columns named like a result are replaced, others pass through, whatever
+their names; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_of
+from .common import scratch, text_of
 
 MEMO = 300_000
 PAIRS = 1_000_000
@@ -41,9 +42,13 @@ class Encoder:
         self.joint: dict[tuple[int, int], int] = {}
         self.parts: dict[int, tuple[int, int]] = {}
         self.pair_memo: dict[tuple[int, int], bool] = {}
+        self.size = {rank: len(token) for rank, token in self.bytes_of.items()}
+        self.shown = {rank: str(rank) for rank in self.bytes_of}
+        self.of_byte = [ranks.get(bytes([b])) for b in range(256)]
         self.longest = ahocorasick.Automaton()
         for rank, token in sorted(self.bytes_of.items()):
-            self.longest.add_word(token.decode("latin-1"), rank)
+            if len(token) > 1:
+                self.longest.add_word(token.decode("latin-1"), (len(token) - 1, rank))
             self.parts[rank] = (rank, rank)
             # A token's last merge joins two older ones that may stand side by side without it.
             for cut in range(1, len(token)):
@@ -90,36 +95,33 @@ class Encoder:
             known = self.pair_memo[left, right] = self._agree(left, right)
         return known
 
-    def _starting(self, text: str) -> list[int | None]:
-        """For each place, the longest token that begins there."""
-        found: list[int | None] = [None] * len(text)
-        size = [0] * len(text)
-        for end, rank in self.longest.iter(text):
-            # iter tells all tokens that end at a place, so that later ends give longer tokens for the same start.
-            n = len(self.bytes_of[rank])
-            if n > size[end - n + 1]:
-                size[end - n + 1], found[end - n + 1] = n, rank
-        return found
-
     def encode(self, piece: bytes) -> list[int]:
         whole = self.rank_of.get(piece)
         if whole is not None:
             return [whole]
-        first = self._starting(piece.decode("latin-1"))
-        end, dead, out, at = len(piece), bytearray(len(piece) + 1), [], 0
-        token = first[0]
+        # For each place, the longest token that begins there: of all tokens, by their ends, the last.
+        first = [self.of_byte[b] for b in piece]
+        for last, (before, rank) in self.longest.iter(piece.decode("latin-1")):
+            first[last - before] = rank
+        size, shorter, known = self.size, self.shorter, self.pair_memo.get
+        end, dead, out, at = len(piece), set(), [], 0
+        token = first[0] if end else None
         while at < end:
             while token is not None:
-                ahead = at + len(self.bytes_of[token])
-                if not dead[ahead] and (not out or self.agree(out[-1], token)):
-                    break
-                token = self.shorter[token]
+                ahead = at + size[token]
+                if ahead not in dead:
+                    if not out:
+                        break
+                    fits = known((out[-1], token))
+                    if fits or (fits is None and self.agree(out[-1], token)):
+                        break
+                token = shorter[token]
             if token is None:
                 # No token fits here, so that no encoding passes this place: try less of the last one.
-                dead[at] = 1
+                dead.add(at)
                 token = out.pop()
-                at -= len(self.bytes_of[token])
-                token = self.shorter[token]
+                at -= size[token]
+                token = shorter[token]
                 continue
             out.append(token)
             at = ahead
@@ -149,7 +151,8 @@ class TextCodec:
         if len(self.memo) >= MEMO:
             self.memo.clear()
         ids = self.encoder.encode(piece.encode())
-        found = self.memo[piece] = (ids, " ".join(map(str, ids)), self.encoder.decode(ids))
+        shown = self.encoder.shown
+        found = self.memo[piece] = (ids, " ".join([shown[i] for i in ids]), self.encoder.decode(ids))
         return found
 
     def pieces(self, text: str) -> list[tuple[list[int], str, bytes]]:
@@ -180,4 +183,6 @@ def with_tokens(docs: DataFrame, path: str, pattern: str, text_col: str = "text"
                 rows.append((*row, [i for x in found for i in x[0]]) if ids else row)
             yield pd.DataFrame(rows, columns=[c.split()[0] for c in schema.split(", ")])
 
-    return docs.withColumn("coded", coded(text_of(text_col))).select("*", "coded.*").drop("coded")
+    names = [c.split()[0] for c in schema.split(", ")]
+    (held,) = scratch(docs, "coded")
+    return docs.withColumn(held, coded(text_of(text_col))).select(*[c for c in docs.columns if c not in names], f"{held}.*")
