@@ -96,6 +96,13 @@ def test_bpe_equals_library(texts, reference):
         assert b"".join(x[2] for x in found) == text.encode()
 
 
+def test_bpe_clashing_columns(spark):
+    docs = docs_of(spark, ["a b", None]).withColumns({"coded": F.lit("own"), "n_tokens": F.lit(-1), "ids": F.lit("old")})
+    rows = bpe.with_tokens(docs, RANKS, tokenizers.PATTERN, ids=True)
+    assert sorted(rows.columns) == sorted(["doc_id", "text", "coded", "n_tokens", "ids_sha256", "decoded_sha256", "ids"])
+    assert [(r["coded"], r["n_tokens"], len(r["ids"])) for r in rows.orderBy("doc_id").collect()] == [("own", 2, 2), ("own", 0, 0)]
+
+
 def test_bpe_memo_and_odd_rows(spark, odd, none, reference, monkeypatch):
     monkeypatch.setattr(bpe, "MEMO", 3)
     assert bpe.TextCodec(RANKS, tokenizers.PATTERN).pieces("a b c d e a b c")[0][0] == reference.encode_ordinary("a")
@@ -197,6 +204,40 @@ def test_formats_are_inferred(spark):
     assert [(x["kind"], x["start"], x["end"]) for x in rows[240]] == [("format", 4, 24)] and rows[241] == []
 
 
+def test_likelihood_equals_plain_product():
+    """The product of each step's smoothed share of the state's runs, by counting the training strings themselves."""
+    r = random.Random(3)
+    strings = ["".join(r.choice("ab1") for _ in range(r.randint(1, 6))) for _ in range(300)]
+    learned = secrets.Automaton(strings)
+    walks = []
+    for x in strings:
+        state, steps = 0, []
+        for c in secrets.shape(x):
+            steps.append((state, c))
+            state = learned.next[state][c][0]
+        walks += [*steps, (state, "")]
+    size = {"a": 6, "0": 10, "g": 20}
+    for x in [*strings[:20], "b1a1", "zzz"]:
+        state, total = 0, 0.0
+        for c in [*secrets.shape(x), ""]:
+            at = sum(s == state for s, _ in walks)
+            seen = sum(w == (state, c) for w in walks)
+            total += np.log((seen + secrets.SMOOTHING) / (at + 12 * secrets.SMOOTHING)) - (np.log(size[c]) if c else 0)
+            state = learned.next[state][c][0] if c and seen else state
+        assert np.isclose(total, learned.log_likelihood(x))
+
+
+def test_clean_texts_have_few_format_spans(spark, texts):
+    """Credentials of an unseen prefix are found, other texts are left alone."""
+    r = random.Random(5)
+    key = lambda: "".join(r.choice("0123456789abcdef") for _ in range(32))
+    planted = [f"{t[:300]} zk_{key()} {t[300:600]}" for t in list(texts.values())[:20]]
+    clean = list(texts.values())
+    rows = {x["doc_id"]: [s["kind"] for s in x["spans"]] for x in secrets.scan(docs_of(spark, [*planted, *clean, *(f"token={key()}" for _ in range(50))])).collect()}
+    assert sum("format" in rows[k] or "hex" in rows[k] for k in range(20)) == 20
+    assert sum("format" in rows[k] for k in range(20, 20 + len(clean))) <= 0.01 * len(clean)
+
+
 def test_automaton_merges_states():
     learned = secrets.Automaton(["a1" * n for n in range(1, 12)] * 40)
     assert learned.log_likelihood("a1a1a1a1") > learned.log_likelihood("aa11aa11") + 3

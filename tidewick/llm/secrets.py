@@ -8,20 +8,25 @@ the length of the shortest example on, is scored by the logarithm of its best fo
 ordinary run; those above ``MARGIN`` a character become spans of kind ``format``.
 
 Symbols are character classes with equally likely members, so that automata tell formats, not values. All distinct examples
-and runs are learned, whole: Spark counts the prefix tree's nodes, of which those seen twice or more reach the driver (the
-bound can't tell a state seen once from any other, so that those join the first state). Spark then counts what all
-strings do in the merged automaton. The number of nodes on the driver grows with that of examples.
-
-Defined cases: a null text counts as empty; without examples of a kind its automaton is left out, without any no span is
-added; repeated rows each get their own result; an empty table gives an empty result.
+and runs are learned, whole, by their shapes; values themselves are never stored, only digests that tell equal ones. Spark
+counts the prefix tree's nodes, of which those seen twice or more reach the driver (the bound can't tell a state seen once
+from any other, so that those join the first state). Spark then counts what all strings do in the merged automaton. The
+number of nodes on the driver grows with that of different shapes.
+
+Defined cases: a null text counts as empty; very long texts and runs are read whole; without examples of a kind its
+automaton is left out, without any no span is added; spans of one start come in the order of kinds, ``format`` last; repeated
+rows each get their own result, and count once for the formats; only id and text are read, so that other columns may have
+any names; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import math
 import re
+from hashlib import blake2b
 from collections import Counter, deque
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -38,6 +43,8 @@ KINDS = ("assign", "access", "hex")
 ASSIGN = re.compile(r"""(?ai:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")
+# A text without any of these, in lower case, holds no assigned value; looking for them is faster than the pattern.
+NAMES = ("password", "passwd", "secret", "token", "apikey", "api_key")
 RUN = "[A-Za-z0-9+/_=-]{%d,}"
 FOUND = "doc_id bigint, spans array<struct<kind:string,start:bigint,end:bigint,score:double>>"
 # A class's symbol is its first member; other characters are their own symbols.
@@ -189,7 +196,8 @@ class Formats:
 
 def base_spans(text: str) -> list[tuple[str, int, int, str]]:
     """Spans of the fixed patterns, by start, then by kind as listed."""
-    out = [("assign", m.start(), m.end(), m[1]) for m in ASSIGN.finditer(text) if len(m[1]) >= 6]
+    low = text.lower()
+    out = [("assign", m.start(), m.end(), m[1]) for m in ASSIGN.finditer(text) if len(m[1]) >= 6] if any(x in low for x in NAMES) else []
     out += [("access", m.start(), m.end(), m[0]) for m in ACCESS.finditer(text) if len(m[0]) >= 20]
     out += [("hex", m.start(), m.end(), m[0]) for m in HEX.finditer(text)]
     return sorted(out, key=lambda x: (x[1], KINDS.index(x[0])))
@@ -206,18 +214,26 @@ def other_runs(text: str, base: list[tuple[str, int, int, str]], pattern: re.Pat
 
 
 def _values(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Examples and, of kind word, other runs; repeated ones are left out as far as a task remembers them."""
-    held: set[tuple[str, str]] = set()
+    """Digests and shapes of examples and, of kind word, other runs; repeated ones are left out as far as a task remembers them."""
+    held: dict[str, set[str]] = {kind: set() for kind in (*KINDS, "word")}
     pattern = re.compile(RUN % SHORTEST)
+
+    def told() -> pd.DataFrame:
+        digest = lambda x: int.from_bytes(blake2b(x.encode(), digest_size=8).digest(), "big", signed=True)
+        rows = [(kind, digest(x), shape(x)) for kind, found in held.items() for x in found]
+        for found in held.values():
+            found.clear()
+        return pd.DataFrame(rows, columns=["kind", "digest", "shape"])
+
     for batch in batches:
         for text in batch["text"]:
             base = base_spans(text)
-            held.update((x[0], x[3]) for x in base)
-            held.update(("word", m[0]) for m in other_runs(text, base, pattern))
-            if len(held) > HELD:
-                yield pd.DataFrame(sorted(held), columns=["kind", "value"])
-                held.clear()
-    yield pd.DataFrame(sorted(held), columns=["kind", "value"])
+            for x in base:
+                held[x[0]].add(x[3])
+            held["word"].update([m[0] for m in other_runs(text, base, pattern)] if base else pattern.findall(text))
+            if sum(map(len, held.values())) > HELD:
+                yield told()
+    yield told()
 
 
 def _by_kind(batch: pd.DataFrame) -> Iterator[tuple[str, list[tuple[str, int]]]]:
@@ -233,12 +249,11 @@ def _tree(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def infer(texts: DataFrame) -> Formats:
     """Automata from all examples and all other runs of the texts."""
-    values = checkpointed(texts.mapInPandas(_values, "kind string, value string").distinct())
-    shortest = values.where("kind <> 'word'").agg(F.min(F.length("value"))).head()[0]
+    values = checkpointed(texts.mapInPandas(_values, "kind string, digest bigint, shape string").distinct())
+    shortest = values.where("kind <> 'word'").agg(F.min(F.length("shape"))).head()[0]
     if shortest is None:
         return Formats({}, None, SHORTEST)
-    shaped = F.translate("value", "".join(map(chr, SYMBOL)), "".join(SYMBOL.values()))
-    shapes = checkpointed(values.where(F.length("value") >= shortest).groupBy("kind", shaped.alias("shape")).agg(F.count(F.lit(1)).alias("times")))
+    shapes = checkpointed(values.where(F.length("shape") >= shortest).groupBy("kind", "shape").agg(F.count(F.lit(1)).alias("times")))
     nodes = shapes.mapInPandas(_tree, "kind string, node bigint, above bigint, symbol string, seen bigint, stops bigint")
     twice = nodes.groupBy("kind", "node", "above", "symbol").agg(F.sum("seen").alias("seen"), F.sum("stops").alias("stops")).where("seen > 1")
     trees: dict[str, list[tuple]] = {kind: [] for (kind,) in shapes.select("kind").distinct().collect()}
@@ -270,19 +285,28 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", margin
     def scanned(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         learned = formats.value
         pattern = re.compile(RUN % learned.shortest)
-        known: dict[str, float] = {}
+        plain: set[str] = set()  # runs that are known to score less
+        score = lru_cache(HELD)(learned.score)
+
+        def added(text: str, base: list) -> Iterator[tuple]:
+            if not learned.kinds:
+                return
+            fresh = set(pattern.findall(text)) - plain
+            low = {x for x in fresh if score(x) < margin}
+            if len(plain) > HELD:
+                plain.clear()
+            plain.update(low)
+            if len(low) < len(fresh):
+                for m in other_runs(text, base, pattern):
+                    if m[0] in fresh and (found := score(m[0])) >= margin:
+                        yield "format", m.start(), m.end(), found
+
         for batch in batches:
             rows = []
             for doc_id, text in zip(batch["id"], batch["text"]):
                 base = base_spans(text)
                 spans = [(kind, start, end, None) for kind, start, end, _ in base]
-                for m in other_runs(text, base, pattern) if learned.kinds else ():
-                    if (score := known.get(m[0])) is None:
-                        if len(known) >= HELD:
-                            known.clear()
-                        score = known[m[0]] = learned.score(m[0])
-                    if score >= margin:
-                        spans.append(("format", m.start(), m.end(), score))
+                spans += added(text, base)
                 spans.sort(key=lambda x: x[1])  # stable: base kinds come in listed order, format last
                 rows.append((doc_id, [dict(zip(("kind", "start", "end", "score"), x)) for x in spans]))
             yield pd.DataFrame(rows, columns=["doc_id", "spans"]).astype({"doc_id": "Int64"})
