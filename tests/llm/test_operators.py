@@ -156,7 +156,7 @@ def test_plan_covers_histogram(make):
     sizes = make(np.random.default_rng(3))
     histogram = np.bincount(sizes.astype(int), minlength=65)
     placed, filled = np.zeros(65, dtype=int), {}
-    for size, rank, count, first, offset in packing.plan(histogram, 64).tolist():
+    for size, rank, count, first, offset, _ in packing.plan(histogram, 64).tolist():
         assert rank == placed[size]
         placed[size] += count
         for s in range(first, first + count):
@@ -175,12 +175,22 @@ def test_fit_is_least_squares():
         for s in row[row > 0]:
             histogram[s] += k
     rest = histogram.copy()
-    for row, k in zip(rows, packing.fit(histogram, rows, 500)):
+    for row, k in zip(rows, packing.fit(histogram, rows, 1e-12)):
         for s in row[row > 0]:
             rest[s] -= k
     assert np.abs(rest).max() < 0.5
 
 
+def test_all_patterns_and_most_pieces():
+    """All patterns, whatever the length; the fit leaves little, and patterns place most pieces."""
+    assert len(packing.patterns(np.arange(1, 4096), 4096)) == sum(1 for a in range(1, 4096) for b in (min(a, 4096 - a),) if 2 * b >= 4096 - a for _ in range(-(-(4096 - a) // 2), b + 1))
+    sizes = np.clip(np.random.default_rng(1).gamma(2, 350, 10_000).astype(int), 1, 2047)
+    histogram = np.bincount(sizes, minlength=2049)
+    runs = packing.plan(histogram)
+    assert runs[runs[:, 5] == 1, 2].sum() > 0.8 * len(sizes)
+    assert len({s for _, _, c, f, _, _ in runs.tolist() for s in range(f, f + c)}) <= -(-sizes.sum() // 2048) + 1
+
+
 # Secrets.
 
 

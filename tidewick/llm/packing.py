@@ -2,17 +2,20 @@
 
 Documents longer than a sequence are cut so that all but the first piece fill one. The histogram of the other pieces'
 lengths, which has as many entries as a sequence has tokens however many documents there are, goes to the driver. There,
-patterns of two or three lengths that fill a sequence exactly are enumerated, their repeat counts are fitted to the
-histogram by non-negative least squares (coordinate descent over the patterns whose lengths fit least so far) and rounded
-down, and what they leave is packed best-fit, longest first, on the histogram. The plan is a list of runs: so many pieces
-of one length, from one rank among the pieces of that length on, go to consecutive sequences at one offset. Its size
-depends on the number of lengths, not of documents, so that it can be sent to every task.
+all patterns of two or three lengths that fill a sequence exactly are enumerated (about length**2 / 12, at 12 bytes each),
+and their repeat counts are fitted to the histogram by non-negative least squares: coordinate descent, until a round lowers
+the squared residual by less than ``STILL`` of the histogram's squares. Counts are rounded to the nearest number that what
+is left allows, and the pieces that they leave are packed best-fit, longest first, on the histogram. The plan is a list of
+runs: so many pieces of one length, from one rank among the pieces of that length on, go to consecutive sequences at one
+offset. Its size depends on the number of lengths, not of documents, so that it can be sent to every task.
 
 A piece's rank among those of its length is its place in its task plus the counts of earlier tasks, so that neither a
 length that a third of all pieces share nor the whole table ever meets in one task.
 
-Defined cases: a null text counts as empty and gives one piece of the end token; repeated rows are packed each; an empty
-table gives an empty result.
+Defined cases: a null text counts as empty and gives one piece of the end token; very long texts are tokenized whole and cut
+into as many pieces as they need; pieces of one length are interchangeable, and tied patterns go in order of enumeration;
+repeated rows are packed each; only id and text are read, so that other columns may have any names; an empty table gives an
+empty result.
 """
 
 from __future__ import annotations
@@ -36,7 +39,7 @@ LENGTH = 2048
 END = 0
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"  # fixed value: the byte-level pre-tokenizer
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, task int, place bigint"
-ROUNDS = 60
+STILL = 1e-6
 RANKS = 2**40
 
 
@@ -76,48 +79,44 @@ def tokenized(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
     return docs.select(F.col(id_col).cast("bigint").alias("id"), text_of(text_col).alias("text")).mapInArrow(pieces, PIECES)
 
 
-def patterns(present: np.ndarray, length: int = LENGTH, most: int = 400_000) -> np.ndarray:
+def patterns(present: np.ndarray, length: int = LENGTH) -> np.ndarray:
     """Rows (a, b, c), a >= b >= c, of present lengths that fill a sequence exactly; c is 0 in patterns of two."""
     has = np.zeros(length + 1, dtype=bool)
     has[present] = True
-    found, count = [], 0
-    for a in present[::-1]:
+    found = [np.zeros((0, 3), dtype=np.int32)]
+    for a in present[::-1].tolist():
         rest = length - a
-        b = np.arange(-(-rest // 2), min(a, rest) + 1)
+        b = np.arange(-(-rest // 2), min(a, rest) + 1, dtype=np.int32)
         b = b[has[b] & (has[rest - b] | (rest == b))]
-        found.append(np.stack([np.full(len(b), a), b, rest - b], axis=1))
-        count += len(b)
-        if count > most:
-            break
-    return np.concatenate(found) if found else np.zeros((0, 3), dtype=np.int64)
+        found.append(np.stack([np.full(len(b), a, dtype=np.int32), b, rest - b], axis=1))
+    return np.concatenate(found)
 
 
-def fit(histogram: np.ndarray, rows: np.ndarray, rounds: int = ROUNDS) -> np.ndarray:
+def fit(histogram: np.ndarray, rows: np.ndarray, still: float = STILL) -> np.ndarray:
     """Repeat counts x >= 0 of the patterns that bring A x near the histogram, A counting each length in each pattern.
 
-    Coordinate descent: each round takes patterns by their gradient, each length in one of them at most, so that their
-    steps do not interfere, and moves each to its own minimum.
+    Coordinate descent: each round takes patterns by what their step gains, each length in one of them at most, so that
+    steps do not interfere, and moves each to its own minimum. The squared residual falls with each round.
     """
     x, rest = np.zeros(len(rows)), histogram.astype(float)
     rest[0] = 0
-    parts = (rows > 0).sum(axis=1)
-    # A length that a pattern holds twice has twice the weight.
-    twice = (rows[:, 0] == rows[:, 1]).astype(int) + ((rows[:, 1] == rows[:, 2]) & (rows[:, 2] > 0))
-    norm = parts + 2 * twice + 2 * ((rows[:, 0] == rows[:, 1]) & (rows[:, 1] == rows[:, 2]))
-    for _ in range(rounds):
-        gradient = rest[rows].sum(axis=1)
-        step = np.maximum(gradient / norm, -x)
-        gain = np.abs(step) * np.sqrt(norm)
-        top = np.argsort(-gain, kind="stable")[: 8 * len(histogram)]
+    before, enough = np.inf, still * (rest**2).sum()
+    same = (rows[:, 0] == rows[:, 1]).astype(int) + ((rows[:, 1] == rows[:, 2]) & (rows[:, 2] > 0))
+    norm = (rows > 0).sum(axis=1) + 2 * same + 2 * (same == 2)  # a length that a pattern holds k times counts k**2
+    while before - (now := (rest**2).sum()) > enough:
+        before = now
+        step = np.maximum(rest[rows].sum(axis=1) / norm, -x)
+        gain = step * step * norm
+        # No more patterns than lengths can be taken; the best by gain are looked at first.
+        many = min(len(gain), 8 * len(histogram))
+        top = np.argpartition(-gain, many - 1)[:many] if many else np.zeros(0, dtype=int)
+        top = top[np.argsort(-gain[top], kind="stable")]
         used, chosen = np.zeros(len(histogram), dtype=bool), []
-        for i in top[gain[top] > 1e-3].tolist():
-            a, b, c = rows[i]
-            if not (used[a] or used[b] or (c and used[c])):
-                used[[a, b]] = True
+        for i, (a, b, c) in zip(top.tolist(), rows[top].tolist()):
+            if gain[i] > 0 and not (used[a] or used[b] or (c and used[c])):
+                used[a] = used[b] = True
                 used[c] = c > 0
                 chosen.append(i)
-        if not chosen:
-            break
         x[chosen] += step[chosen]
         np.subtract.at(rest, rows[chosen].ravel(), np.repeat(step[chosen], 3))
         rest[0] = 0
@@ -125,11 +124,11 @@ def fit(histogram: np.ndarray, rows: np.ndarray, rounds: int = ROUNDS) -> np.nda
 
 
 def plan(histogram: np.ndarray, length: int = LENGTH) -> np.ndarray:
-    """Runs (length, first rank, count, first sequence, offset) that place every piece of the histogram."""
+    """Runs (length, first rank, count, first sequence, offset, 1 if by a pattern) that place every piece of the histogram."""
     left, rank, runs, sequence = histogram.astype(np.int64).copy(), np.zeros(len(histogram), dtype=np.int64), [], 0
 
-    def place(size: int, count: int, first: int, offset: int) -> None:
-        runs.append((size, rank[size], count, first, offset))
+    def place(size: int, count: int, first: int, offset: int, fitted: int = 0) -> None:
+        runs.append((size, rank[size], count, first, offset, fitted))
         rank[size] += count
         left[size] -= count
 
@@ -137,14 +136,17 @@ def plan(histogram: np.ndarray, length: int = LENGTH) -> np.ndarray:
         place(length, int(left[length]), 0, 0)
         sequence = int(rank[length])
     rows = patterns(np.flatnonzero(left), length)
-    fitted = np.floor(fit(left, rows) + 1e-9).astype(np.int64)
-    for i in np.argsort(-fitted, kind="stable")[: np.count_nonzero(fitted)].tolist():
-        sizes = [int(s) for s in rows[i] if s]
-        count = min([int(fitted[i]), *(int(left[s]) // sizes.count(s) for s in sizes)])
-        if count:
-            for k, size in enumerate(sizes):
-                place(size, count, sequence, sum(sizes[:k]))
-            sequence += count
+    x = fit(left, rows)
+    # Whole repeats first, the greatest fractions after them, so that rounding up takes what rounding down has left.
+    whole = np.floor(x + 1e-9)
+    for wanted, order in ((whole, np.argsort(-whole, kind="stable")), ((x - whole >= 0.5).astype(int), np.argsort(whole - x, kind="stable"))):
+        for i in order[: np.count_nonzero(wanted)].tolist():
+            sizes = [int(s) for s in rows[i] if s]
+            count = min([int(wanted[i]), *(int(left[s]) // sizes.count(s) for s in sizes)])
+            if count > 0:
+                for k, size in enumerate(sizes):
+                    place(size, count, sequence, sum(sizes[:k]), 1)
+                sequence += count
     # Best fit on the rest, longest first: room[r] has runs of sequences with r tokens free.
     room: dict[int, list[tuple[int, int]]] = {}
     for size in range(length - 1, 0, -1):
@@ -170,7 +172,7 @@ def plan(histogram: np.ndarray, length: int = LENGTH) -> np.ndarray:
             place(size, count, first, length - free)
             if free > size:
                 room.setdefault(free - size, []).append((first, count))
-    return np.array(runs, dtype=np.int64).reshape(-1, 5)
+    return np.array(runs, dtype=np.int64).reshape(-1, 6)
 
 
 def pack(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH) -> DataFrame:
