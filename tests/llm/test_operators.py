@@ -77,6 +77,23 @@ def test_pii_checksums_context_and_masks(spark, odd, none):
     assert personal_data.mask_personal_data(none).count() == 0
 
 
+def test_masks_equal_plain_ones(spark, texts):
+    """Masks put in by plain code at the spans found, in texts with few and with many spans."""
+    r = random.Random(4)
+    many = " é ".join(r.choice(("a.b@c.de", "10.1.2.3", "+49 30 1234567", "4111 1111 1111 1111@x.de", "none", "IBAN DE89 3704 0044 0532 0130 00")) for _ in range(3000))
+    docs = docs_of(spark, [*texts.values(), many]).withColumn("pii", F.lit("own"))
+    spans = {x["doc_id"]: x["found"] for x in personal_data.with_spans(docs, "found").collect()}
+    assert len(spans[len(texts)]) > 2000
+    for x in personal_data.mask_personal_data(docs).collect():
+        text, at, out = [*texts.values(), many][x["doc_id"]] or "", 0, []
+        for span in sorted(spans[x["doc_id"]], key=lambda s: (s["start"], -s["end"])):
+            if span["start"] >= at:
+                out += [text[at : span["start"]], f"[{span['kind'].upper()}]"]
+            at = max(at, span["end"])
+        assert (x["text"] or "") == "".join(out) + text[at:] and x["pii"] == "own"
+    assert personal_data.with_spans(docs, "pii").columns == ["doc_id", "text", "pii"]
+
+
 # Byte-level BPE.
 
 

@@ -39,3 +39,16 @@ def test_stages(spark, tmp_path):
     assert sequences <= -(-sum(p["length"] for p in pieces) // packing.LENGTH) + 1
     whole = corpus_pipeline.run(spark, TINY).select("doc_id", "piece", "ids_crc32").collect()
     assert sorted(map(tuple, whole)) == sorted((p["doc_id"], p["piece"], p["ids_crc32"]) for p in pieces)
+
+
+def test_stages_on_odd_rows(spark, odd, none):
+    """Nulls, empty, long and repeated rows and further columns go through all stages."""
+    for frame in (odd, none):
+        docs = frame
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            docs = stage(spark, docs, TINY).checkpoint()
+            assert docs.columns == frame.columns, name
+        rows = docs.select("doc_id", "text").collect()
+        assert len({r["text"] or "" for r in rows}) == len(rows) and not any(brute.pii_spans(r["text"]) for r in rows)
+        pieces = corpus_pipeline.STAGES[-1][1](spark, docs, TINY).collect()
+        check_packing(pieces, list(expected_pieces([tuple(r) for r in rows])))

@@ -6,8 +6,10 @@ the row that stays. These few winners, at most ``heavy`` rows, are broadcast: ro
 the map side and never shuffled, so that a text held by a third of all rows lands in no single task. The summary holds
 every digest above 1/``tracked`` of the rows or so, and all other digests go through an ordinary shuffle.
 
-Defined cases: a null text equals an empty one; a null doc_id loses to any other; repeated rows (same doc_id and text) are
-copies of one another, of which one stays; an empty table gives an empty result; other columns pass through.
+Defined cases: a null text equals an empty one; very long texts are hashed whole; a null doc_id loses to any other; of the
+greatest doc_id several rows may have, and repeated rows (same doc_id and text) are copies of one another, of which one
+stays; labels read only id and text, and rows that stay keep all their columns, whatever their names; an empty table gives
+an empty result.
 """
 
 from __future__ import annotations

@@ -8,8 +8,10 @@ Kinds: email, ip, card (Luhn), phone, which are always kept once their rule hold
 kept from a score of ``THRESHOLD`` on. A span's score is its kind's prior, raised by a confirming checksum and by a word
 of its kind's context within ``NEAR`` characters before it.
 
-Defined cases: a null text counts as empty and has no spans; ties between kinds keep the listed order; repeated rows each
-get their own result; an empty table gives an empty result; other columns pass through.
+Defined cases: a null text counts as empty and has no spans (masking leaves it null); very long texts are searched whole; ties
+between kinds keep the listed order, and of spans that begin at one place the longest is masked; repeated rows each get
+their own result; a column named like the result is replaced, others pass through, whatever their names; an empty table
+gives an empty result.
 """
 
 from __future__ import annotations
@@ -141,23 +143,42 @@ def with_spans(docs: DataFrame, out: str = "pii", text_col: str = "text") -> Dat
         work = work.withColumn(gaps, F.when(F.size(hits) > 0, F.split(F.col(text), kind.pattern, -1)))
         work = work.withColumn(part, F.when(F.size(hits) > 0, _spans(kind, F.col(hits), F.col(gaps))).otherwise(F.array().cast(SPAN)).cast(SPAN))
         parts.append(part)
-    return work.withColumn(out, F.concat(*parts)).select(*docs.columns, out)
+    return work.withColumn(out, F.concat(*parts)).select(*[c for c in docs.columns if c != out], out)
 
 
 def redacted(text: Column, spans: Column) -> Column:
-    """The text with each span, or run of overlapping ones, replaced by its first kind in brackets."""
-    order = lambda a, b: F.when(a["start"] < b["start"], -1).when(a["start"] > b["start"], 1).when(a["end"] > b["end"], -1).when(a["end"] < b["end"], 1).otherwise(0)
+    """The text with each span, or run of overlapping ones, replaced by its first kind in brackets.
 
-    def follow(state: Column, span: Column) -> Column:
-        # The mask counts as put once a span begins beyond what is masked so far.
-        fresh = span["start"] >= state["at"]
-        kept = F.substring(text, (state["at"] + 1).cast("int"), (span["start"] - state["at"]).cast("int"))
-        mask = F.concat(F.lit("["), F.upper(span["kind"]), F.lit("]"))
-        return F.struct(F.greatest(state["at"], span["end"]).alias("at"), F.when(fresh, F.concat(state["out"], kept, mask)).otherwise(state["out"]).alias("out"))
+    Each block of spans cuts its part out of the text once, and its spans cut that part, so that a long text isn't walked
+    through anew for each span. spans: one or more.
+    """
+    order = lambda a, b: F.when(a["start"] < b["start"], -1).when(a["start"] > b["start"], 1).when(a["end"] > b["end"], -1).when(a["end"] < b["end"], 1).otherwise(0)
+    cut = lambda value, start, end: F.substring(value, (start + 1).cast("int"), (end - start).cast("int"))
+    last = lambda block: F.array_max(F.transform(block, lambda x: x["end"]))
+    zero = F.lit(0).cast("bigint")
 
-    start = F.struct(F.lit(0).cast("bigint").alias("at"), F.lit("").alias("out"))
-    masked = F.aggregate(F.array_sort(spans, order), start, follow, lambda s: F.concat(s["out"], F.substring(text, (s["at"] + 1).cast("int"), F.length(text))))
-    return F.when(F.size(spans) > 0, masked).otherwise(text)
+    def place_block(state: Column, block: Column) -> Column:
+        end = F.greatest(state["at"], last(block))
+        return F.struct(end.alias("at"), F.concat(state["found"], F.array(F.struct(state["at"].alias("at"), end.alias("end"), block.alias("spans")))).alias("found"))
+
+    def pieces(block: Column) -> Column:
+        def follow(part: Column):
+            def step(state: Column, span: Column) -> Column:
+                # The mask counts as put once a span begins beyond what is masked so far.
+                kept = cut(part, state["at"] - block["at"], span["start"] - block["at"])
+                mask = F.concat(F.lit("["), F.upper(span["kind"]), F.lit("]"))
+                out = F.when(span["start"] >= state["at"], F.concat(state["out"], F.array(kept, mask))).otherwise(state["out"])
+                return F.struct(F.greatest(state["at"], span["end"]).alias("at"), out.alias("out"))
+
+            start = F.struct(block["at"].alias("at"), F.array().cast("array<string>").alias("out"))
+            return F.aggregate(block["spans"], start, step, lambda state: state["out"])
+
+        return _bound(cut(text, block["at"], block["end"]), follow)
+
+    no_blocks = F.array().cast(f"array<struct<at:bigint,end:bigint,spans:{SPAN}>>")
+    blocks = F.aggregate(_bound(F.array_sort(spans, order), _blocks), F.struct(zero.alias("at"), no_blocks.alias("found")), place_block, lambda state: state["found"])
+    masked = F.array_join(F.flatten(F.transform(blocks, pieces)), "")
+    return F.concat(masked, F.substring(text, (last(spans) + 1).cast("int"), F.length(text)))
 
 
 def mask_personal_data(docs: DataFrame, text_col: str = "text", length_col: str | None = "n_chars") -> DataFrame:
