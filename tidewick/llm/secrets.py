@@ -9,9 +9,10 @@ ordinary run; those above ``MARGIN`` a character become spans of kind ``format``
 
 Symbols are character classes with equally likely members, so that automata tell formats, not values. All distinct examples
 and runs are learned, whole, by their shapes; values themselves are never stored, only digests that tell equal ones. Spark
-counts the prefix tree's nodes, of which those seen twice or more reach the driver (the bound can't tell a state seen once
-from any other, so that those join the first state). Spark then counts what all strings do in the merged automaton. The
-number of nodes on the driver grows with that of different shapes.
+counts the prefix tree's nodes, of which those seen twice or more, and by ``RARE`` of a kind's strings, reach the driver: the
+bound can't tell a state seen once from any other, and rare ones tell little, so that these join the first state. So the
+driver holds at most (mean length of strings) / ``RARE`` nodes of a kind, however many strings there are. Spark then counts
+what all strings do in the merged automaton.
 
 Defined cases: a null text counts as empty; very long texts and runs are read whole; without examples of a kind its
 automaton is left out, without any no span is added; spans of one start come in the order of kinds, ``format`` last; repeated
@@ -35,6 +36,7 @@ from pyspark.sql import functions as F
 from .common import checkpointed, text_of
 
 SHORTEST = 6
+RARE = 1e-5
 HELD = 100_000
 CONFIDENCE = 0.05
 SMOOTHING = 0.1
@@ -255,8 +257,11 @@ def infer(texts: DataFrame) -> Formats:
         return Formats({}, None, SHORTEST)
     shapes = checkpointed(values.where(F.length("shape") >= shortest).groupBy("kind", "shape").agg(F.count(F.lit(1)).alias("times")))
     nodes = shapes.mapInPandas(_tree, "kind string, node bigint, above bigint, symbol string, seen bigint, stops bigint")
-    twice = nodes.groupBy("kind", "node", "above", "symbol").agg(F.sum("seen").alias("seen"), F.sum("stops").alias("stops")).where("seen > 1")
-    trees: dict[str, list[tuple]] = {kind: [] for (kind,) in shapes.select("kind").distinct().collect()}
+    twice = nodes.groupBy("kind", "node", "above", "symbol").agg(F.sum("seen").alias("seen"), F.sum("stops").alias("stops"))
+    totals = {kind: times for kind, times in shapes.groupBy("kind").agg(F.sum("times")).collect()}
+    trees: dict[str, list[tuple]] = {kind: [] for kind in totals}
+    least = F.create_map(*[F.lit(x) for kind, times in totals.items() for x in (kind, RARE * times)])
+    twice = twice.where((F.col("seen") > 1) & (F.col("seen") >= least[F.col("kind")]))
     for kind, *node in twice.orderBy("kind", "node").toLocalIterator():
         trees[kind].append(tuple(node))
     automata = {kind: Automaton() for kind in trees}
