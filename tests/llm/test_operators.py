@@ -495,7 +495,7 @@ def test_fingerprints_equal_plain_imatch(spark, texts, monkeypatch, broadcast):
     for i, (own, new, near_edited, near_next) in plain.items():
         assert np.isclose(found[i]["near_edited"], near_edited) and np.isclose(found[i]["near_next"], near_next)
         for subsets, told in ((own, found[i]["fingerprint"]), (new, found[i]["edited_fingerprint"])):
-            assert len(told) == 16 * len(subsets)
+            assert len(told) == 8 * len(subsets)
             assert known.setdefault(repr(sorted((repr(k), sorted(v)) for k, v in subsets.items())), told) == told
     assert len(set(known.values())) == len(known)
 

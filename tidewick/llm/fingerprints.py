@@ -7,7 +7,8 @@ that coarse ones agree only for near-equal texts, and fine ones, which hold a te
 as the texts' terms do. Likeness is the share of agreeing subsets among those that either text has terms in.
 
 Each term names the few subsets that it is in, by bits of its hash; the pairs of subset and term are sorted, and one pass
-over them hashes each subset's run. A fingerprint holds a number for each subset with terms: 57 bits of hash, 7 of its name.
+over them hashes each subset's run by 64 bits. A fingerprint holds a number for each subset with terms: 7 bits of its name
+and 25 of its hash, so that one of 33 million subsets of different terms agrees by chance.
 
 Native: only SQL functions. The lexicon has at most (mean distinct terms of a text) / ``LOW`` terms, whatever the number of
 texts; it is broadcast where it has ``BROADCAST`` terms at most, and joined by a shuffle else, where adaptive execution can
@@ -76,29 +77,34 @@ def _in_subsets(term: Column) -> Column:
     return F.array(*found)
 
 
+def _entry(name: Column, h: Column) -> Column:
+    return F.shiftleft(name.cast("int"), 32 - NAME_BITS).bitwiseOR(F.shiftrightunsigned(h, 32 + NAME_BITS).cast("int"))
+
+
 def fingerprint(found: Column, whole: Column) -> Column:
     """From a text's lexicon terms and the hash of all its terms, a number for each subset with terms, in order of subsets."""
     codes = F.sort_array(F.array_compact(F.flatten(F.transform(found, _in_subsets))))
-    none = F.array().cast("array<bigint>")
+    none = F.array().cast("array<int>")
     start = F.struct(F.lit(-1).cast("bigint").alias("name"), F.lit(0).cast("bigint").alias("h"), none.alias("out"))
-    put = lambda state: F.when(state["name"] >= 0, F.concat(state["out"], F.array(_named(state["name"], state["h"])))).otherwise(state["out"])
+    put = lambda state: F.when(state["name"] >= 0, F.concat(state["out"], F.array(_entry(state["name"], state["h"])))).otherwise(state["out"])
 
     def follow(state: Column, code: Column) -> Column:
         same = state["name"] == _name(code)
         return F.struct(_name(code).alias("name"), F.xxhash64(F.when(same, state["h"]).otherwise(0).cast("bigint"), code).alias("h"), F.when(same, state["out"]).otherwise(put(state)).alias("out"))
 
-    return F.when(F.size(found) > 0, F.aggregate(codes, start, follow, put)).otherwise(F.array(_named(F.lit(NO_SUBSET), whole)))
+    return F.when(F.size(found) > 0, F.aggregate(codes, start, follow, put)).otherwise(F.array(_entry(F.lit(NO_SUBSET), whole)))
 
 
 def likeness(a: Column, b: Column) -> Column:
     """The share of agreeing subsets among those that either has terms in."""
     agree = F.size(F.array_intersect(a, b))
-    either = F.size(F.array_union(F.transform(a, _name), F.transform(b, _name)))
+    name = lambda entry: F.shiftrightunsigned(entry, 32 - NAME_BITS)
+    either = F.size(F.array_union(F.transform(a, name), F.transform(b, name)))
     return agree / either
 
 
 def shown(print_: Column) -> Column:
-    return F.array_join(F.transform(print_, lambda x: F.lpad(F.hex(x), 16, "0")), "")
+    return F.array_join(F.transform(print_, lambda x: F.lpad(F.hex(x.cast("bigint").bitwiseAND(F.lit(2**32 - 1))), 8, "0")), "")
 
 
 def neighbours(ids: DataFrame) -> DataFrame:
