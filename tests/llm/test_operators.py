@@ -434,6 +434,13 @@ def test_deep_pages():
     assert html_text.extract("<b>" * 20_000 + "<p>x</p><li>y</li>" * 5_000, None).split() == ["x", "y"] * 5_000
 
 
+def test_unclosed_rows_and_items_end_each_other():
+    rows = html_text.parse("<table><tr><td>a<td>b<tr><td>c</table>").parts[0].parts
+    assert [(r.tag, [c.tag for c in r.parts]) for r in rows] == [("tr", ["td", "td"]), ("tr", ["td"])]
+    items = html_text.parse("<ul><li>a<ul><li>b<li>c</ul><li>d</ul>").parts[0].parts
+    assert [i.tag for i in items] == ["li", "li"] and html_text.text_under(items[0]) == "a b c"
+
+
 def test_words_of_content_and_of_boxes():
     inside = lambda x: html_text.extract(f"<body><article><p>Begin.</p>{x}<p>End.</p></article></body>", None)
     for content in ("<p class='share-price'>X</p>", "<div class='alert-history'>X</div>", "<p class='search-results-study'>X</p>", "<h2 id='related-work'>X</h2>", "<p class='form-of-address'>X</p>"):

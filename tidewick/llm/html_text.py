@@ -149,8 +149,9 @@ def parse(page: str) -> Node:
                 node.parts.append(" ")
             continue
         if tag in ENDS:
-            place = held.innermost(ENDS[tag][0])
-            if place > held.innermost(ENDS[tag][1]):
+            # A row ends the cell in it and the row itself.
+            ends, within = ENDS[tag]
+            while (place := held.innermost(ends)) > held.innermost(within):
                 held.close(place)
         elif tag in CLOSES_P and (place := held.innermost("p")) > 0 and place == held.blocks[-1]:
             held.close(place)
