@@ -88,6 +88,19 @@ def test_chunks_change_nothing(spark, chunk, monkeypatch):
     assert quality.gaps(rows).select("missing_minutes").collect() == [(3,)]
 
 
+def test_batches_shuffle_train_only(spark):
+    """A seed gives one order of train, another seed another; the rest goes by time; no row is lost between the steps."""
+    rows = spark.range(3000).select(F.lit("A").alias("symbol"), F.col("id").alias("i"), F.when(F.col("id") < 2000, "train").otherwise("test").alias("split"))
+    of = lambda seed: {(r["split"], r["i"]): (r["shard"], r["batch"]) for r in windows.training_batches(rows, size=32, seed=seed, shards=4).collect()}
+    one, again, other = of(0), of(0), of(1)
+    assert one == again and len(one) == 3000 and one.keys() == other.keys()
+    assert all(one[k] == other[k] for k in one if k[0] == "test") and sum(one[k] != other[k] for k in one if k[0] == "train") > 1500
+    sizes = {}
+    for (split, _), place in one.items():
+        sizes[split, place] = sizes.get((split, place), 0) + 1
+    assert max(sizes.values()) == 32
+
+
 def test_no_window_in_short_series(spark):
     feats = features.build_features(frame(spark, bars(rng_closes(10))))
     assert windows.valid_indices(feats, 6, 3).count() == 0

@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import json
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,10 +25,12 @@ def default_range(start: str | None = None, end: str | None = None, days: int =
 
 def _store(spark: SparkSession, path: str) -> DataFrame:
     """The store's rows, or none where there is no store yet."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+    try:
         return read_store(spark, path)
-    return spark.createDataFrame([], SCHEMA)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], SCHEMA)
 
 
 def backfill(
