@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import re
 import shutil
 import tempfile
@@ -32,6 +33,16 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def release(spark: SparkSession) -> None:
+    """Have the driver collect its garbage.
+
+    Spark removes the shuffle files of finished steps from all machines when the driver finds that nothing refers to them;
+    otherwise they fill disks until the driver's own memory happens to run full.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def text_of(column: str = "text") -> Column:
     """The text, a null one as the empty text."""
     return F.coalesce(F.col(column).cast("string"), F.lit(""))

@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import checkpointed, text_of
+from .common import checkpointed, release, text_of
 
 LOW, HIGH = 0.002, 0.2
 BROADCAST = 1_000_000
@@ -128,6 +128,7 @@ def with_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     """
     texts = docs.select(F.coalesce(F.col(id_col).cast("bigint"), F.lit(NO_ID)).alias("key"), text_of(text_col).alias("text"))
     band = lexicon(texts, "text", low, high)
+    release(docs.sparkSession)
     order = checkpointed(neighbours(texts.groupBy("key").agg(F.max(F.length("text")).alias("n"))))
     begin = texts.join(order.select(F.col("key").alias("owner"), F.floor(F.col("n") / 2).cast("int").alias("need"), F.col("next").alias("key")), "key")
     begin = begin.select(F.col("owner").alias("key"), F.expr("substring(text, 1, need)").alias("begin")).groupBy("key").agg(F.max("begin").alias("begin"))
@@ -152,6 +153,7 @@ def with_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     on = lambda bit: F.collect_list(F.when(F.col("side").bitwiseAND(bit) > 0, F.col("term")))
     found = marked.groupBy("key", "row").agg(F.max("about").alias("about"), on(1).alias("own"), on(2).alias("new"))
     rows = checkpointed(found.select("key", "row", "about.n", "about.sha", fingerprint(F.col("own"), F.col("about.own")).alias("print"), fingerprint(F.col("new"), F.col("about.new")).alias("edited")))
+    release(docs.sparkSession)  # of the shuffled texts
     # Rows that repeat an id stand for their neighbour by the greatest fingerprint.
     after = rows.groupBy("key").agg(F.max("print").alias("print")).join(order.select(F.col("key").alias("owner"), F.col("next").alias("key")), "key")
     joined = rows.join(after.select(F.col("owner").alias("key"), F.col("print").alias("after")), "key")
