@@ -9,7 +9,7 @@ import public_tokenizers as tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, fill_in_middle, fingerprints, html_text, jaccard_join, packing, personal_data, quality, secrets, url_filter
+from . import bpe, exact_dedup, fill_in_middle, fingerprints, html_text, jaccard_join, packing, periodic_runs, personal_data, quality, secrets, url_filter
 from .common import ship, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -154,3 +154,29 @@ SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN lo END AS prefix_chars, C
        sha256(t) AS restored_sha256
 FROM parts
 """
+
+
+def _planted(docs: DataFrame) -> DataFrame:
+    """Every tenth document, by crc32 of its id, goes on periodically from one of its words on; others stay as they are."""
+    h = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
+    g, n = F.floor(h / 10), F.size("words")
+    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    some = docs.withColumn("words", F.when(h % 10 == 0, words)).withColumns({"a": g % n, "g": g})
+    some = some.withColumn("p", 1 + F.floor((n - F.col("a")) / (3 + F.col("g") % 8)))
+    at = lambda i: F.when(i < F.col("a"), i).otherwise(F.col("a") + (i - F.col("a")) % F.col("p")).cast("int")
+    text = F.array_join(F.transform("words", lambda w, i: F.get("words", at(i))), " ")
+    return some.withColumn("text", F.when(n > 0, text).otherwise(F.col("text"))).select(*docs.columns)
+
+
+@query
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.with_runs(_planted(table(spark, sf_dir, "documents").select("doc_id", "text")))
+    more = lambda x, y: x["length"] * y["period"] > y["length"] * x["period"]
+    best = F.aggregate("runs", F.get("runs", F.lit(0)), lambda best, x: F.when(more(x, best), x).otherwise(best))
+    lines = F.transform("runs", lambda x: F.concat(F.concat_ws(",", x["start"].cast("string"), x["length"].cast("string"), x["period"].cast("string")), F.lit("\n")))
+    rows = found.withColumn("best", best)
+    return rows.select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.floor(1000 * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )

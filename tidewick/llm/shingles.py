@@ -12,6 +12,7 @@ SPACE[[0x20, *range(0x09, 0x0E)]] = True
 GAP = re.compile(rb"[\x20\x09-\x0D]")
 LOWER = np.arange(256, dtype=np.uint64)
 LOWER[65:91] += 32
+AS_IS = np.arange(256, dtype=np.uint64)
 STEP = np.uint64(0xD6E8FEB86659FD93)
 MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53))
 
@@ -24,7 +25,7 @@ def _mixed(h: np.ndarray) -> np.ndarray:
     return h
 
 
-def _words(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _words(raw: np.ndarray, letters: np.ndarray = LOWER) -> tuple[np.ndarray, np.ndarray]:
     """Where each word of the bytes begins, and its hash.
 
     A byte and its place in the word are mixed to one value, and a word has the sum of these: unlike a polynomial's, its
@@ -39,20 +40,20 @@ def _words(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     value = np.arange(begins[-1] + sizes[-1], dtype=np.uint64)
     value -= np.repeat(begins.astype(np.uint64), sizes)
     value *= np.uint64(256)
-    value += LOWER[raw[~gap]]
+    value += letters[raw[~gap]]
     value += np.uint64(1)
     return starts, _mixed(np.add.reduceat(_mixed(value), begins))
 
 
-def _all_words(data: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Words of data of any length, a slice that ends between words at a time."""
+def all_words(data: bytes, letters: np.ndarray = LOWER) -> tuple[np.ndarray, np.ndarray]:
+    """Where each word of data of any length begins, and its hash, a slice that ends between words at a time."""
     parts, at = [], 0
     while at < len(data):
         end = at + CHUNK
         if end < len(data):
             gap = GAP.search(data, end)
             end = gap.start() if gap else len(data)
-        starts, words = _words(np.frombuffer(data, np.uint8, min(end, len(data)) - at, at))
+        starts, words = _words(np.frombuffer(data, np.uint8, min(end, len(data)) - at, at), letters)
         parts.append((starts + at, words))
         at = end
     return (np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])) if parts else (np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.uint64))
@@ -61,7 +62,7 @@ def _all_words(data: bytes) -> tuple[np.ndarray, np.ndarray]:
 def _of_chunk(texts: list[bytes], words: int) -> list[np.ndarray]:
     sizes = np.fromiter(map(len, texts), dtype=np.int64, count=len(texts))
     begins = np.cumsum(sizes + 1) - sizes - 1
-    starts, word = _all_words(b" ".join(texts))
+    starts, word = all_words(b" ".join(texts))
     first, last = np.searchsorted(starts, begins), np.searchsorted(starts, begins + sizes)
     rows = np.zeros(max(len(word) - words + 1, 0), dtype=np.uint64)
     for k in range(words):
