@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from compare import TINY, assert_same, tables
-from tidewick.llm import bpe, exact_dedup, fingerprints, html_text, jaccard_join, packing, personal_data, quality, queries, secrets, url_filter
+from tidewick.llm import bpe, exact_dedup, fingerprints, html_text, jaccard_join, packing, personal_data, quality, queries, secrets, set_links, url_filter
 from tidewick.llm.shingles import shingle_sets
 
 RANKS = tokenizers.path("byte_bpe_50k.tiktoken")
@@ -545,7 +545,7 @@ def test_components_equal_all_pairs(spark, words, percent):
 
 
 def test_blocks_find_the_same(spark, monkeypatch):
-    monkeypatch.setattr(jaccard_join, "BLOCK_ROWS", 7)
+    monkeypatch.setattr(set_links, "BLOCK_ROWS", 7)
     r = random.Random(4)
     base = [f"w{i}" for i in range(60)]
     rows = []
@@ -570,7 +570,7 @@ def test_jaccard_odd_rows(spark, odd, none):
 
 def test_long_chain_is_one_component(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101)], "a bigint, b bigint")
-    assert {x["node"]: x["root"] for x in jaccard_join.components(edges).collect()} == {**{i: 0 for i in range(41)}, 100: 100, 101: 100}
+    assert {x["node"]: x["root"] for x in set_links.components(edges).collect()} == {**{i: 0 for i in range(41)}, 100: 100, 101: 100}
 
 
 def test_words_of_a_pattern_do_not_meet():
@@ -585,8 +585,8 @@ def test_words_of_a_pattern_do_not_meet():
 def test_links_count_true_shingles(monkeypatch):
     """Sets that only agree by their hashes don't link."""
     texts = ["one two three four", "five six seven eight", "one two three four"]
-    monkeypatch.setattr(jaccard_join, "shingle_sets", lambda texts, words: [np.arange(2, dtype=np.uint64)] * len(texts))
-    assert list(jaccard_join.linked(texts, 3, 90)) == [(0, 2)]
+    monkeypatch.setattr(set_links, "shingle_sets", lambda texts, words: [np.arange(2, dtype=np.uint64)] * len(texts))
+    assert set_links.linked(texts, 3, 90) == [[0, 2]]
 
 
 def test_slices_of_long_texts(monkeypatch):
@@ -601,8 +601,8 @@ def test_slices_of_long_texts(monkeypatch):
 @pytest.mark.parametrize("rows_in_block", [3, 7])
 def test_open_rows_meet_all_blocks(spark, monkeypatch, rows_in_block):
     """A bucket of several components, of which pivots see few, and lone texts that share its rare words."""
-    monkeypatch.setattr(jaccard_join, "BLOCK_ROWS", rows_in_block)
-    monkeypatch.setattr(jaccard_join, "PIVOTS", 1)
+    monkeypatch.setattr(set_links, "BLOCK_ROWS", rows_in_block)
+    monkeypatch.setattr(set_links, "PIVOTS", 1)
     r = random.Random(9)
     base = [f"w{i}" for i in range(40)]
     rows = []
@@ -618,6 +618,35 @@ def test_open_rows_meet_all_blocks(spark, monkeypatch, rows_in_block):
         assert len(set(found.values())) > 1
 
 
+def test_filter_keeps_all_linked_pairs():
+    """Pairs that samples exclude are under the similarity, whatever the sets' sizes."""
+    r = random.Random(6)
+    for percent in (50, 80, 90):
+        base = [r.randrange(1 << 48) for _ in range(120)]
+        sets = [np.array(sorted({*r.sample(base, r.randint(1, 120)), *(r.randrange(1 << 48) for _ in range(r.randint(0, 9)))})) for _ in range(80)]
+        sets += [np.array(sorted({*base[: r.randint(90, 120)], r.randrange(1 << 48)})) for _ in range(40)]
+        n = np.array([len(s) for s in sets])
+        samples = [s[: jaccard_join._sample_size(set_links.unshared(len(s), percent))] for s in sets]
+        both = set_links.overlaps(sets)
+        assert all(both[i, j] == len(np.intersect1d(sets[i], sets[j])) for i in range(0, 120, 7) for j in range(120) if i != j)
+        true = 100 * both >= percent * (n[:, None] + n[None, :] - both)
+        fits = jaccard_join.possible(n, samples, percent)
+        assert fits[true].all() and fits.sum() < true.size
+
+
+def test_template_pages_are_not_compared(spark, monkeypatch):
+    """Texts of one template that differ enough are left out by their rarest shingles: what is dealt doesn't grow by pairs."""
+    monkeypatch.setattr(set_links, "BLOCK_ROWS", 20)
+    second = []
+    monkeypatch.setattr(set_links, "_second_tasks", lambda rows, f=set_links._second_tasks: second.append(rows.count()) or f(rows))
+    template = [f"w{i}" for i in range(40)]
+    rows = [(k, " ".join(template + [f"n{k}x{j}" for j in range(8)])) for k in range(300)] + [(300 + k, " ".join(template + [f"n{k}x{j}" for j in range(8)] + ["more"])) for k in range(3)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    found = {x["doc_id"]: x["component_id"] for x in jaccard_join.similarity_components(frame, 3, 90).collect()}
+    assert found == {**{k: k for k in range(300)}, 300: 0, 301: 1, 302: 2}
+    assert sum(second) <= 12
+
+
 def test_rows_of_one_id_go_by_their_text(spark):
     base = " ".join(f"w{i}" for i in range(50))
     near = base + " tail"

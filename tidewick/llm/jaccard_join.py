@@ -1,27 +1,17 @@
 """N-gram Jaccard join by grouped prefixes, and its connected components.
 
-Documents with equal shingle sets are one class from the start. Of sets x and y with similarity of t or more, at most
-d(x) = |x| - ceil(t |x|) shingles of x are not in y. So if each set is represented by its d + ceil(d / 2) + 1 smallest
-hashes, two linked sets share all but d of those of the one whose hashes end first. On these samples, three twentieths of
-all shingles at t = 0.9, document frequencies are counted exactly, over all classes, and prefix filtering in order of
-frequency does the rest: only what is left of the rarest ones when the guaranteed overlap is taken away can lead to a link.
-Most prefixes hold nothing that any other document holds, and their documents are done.
-
-Classes with identical prefixes and size are one group. Groups that share a prefix shingle meet in the bucket of the least
-of them. Groups of a bucket are expanded to their classes, whose whole texts are compared by tasks:
-
-1. A bucket is dealt into blocks of ``BLOCK_ROWS`` classes or ``BLOCK_SHINGLES`` shingles. Each block is compared within
-   itself and with up to ``PIVOTS`` classes of other blocks, which links most of a large group of near copies.
-2. Of a bucket with several blocks, only classes outside its largest component so far, and pairs that hold one of them, are
-   left: two of that component can't add to it. These are dealt into blocks anew, and pairs of blocks are compared.
-
-Each comparison gives a spanning forest of links, not all pairs; a link is added only after the texts' own shingles were
-counted, so that no two texts link by a clash of hashes. Components are found by star contraction over the forests. Sizes
-of blocks reach a bucket's rows by a salted join, so that no bucket is one task anywhere. Texts are only shuffled for
-classes in a bucket, as far as a bitmap tells them from the rest on the map side.
-
-Joins by shingle or group have one row for each key on one side, and leave large keys to adaptive execution, which splits
-them.
+Of sets x and y with similarity of t or more, at most d(x) = |x| - ceil(t |x|) shingles of x are not in y. So if each set is
+represented by its d + ceil(d / 2) + 1 smallest hashes, two linked sets share all but d of those of the one whose hashes end
+first. On these samples, three twentieths of all shingles at t = 0.9, document frequencies are counted exactly, over all
+classes of equal sets, and prefix filtering in order of frequency does the rest: only what is left of the rarest ones when the
+guaranteed overlap is taken away can lead to a link. Most prefixes hold nothing that any other document holds, and their
+documents are done.
+
+Classes with identical prefixes and size are one group. Groups that share a prefix shingle meet in the bucket of the least of
+them, and are expanded to their classes. Pairs of a bucket are filtered by their sizes and samples before any text moves: up
+to the end of the sample that ends first, both samples are complete, so that neither may hold more shingles that the other
+lacks than the sizes allow. What is left is verified on whole texts; see set_links.py, which also says what large buckets
+go through.
 
 Defined cases: a null or empty text, or one of white space, has the empty set and is linked with nothing; a text with fewer
 words than a shingle is one shingle; very long texts are hashed and compared whole; repeated rows are linked unless empty; a
@@ -35,149 +25,57 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import checkpointed, in_parts, scratch, text_of
-from .shingles import shingle_sets, true_shingles
+from .common import checkpointed, in_parts
+from .set_links import Search, component_ids, least_shared, one_of_each, overlaps, signatures, signed, unshared, unshared_of
+from .shingles import shingle_sets
 
-MAPS, MAP_BITS = 4096, 32_768  # a bitmap is broadcast in so many parts at most, of so many bits each
-FILL = 16  # bits for each wanted row
 CUT_BITS = 16  # dropped from the 64 of a shingle's hash in samples; alike beginnings only lead to more comparisons
-BLOCK_ROWS, BLOCK_SHINGLES = 250, 250_000
-PIVOTS = 8
-SALTS = 64
-COLUMNS = 2048
-MADE = "n bigint, sig_a bigint, sig_b bigint, sample array<bigint>"
-
-
-def unshared(n: int, percent: int) -> int:
-    """The most of n shingles that a set with the similarity can lack."""
-    return n - -(-percent * n // 100)
-
-
-def _unshared(n: Column, percent: int) -> Column:
-    return F.floor(n * (100 - percent) / 100)
+MADE = "n bigint, sig_a bigint, sig_b bigint, summary array<bigint>"
 
 
 def _sample_size(d, half=lambda x: -(-x // 2)):
     return d + half(d) + 1
 
 
-def with_sets(docs: DataFrame, words: int, percent: int, text_col: str) -> DataFrame:
-    """docs with the size of each shingle set, a signature of it and its sample."""
+def with_samples(docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """docs with the size of each shingle set, signatures of it and as its summary the sample, in place of the text."""
 
     @F.arrow_udf(MADE)
     def made(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
-            sizes, first, second, samples = [], [], [], []
+            sizes, marks, samples = [], [], []
             for part in in_parts(texts):
                 for found in shingle_sets(part, words):
-                    with np.errstate(over="ignore"):
-                        spread = (found ^ (found >> np.uint64(31))) * np.uint64(0x94D049BB133111EB)
-                        second.append((spread ^ (spread >> np.uint64(27))).sum(dtype=np.uint64))
-                    first.append(found.sum(dtype=np.uint64))
+                    marks.append(signatures(found))
                     sizes.append(len(found))
                     samples.append((found[: _sample_size(unshared(len(found), percent))] >> np.uint64(CUT_BITS)).astype(np.int64))
             ends = np.cumsum([0, *map(len, samples)], dtype=np.int32)
             values = np.concatenate(samples) if samples else np.zeros(0, dtype=np.int64)
-            signed = lambda x: pa.array(np.array(x, dtype=np.uint64).view(np.int64))
-            yield pa.StructArray.from_arrays([pa.array(sizes, pa.int64()), signed(first), signed(second), pa.ListArray.from_arrays(pa.array(ends), pa.array(values))], ["n", "sig_a", "sig_b", "sample"])
-
-    return docs.withColumn("made", made(text_of(text_col))).select(*[c for c in docs.columns if c != text_col], "made.*")
-
-
-def components(edges: DataFrame) -> DataFrame:
-    """The least node reachable from each node of the edges (a, b): rows (node, root). Star contraction, by rounds."""
-    edges = checkpointed(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
-    seen = None
-    while True:
-        state = edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b"))).head()
-        if state == seen or not state[0]:
-            return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
-        seen = state
-        # Each node links its greater neighbours to the least one; then its lesser neighbours and itself.
-        both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(least, "a").select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e"))
-        edges = checkpointed(small.select("e.*").where("a <> b").distinct())
-
-
-def linked(texts: list[str], words: int, percent: int) -> Iterator[tuple[int, int]]:
-    """A spanning forest of the links among texts, as pairs of places; percent * union <= 100 * intersection."""
-    sets = shingle_sets(texts, words)
-    size = np.array([len(s) for s in sets])
-    root = list(range(len(sets)))
-
-    def find(i: int) -> int:
-        while root[i] != i:
-            root[i] = root[root[i]]
-            i = root[i]
-        return i
-
-    def truly(i: int, j: int) -> bool:
-        one, other = true_shingles(texts[i], words), true_shingles(texts[j], words)
-        return 100 * (both := len(one & other)) >= percent * (len(one) + len(other) - both)
-
-    # Counts of common shingles by products of blocks of columns, one for each shingle of two sets or more.
-    _, place, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-    column = np.where(times > 1, np.cumsum(times > 1) - 1, -1).astype(np.int32)[place]
-    row = np.repeat(np.arange(len(sets), dtype=np.int32), size)[column >= 0]
-    del place, sets
-    column = column[column >= 0]
-    order = np.argsort(column, kind="stable")
-    row, column = row[order], column[order]
-    both = np.zeros((len(size), len(size)), dtype=np.float32)
-    for start in range(0, int(column[-1]) + 1 if len(column) else 0, COLUMNS):
-        a, b = np.searchsorted(column, [start, start + COLUMNS])
-        part = np.zeros((len(size), COLUMNS), dtype=np.float32)
-        part[row[a:b], column[a:b] - start] = 1
-        both += part @ part.T
-    fits = np.triu((100 + percent) * both.astype(np.int64) >= percent * (size[:, None] + size[None, :]), 1)
-    for i, j in zip(*(x.tolist() for x in np.nonzero(fits))):
-        a, b = find(i), find(j)
-        if a != b and truly(i, j):
-            root[max(a, b)] = min(a, b)
-            yield i, j
-
-
-def _verified(words: int, percent: int):
-    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows come sorted by bucket and blocks; a bucket may go on in the next batch."""
-        key: tuple | None = None
-        held: dict[int, str] = {}
-
-        def links() -> list[tuple[int, int]]:
-            names, texts = list(held), list(held.values())
-            held.clear()
-            return [(names[i], names[j]) for i, j in linked(texts, words, percent)] if len(names) > 1 else []
+            both = [signed([x[k] for x in marks]) for k in (0, 1)]
+            yield pa.StructArray.from_arrays([pa.array(sizes, pa.int64()), *both, pa.ListArray.from_arrays(pa.array(ends), pa.array(values))], ["n", "sig_a", "sig_b", "summary"])
 
-        def made(found: list[tuple[int, int]]) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], names=["a", "b"])
+    return docs.withColumn("made", made("text")).select(*[c for c in docs.columns if c != "text"], "made.*")
 
-        for batch in batches:
-            found = []
-            for *keys, rows, texts in zip(*(in_parts(batch[c]) for c in ("bucket", "i", "j", "row", "text"))):
-                for *now, row, text in zip(*keys, rows, texts):
-                    if now != key:
-                        found += links()
-                        key = now
-                    held[row] = text
-            yield made(found)
-        yield made(links())
 
-    return verify
+def possible(n: np.ndarray, samples: list[np.ndarray], percent: int) -> np.ndarray:
+    """Which pairs of sets of these sizes may be linked by their samples."""
+    sets = [np.unique(s) for s in samples]
+    ends = np.array([s[-1] for s in sets])
+    known = np.array([np.searchsorted(s, ends, side="right") for s in sets])  # of a row's sample, up to the column's end
+    lacking, least = known - overlaps(sets), least_shared(n, percent)
+    return (least <= np.minimum(n[:, None], n[None, :])) & (lacking <= n[:, None] - least) & (lacking.T <= n[None, :] - least)
 
 
 def _buckets(classes: DataFrame, percent: int) -> DataFrame:
-    """From rows (row, n, sample): rows (bucket, row) such that linked classes meet in a bucket."""
-    sampled = _sample_size(_unshared(F.col("n"), percent), lambda d: F.ceil(d / 2))
-    tokens = classes.select("row", F.explode("sample").alias("token"))
+    """From rows (row, n, summary): rows (bucket, row, n) such that linked classes meet in a bucket."""
+    sampled = _sample_size(unshared_of(F.col("n"), percent), lambda d: F.ceil(d / 2))
+    tokens = classes.select("row", F.explode("summary").alias("token"))
     common = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
     # As many of the sample as go without the overlap that is certain; those of one document come first in order of frequency.
-    least_d = _unshared(F.ceil(F.col("n") * percent / 100), percent)
+    least_d = unshared_of(F.ceil(F.col("n") * percent / 100), percent)
     prefix = sampled - F.ceil(least_d / 2)
     own = Window.partitionBy("row")
     shared = tokens.join(common, "token").withColumns({"alike": F.count(F.lit(1)).over(own), "place": F.row_number().over(own.orderBy("df", "token"))})
@@ -195,97 +93,8 @@ def _buckets(classes: DataFrame, percent: int) -> DataFrame:
     return met.unionByName(alone).distinct().join(member, "group").select("bucket", "row", "n")
 
 
-def _blocks(n_rows: Column, shingles: Column) -> Column:
-    return F.greatest(F.ceil(n_rows / BLOCK_ROWS), F.ceil(shingles / BLOCK_SHINGLES)).cast("int")
-
-
-def _salted(rows: DataFrame, large: DataFrame) -> DataFrame:
-    """rows with the columns of large, which has a row for some buckets; each bucket's rows meet it in up to SALTS tasks."""
-    spread = large.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return rows.withColumn("salt", F.pmod(F.xxhash64("row"), F.lit(SALTS)).cast("int")).join(spread, ["bucket", "salt"], "left").drop("salt")
-
-
-def _first_tasks(rows: DataFrame) -> tuple[DataFrame, DataFrame | None]:
-    """From rows (bucket, row, n) the tasks' rows (bucket, i, j, row), and the buckets of several blocks with their number."""
-    sizes = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("s")).where("c > 1")
-    large = checkpointed(sizes.select("bucket", _blocks(F.col("c"), F.col("s")).alias("blocks")).where("blocks > 1"))
-    if large.isEmpty():
-        zero = F.lit(0)
-        return rows.select("bucket", zero.alias("i"), zero.alias("j"), "row"), None
-    dealt = _salted(rows, large).withColumn("i", F.pmod(F.xxhash64("row", "bucket"), F.coalesce("blocks", F.lit(1))).cast("int"))
-    pivots = dealt.where(F.col("i") < F.when(F.col("blocks") > 1, PIVOTS)).groupBy("bucket", "i", "blocks").agg(F.min("row").alias("row"))
-    others = pivots.select("bucket", "row", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("i"))
-    return dealt.select("bucket", "i", "row").unionByName(others.select("bucket", "i", "row")).select("bucket", "i", F.col("i").alias("j"), "row"), large
-
-
-def _second_tasks(rows: DataFrame, large: DataFrame, roots: DataFrame) -> DataFrame | None:
-    """The tasks' rows (bucket, i, j, row) for what the first ones left open in buckets of several blocks."""
-    rooted = checkpointed(
-        _salted(rows, large.select("bucket", F.lit(1).alias("many"))).where("many = 1").join(roots.withColumnRenamed("node", "row"), "row", "left").select("bucket", "row", "n", F.coalesce("root", "row").alias("root"))
-    )
-    main = rooted.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("c")).groupBy("bucket").agg(F.max_by("root", F.struct("c", "root")).alias("main"))
-    told = checkpointed(_salted(rooted, main).select("bucket", "row", "n", (F.col("root") == F.col("main")).alias("inside")))
-    some = lambda inside, x: F.sum(F.when(F.col("inside") == inside, x).otherwise(0))
-    sizes = told.groupBy("bucket").agg(_blocks(some(False, F.lit(1)), some(False, F.col("n"))).alias("open"), _blocks(some(True, F.lit(1)), some(True, F.col("n"))).alias("closed"))
-    sizes = checkpointed(sizes.where("open > 0"))
-    if sizes.isEmpty():
-        return None
-    dealt = _salted(told, sizes).where("open > 0")
-    h = F.xxhash64("row", "bucket", F.lit(1))
-    # Blocks of open rows come first; each meets all others, so that closed ones meet the open ones.
-    block = F.when(F.col("inside"), F.col("open") + F.pmod(h, F.col("closed"))).otherwise(F.pmod(h, F.col("open"))).cast("int")
-    met = F.sequence(F.lit(0), F.when(F.col("inside"), F.col("open") - 1).otherwise(F.col("open") + F.col("closed") - 1))
-    pairs = dealt.withColumn("block", block).withColumn("other", F.explode(met)).where("block <> other")
-    return pairs.select("bucket", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "row")
-
-
-def _perhaps(rows: DataFrame, wanted: DataFrame, key: str) -> DataFrame:
-    """rows with a column ``perhaps``: false only where the key is none of the wanted ones.
-
-    The wanted keys' hashes are broadcast as a bitmap, whose size follows their number up to ``MAPS`` parts (16 MB); a fuller
-    one only says perhaps more often.
-    """
-    maps = min(MAPS, max(1, -(-wanted.count() * FILL // MAP_BITS)))
-    at = F.pmod(F.xxhash64(F.col(key)), F.lit(maps * MAP_BITS))
-    bits = wanted.select(at.alias("at")).groupBy(F.call_function("bitmap_bucket_number", "at").alias("bucket_")).agg(F.call_function("bitmap_construct_agg", F.call_function("bitmap_bit_position", "at")).alias("bits_"))
-    place = F.call_function("bitmap_bit_position", at)
-    byte = F.conv(F.hex(F.expr("substring(bits_, CAST(place_ DIV 8 AS INT) + 1, 1)")), 16, 10).cast("int")
-    found = rows.withColumns({"bucket_": F.call_function("bitmap_bucket_number", at), "place_": place}).join(F.broadcast(checkpointed(bits)), "bucket_", "left")
-    held = byte.bitwiseAND(F.call_function("shiftleft", F.lit(1), (F.col("place_") % 8).cast("int"))) != 0
-    return found.withColumn("perhaps", F.coalesce(held, F.lit(False))).select(*rows.columns, "perhaps")
-
-
-MARKS = ("mark", "mark_b")
-
-
-def _marks(text: Column) -> dict[str, Column]:
-    """96 bits that tell texts apart."""
-    return dict(zip(MARKS, (F.xxhash64(text), F.hash(text))))
-
-
-def _links(tasks: DataFrame, sets: DataFrame, whole: DataFrame, words: int, percent: int) -> DataFrame:
-    """Links (a, b) between rows that meet in the tasks' rows (bucket, i, j, row)."""
-    marked = checkpointed(tasks.join(sets.select("row", *MARKS), "row"))
-    texts = _perhaps(whole, marked.select("mark").distinct(), "mark").where("perhaps").groupBy(*MARKS).agg(F.first("text").alias("text"))
-    by_task = marked.join(texts, [*MARKS]).select("bucket", "i", "j", "row", "text").repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
-    return checkpointed(by_task.mapInArrow(_verified(words, percent), "a bigint, b bigint"))
-
-
-def _classes(docs: DataFrame, words: int, percent: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
-    """Rows (row, id, marks, n, signatures) of docs, and the classes of equal sets (n, signatures, least, root)."""
-    whole = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text")).withColumns(_marks(F.col("text")))
-    sets = checkpointed(with_sets(whole.withColumn("row", F.monotonically_increasing_id()), words, percent, "text"))
-    classes = checkpointed(sets.where("n > 0").groupBy("n", "sig_a", "sig_b").agg(F.min("row").alias("row"), F.min("id").alias("least")))
-    first = sets.join(classes.select("row"), "row", "left_semi")
-    met = checkpointed(_buckets(first.select("row", "n", "sample"), percent))
-    texts = whole.select("text", *MARKS)
-    tasks, large = _first_tasks(met)
-    edges = _links(tasks, sets, texts, words, percent)
-    roots = components(edges)
-    if large is not None and (tasks := _second_tasks(met, large, roots)) is not None:
-        roots = components(edges.unionByName(_links(tasks, sets, texts, words, percent)))
-    joined = classes.join(roots.withColumnRenamed("node", "row"), "row", "left").withColumn("root", F.coalesce("root", "row"))
-    return sets.drop("sample"), joined
+def search(words: int, percent: int) -> Search:
+    return Search(words, percent, lambda docs: with_samples(docs, words, percent), lambda classes: _buckets(classes, percent), lambda n, samples: possible(n, samples, percent))
 
 
 def similarity_components(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -293,14 +102,7 @@ def similarity_components(docs: DataFrame, words: int = 5, percent: int = 80, id
 
     Sets link when percent * union <= 100 * intersection.
     """
-    sets, classes = _classes(docs, words, percent, id_col, text_col)
-    # Most classes are alone and need no shuffle by root; nor do the others' roots meet in one task, as least ids are partial.
-    alone = F.col("root") == F.col("row")
-    several = classes.where(~alone).select("root", "least").unionByName(classes.where(alone).select("root", "least"))
-    named = classes.join(several.groupBy("root").agg(F.min("least").alias("component")), "root").select("n", "sig_a", "sig_b", "component")
-    return sets.join(named, ["n", "sig_a", "sig_b"], "left").select(
-        F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("id")).alias("component_id")
-    )
+    return component_ids(docs, search(words, percent), id_col, text_col)
 
 
 def keep_one_of_each(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -309,22 +111,4 @@ def keep_one_of_each(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
     Rows are told apart by their id and text, so that of rows which repeat an id with different texts only those go that are
     copies; of rows with equal id and text one stays. Texts are only shuffled for rows that may go or repeat.
     """
-    sets, classes = _classes(docs, words, percent, id_col, text_col)
-    rows = checkpointed(sets.join(classes.select("n", "sig_a", "sig_b", "root"), ["n", "sig_a", "sig_b"], "left").select("id", *MARKS, "root"))
-    order = F.struct(F.col("id").isNull().alias("last"), "id", *MARKS)
-    # Kept, so that the join deals both sides anew and adaptive execution can split a large component.
-    best = checkpointed(rows.where("root is not null").groupBy("root").agg(F.min(order).alias("best"), F.count(F.lit(1)).alias("c")).where("c > 1").drop("c"))
-    lost = rows.join(best, "root").where(order != F.col("best")).select("id", *MARKS, F.lit(True).alias("gone"))
-    twice = rows.groupBy("id", *MARKS).agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("id", *MARKS, F.lit(False).alias("gone"))
-    told = checkpointed(lost.unionByName(twice).groupBy("id", *MARKS).agg(F.bool_or("gone").alias("gone")))
-
-    names = dict(zip((*MARKS, "perhaps", "id", "gone"), scratch(docs, *MARKS, "perhaps", "id", "gone")))
-    found = told.select([F.col(c).alias(names[c]) for c in (*MARKS, "id", "gone")])
-    marked = docs.withColumns({names[c]: x for c, x in _marks(text_of(text_col)).items()})
-    marked = _perhaps(marked, found, names["mark"]).withColumnRenamed("perhaps", names["perhaps"])
-    some = marked.where(names["perhaps"]).alias("some")
-    same = [F.col(f"some.{id_col}").eqNullSafe(F.col(f"found.{names['id']}")), *[F.col(f"some.{names[c]}") == F.col(f"found.{names[c]}") for c in MARKS]]
-    kept = some.join(found.alias("found"), same, "left").select("some.*", names["gone"])
-    once = kept.where(F.col(names["gone"]) == False).dropDuplicates([id_col, *[names[c] for c in MARKS]])  # noqa: E712
-    left = [marked.where(~F.col(names["perhaps"])), kept.where(F.col(names["gone"]).isNull()), once]
-    return left[0].select(*docs.columns).unionByName(left[1].select(*docs.columns)).unionByName(left[2].select(*docs.columns))
+    return one_of_each(docs, search(words, percent), id_col, text_col)
