@@ -9,7 +9,7 @@ import public_tokenizers as tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, fill_in_middle, fingerprints, html_text, jaccard_join, packing, periodic_runs, personal_data, quality, secrets, url_filter
+from . import bpe, exact_dedup, fill_in_middle, fingerprints, html_text, jaccard_join, packing, periodic_runs, personal_data, quality, secrets, set_sketch, url_filter
 from .common import ship, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -180,3 +180,9 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.floor(1000 * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
         F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
     )
+
+
+@query
+def op12_setsketch_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = set_sketch.near_duplicates(table(spark, sf_dir, "documents"), words=5, percent=85)
+    return found.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
