@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.shared import kept
 from .sequence import chunked, own_rows, within
 
 LOOKBACK, HORIZON = 360, 30
@@ -12,6 +13,7 @@ EPSILON = 1e-8
 PRICES = ("open", "high", "low", "close")
 SCORED = ("log_return", "price_range", "log_volume", "volatility_5m")
 SPLITS = ("train", "val", "test")
+SHARD_ROWS = 65_536
 
 
 def _usable(lookback: int, horizon: int) -> Column:
@@ -24,12 +26,15 @@ def _usable(lookback: int, horizon: int) -> Column:
     return (F.col("i") >= lookback) & (F.col("i") < F.col("n") - horizon) & (F.lag("isle_", lookback).over(within()) == F.lead("isle_", horizon - 1).over(within())), island
 
 
-def _framed(features: DataFrame, lookback: int, horizon: int, **columns: Column) -> DataFrame:
-    """Rows of usable end points with the columns, which may look back and ahead as far as the window and the horizon."""
+def _framed(features: DataFrame, lookback: int, horizon: int, prepared: dict[str, Column] | None = None, **columns: Column) -> DataFrame:
+    """Rows of usable end points with the columns, which may look back and ahead as far as the window and the horizon.
+
+    What they look at may be prepared for all rows of a chunk first.
+    """
     usable, island = _usable(lookback, horizon)
     # One row more before, as the first in a chunk can't tell whether it follows a gap.
-    rows = chunked(features, lookback + 1, horizon).withColumn("isle_", island)
-    return own_rows(rows.withColumns({"usable_": usable, **columns})).where("usable_").drop("usable_", "isle_")
+    rows = chunked(features, lookback + 1, horizon).withColumn("isle_", island).withColumns(prepared or {})
+    return own_rows(rows.withColumns({"usable_": usable, **columns})).where("usable_").drop("usable_", "isle_", *(prepared or ()))
 
 
 def valid_indices(features: DataFrame, lookback: int = LOOKBACK, horizon: int = HORIZON) -> DataFrame:
@@ -54,15 +59,39 @@ def persistence(features: DataFrame, lookback: int = LOOKBACK, horizon: int = HO
     return _framed(rows, lookback, horizon, y=_label(horizon), prediction=_label(horizon, back=True)).select("symbol", "i", "y", "prediction")
 
 
+def _moments(lookback: int) -> tuple[dict[str, Column], dict[str, Column]]:
+    """What to prepare for each row, and from that the mean and the population deviation of each column over the window before it.
+
+    Rows are cut into blocks of the window's length, so that a window is the end of one block and the beginning of the next.
+    For each row the number, mean and sum of squared differences of its block up to it, and from it on, come from frames that only grow,
+    which are read once; two of them make up a window's. So time doesn't depend on the window's length, and no large sums cancel.
+    """
+    block = Window.partitionBy("symbol", "chunk_", F.floor(F.col("i") / lookback))
+    prepared, stats = {}, {}
+    for c in SCORED:
+        for name, order in (("head", block.orderBy("i")), ("tail", block.orderBy(F.desc("i")))):
+            frame = order.rowsBetween(Window.unboundedPreceding, 0)
+            number = F.count(c).over(frame)
+            prepared[f"{name}_{c}_"] = F.struct(number.alias("n"), F.avg(c).over(frame).alias("mean"), (number * F.var_pop(c).over(frame)).alias("squares"), F.min(c).over(frame).alias("lo"), F.max(c).over(frame).alias("hi"))
+        # The end of the earlier block is missing where the window is a whole block.
+        one, other = F.lag(f"head_{c}_").over(within()), F.when(F.col("i") % lookback != 0, F.lag(f"tail_{c}_", lookback).over(within()))
+        part = lambda x, field: F.coalesce(x[field], F.lit(0.0))
+        n, m = part(one, "n"), part(other, "n")
+        apart = part(one, "mean") - part(other, "mean")
+        every = F.nullif(n + m, F.lit(0.0))
+        stats[f"mean_{c}"] = (n * part(one, "mean") + m * part(other, "mean")) / every
+        std = F.sqrt((part(one, "squares") + part(other, "squares") + apart * apart * n * m / every) / every)
+        # Exactly 0 where flat: means of equal values may differ in the last bit.
+        stats[f"std_{c}"] = F.when(F.least(one["lo"], other["lo"]) == F.greatest(one["hi"], other["hi"]), 0.0).otherwise(std)
+    return prepared, stats
+
+
 def window_norm_stats(features: DataFrame, lookback: int = LOOKBACK, horizon: int = HORIZON) -> DataFrame:
     """What normalisation needs for each usable end point: the first close, means and population deviations over the window."""
-    frame = within().rowsBetween(-lookback, -1)
-    stats = {"first_close": F.first("close").over(frame)}
-    for c in SCORED:
-        stats[f"mean_{c}"] = F.avg(c).over(frame)
-        stats[f"std_{c}"] = F.stddev_pop(c).over(frame)
+    prepared, stats = _moments(lookback)
+    stats = {"first_close": F.lag("close", lookback).over(within()), **stats}
     rows = features.select("symbol", "timestamp", "i", "n", "close", *SCORED)
-    return _framed(rows, lookback, horizon, **stats).select("symbol", "i", *stats)
+    return _framed(rows, lookback, horizon, prepared, **stats).select("symbol", "i", *stats)
 
 
 def windows_long(features: DataFrame, columns: tuple[str, ...], lookback: int, horizon: int) -> DataFrame:
@@ -81,13 +110,6 @@ def normalized_windows(features: DataFrame, lookback: int, horizon: int) -> Data
     return rows.select("symbol", "i", "k", *[price(c).alias(c) for c in PRICES], *[score(c).alias(c) for c in SCORED])
 
 
-def window_arrays(features: DataFrame, lookback: int, horizon: int) -> DataFrame:
-    """One row for each usable end point with its normalised window as an array of rows in the model's order."""
-    row = F.struct("k", F.array(*[F.col(c).cast("float") for c in (*PRICES, *SCORED)]).alias("x"))
-    found = normalized_windows(features, lookback, horizon).groupBy("symbol", "i").agg(F.sort_array(F.collect_list(row)).alias("rows"))
-    return found.select("symbol", "i", F.transform("rows", lambda r: r["x"]).alias("x"))
-
-
 def time_split(indices: DataFrame, val: float = 0.15, test: float = 0.15) -> DataFrame:
     """Index rows (symbol, i, ...) with their split, by order of i: the last part is test, the one before val, the rest train.
 
@@ -108,13 +130,16 @@ def window_dataset(features: DataFrame, lookback: int = LOOKBACK, horizon: int =
     return time_split(realized_vol_label(features, lookback, horizon))
 
 
-def training_batches(dataset: DataFrame, size: int = 64, seed: int = 0, shards: int = 64) -> DataFrame:
+def training_batches(dataset: DataFrame, size: int = 64, seed: int = 0, shard_rows: int = SHARD_ROWS) -> DataFrame:
     """Dataset rows with shard and batch: train in random order, the others by time. Batches are cut within shards of rows.
 
-    The order of train is that of a digest of seed, symbol and i, so that a seed gives the same batches anywhere.
+    There is a shard for every so many rows, so that none grows with the table. The order of train is that of a digest of
+    seed, symbol and i, so that a seed gives the same batches anywhere; shards of the others hold runs of 4,096 i.
     """
+    dataset = kept(dataset)
+    shards = max(1, -(-dataset.count() // shard_rows))
     key = F.when(F.col("split") == "train", F.md5(F.concat_ws("|", F.lit(seed).cast("string"), "symbol", F.col("i").cast("string"))))
-    dealt = F.coalesce(F.conv(F.substring("key_", 1, 6), 16, 10).cast("bigint"), F.floor(F.col("i") / 4096))
-    rows = dataset.withColumn("key_", key).withColumn("shard", F.pmod(dealt, F.lit(shards)).cast("int"))
+    dealt = F.coalesce(F.conv(F.substring("key_", 1, 15), 16, 10).cast("bigint"), F.floor(F.col("i") / 4096))
+    rows = dataset.withColumn("key_", key).withColumn("shard", F.pmod(dealt, F.lit(shards)))
     order = Window.partitionBy("split", "shard").orderBy("key_", "symbol", "i")
     return rows.withColumn("batch", F.floor((F.row_number().over(order) - 1) / size)).drop("key_")

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import day_tag, path_name
-from ..operators import collect, features, metrics, quality, windows
+from ..operators import collect, features, metrics, quality, tensors, windows
 from ..sources import candles as source
 from ..sources.shared import kept, shared_folder
 from ..streaming import live
@@ -347,9 +347,17 @@ def realized_vol_label(spark, sf_dir):
     return rounded(windows.realized_vol_label(feats(spark, sf_dir), L, H), "y", places=6)
 
 
+# Means of values of few decimals often lie halfway between two rounded ones, where the last bit would decide.
+_NUDGE = 1e-12
+
+
+def _nudged(stats: DataFrame) -> DataFrame:
+    return stats.withColumns({c: F.round(F.col(c) + _NUDGE, 7) for c in stats.columns if c not in ("symbol", "i", "first_close")})
+
+
 def _stats(lookback: int, places: int | None) -> str:
     frame = f"(PARTITION BY symbol ORDER BY i ROWS BETWEEN {lookback} PRECEDING AND 1 PRECEDING)"
-    cut = (lambda x: f"ROUND({x}, {places})") if places else (lambda x: x)
+    cut = (lambda x: f"ROUND({x} + {_NUDGE}, {places})") if places else (lambda x: x)
     return ", ".join([f"FIRST_VALUE(close) OVER {frame} AS first_close", *[f"{cut(f'{f}({c}) OVER {frame}')} AS {n}_{c}" for c in windows.SCORED for f, n in (("AVG", "mean"), ("STDDEV_POP", "std"))]])
 
 
@@ -358,8 +366,7 @@ _NAMES = ", ".join(["first_close", *[f"{n}_{c}" for c in windows.SCORED for n in
 
 @query(f"{_ends(L, H, _stats(L, 7))} SELECT symbol, i, {_NAMES} FROM ends WHERE ok")
 def window_norm_stats(spark, sf_dir):
-    found = windows.window_norm_stats(feats(spark, sf_dir), L, H)
-    return rounded(found, *[c for c in found.columns if c not in ("symbol", "i", "first_close")], places=7)
+    return _nudged(windows.window_norm_stats(feats(spark, sf_dir), L, H))
 
 
 _LONG = f"""{_ends(LONG, 2, _stats(LONG, None))}, long AS (
@@ -392,7 +399,7 @@ _OWN = [f"CAST(MAX(CASE WHEN k = {k} THEN {c} / first_close END) AS FLOAT)" for
 def window_arrays(spark, sf_dir):
     """The arrays' sizes and their prices, row by row of the window."""
     x = lambda j: F.round(F.col("x")[j // 4][j % 4].cast("double"), 6).alias(f"price_{j}")
-    found = windows.window_arrays(feats(spark, sf_dir), LONG, 2)
+    found = tensors.window_arrays(feats(spark, sf_dir), LONG, 2)
     return found.select("symbol", "i", F.size("x").cast("bigint").alias("rows"), F.size(F.col("x")[0]).alias("width"), *[x(j) for j in range(4 * LONG)])
 
 
@@ -407,7 +414,7 @@ def window_dataset(spark, sf_dir):
 
 
 @query(f"""{SPLIT}, keyed AS (SELECT *, CASE WHEN split = 'train' THEN MD5('0|' || symbol || '|' || i) END AS key FROM dataset),
-sharded AS (SELECT *, CAST(COALESCE(CAST('0x' || SUBSTR(key, 1, 6) AS BIGINT), i // 4096) % 64 AS INT) AS shard FROM keyed)
+sharded AS (SELECT *, COALESCE(CAST('0x' || SUBSTR(key, 1, 15) AS BIGINT), i // 4096) % (SELECT CAST(GREATEST(1, CEIL(COUNT(*) / {windows.SHARD_ROWS}.0)) AS BIGINT) FROM dataset) AS shard FROM keyed)
 SELECT symbol, i, split, shard, (ROW_NUMBER() OVER (PARTITION BY split, shard ORDER BY key, symbol, i) - 1) // 64 AS batch, ROUND(y, 6) AS y FROM sharded""")
 def training_batches(spark, sf_dir):
     return rounded(windows.training_batches(windows.window_dataset(feats(spark, sf_dir), L, H)), "y", places=6)
@@ -451,8 +458,7 @@ def realized_vol_label_full(spark, sf_dir):
 
 @query(f"{_ends(*FULL, _stats(windows.LOOKBACK, 7))} SELECT symbol, i, {_NAMES} FROM ends WHERE ok")
 def window_norm_stats_full(spark, sf_dir):
-    found = windows.window_norm_stats(feats(spark, sf_dir))
-    return rounded(found, *[c for c in found.columns if c not in ("symbol", "i", "first_close")], places=7)
+    return _nudged(windows.window_norm_stats(feats(spark, sf_dir)))
 
 
 @query(f"{_split(*FULL)} SELECT symbol, i, split, ROUND(y, 6) AS y FROM dataset")
@@ -460,6 +466,39 @@ def window_dataset_full(spark, sf_dir):
     return rounded(windows.window_dataset(feats(spark, sf_dir)), "y", places=6)
 
 
+def _last(column: str, lookback: int) -> str:
+    frame = f"(PARTITION BY symbol ORDER BY i ROWS BETWEEN {lookback} PRECEDING AND 1 PRECEDING)"
+    z = f"(LAG({column}) OVER w - AVG({column}) OVER {frame}) / STDDEV_POP({column}) OVER {frame}"
+    return f"CASE WHEN STDDEV_POP({column}) OVER {frame} > 1e-7 THEN CASE WHEN COUNT({column}) OVER {frame} = {lookback} THEN ROUND(CAST(CAST({z} AS FLOAT) AS DOUBLE), 3) ELSE 0 END END AS last_{column}"
+
+
+_FRAME = f"(PARTITION BY symbol ORDER BY i ROWS BETWEEN {windows.LOOKBACK} PRECEDING AND 1 PRECEDING)"
+_CUT = ", ".join([
+    _label(windows.HORIZON), *[f"ROUND(CAST(CAST(LAG({c}, {k}) OVER w / FIRST_VALUE(close) OVER {_FRAME} AS FLOAT) AS DOUBLE), 4) AS {n}_{c}" for n, c, k in (("first", "open", 360), ("middle", "close", 180), ("last", "high", 1))],
+    *[_last(c, windows.LOOKBACK) for c in ("log_return", "price_range", "log_volume")],
+])
+
+
+# Some of a window's normalised prices, and its last row's z-scores, with the batch that it is in.
+@query(f"""{_ends(*FULL, _CUT)}, ranked AS (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY symbol ORDER BY i) AS r, COUNT(*) OVER (PARTITION BY symbol) AS c, i // {tensors.CHUNK} AS chunk FROM ends WHERE ok
+), dataset AS (
+  SELECT *, CASE WHEN r > c - FLOOR(c * 0.15e0) THEN 'test' WHEN r > c - FLOOR(c * 0.15e0) - FLOOR(c * 0.15e0) THEN 'val' ELSE 'train' END AS split FROM ranked
+)
+SELECT symbol, i, split, chunk, {windows.LOOKBACK * 8} AS size, ROUND(y, 6) AS y, first_open, middle_close, last_high, last_log_return, last_price_range, last_log_volume,
+  (ROW_NUMBER() OVER (PARTITION BY symbol, chunk, split ORDER BY CASE WHEN split = 'train' THEN CAST('0x' || SUBSTR(MD5('0|' || symbol || '|' || i), 1, 15) AS BIGINT) ELSE i END, i) - 1) // {tensors.BATCH} AS batch
+FROM dataset""")
+def training_tensors_full(spark, sf_dir):
+    rows = feats(spark, sf_dir)
+    at = lambda k, name: F.get("x", F.lit(8 * k + features.MODEL.index(name))).cast("double")
+    last = windows.LOOKBACK - 1
+    prices = {"first_open": at(0, "open"), "middle_close": at(last - 179, "close"), "last_high": at(last, "high")}
+    scores = {c: at(last, c) for c in ("log_return", "price_range", "log_volume")}
+    flat = windows.window_norm_stats(rows).select("symbol", "i", *[f"std_{c}" for c in scores])
+    found = tensors.training_tensors(rows).select("symbol", "i", "split", "chunk", "batch", F.size("x").alias("size"), F.round("y", 6).alias("y"), *[F.round(x, 4).alias(c) for c, x in prices.items()], *[x.alias(c) for c, x in scores.items()])
+    return found.join(flat, ["symbol", "i"]).select(*found.columns[:-3], *[F.when(F.col(f"std_{c}") > 1e-7, F.round(c, 3)).alias(f"last_{c}") for c in scores])
+
+
 @query(_EVALUATED.format(_split(*FULL)))
 def eval_metrics_full(spark, sf_dir):
     return rounded(metrics.evaluate(_scored(spark, sf_dir, *FULL)), "rmse", "rmse_baseline", "pearson", "pearson_log", places=6)
