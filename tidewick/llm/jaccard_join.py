@@ -33,6 +33,7 @@ from .set_links import Search, component_ids, least_shared, one_of_each, overlap
 from .shingles import shingle_sets
 
 CUT_BITS = 16  # dropped from the 64 of a shingle's hash in samples; alike beginnings only lead to more comparisons
+KEPT_BITS = 31  # of what is left, for the filter of pairs, which takes alike beginnings as equal
 MADE = "n bigint, sig_a bigint, sig_b bigint, summary array<bigint>"
 
 
@@ -94,7 +95,8 @@ def _buckets(classes: DataFrame, percent: int) -> DataFrame:
 
 
 def search(words: int, percent: int) -> Search:
-    return Search(words, percent, lambda docs: with_samples(docs, words, percent), lambda classes: _buckets(classes, percent), lambda n, samples: possible(n, samples, percent))
+    short = F.transform("summary", lambda x: F.shiftright(x, 64 - CUT_BITS - KEPT_BITS).cast("int"))
+    return Search(words, percent, lambda docs: with_samples(docs, words, percent), lambda classes: _buckets(classes, percent), short, lambda n, samples: possible(n, samples, percent))
 
 
 def similarity_components(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -49,15 +49,16 @@ TASK = "bucket bigint, i int, j int, row bigint"
 class Search:
     """A way to find candidates among sets of shingles of so many words, for a similarity of so many percent or more.
 
-    ``described`` adds to documents (row, id, text, ...) the size n of each set, its signatures sig_a and sig_b and its
-    summary; ``buckets`` makes rows (bucket, row, n) of classes, such that linked ones meet; ``passes`` tells for sizes
-    and summaries which pairs may be linked, as a matrix.
+    ``described`` adds to documents (row, id, text, ...) the size n of each set, its signatures sig_a and sig_b and what
+    ``buckets`` needs, which makes rows (bucket, row, n) of classes, such that linked ones meet; ``summary`` is a column of
+    those that ``passes`` gets with sizes, to tell which pairs may be linked, as a matrix.
     """
 
     words: int
     percent: int
     described: Callable[[DataFrame], DataFrame]
     buckets: Callable[[DataFrame], DataFrame]
+    summary: Column
     passes: Callable[[np.ndarray, list[np.ndarray]], np.ndarray]
 
 
@@ -323,7 +324,7 @@ def _with_texts(marked: DataFrame, whole: DataFrame) -> DataFrame:
 def _links(tasks: DataFrame, sets: DataFrame, whole: DataFrame, search: Search) -> DataFrame:
     """Links (a, b) between rows that meet in the tasks' rows (bucket, i, j, row)."""
     by_task = lambda rows: rows.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
-    possible = by_task(tasks.join(sets.select("row", "n", "summary"), "row")).mapInArrow(_possible(search.passes), TASK)
+    possible = by_task(tasks.join(sets.select("row", "n", search.summary.alias("summary")), "row")).mapInArrow(_possible(search.passes), TASK)
     marked = checkpointed(possible.join(sets.select("row", *MARKS), "row"))
     found = by_task(_with_texts(marked, whole)).mapInArrow(_verified(search.words, search.percent), "a bigint, b bigint")
     return checkpointed(found)

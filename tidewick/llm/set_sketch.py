@@ -159,7 +159,7 @@ def _buckets(classes: DataFrame) -> DataFrame:
 
 
 def search(words: int, percent: int) -> Search:
-    return Search(words, percent, lambda docs: with_sketches(docs, words), _buckets, lambda n, registers: possible(n, registers, percent))
+    return Search(words, percent, lambda docs: with_sketches(docs, words), _buckets, F.col("summary"), lambda n, registers: possible(n, registers, percent))
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
