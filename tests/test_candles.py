@@ -180,8 +180,6 @@ def test_pages_are_partitions(spark):
     frame = spark.createDataFrame(rows[:1200], exchange.ROW)
     records = collect.to_records(frame, F.lit("2024-01-01").cast("timestamp_ntz"), page=1000)
     assert records.where("volatility_5m is null").count() == 10
-    newest, end = exchange.NewestReader(options | {"page": "3"}).read({"since": 0})
-    assert len(list(newest)) == 6 and end == {"since": 3 * exchange.MINUTE}
 
 
 def uneven_client(symbol, since, limit):
@@ -193,18 +191,6 @@ def uneven_client(symbol, since, limit):
 UNEVEN = {"client": "test_candles:uneven_client", "symbols": "A,B,C", "start": "0", "page": "100"}
 
 
-def test_slower_symbol_loses_no_bars():
-    reader, offset, found = exchange.NewestReader(UNEVEN), {"since": 0}, []
-    for _ in range(20):
-        before = offset
-        rows, offset = reader.read(before)
-        rows = list(rows)
-        assert list(reader.readBetweenOffsets(before, offset)) == rows
-        found += [r[:2] for r in rows]
-    assert len(found) == 1501 + 701 == len(set(found))
-    assert offset == {"since": {"A": 1501 * exchange.MINUTE, "B": 2101 * exchange.MINUTE, "C": 0}}
-
-
 def test_stream_drains_each_symbol(spark, tmp_path):
     live = exchange.LiveReader(UNEVEN)
     end = live.latestOffset()

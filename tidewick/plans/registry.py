@@ -6,16 +6,17 @@ deduplicated view ohlcv, and for some the feature rows feats. What passes throug
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import day_tag, path_name
-from ..operators import collect, features, metrics, quality, tensors, windows
+from ..operators import collect, features, incremental, metrics, quality, tensors, windows
 from ..sources import candles as source
 from ..sources.shared import kept, shared_folder
-from ..streaming import live
+from ..streaming import live, state
 from . import jobs
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -574,3 +575,157 @@ def stream_daily_counts(spark, sf_dir):
     stream = live.daily_counts(events).writeStream.outputMode("complete").foreachBatch(put)
     stream.option("checkpointLocation", f"{folder}/state").trigger(availableNow=True).start().awaitTermination()
     return spark.read.parquet(f"{folder}/out").select(F.col("day").cast("timestamp_ntz").alias("day"), "event_type", "n")
+
+
+# Raw candles that arrive in three parts, by the time of their collection; each part is a batch, after which the stream is stopped
+# and started again. What is no newer than the newest bar of earlier parts less ten minutes is late.
+STEPS, LATE_MINUTES = 3, 10
+_ARRIVED = f"""{RAW}, bounds AS (SELECT MIN(EPOCH_US(collected_at)) AS lo, MAX(EPOCH_US(collected_at)) AS hi FROM raw),
+stepped AS (SELECT raw.*, {STEPS} * (EPOCH_US(collected_at) - lo) // (hi - lo + 1) AS step FROM raw, bounds),
+settled AS (SELECT step, MAX(MAX(timestamp)) OVER (ORDER BY step ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - INTERVAL {LATE_MINUTES} MINUTE AS until FROM stepped GROUP BY step),
+accepted AS (SELECT stepped.* FROM stepped JOIN settled USING (step) WHERE until IS NULL OR timestamp > until),
+given AS (
+  SELECT * FROM accepted WHERE timestamp <= (SELECT MAX(timestamp) - INTERVAL {LATE_MINUTES} MINUTE FROM stepped)
+  QUALIFY ROW_NUMBER() OVER (PARTITION BY symbol, timestamp ORDER BY collected_at DESC, volume DESC, close DESC, open DESC, high DESC, low DESC, volatility_5m DESC NULLS LAST) = 1
+)"""
+
+
+def _arrive(spark: SparkSession, sf_dir: str, flow: Callable[[DataFrame], DataFrame]) -> tuple[DataFrame, list]:
+    """What a flow has written after all parts, and the progress of its batches."""
+    folder, rows, progress = shared_folder(spark), kept(raw(spark, sf_dir)), []
+    at = "unix_micros(CAST(collected_at AS timestamp))"
+    bounds = rows.agg(F.expr(f"min({at})").alias("lo"), F.expr(f"max({at})").alias("hi")).head()
+    step = F.expr(f"{STEPS} * ({at} - {bounds['lo']}L) div ({bounds['hi'] - bounds['lo'] + 1}L)")
+    for k in range(STEPS):
+        rows.where(step == k).write.mode("append").parquet(f"{folder}/in")
+        stream = flow(live.candle_stream(spark, f"{folder}/in")).writeStream.format("parquet").option("checkpointLocation", f"{folder}/state").option("path", f"{folder}/out")
+        started = stream.trigger(availableNow=True).start()
+        started.awaitTermination()
+        progress += started.recentProgress
+    return spark.read.parquet(f"{folder}/out"), progress
+
+
+def _plain_times(df: DataFrame) -> DataFrame:
+    return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c, kind in df.dtypes if kind == "timestamp"})
+
+
+@query(f"""{_ARRIVED}, rets AS (SELECT *, CASE WHEN close > 0 AND LAG(close) OVER w > 0 THEN LN(close / LAG(close) OVER w) END AS r FROM given WINDOW w AS (PARTITION BY symbol ORDER BY timestamp))
+SELECT symbol, timestamp, close, ROUND(CASE WHEN COUNT(r) OVER w = 5 THEN STDDEV_SAMP(r) OVER w END, 9) AS volatility FROM rets WINDOW w AS (PARTITION BY symbol ORDER BY timestamp ROWS BETWEEN 4 PRECEDING AND CURRENT ROW)""")
+def stream_rolling_volatility(spark, sf_dir):
+    """State for each symbol instead of trailing bars that are read again."""
+    return rounded(_plain_times(_arrive(spark, sf_dir, state.rolling_volatility)[0]), "volatility")
+
+
+@query(f"{_ARRIVED} SELECT symbol, timestamp, open, high, low, close, volume, volatility_5m, collected_at FROM given")
+def stream_latest_bars(spark, sf_dir):
+    return _plain_times(_arrive(spark, sf_dir, state.latest_bars)[0])
+
+
+_RUNS = """, steps AS (SELECT *, CASE WHEN timestamp = LAG(timestamp) OVER w + INTERVAL 1 MINUTE THEN 0 ELSE 1 END AS hole FROM {rows} WINDOW w AS (PARTITION BY symbol ORDER BY timestamp)),
+isles AS (SELECT *, SUM(hole) OVER (PARTITION BY symbol ORDER BY timestamp) AS isle FROM steps),
+runs AS (SELECT symbol, MIN(timestamp) AS first_ts, MAX(timestamp) AS last_ts, COUNT(*) AS bars FROM isles GROUP BY symbol, isle)"""
+
+
+@query(f"{VIEW}{_RUNS.format(rows='ohlcv')} SELECT * FROM runs")
+def sessions(spark, sf_dir):
+    return _plain_times(state.sessions(view(spark, sf_dir)))
+
+
+# A session is given once the watermark is 90 seconds past its last bar.
+@query(f"{_ARRIVED}{_RUNS.format(rows='given')} SELECT * FROM runs WHERE last_ts + INTERVAL 90 SECOND <= (SELECT MAX(timestamp) - INTERVAL {LATE_MINUTES} MINUTE FROM stepped)")
+def stream_sessions(spark, sf_dir):
+    """Sessions of bars that a first aggregation has settled, in one stream."""
+    return _plain_times(_arrive(spark, sf_dir, lambda candles: state.sessions(state.latest_bars(candles)))[0])
+
+
+@query(f"""{_ARRIVED} SELECT step AS batch, COUNT(*) AS rows, COUNT_IF(NOT ({_GOOD}))::BIGINT AS malformed, COUNT_IF(DATE_SUB('second', timestamp, collected_at) > 120)::BIGINT AS slow,
+COUNT_IF(volatility_5m IS NULL)::BIGINT AS no_volatility FROM stepped GROUP BY step""")
+def stream_quality_counters(spark, sf_dir):
+    """What batches of a stream that only stores candles report of them."""
+    progress = _arrive(spark, sf_dir, state.observed)[1]
+    return spark.createDataFrame([x for p in progress if (x := state.counters_of(p))], state.COUNTED).drop("late", "state")
+
+
+def _kept_up(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts of a store that got its candles in two appends: the first ones, and those collected in the last tenth of the time."""
+    folder, rows = shared_folder(spark), kept(raw(spark, sf_dir))
+    bounds = rows.agg(F.min("collected_at").alias("lo"), F.max("collected_at").alias("hi")).head()
+    cut = F.col("collected_at") < F.lit(bounds["lo"] + (bounds["hi"] - bounds["lo"]) * 0.9)
+    for number, part in enumerate((rows.where(cut), rows.where(~cut))):
+        incremental.append(part, f"{folder}/store", f"{folder}/parts", batch=str(number))
+    return incremental.read_parts(spark, f"{folder}/parts")
+
+
+@query(ORACLES["dq_overview"])
+def incremental_overview(spark, sf_dir):
+    return incremental.overview(_kept_up(spark, sf_dir))
+
+
+@query(ORACLES["dq_daily_completeness"])
+def incremental_daily_completeness(spark, sf_dir):
+    return incremental.daily_completeness(_kept_up(spark, sf_dir))
+
+
+@query(ORACLES["dq_gaps"])
+def incremental_gaps(spark, sf_dir):
+    return incremental.gaps(_kept_up(spark, sf_dir))
+
+
+@query(ORACLES["dq_ohlc_sanity"])
+def incremental_ohlc_sanity(spark, sf_dir):
+    return incremental.ohlc_sanity(_kept_up(spark, sf_dir))
+
+
+@query(ORACLES["dq_price_outliers"])
+def incremental_price_outliers(spark, sf_dir):
+    return incremental.price_outliers(_kept_up(spark, sf_dir))
+
+
+@query(ORACLES["dq_volume_outliers"])
+def incremental_volume_outliers(spark, sf_dir):
+    return incremental.volume_outliers(_kept_up(spark, sf_dir))
+
+
+@query(ORACLES["dq_volatility_nulls"])
+def incremental_volatility_nulls(spark, sf_dir):
+    return incremental.volatility_nulls(_kept_up(spark, sf_dir))
+
+
+@query(ORACLES["dq_scorecard"])
+def incremental_scorecard(spark, sf_dir):
+    return incremental.scorecard(_kept_up(spark, sf_dir))
+
+
+def _ranked(found: DataFrame, values: DataFrame) -> DataFrame:
+    """Whether what was found (symbol, p, value) for ranks lies within the sketch's error of them among the values (symbol, v)."""
+    below, upto = F.count_if(F.col("v") < F.col("value")) / F.count("v"), F.count_if(F.col("v") <= F.col("value")) / F.count("v")
+    error = incremental.RANK_ERROR
+    return values.join(F.broadcast(found), "symbol").groupBy("symbol", "p").agg(below.alias("b"), upto.alias("u")).select("symbol", "p", F.expr(f"b <= p + {error} AND u >= p - {error}").alias("near"))
+
+
+@query(f"""{VIEW} SELECT *, TRUE AS near FROM (SELECT symbol, ROUND(AVG(s), 1) AS avg_latency_s, MAX(s)::DOUBLE AS max_latency_s, COUNT(*) FILTER (s > 120) AS late_rows_gt2min
+FROM (SELECT symbol, DATE_SUB('second', timestamp, collected_at) AS s FROM ohlcv) GROUP BY symbol)""")
+def incremental_latency(spark, sf_dir):
+    """The percentile comes from merged sketches; told is whether its rank is as near as they promise."""
+    found = kept(incremental.latency(_kept_up(spark, sf_dir)))
+    seconds = view(spark, sf_dir).select("symbol", F.timestamp_diff("SECOND", F.col("timestamp"), F.col("collected_at")).alias("v"))
+    near = _ranked(found.select("symbol", F.lit(0.95).alias("p"), F.col("p95_latency_s").alias("value")), seconds)
+    return found.drop("p95_latency_s").join(near.drop("p"), "symbol")
+
+
+@query(f"{VIEW} SELECT symbol, p::DOUBLE AS p, TRUE AS near FROM (SELECT DISTINCT symbol FROM ohlcv), (VALUES (0.05), (0.5), (0.95), (0.99)) AS ranks(p)")
+def volume_quantiles(spark, sf_dir):
+    """Quantiles of volumes over all days, from sketches of each day."""
+    found = kept(incremental.volume_quantiles(_kept_up(spark, sf_dir), 0.05, 0.5, 0.95, 0.99))
+    return _ranked(found.select("symbol", F.col("rank").alias("p"), F.col("volume").alias("value")), view(spark, sf_dir).select("symbol", F.col("volume").alias("v")))
+
+
+@query(f"{RAW} SELECT * FROM raw")
+def store_compacted(spark, sf_dir):
+    """A store with a folder for each day and batch, of which all days but the last are archived, read as one."""
+    folder, rows = shared_folder(spark), kept(raw(spark, sf_dir))
+    for k in range(3):
+        source.write_store(rows.where(F.pmod(F.xxhash64("symbol", "timestamp"), F.lit(3)) == k), f"{folder}/store", batch=f"live-{k}")
+    last = rows.agg(F.to_date(F.max("timestamp"))).head()[0]
+    source.compact(spark, f"{folder}/store", f"{folder}/archive", last - dt.timedelta(days=1))
+    return source.read_compacted(spark, f"{folder}/store", f"{folder}/archive")

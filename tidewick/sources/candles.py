@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,6 +20,7 @@ SCHEMA = T.StructType(
     ]
 )
 COLUMNS = [f.name for f in SCHEMA.fields]
+_STORED = T.StructType([*SCHEMA.fields, T.StructField("trade_day", T.DateType()), T.StructField("batch", T.StringType())])
 
 # Both engines run this text; {NTZ} is the type of a timestamp literal without a zone.
 DERIVED = """
@@ -80,11 +82,47 @@ def write_store(candles: DataFrame, path: str, mode: str = "append", dry_run: bo
     return dated.drop("batch")
 
 
-def read_store(spark: SparkSession, path: str, start: str | None = None, end: str | None = None) -> DataFrame:
-    """Candles from start on, before end. The bounds on days are stated too, as only those prune the store's folders."""
-    found = spark.read.schema(T.StructType([*SCHEMA.fields, T.StructField("trade_day", T.DateType()), T.StructField("batch", T.StringType())])).parquet(path)
+def read_store(spark: SparkSession, path: str, start: str | None = None, end: str | None = None, days: list[dt.date] | None = None) -> DataFrame:
+    """Candles from start on, before end, of certain days. The bounds on days are stated too, as only those prune the store's folders."""
+    found = spark.read.schema(_STORED).parquet(path)
     if start:
         found = found.where((F.col("trade_day") >= F.lit(dt.datetime.fromisoformat(start).date())) & (F.col("timestamp") >= F.lit(start).cast("timestamp_ntz")))
     if end:
         found = found.where((F.col("trade_day") <= F.lit(dt.datetime.fromisoformat(end).date())) & (F.col("timestamp") < F.lit(end).cast("timestamp_ntz")))
+    if days is not None:
+        found = found.where(F.col("trade_day").isin(days))
     return found.drop("trade_day", "batch")
+
+
+def compact(spark: SparkSession, store: str, archive: str, until: dt.date) -> None:
+    """Copy a store's days up to and with one, that no batch adds to any more, to an archive: a file or a few for each day.
+
+    A live store has a folder for each day and batch. Days that the archive has already aren't copied again; a copy that failed
+    on its way is replaced.
+    """
+    rows = spark.read.schema(_STORED).parquet(store).where(F.col("trade_day") <= F.lit(until))
+    if (last := _archived(spark, archive)) is not None:
+        rows = rows.where(F.col("trade_day") > F.lit(last))
+    ordered = rows.withColumn("batch", F.lit("-")).repartition("trade_day").sortWithinPartitions("trade_day", "symbol", "timestamp")
+    # Days are complete when the archive names them, so that the list is written last.
+    days = [r[0] for r in rows.select("trade_day").distinct().collect()]
+    ordered.write.partitionBy("trade_day", "batch").mode("overwrite").option("partitionOverwriteMode", "dynamic").option("maxRecordsPerFile", 5_000_000).parquet(f"{archive}/days")
+    spark.createDataFrame([(max([*days, until]),)], "until date").coalesce(1).write.mode("append").parquet(f"{archive}/until")
+
+
+def _archived(spark: SparkSession, archive: str) -> dt.date | None:
+    """The last day that an archive has whole."""
+    try:
+        return spark.read.schema("until date").parquet(f"{archive}/until").agg(F.max("until")).head()[0]
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
+def read_compacted(spark: SparkSession, store: str, archive: str, start: str | None = None, end: str | None = None) -> DataFrame:
+    """A store's candles, those of archived days from the archive; what the live store still holds of them is left out."""
+    live, last = read_store(spark, store, start, end), _archived(spark, archive)
+    if last is None:
+        return live
+    return read_store(spark, f"{archive}/days", start, end).unionByName(live.where(F.col("timestamp") >= F.lit(last + dt.timedelta(days=1)).cast("timestamp_ntz")))

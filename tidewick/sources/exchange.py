@@ -4,9 +4,11 @@
 ``client`` as module:function and gives fetch(symbol, since_ms, limit) -> rows [ts_ms, open, high, low, close, volume], the
 first ones from since_ms on. Bars of a symbol are a minute or more apart and appear in order; symbols needn't keep step.
 With the option ``keys``, the names of two environment variables, the function is called with their values first, on the
-machine that fetches, and returns fetch. ``rate`` is the most requests a second of one task.
+machine that fetches, and returns fetch. ``rate`` is the most requests a second of all tasks together, of which ``tasks`` (1
+where it isn't said) run at once, so that each keeps to its share.
 
 A history's symbols share the options ``start`` and ``end``, or each has its own in ``ranges``: JSON {symbol: [start, end]}.
+Filters on ``symbol`` and ``ts_ms`` reach the source (see ``read_pages``), so that pages without wanted bars aren't fetched.
 
 A stream's offset tells for each symbol the time from which its bars are still to be read: {"since": {symbol: ms}}, or
 {"since": ms} where it is the same for all. A symbol that an offset doesn't name begins at the option ``start``.
@@ -22,7 +24,9 @@ import time
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
-from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition, SimpleDataSourceStreamReader
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, EqualTo, Filter, GreaterThan, GreaterThanOrEqual, In, InputPartition, LessThan, LessThanOrEqual
 
 MINUTE = 60_000
 ROW = "symbol string, ts_ms bigint, open double, high double, low double, close double, volume double"
@@ -77,7 +81,7 @@ def _client(options: dict) -> Callable:
     fetch = getattr(importlib.import_module(module), name)
     if options.get("keys"):
         fetch = fetch(*(os.environ.get(x, "") for x in options["keys"].split(",")))
-    return throttled(fetch, float(options["rate"])) if options.get("rate") else fetch
+    return throttled(fetch, float(options["rate"]) / int(options.get("tasks", 1))) if options.get("rate") else fetch
 
 
 def _rows_of(options: dict, page: Page) -> Iterator[tuple]:
@@ -88,14 +92,33 @@ def _rows_of(options: dict, page: Page) -> Iterator[tuple]:
 
 
 class PageReader(DataSourceReader):
+    """Filters on symbol and ts_ms narrow what is asked for, so that only pages that may hold wanted bars are fetched."""
+
     def __init__(self, options: dict):
         self.options = options
+        self.wanted: set[str] | None = None
+        self.start, self.end = 0, 1 << 62
+
+    def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:
+        for f in filters:
+            column = f.attribute[0] if hasattr(f, "attribute") else None
+            if column == "symbol" and isinstance(f, (EqualTo, In)):
+                found = {f.value} if isinstance(f, EqualTo) else set(f.value)
+                self.wanted = found if self.wanted is None else self.wanted & found
+            elif column == "ts_ms" and isinstance(f, (EqualTo, GreaterThan, GreaterThanOrEqual)) and f.value is not None:
+                self.start = max(self.start, int(f.value) + isinstance(f, GreaterThan))
+                if isinstance(f, EqualTo):
+                    self.end = min(self.end, int(f.value) + 1)
+            elif column == "ts_ms" and isinstance(f, (LessThan, LessThanOrEqual)) and f.value is not None:
+                self.end = min(self.end, int(f.value) + isinstance(f, LessThanOrEqual))
+            else:
+                yield f  # left to Spark
 
     def partitions(self) -> list[Page]:
         o, size = self.options, int(self.options.get("page", 1000))
-        if o.get("ranges"):
-            return [page for s, (start, end) in json.loads(o["ranges"]).items() for page in pages([s], start, end, size)]
-        return pages(o["symbols"].split(","), int(o["start"]), int(o["end"]), size)
+        ranges = json.loads(o["ranges"]) if o.get("ranges") else {s: (o["start"], o["end"]) for s in o["symbols"].split(",")}
+        kept = [(s, max(int(start), self.start), min(int(end), self.end)) for s, (start, end) in ranges.items() if self.wanted is None or s in self.wanted]
+        return [page for s, start, end in kept for page in pages([s], start, end, size)]
 
     def read(self, page: Page | None) -> Iterator[tuple]:
         return _rows_of(self.options, page) if page else iter(())
@@ -165,32 +188,6 @@ class LiveReader(DataSourceStreamReader):
         return _rows_of(self.options, page)
 
 
-class NewestReader(SimpleDataSourceStreamReader):
-    """The next page of each symbol's bars, for a caller that reads by itself; each symbol keeps its own offset."""
-
-    def __init__(self, options: dict):
-        self.options = options
-
-    def initialOffset(self) -> dict:
-        return {"since": int(self.options["start"])}
-
-    def _rows(self, since: dict[str, int], until: dict[str, int] | None) -> tuple[list[tuple], dict[str, int]]:
-        fetch, out, last = _client(self.options), [], dict(since)
-        for symbol in since:
-            for row in patiently(lambda s=symbol: fetch(s, since[s], int(self.options.get("page", 1000)))):
-                if since[symbol] <= row[0] and (until is None or row[0] < until[symbol]):
-                    out.append((symbol, int(row[0]), *map(float, row[1:6])))
-                    last[symbol] = max(last[symbol], int(row[0]) + MINUTE)
-        return out, last
-
-    def read(self, start: dict) -> tuple[Iterator[tuple], dict]:
-        rows, last = self._rows(_by_symbol(self.options, start), None)
-        return iter(rows), _offset(last)
-
-    def readBetweenOffsets(self, start: dict, end: dict) -> Iterator[tuple]:
-        return iter(self._rows(_by_symbol(self.options, start), _by_symbol(self.options, end))[0])
-
-
 class CandlePages(DataSource):
     @classmethod
     def name(cls) -> str:
@@ -204,3 +201,20 @@ class CandlePages(DataSource):
 
     def streamReader(self, schema) -> DataSourceStreamReader:
         return LiveReader(self.options)
+
+
+PUSHDOWN = "spark.sql.python.filterPushdown.enabled"
+
+
+def read_pages(spark: SparkSession, options: dict, symbols: list[str] | None = None, start_ms: int | None = None, end_ms: int | None = None) -> DataFrame:
+    """A history from the source, of some of its symbols and from start on and before end; only pages of these are fetched."""
+    spark.dataSource.register(CandlePages)
+    spark.conf.set(PUSHDOWN, "true")
+    rows = spark.read.format("candle_pages").options(**options).load()
+    if symbols is not None:
+        rows = rows.where(F.col("symbol").isin(symbols))
+    if start_ms is not None:
+        rows = rows.where(F.col("ts_ms") >= start_ms)
+    if end_ms is not None:
+        rows = rows.where(F.col("ts_ms") < end_ms)
+    return rows

@@ -12,9 +12,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
 from ..functions.columns import well_formed
-from ..operators.collect import FETCHED, latest_closed_bar
+from ..operators.collect import FETCHED, as_json, latest_closed_bar
 from ..sources.candles import COLUMNS, SCHEMA, write_store
 from ..sources.exchange import CandlePages
+from ..sources.shared import kept
 
 TRAIL = 60  # minutes before a symbol's new bars that are read again for its volatility
 
@@ -38,11 +39,18 @@ def closed_bars(batch: DataFrame, collected_at: Column | None = None) -> DataFra
     return latest_closed_bar(last.join(good, "symbol"), FETCHED).select(COLUMNS)
 
 
-def start_collector(candles: DataFrame, store: str, checkpoint: str, trigger: dict | None = None, collected_at: Column | None = None) -> StreamingQuery:
-    """Add each batch's closed bars to the store's days. By default a batch begins every minute."""
+def start_collector(candles: DataFrame, store: str, checkpoint: str, trigger: dict | None = None, collected_at: Column | None = None, log: str | None = None) -> StreamingQuery:
+    """Add each batch's closed bars to the store's days. By default a batch begins every minute.
+
+    With a log folder each record is also written there as a line of JSON, in a folder for each batch.
+    """
 
     def put(batch: DataFrame, number: int) -> None:
-        write_store(closed_bars(batch, collected_at), store, batch=f"live-{number}")
+        bars = closed_bars(batch, collected_at)
+        if log:
+            bars = kept(bars)
+            as_json(bars).select("record").write.mode("overwrite").text(f"{log}/batch={number}")
+        write_store(bars, store, batch=f"live-{number}")
 
     return candles.writeStream.foreachBatch(put).option("checkpointLocation", checkpoint).trigger(**(trigger or {"processingTime": "1 minute"})).start()
 
