@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 
 import regex
@@ -128,3 +129,79 @@ def imatch(rows: dict[int, str | None], low: float, high: float, halves: int, sc
 
     prints, news = {i: subsets(x) for i, x in own.items()}, {i: subsets(x) for i, x in new.items()}
     return {i: (prints[i], news[i], like(prints[i], news[i]), like(prints[i], prints[follows[i]])) for i in rows}
+
+
+class Node:
+    def __init__(self):
+        self.n = self.stops = 0
+        self.to: dict[str, Node] = {}
+
+
+def alergia(shapes: dict[str, int], alpha: float) -> Node:
+    """The prefix tree of counted strings, whose states are merged where they agree within Hoeffding's bound; by recursion."""
+    root = Node()
+    for word, times in shapes.items():
+        node = root
+        node.n += times
+        for c in word:
+            node = node.to.setdefault(c, Node())
+            node.n += times
+        node.stops += times
+
+    def far(a, n, b, m):
+        return abs(a / n - b / m) > (0.5 * math.log(2 / alpha)) ** 0.5 * (n**-0.5 + m**-0.5)
+
+    def alike(p, q, on=frozenset()):
+        if (id(p), id(q)) in on:
+            return True
+        on = on | {(id(p), id(q))}
+        if far(p.stops, p.n, q.stops, q.n) or any(far(edge(p, c), p.n, edge(q, c), q.n) for c in p.to.keys() | q.to.keys()):
+            return False
+        return all(alike(p.to[c], q.to[c], on) for c in p.to.keys() & q.to.keys())
+
+    flow: dict[tuple[int, str], int] = {}
+
+    def edge(node, c):
+        return flow.get((id(node), c), 0)
+
+    def counted(node):
+        for c, child in node.to.items():
+            flow[id(node), c] = child.n
+            counted(child)
+
+    def fold(into, other):
+        into.n += other.n
+        into.stops += other.stops
+        for c, child in other.to.items():
+            flow[id(into), c] = edge(into, c) + edge(other, c)
+            if c in into.to:
+                fold(into.to[c], child)
+            else:
+                into.to[c] = child
+
+    counted(root)
+    red, queue = [root], [(root, c) for c in sorted(root.to)]
+    while queue:
+        above, c = queue.pop(0)
+        node = above.to[c]
+        if any(node is r for r in red):
+            continue
+        same = next((r for r in red if alike(r, node)), None)
+        if same is None:
+            red.append(node)
+            queue += [(node, x) for x in sorted(node.to)]
+        else:
+            above.to[c] = same
+            before = [set(r.to) for r in red]
+            fold(same, node)
+            queue += [(r, x) for r, old in zip(red, before) for x in sorted(r.to.keys() - old)]
+    root.flow = flow
+    return root
+
+
+def log_likelihood(root: Node, word: str, smoothing: float, size: dict[str, int]) -> float:
+    node, total = root, 0.0
+    for c in word:
+        total += math.log((root.flow.get((id(node), c), 0) + smoothing) / (node.n + 12 * smoothing)) - math.log(size.get(c, 1))
+        node = node.to.get(c, node)
+    return total + math.log((node.stops + smoothing) / (node.n + 12 * smoothing))

@@ -7,12 +7,12 @@ automaton of all unlabelled runs is inferred likewise. Then every other run of c
 the length of the shortest example on, is scored by the logarithm of its best format likelihood over its likelihood as an
 ordinary run; those above ``MARGIN`` a character become spans of kind ``format``.
 
-Symbols are character classes with equally likely members, so that automata tell formats, not values. All distinct examples
-and runs are learned, whole, by their shapes; values themselves are never stored, only digests that tell equal ones. Spark
-counts the prefix tree's nodes, of which those seen twice or more, and by ``RARE`` of a kind's strings, reach the driver: the
-bound can't tell a state seen once from any other, and rare ones tell little, so that these join the first state. So the
-driver holds at most (mean length of strings) / ``RARE`` nodes of a kind, however many strings there are. Spark then counts
-what all strings do in the merged automaton.
+Symbols are character classes with equally likely members, so that automata tell formats, not values. Values themselves are
+never stored, only digests that tell equal ones, with their shapes. All distinct examples and runs are counted by strata: kind,
+length and the classes that occur. Automata are inferred from a sample of ``SAMPLE`` characters a kind, in which every
+stratum has an equal part as far as it has that much, chosen by digest; of a kind with fewer characters all is learned. So a
+format of few examples isn't lost among many others, however large the table, and the driver holds ``SAMPLE`` nodes of a kind at most.
+The automaton of ordinary runs then gets its frequencies from all of them, which Spark counts.
 
 Defined cases: a null text counts as empty; very long texts and runs are read whole; without examples of a kind its
 automaton is left out, without any no span is added; spans of one start come in the order of kinds, ``format`` last; repeated
@@ -36,7 +36,8 @@ from pyspark.sql import functions as F
 from .common import checkpointed, text_of
 
 SHORTEST = 6
-RARE = 1e-5
+SAMPLE = 100_000
+EXACT = 64  # lengths up to this are strata of their own, longer ones by doublings
 HELD = 100_000
 CONFIDENCE = 0.05
 SMOOTHING = 0.1
@@ -73,12 +74,11 @@ def tree_nodes(shapes: Iterable[tuple[str, int]]) -> dict[int, list]:
 
 
 class Automaton:
-    """A probabilistic deterministic automaton inferred from strings."""
+    """A probabilistic deterministic automaton inferred from strings, or from counted shapes."""
 
-    def __init__(self, strings: Iterable[str] = ()):
-        shapes = Counter(map(shape, strings)).items()
-        self.build([(node, *x) for node, x in tree_nodes(shapes).items() if x[2] > 1])
-        self.count(self.walked(shapes))
+    def __init__(self, strings: Iterable[str] = (), shapes: Iterable[tuple[str, int]] | None = None):
+        shapes = Counter(map(shape, strings)).items() if shapes is None else shapes
+        self.build([(node, *x) for node, x in tree_nodes(shapes).items()])
 
     def build(self, nodes: list[tuple]) -> None:
         """Merge the states of a prefix tree, of rows (node, above, symbol, seen, stops)."""
@@ -89,6 +89,7 @@ class Automaton:
             if node:
                 self.next[place[above]][symbol] = [place[node], seen]
         self._merge()
+        self._left_out()
 
     def walked(self, shapes: Iterable[tuple[str, int]]) -> Counter:
         """How often shapes take each symbol at each state, and stop there (the empty symbol); without an edge they go on from the first state."""
@@ -113,6 +114,18 @@ class Automaton:
                 stops[place[state]] += times
         self.seen, self.stops, self.next = seen, stops, edges
 
+    def _left_out(self) -> None:
+        """Leave out states that were folded into others."""
+        order, place = [0], {0: 0}
+        for state in order:
+            for symbol in sorted(self.next[state]):
+                to = self.next[state][symbol][0]
+                if to not in place:
+                    place[to] = len(order)
+                    order.append(to)
+        self.seen, self.stops = [self.seen[s] for s in order], [self.stops[s] for s in order]
+        self.next = [{symbol: [place[to], times] for symbol, (to, times) in self.next[s].items()} for s in order]
+
     def _differ(self, a: int, n: int, b: int, m: int) -> bool:
         return abs(a / n - b / m) > math.sqrt(0.5 * math.log(2 / CONFIDENCE)) * (1 / math.sqrt(n) + 1 / math.sqrt(m))
 
@@ -243,43 +256,63 @@ def _by_kind(batch: pd.DataFrame) -> Iterator[tuple[str, list[tuple[str, int]]]]
         yield kind, list(zip(part["shape"], part["times"].tolist()))
 
 
-def _tree(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        rows = [(kind, node, *x) for kind, shapes in _by_kind(batch) for node, x in tree_nodes(shapes).items()]
-        yield pd.DataFrame(rows, columns=["kind", "node", "above", "symbol", "seen", "stops"])
+def rates(strata: dict[tuple, tuple[int, float]], sample: int) -> dict[tuple, float]:
+    """For strata with numbers of strings and mean lengths, the share of each to take: an equal number of characters, so many in all.
+
+    Strings that are longer than a stratum's part are left out, unless all strings are taken.
+    """
+    total = lambda key: strata[key][0] * strata[key][1]
+    if sum(map(total, strata)) <= sample:
+        return dict.fromkeys(strata, 1.0)
+    taken = lambda part: {key: min(total(key), part) if strata[key][1] <= part else 0.0 for key in strata}
+    lo, hi = 0.0, float(sample)
+    for _ in range(60):
+        middle = (lo + hi) / 2
+        lo, hi = (middle, hi) if sum(taken(middle).values()) <= sample else (lo, middle)
+    return {key: characters / total(key) for key, characters in taken(lo).items()}
+
+
+STRATUM = ("kind", "long", "classes")
+PARTS = 1 << 30  # of digests, to take a share of
+
+
+def _with_strata(values: DataFrame) -> DataFrame:
+    """Values with what tells their stratum: there are (EXACT + 31) * 64 of a kind at most."""
+    size = F.length("shape")
+    classes = sum((F.contains("shape", F.lit(chars[0])).cast("int") * 2**k for k, chars in enumerate(CLASSES)), F.rlike("shape", F.lit("[^0aAgG]")).cast("int") * 2 ** len(CLASSES))
+    return values.withColumns({"long": F.when(size <= EXACT, size).otherwise(EXACT + F.floor(F.log2(size)).cast("int")), "classes": classes})
 
 
 def infer(texts: DataFrame) -> Formats:
-    """Automata from all examples and all other runs of the texts."""
+    """Automata of the examples of each kind and of all other runs of the texts."""
     values = checkpointed(texts.mapInPandas(_values, "kind string, digest bigint, shape string").distinct())
     shortest = values.where("kind <> 'word'").agg(F.min(F.length("shape"))).head()[0]
     if shortest is None:
         return Formats({}, None, SHORTEST)
-    shapes = checkpointed(values.where(F.length("shape") >= shortest).groupBy("kind", "shape").agg(F.count(F.lit(1)).alias("times")))
-    nodes = shapes.mapInPandas(_tree, "kind string, node bigint, above bigint, symbol string, seen bigint, stops bigint")
-    twice = nodes.groupBy("kind", "node", "above", "symbol").agg(F.sum("seen").alias("seen"), F.sum("stops").alias("stops"))
-    totals = {kind: times for kind, times in shapes.groupBy("kind").agg(F.sum("times")).collect()}
-    trees: dict[str, list[tuple]] = {kind: [] for kind in totals}
-    least = F.create_map(*[F.lit(x) for kind, times in totals.items() for x in (kind, RARE * times)])
-    twice = twice.where((F.col("seen") > 1) & (F.col("seen") >= least[F.col("kind")]))
-    for kind, *node in twice.orderBy("kind", "node").toLocalIterator():
-        trees[kind].append(tuple(node))
-    automata = {kind: Automaton() for kind in trees}
-    for kind, tree in trees.items():
-        automata[kind].build(tree)
-    shared = texts.sparkSession.sparkContext.broadcast(automata)
-
-    def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            rows = [(kind, *at, times) for kind, part in _by_kind(batch) for at, times in shared.value[kind].walked(part).items()]
-            yield pd.DataFrame(rows, columns=["kind", "state", "symbol", "times"])
-
-    walked: dict[str, dict] = {kind: {} for kind in automata}
-    for kind, state, symbol, times in shapes.mapInPandas(walk, "kind string, state int, symbol string, times bigint").groupBy("kind", "state", "symbol").agg(F.sum("times")).collect():
-        walked[kind][state, symbol] = times  # as many as the merged automata have edges
-    for kind, automaton in automata.items():
-        automaton.count(walked[kind])
-    return Formats({kind: automata[kind] for kind in KINDS if kind in automata}, automata.get("word"), shortest)
+    values = _with_strata(values.where(F.length("shape") >= shortest))
+    strata: dict[str, dict] = {}
+    for *key, n, mean in values.groupBy(*STRATUM).agg(F.count(F.lit(1)), F.avg(F.length("shape"))).collect():
+        strata.setdefault(key[0], {})[tuple(key)] = n, mean
+    taken = [(*key, int(rate * PARTS)) for found in strata.values() for key, rate in rates(found, SAMPLE).items()]
+    share = texts.sparkSession.createDataFrame(taken, "kind string, long int, classes int, share bigint")
+    sampled = values.join(F.broadcast(share), [*STRATUM]).where(F.pmod("digest", F.lit(PARTS)) < F.col("share")).groupBy("kind", "shape").agg(F.count(F.lit(1)).alias("times"))
+    shapes: dict[str, list[tuple[str, int]]] = {}
+    for kind, x, times in sorted(map(tuple, sampled.collect())):
+        shapes.setdefault(kind, []).append((x, times))
+    automata = {kind: Automaton(shapes=found) for kind, found in shapes.items()}
+    words = automata.pop("word", None)
+    if words and any(rate < PARTS for kind, *_, rate in taken if kind == "word"):
+        shared = texts.sparkSession.sparkContext.broadcast(words)
+
+        def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for batch in batches:
+                rows = [(*at, times) for at, times in shared.value.walked(zip(batch["shape"], batch["times"].tolist())).items()]
+                yield pd.DataFrame(rows, columns=["state", "symbol", "times"])
+
+        every = values.where("kind = 'word'").groupBy("shape").agg(F.count(F.lit(1)).alias("times")).mapInPandas(walk, "state int, symbol string, times bigint")
+        # As many rows as the automaton has edges.
+        words.count({(state, symbol): times for state, symbol, times in every.groupBy("state", "symbol").agg(F.sum("times")).collect()})
+    return Formats(automata, words, shortest)
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", margin: float = MARGIN) -> DataFrame:
