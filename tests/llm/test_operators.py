@@ -270,6 +270,71 @@ def test_automaton_merges_states():
     assert learned.log_likelihood("a1a1a1a1") > learned.log_likelihood("aa11aa11") + 3
 
 
+SIZES = {"0": 10, "a": 6, "g": 20, "A": 6, "G": 20}
+
+
+def test_automaton_equals_plain_alergia():
+    r = random.Random(8)
+    kinds = (lambda: "zk_" + "".join(r.choice("0a") for _ in range(6)), lambda: "".join(r.choice("gA0") for _ in range(r.randint(1, 7))), lambda: "ga" * r.randint(1, 5) + "-0")
+    for made in ((0,), (1,), (0, 1, 2), (2, 2, 1)):
+        strings = [kinds[r.choice(made)]() for _ in range(r.choice((30, 300)))]
+        shapes: dict[str, int] = {}
+        for x in strings:
+            shapes[secrets.shape(x)] = shapes.get(secrets.shape(x), 0) + 1
+        plain, learned = brute.alergia(shapes, secrets.CONFIDENCE), secrets.Automaton(strings)
+        for x in [*strings, "zk_0a0a0a", "gagaga-0", "G/G", "0"]:
+            assert np.isclose(brute.log_likelihood(plain, secrets.shape(x), secrets.SMOOTHING, SIZES), learned.log_likelihood(x)), x
+
+
+def test_added_spans_equal_a_plain_scan(spark):
+    """All runs of all texts, scored by plain automata of all base spans and other runs; with nulls, repeats and clashing columns."""
+    r = random.Random(12)
+    code = lambda n, chars: "".join(r.choice(chars) for _ in range(n))
+    made = [f"a password={code(12, '0123456789')}-{code(3, 'abcdef')} b {code(r.randint(3, 9), 'ghijklmn')}" for _ in range(80)]
+    made += [f"{code(17, 'opqrst')} {code(12, '0123456789')}-{code(3, 'abcdef')}, {code(19, 'ghijkz')}; {code(12, '0123456789')}" for _ in range(6)]
+    made += [f"{code(r.randint(16, 22), 'gklmnopq')} {code(r.randint(14, 20), 'abcghij')}" for _ in range(150)] + ["", "  "]
+    rows = [*enumerate(made), (3, made[3]), (None, made[82]), (999, None)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string").withColumns({"spans": F.lit(1), "id": F.lit("x"), "kind": F.lit(2)}).repartition(3)
+    run = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % 16)
+    values: dict[str, set] = {}
+    for _, text in rows:
+        base = brute.secret_spans(text)
+        for kind, a, b in base:
+            values.setdefault(kind, set()).add(brute.ASSIGN.match(text, a)[2] if kind == "assign" else text[a:b])
+        values.setdefault("word", set()).update(m[0] for m in re.finditer(r"[A-Za-z0-9+/_=-]{6,}", text or "") if not any(a < m.end() and m.start() < b for _, a, b in base))
+    shortest = min(len(x) for kind, found in values.items() if kind != "word" for x in found)
+    assert shortest == 16
+    count = lambda found: {s: sum(secrets.shape(x) == s for x in found) for s in {secrets.shape(x) for x in found if len(x) >= shortest}}
+    automata = {kind: brute.alergia(count(found), secrets.CONFIDENCE) for kind, found in values.items()}
+    like = lambda kind, x: brute.log_likelihood(automata[kind], secrets.shape(x), secrets.SMOOTHING, SIZES)
+    expected = []
+    for i, text in rows:
+        base = brute.secret_spans(text)
+        added = [("format", m.start(), m.end()) for m in run.finditer(text or "") if not any(a < m.end() and m.start() < b for _, a, b in base) and (max(like(k, m[0]) for k in automata if k != "word") - like("word", m[0])) / len(m[0]) >= secrets.MARGIN]
+        expected.append((-1 if i is None else i, sorted([*base, *added], key=lambda x: x[1])))
+    found = [(-1 if r["doc_id"] is None else r["doc_id"], [(x["kind"], x["start"], x["end"]) for x in r["spans"]]) for r in secrets.scan(frame).collect()]
+    assert sorted(found) == sorted(expected) and sum(x[0] == "format" for _, spans in found for x in spans) >= 7
+
+
+@pytest.mark.parametrize("others", [6_000, 200_000])
+def test_rare_formats_stay_known_among_many_others(spark, others):
+    """Sixty examples of a format are learned however many others of the kind there are."""
+    r = random.Random(13)
+    code = lambda: "-".join("".join(r.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZ") for _ in range(4)) for _ in range(3)) + "".join(r.choice("0123456789") for _ in range(6))
+    rare = docs_of(spark, [*(f"x token={code()} y" for _ in range(60)), *(f"see {code()} here" for _ in range(5))])
+    made = F.translate(F.substring(F.sha2(F.col("id").cast("string"), 256), 1, 12 + (F.hash("id") % 5)), "0123", "ghij")
+    many = spark.range(1000, 1000 + others).select(F.col("id").alias("doc_id"), F.concat(F.lit("so token="), made, F.lit(" some "), F.translate(F.substring(F.sha2(F.concat(F.lit("w"), "id"), 256), 1, 16), "0123456789", "ghijklmnop"), F.lit(" words")).alias("text"))
+    found = secrets.scan(rare.select("doc_id", "text").unionByName(many)).where("doc_id BETWEEN 60 AND 64").collect()
+    assert [[x["kind"] for x in r["spans"]] for r in found] == [["format"]] * 5
+
+
+def test_strata_share_the_sample():
+    strata = {"a": (1_000_000, 20.0), "b": (60, 20.0), "c": (500, 40.0), "d": (3, 1e6)}
+    rates = secrets.rates(strata, 100_000)
+    assert rates["b"] == rates["c"] == 1 and rates["d"] == 0 and 1e6 * 20 * rates["a"] == pytest.approx(100_000 - 60 * 20 - 500 * 40)
+    assert set(secrets.rates({"b": (60, 20.0)}, 100_000).values()) == {1.0} and secrets.rates({}, 10) == {}
+
+
 def test_formats_of_any_length_and_class(spark):
     """Short runs, runs without digits, and formats that are longer or rarer than a sample of the examples would show."""
     r = random.Random(11)
@@ -502,11 +567,16 @@ def test_fingerprints_equal_plain_imatch(spark, texts, monkeypatch, broadcast):
     for i, (own, new, near_edited, near_next) in plain.items():
         assert np.isclose(found[i]["near_edited"], near_edited) and np.isclose(found[i]["near_next"], near_next)
         for subsets, told in ((own, found[i]["fingerprint"]), (new, found[i]["edited_fingerprint"])):
-            assert len(told) == 8 * len(subsets)
+            assert len(told) == 16 * (2 if "whole" in subsets else len(subsets))
             assert known.setdefault(repr(sorted((repr(k), sorted(v)) for k, v in subsets.items())), told) == told
     assert len(set(known.values())) == len(known)
 
 
+def test_texts_without_common_terms_are_told_apart(spark):
+    frame = spark.range(20_000).select(F.col("id").alias("doc_id"), F.concat(F.lit("a"), "id", F.lit(" b"), "id").alias("text"))
+    assert fingerprints.with_fingerprints(frame).agg(F.countDistinct("fingerprint"), F.max("near_next")).head() == (20_000, 0.0)
+
+
 def test_fingerprints_odd_rows(spark, odd, none):
     rows = fingerprints.with_fingerprints(odd).collect()
     assert len(rows) == 10

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import gc
 import re
 import shutil
 import tempfile
 from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 import pyarrow as pa
@@ -33,14 +33,16 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def release(spark: SparkSession) -> None:
-    """Have the driver collect its garbage.
-
-    Spark removes the shuffle files of finished steps from all machines when the driver finds that nothing refers to them;
-    otherwise they fill disks until the driver's own memory happens to run full.
-    """
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+@contextmanager
+def short_plans(spark: SparkSession, length: int = 20_000) -> Iterator[None]:
+    """Cut the texts of plans, which the driver keeps, while plans hold large constants."""
+    setting = "spark.sql.maxPlanStringLength"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, str(length))
+    try:
+        yield
+    finally:
+        spark.conf.set(setting, before)
 
 
 def text_of(column: str = "text") -> Column:

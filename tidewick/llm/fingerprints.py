@@ -8,35 +8,39 @@ as the texts' terms do. Likeness is the share of agreeing subsets among those th
 
 Each term names the few subsets that it is in, by bits of its hash; the pairs of subset and term are sorted, and one pass
 over them hashes each subset's run by 64 bits. A fingerprint holds a number for each subset with terms: 7 bits of its name
-and 25 of its hash, so that one of 33 million subsets of different terms agrees by chance.
+and 57 of its hash.
 
 Native: only SQL functions. The lexicon has at most (mean distinct terms of a text) / ``LOW`` terms, whatever the number of
-texts; it is broadcast where it has ``BROADCAST`` terms at most, and joined by a shuffle else, where adaptive execution can
-split the most frequent terms. Texts are shuffled once, by id, for each to meet the part of its neighbour that the edited
-text needs.
+texts. Where it has ``BROADCAST`` terms at most it goes to all tasks with the plan, as an array of small buckets by hash in which
+each text's terms are looked up in place, so that no terms are shuffled. A larger one is joined by a shuffle, where adaptive
+execution can split the most frequent terms. Texts are shuffled once, by id, for each to meet the part of its neighbour that the
+edited text needs.
 
-Defined cases: a null text counts as empty; very long texts are read whole; a text without lexicon terms has the hash of all
-its terms, so that only equal sets of terms agree; a null id comes last; of rows that repeat an id the greatest beginning is
+Defined cases: a null text counts as empty; very long texts are read whole; a text without lexicon terms has two
+hashes of all its terms, of 114 bits together, so that only equal sets of terms agree; a null id comes last; of rows that repeat an id the greatest beginning is
 the one before's neighbour, and the greatest fingerprint stands for it; each repeated row gets its result; the only id is its
 own neighbour; only id and text are read, so that other columns may have any names; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+import json
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import checkpointed, release, text_of
+from .common import checkpointed, short_plans, text_of
 
 LOW, HIGH = 0.002, 0.2
-BROADCAST = 1_000_000
+BROADCAST, IN_BUCKET = 500_000, 2  # terms of a lexicon that goes with the plan, and of a bucket on average
 WORD = r"[^\p{L}\p{N}]+"
 HALVES = 4
 # Subsets by the bits of a term's hash that decide: (first bit, bits, subsets); of 2**bits equal parts the first ones are used.
 SCALES = ((4, 3, 8), (7, 5, 32), (12, 8, 32), (20, 11, 16))
-NAME_BITS, NO_SUBSET = 7, 127
+NAME_BITS, NO_SUBSETS = 7, (126, 127)
 NO_ID = -(2**63)
-ABOUT = "struct<n:int,sha:binary,own:bigint,new:bigint>"
+ABOUT = "struct<n:int,sha:binary,own:array<bigint>,new:array<bigint>>"
 
 
 def terms(text: Column) -> Column:
@@ -77,34 +81,35 @@ def _in_subsets(term: Column) -> Column:
     return F.array(*found)
 
 
-def _entry(name: Column, h: Column) -> Column:
-    return F.shiftleft(name.cast("int"), 32 - NAME_BITS).bitwiseOR(F.shiftrightunsigned(h, 32 + NAME_BITS).cast("int"))
+def whole(terms: Column) -> Column:
+    """The entries that tell a text by all of its terms."""
+    order = F.sort_array(terms)
+    return F.array(*[_named(F.lit(name), F.xxhash64(order, F.size(terms), F.lit(name))) for name in NO_SUBSETS])
 
 
 def fingerprint(found: Column, whole: Column) -> Column:
-    """From a text's lexicon terms and the hash of all its terms, a number for each subset with terms, in order of subsets."""
+    """From a text's lexicon terms and the entries of all its terms, a number for each subset with terms, in order of subsets."""
     codes = F.sort_array(F.array_compact(F.flatten(F.transform(found, _in_subsets))))
-    none = F.array().cast("array<int>")
+    none = F.array().cast("array<bigint>")
     start = F.struct(F.lit(-1).cast("bigint").alias("name"), F.lit(0).cast("bigint").alias("h"), none.alias("out"))
-    put = lambda state: F.when(state["name"] >= 0, F.concat(state["out"], F.array(_entry(state["name"], state["h"])))).otherwise(state["out"])
+    put = lambda state: F.when(state["name"] >= 0, F.concat(state["out"], F.array(_named(state["name"], state["h"])))).otherwise(state["out"])
 
     def follow(state: Column, code: Column) -> Column:
         same = state["name"] == _name(code)
         return F.struct(_name(code).alias("name"), F.xxhash64(F.when(same, state["h"]).otherwise(0).cast("bigint"), code).alias("h"), F.when(same, state["out"]).otherwise(put(state)).alias("out"))
 
-    return F.when(F.size(found) > 0, F.aggregate(codes, start, follow, put)).otherwise(F.array(_entry(F.lit(NO_SUBSET), whole)))
+    return F.when(F.size(found) > 0, F.aggregate(codes, start, follow, put)).otherwise(whole)
 
 
 def likeness(a: Column, b: Column) -> Column:
     """The share of agreeing subsets among those that either has terms in."""
     agree = F.size(F.array_intersect(a, b))
-    name = lambda entry: F.shiftrightunsigned(entry, 32 - NAME_BITS)
-    either = F.size(F.array_union(F.transform(a, name), F.transform(b, name)))
+    either = F.size(F.array_union(F.transform(a, _name), F.transform(b, _name)))
     return agree / either
 
 
 def shown(print_: Column) -> Column:
-    return F.array_join(F.transform(print_, lambda x: F.lpad(F.hex(x.cast("bigint").bitwiseAND(F.lit(2**32 - 1))), 8, "0")), "")
+    return F.array_join(F.transform(print_, lambda x: F.lpad(F.hex(x), 16, "0")), "")
 
 
 def neighbours(ids: DataFrame) -> DataFrame:
@@ -121,6 +126,32 @@ def neighbours(ids: DataFrame) -> DataFrame:
     return ranged.withColumn("next", F.lead("key").over(inner)).join(F.broadcast(follows), "part").select("key", "n", F.coalesce("next", "head").alias("next"))
 
 
+def _known(band: DataFrame) -> Callable[[Column], Column]:
+    """Whether a term is in the lexicon, as a column: its bucket, of a few terms, is looked through."""
+    terms = [r[0] for r in band.collect()]
+    buckets: list[list[int]] = [[] for _ in range(max(1, len(terms) // IN_BUCKET))]
+    for t in terms:
+        buckets[t % len(buckets)].append(t)
+    table = F.from_json(F.lit(json.dumps(buckets, separators=(",", ":"))), "array<array<bigint>>")
+    return lambda t: F.array_contains(F.get(table, F.pmod(t, F.lit(len(buckets))).cast("int")), t)
+
+
+def _joined(sides: DataFrame, band: DataFrame) -> DataFrame:
+    """sides with own and new cut to lexicon terms, by a join on terms."""
+    # A row for each term and the sides that have it (1, 2, or both: 3), and one with what belongs to the text as a whole.
+    about = F.struct("n", "sha", "own_whole", "new_whole").cast(ABOUT)
+    element = lambda terms, side: F.transform(terms, lambda t: F.struct(t.alias("term"), F.lit(side).alias("side"), F.lit(None).cast(ABOUT).alias("about")))
+    elements = F.concat(
+        F.array(F.struct(F.lit(None).cast("bigint").alias("term"), F.lit(0).alias("side"), about.alias("about"))),
+        element(F.array_intersect("own", "new"), 3), element(F.array_except("own", "new"), 1), element(F.array_except("new", "own"), 2),
+    )
+    spread = checkpointed(sides.select("key", "row", F.explode(elements).alias("e")).select("key", "row", "e.*"))
+    marked = spread.where("side > 0").join(band, "term").select(*spread.columns).unionByName(spread.where("side = 0"))
+    on = lambda bit: F.collect_list(F.when(F.col("side").bitwiseAND(bit) > 0, F.col("term")))
+    found = marked.groupBy("key", "row").agg(F.max("about").alias("about"), on(1).alias("own"), on(2).alias("new"))
+    return found.select("key", "row", "about.n", "about.sha", "own", "new", F.col("about.own").alias("own_whole"), F.col("about.new").alias("new_whole"))
+
+
 def with_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", low: float = LOW, high: float = HIGH) -> DataFrame:
     """For each row: id_col, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next.
 
@@ -128,7 +159,6 @@ def with_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     """
     texts = docs.select(F.coalesce(F.col(id_col).cast("bigint"), F.lit(NO_ID)).alias("key"), text_of(text_col).alias("text"))
     band = lexicon(texts, "text", low, high)
-    release(docs.sparkSession)
     order = checkpointed(neighbours(texts.groupBy("key").agg(F.max(F.length("text")).alias("n"))))
     begin = texts.join(order.select(F.col("key").alias("owner"), F.floor(F.col("n") / 2).cast("int").alias("need"), F.col("next").alias("key")), "key")
     begin = begin.select(F.col("owner").alias("key"), F.expr("substring(text, 1, need)").alias("begin")).groupBy("key").agg(F.max("begin").alias("begin"))
@@ -136,24 +166,14 @@ def with_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     half = F.expr("concat(substring(text, 1, n - n div 2), substring(begin, 1, n div 2))")
     both = both.withColumn("edited", half).withColumn("row", F.monotonically_increasing_id())
     sides = both.select("key", "row", "n", F.unhex(F.sha2("edited", 256)).alias("sha"), terms(F.col("text")).alias("own"), terms(F.col("edited")).alias("new"))
-    # A row for each term and the sides that have it (1, 2, or both: 3), and one with what belongs to the text as a whole.
-    whole = lambda side: F.xxhash64(F.sort_array(side), F.size(side))
-    about = F.struct(F.col("n").alias("n"), F.col("sha").alias("sha"), whole("own").alias("own"), whole("new").alias("new"))
-    element = lambda terms, side: F.transform(terms, lambda t: F.struct(t.alias("term"), F.lit(side).alias("side"), F.lit(None).cast(ABOUT).alias("about")))
-    elements = F.concat(
-        F.array(F.struct(F.lit(None).cast("bigint").alias("term"), F.lit(0).alias("side"), about.cast(ABOUT).alias("about"))),
-        element(F.array_intersect("own", "new"), 3), element(F.array_except("own", "new"), 1), element(F.array_except("new", "own"), 2),
-    )
-    spread = sides.select("key", "row", F.explode(elements).alias("e")).select("key", "row", "e.*")
+    sides = sides.withColumns({"own_whole": whole(F.col("own")), "new_whole": whole(F.col("new"))})
     if band.count() <= BROADCAST:
-        marked = spread.join(F.broadcast(band.withColumn("known", F.lit(True))), "term", "left").where("known OR side = 0")
+        known = _known(band)
+        found = sides.withColumns({c: F.filter(c, known) for c in ("own", "new")})
     else:
-        spread = checkpointed(spread)
-        marked = spread.where("side > 0").join(band, "term").select(*spread.columns).unionByName(spread.where("side = 0"))
-    on = lambda bit: F.collect_list(F.when(F.col("side").bitwiseAND(bit) > 0, F.col("term")))
-    found = marked.groupBy("key", "row").agg(F.max("about").alias("about"), on(1).alias("own"), on(2).alias("new"))
-    rows = checkpointed(found.select("key", "row", "about.n", "about.sha", fingerprint(F.col("own"), F.col("about.own")).alias("print"), fingerprint(F.col("new"), F.col("about.new")).alias("edited")))
-    release(docs.sparkSession)  # of the shuffled texts
+        found = _joined(sides, band)
+    with short_plans(docs.sparkSession):
+        rows = checkpointed(found.select("key", "n", "sha", fingerprint(F.col("own"), F.col("own_whole")).alias("print"), fingerprint(F.col("new"), F.col("new_whole")).alias("edited")))
     # Rows that repeat an id stand for their neighbour by the greatest fingerprint.
     after = rows.groupBy("key").agg(F.max("print").alias("print")).join(order.select(F.col("key").alias("owner"), F.col("next").alias("key")), "key")
     joined = rows.join(after.select(F.col("owner").alias("key"), F.col("print").alias("after")), "key")
