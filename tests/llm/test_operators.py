@@ -514,6 +514,38 @@ def test_words_of_content_and_of_boxes():
         assert inside(box) == "Begin. End.", box
 
 
+def test_names_of_what_the_text_is_about():
+    """A word of a menu, an advert or comments on content stays, unless the content is mostly links."""
+    inside = lambda x: html_text.extract(f"<body><article><p>Begin.</p>{x}<p>End.</p></article></body>", None)
+    for content in ("<div class='menu-du-jour'>X</div>", "<p class='ad-astra'>X</p>", "<section class='modal-logic'>X</section>", "<div class='content'><div class='comment-policy-article'>X</div></div>", "<div class='content'><p class='toc-note'>X</p></div>", "<p class='cookie-recipe'>X</p>"):
+        assert inside(content) == "Begin. X End.", content
+    for box in ("<div class='menu-du-jour'><a>X</a> <a>Y</a></div>", "<div class='article-comments'>X</div>", "<div class='user-comment-12'>X</div>", "<div class='ad-slot-3'>X</div>", "<ul id='site-nav-links'><li>X</ul>", "<div class='post-sidebar'>X</div>", "<div class='toc-of-part'><ul><li><a>X</a></ul></div>"):
+        assert inside(box) == "Begin. End.", box
+
+
+def test_references_are_decoded_in_each_text_node():
+    text = lambda x: html_text.extract(f"<article><p>{x}</p></article>", None)
+    assert text("&am<b>p;</b>") == "&amp;" and text("&lt<b>;</b>") == "<;" and text("&amp;lt; &lt;b&gt; &#x41;&eacute;") == "&lt; <b> Aé" and text("a&nbsp;&nbsp;b") == "a b"
+
+
+def test_votes_are_counted(spark):
+    """Winners of hosts by adding up each page's votes; ties go to the deeper path, then by digest."""
+    r = random.Random(3)
+    rows = []
+    for k in range(120):
+        host = f"h{k % 7}.org"
+        body = "".join(f"<div class='{r.choice(('story', 'box', 'x-1', 'x-22'))}'><p>{'word ' * r.randint(0, 30)}</p><a>{'link ' * r.randint(0, 9)}</a></div>" for _ in range(r.randint(0, 4)))
+        rows.append((k, f"http://{host}/{k}", f"<body>{body}</body>"))
+    total: dict = {}
+    for _, url, page in rows:
+        for path, depth, share in html_text.votes_of(page):
+            votes = total.setdefault(url.split("/")[2], {}).setdefault(path, [0, depth])
+            votes[0] += round(share * 1000)
+    expected = {host: max((n, depth, path) for path, (n, depth) in paths.items()) for host, paths in total.items()}
+    found = {x["host"]: (x["votes"], x["depth"], x["path"]) for x in html_text.consensus(spark.createDataFrame(rows, "page_id int, url string, html string")).collect()}
+    assert found == expected and len(found) == 7
+
+
 def test_main_text_odd_rows(spark, monkeypatch):
     """Repeated rows, clashing names, nulls; winners beyond the broadcast are joined by salted hosts."""
     rows = [(1, "http://a.b/1", "<p>x</p>", "h", "p", 1, "old"), (1, "http://a.b/1", "<p>x</p>", "h", "p", 1, "old"), (2, None, None, "h", "p", 1, "old"), (None, "http://A.b/2", "<div class=story><p>y " + "z " * 50_000 + "</p></div>", "h", "p", 1, None)]

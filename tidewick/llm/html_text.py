@@ -8,9 +8,10 @@ page without such a container falls back to its own best one.
 
 The text is that of the container's blocks in page order, without menus, headers and footers of the page, sidebars,
 notices, adverts, forms, scripts, styles and reader comments: elements are left out by their tag or role, or by their class
-or id, where it holds a word of ``STRONG``, or is one of ``WEAK``, alone or with a word for a box (share-buttons, but not
-share-price, which may stand on content). Character references are decoded, white space inside a block becomes one space,
-blocks are joined by one.
+or id, where it is a word of ``STRONG`` or ``WEAK``, alone or with words for boxes and pages (share-buttons, article-menu, but not
+share-price or menu-du-jour, which may stand on content). Where a word of ``STRONG`` stands with others, the content
+decides: it is left out if half of its text or more is linked, as in menus. Character references are decoded in each text
+node by itself, white space inside a block becomes one space, blocks are joined by one.
 
 All containers of positive score vote; votes are pre-aggregated before they are shuffled, so that a host with a third of
 all pages is no hot spot. Winners, a short row for each host, are broadcast where they are few (``common.meet``), so that no
@@ -63,7 +64,12 @@ WEAK = frozenset(
     "banner promotion aside rail widget widgets foot header discussion notice notices alert alerts warning overlay subscribe "
     "subscription signup login share sharing social related recommended recommendations form search hidden".split()
 )
-BOXES = frozenset("area bar bars block box btn button buttons container content group icon icons inner items link links list message panel section strip text top bottom wrap wrapper".split())
+BOXES = frozenset(
+    "area bar bars block box btn button buttons column container content grid group icon icons inner items left link links list main message mobile "
+    "module outer panel primary region right row secondary section slot strip text top bottom unit wrap wrapper zone "
+    "article blog entry global page post reader site story user users".split()
+)
+LINKED = 0.5
 # What holds the text of a page must not be left out for a word of its own class, as in <body class="has-sidebar">.
 ROOTS = frozenset(("html", "body", "main", "article"))
 CONTAINERS = frozenset(("article", "main", "section", "div", "td", "body", "center"))
@@ -72,25 +78,26 @@ CONTAINERS = frozenset(("article", "main", "section", "div", "td", "body", "cent
 class Node:
     """An element: the digest of its path, and its texts and elements in order."""
 
-    __slots__ = ("tag", "key", "depth", "parts", "skip")
+    __slots__ = ("tag", "key", "depth", "parts", "skip", "doubt")
 
-    def __init__(self, tag: str, key: bytes, depth: int, skip: bool):
-        self.tag, self.key, self.depth, self.skip, self.parts = tag, key, depth, skip, []
+    def __init__(self, tag: str, key: bytes, depth: int, skip: bool, doubt: bool = False):
+        self.tag, self.key, self.depth, self.skip, self.doubt, self.parts = tag, key, depth, skip, doubt, []
 
 
-def _named_so(names: str) -> bool:
-    """Whether a class or id tells of something beside the text."""
+def _named_so(names: str) -> bool | None:
+    """Whether a class or id tells of something beside the text; None where it may, and may tell of what the text is about."""
+    doubt = False
     for name in names.split():
         words = [w.lower() for w in WORD.findall(name)]
-        if any(w in STRONG for w in words):
-            return True
-        weak = [w for w in words if w in WEAK]
-        if weak and all(w in WEAK or w in BOXES or w.isdigit() for w in words):
-            return True
-    return False
+        if any(w in STRONG or w in WEAK for w in words):
+            if all(w in STRONG or w in WEAK or w in BOXES or w.isdigit() for w in words):
+                return True
+            doubt |= any(w in STRONG for w in words)
+    return None if doubt else False
 
 
-def _left_out(tag: str, attributes: dict[str, str], in_article: bool) -> bool:
+def _left_out(tag: str, attributes: dict[str, str], in_article: bool) -> bool | None:
+    """Whether an element is left out; None where its content decides."""
     if tag in SKIP_TAGS or attributes.get("role", "").lower() in SKIP_ROLES or attributes.get("aria-hidden") == "true" or "hidden" in attributes:
         return True
     if tag == "header":
@@ -99,7 +106,8 @@ def _left_out(tag: str, attributes: dict[str, str], in_article: bool) -> bool:
     if tag in ROOTS:
         # An article inside a comment list is left out with the list, or by its own class.
         return tag == "article" and bool({"comment", "reply"} & {w.lower() for w in WORD.findall(attributes.get("class", ""))})
-    return _named_so(attributes.get("class", "")) or _named_so(attributes.get("id", ""))
+    told = [_named_so(attributes.get("class", "")), _named_so(attributes.get("id", ""))]
+    return True if True in told else None if None in told else False
 
 
 class Open:
@@ -129,15 +137,16 @@ def parse(page: str) -> Node:
     """The tree of a page, lenient to tags that are not closed or closed twice."""
     root = Node("", b"", 0, False)
     held = Open(root)
+    doubts = False
     at, end = 0, len(page)
     while at < end:
         node = held.nodes[-1]
         found = TAG.search(page, at)
+        text = page[at : found.start() if found else end]
+        if text:
+            node.parts.append(html.unescape(text) if "&" in text else text)
         if found is None:
-            node.parts.append(page[at:])
             break
-        if found.start() > at:
-            node.parts.append(page[at : found.start()])
         at = found.end()
         if found[2] is None:
             continue
@@ -161,16 +170,38 @@ def parse(page: str) -> Node:
             attributes["hidden"] = ""
         names = re.sub("[0-9]+", "0", ".".join(sorted(set(attributes.get("class", "").split()))))
         key = blake2b(f"{tag}.{names}".encode("utf-8", "surrogatepass"), digest_size=12, key=node.key).digest()
-        new = Node(tag, key, len(held.nodes), node.skip or _left_out(tag, attributes, held.innermost(("article", "main")) > 0))
+        beside = _left_out(tag, attributes, held.innermost(("article", "main")) > 0)
+        new = Node(tag, key, len(held.nodes), node.skip or bool(beside), beside is None)
+        doubts |= new.doubt
         node.parts.append(new)
         if tag in RAW:
             close = re.compile(rf"</{tag}(?=[\s/>]|\Z)[^>]*>?", re.I).search(page, at)
             at = close.end() if close else end
         elif tag not in VOID and not found[3].endswith("/"):
             held.push(new)
+    if doubts:
+        _settle(root)
     return root
 
 
+def _settle(root: Node) -> None:
+    """Leave out what is doubtful and mostly linked."""
+    order, work = [], [root]
+    while work:
+        node = work.pop()
+        order.append(node)
+        work += [x for x in node.parts if isinstance(x, Node) and not x.skip]
+    sums: dict[int, tuple[int, int]] = {}  # text and linked text
+    for node in reversed(order):
+        inner = [sums[id(x)] for x in node.parts if isinstance(x, Node) and id(x) in sums]
+        text = sum(len(x.strip()) for x in node.parts if isinstance(x, str)) + sum(x[0] for x in inner)
+        linked = text if node.tag == "a" else sum(x[1] for x in inner)
+        sums[id(node)] = text, linked
+        if node.doubt and text and linked >= LINKED * text:
+            node.skip = True
+            sums[id(node)] = 0, 0
+
+
 def text_under(top: Node) -> str:
     """The text of a node's blocks in page order, joined by one space."""
     out, work = [], [top]
@@ -182,7 +213,7 @@ def text_under(top: Node) -> str:
             edge = "" if part.tag in INLINE else " "
             out.append(edge)
             work += [edge, *reversed(part.parts)]
-    return " ".join(html.unescape("".join(out)).split())
+    return " ".join("".join(out).split())
 
 
 def containers(root: Node) -> list[tuple[float, Node]]:
