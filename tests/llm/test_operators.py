@@ -777,6 +777,25 @@ def test_quality_equals_plain_discriminant(texts):
     assert np.allclose(model.score(x), 1 / (1 + np.exp(-np.clip(model.difference(x), -30, 30))))
 
 
+def test_fit_equals_plain_moments_and_likelihood(spark, texts):
+    """Sums over tasks give each class's own moments; the calibration is where the plain log-likelihood, less its ridge, is flat."""
+    x = np.array([quality.statistics(t) for t in texts.values()])
+    label = (np.arange(len(x)) * 7 + (x[:, 0] > np.median(x[:, 0]))) % 3 == 0
+    rows = spark.createDataFrame([(list(map(float, a)), int(b)) for a, b in zip(x, label)], "x array<double>, label int").repartition(5)
+    model = quality.fit(rows)
+    own = [x[~label], x[label]]
+    plain = quality.Discriminant(np.array([len(o) for o in own]), np.array([o.sum(axis=0) for o in own]), np.array([o.T @ o for o in own]))
+    assert np.allclose(model.mean, [o.mean(axis=0) for o in own]) and np.allclose(model.difference(x), plain.difference(x), atol=1e-4)
+    at = np.round(np.clip(plain.difference(x), -50, 50) * (quality.BINS / 100)) / (quality.BINS / 100)
+
+    def worth(slope: float, shift: float) -> float:
+        p = 1 / (1 + np.exp(-(slope * at + shift)))
+        return np.log(np.where(label, p, 1 - p)).sum() - 0.005 * ((slope - 1) ** 2 + shift**2)
+
+    best = worth(model.slope, model.shift)
+    assert all(worth(model.slope + a, model.shift + b) <= best + 1e-6 for a in (-0.02, 0, 0.02) for b in (-0.02, 0, 0.02))
+
+
 def test_quality_clashing_columns(spark, odd):
     labels = spark.createDataFrame([(5, 1), (5, 0)], "doc_id bigint, quality int")
     docs = odd.withColumns({c: F.lit("own") for c in ("label", "labelled", "x", "id", "score", "held_out", "quality")})
