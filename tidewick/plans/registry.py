@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import day_tag, path_name
 from ..operators import collect, features, incremental, metrics, quality, tensors, windows
 from ..sources import candles as source
+from ..sources import exchange, replay
 from ..sources.shared import kept, shared_folder
 from ..streaming import live, state
 from . import jobs
@@ -729,3 +730,51 @@ def store_compacted(spark, sf_dir):
     last = rows.agg(F.to_date(F.max("timestamp"))).head()[0]
     source.compact(spark, f"{folder}/store", f"{folder}/archive", last - dt.timedelta(days=1))
     return source.read_compacted(spark, f"{folder}/store", f"{folder}/archive")
+
+
+def _exchange(spark: SparkSession, sf_dir: str) -> tuple[dict, dt.datetime, dt.datetime, list[str]]:
+    """Options of an exchange that replays the deduplicated candles, their first and last time and the symbols."""
+    path, rows = f"{shared_folder(spark)}/history", kept(view(spark, sf_dir))
+    replay.store_history(rows, path)
+    first, last = rows.agg(F.min("timestamp"), F.max("timestamp")).head()
+    symbols = [r[0] for r in rows.select("symbol").distinct().orderBy("symbol").collect()]
+    return {"client": "tidewick.sources.replay:exchange", "target": path, "rate": "1000", "tasks": "8"}, first, last, symbols
+
+
+def _ms(at: dt.datetime) -> int:
+    return int(at.replace(tzinfo=dt.timezone.utc).timestamp() * 1000)
+
+
+@query(f"{VIEW} SELECT symbol, EPOCH_MS(timestamp) AS ts_ms, open, high, low, close, volume FROM ohlcv")
+def exchange_history(spark, sf_dir):
+    """Pages of an exchange's whole history, fetched by tasks."""
+    options, first, last, symbols = _exchange(spark, sf_dir)
+    return exchange.read_pages(spark, options | {"symbols": ",".join(symbols), "start": str(_ms(first)), "end": str(_ms(last) + exchange.MINUTE)})
+
+
+@query(f"""{_rolled('symbol, page')} SELECT symbol, timestamp, open, high, low, close, volume, volatility AS volatility_5m FROM rolled""")
+def backfill_job(spark, sf_dir):
+    """A store that is filled from the middle of the time on, then from its beginning; what was collected again wins."""
+    options, first, last, symbols = _exchange(spark, sf_dir)
+    store, end = f"{shared_folder(spark)}/store", (last + dt.timedelta(minutes=1)).isoformat(" ")
+    middle = (first + (last - first) / 2).replace(second=0, microsecond=0)
+    for start in (middle, first):
+        jobs.backfill(spark, symbols, store, options, start.isoformat(" "), end)
+    return rounded(quality.latest(source.read_store(spark, store)).drop("collected_at"), "volatility_5m")
+
+
+_TRAIL = f"(SELECT MAX(timestamp) - INTERVAL 8 HOUR - INTERVAL {live.TRAIL} MINUTE FROM ohlcv)"
+
+
+@query(f"""{VIEW}, recent AS (SELECT *, BOOL_AND({_GOOD}) OVER (PARTITION BY symbol) AS good, MAX(timestamp) OVER (PARTITION BY symbol) AS newest FROM ohlcv WHERE timestamp >= {_TRAIL}),
+last AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY symbol ORDER BY timestamp DESC) AS back, COUNT(*) OVER (PARTITION BY symbol) AS c FROM recent WHERE good AND newest >= {_TRAIL} + INTERVAL {live.TRAIL} MINUTE),
+steps AS (SELECT *, LN(close / LAG(close) OVER (PARTITION BY symbol ORDER BY timestamp)) AS r FROM last WHERE back <= 7)
+SELECT symbol, timestamp, open, high, low, close, volume, ROUND(v, 9) AS volatility_5m FROM (
+  SELECT *, CASE WHEN COUNT(r) OVER w = 5 THEN STDDEV_SAMP(r) OVER w END AS v FROM steps WINDOW w AS (PARTITION BY symbol ORDER BY timestamp ROWS BETWEEN 4 PRECEDING AND CURRENT ROW)) WHERE back = LEAST(2, c)""")
+def live_job(spark, sf_dir):
+    """The collector on an exchange whose last eight hours are new, into a store by days."""
+    options, _, last, symbols = _exchange(spark, sf_dir)
+    folder = shared_folder(spark)
+    candles = live.exchange_stream(spark, options | {"symbols": ",".join(symbols), "start": str(_ms(last) - 8 * 60 * exchange.MINUTE)})
+    live.start_collector(candles, f"{folder}/store", f"{folder}/state", {"availableNow": True}).awaitTermination()
+    return rounded(source.read_store(spark, f"{folder}/store").drop("collected_at"), "volatility_5m")

@@ -3,8 +3,8 @@
 ``spark.read.format("candle_pages")`` reads a history; ``readStream`` the newest bars. The client is named by the option
 ``client`` as module:function and gives fetch(symbol, since_ms, limit) -> rows [ts_ms, open, high, low, close, volume], the
 first ones from since_ms on. Bars of a symbol are a minute or more apart and appear in order; symbols needn't keep step.
-With the option ``keys``, the names of two environment variables, the function is called with their values first, on the
-machine that fetches, and returns fetch. ``rate`` is the most requests a second of all tasks together, of which ``tasks`` (1
+With the option ``target``, or ``keys``, the names of environment variables, the function is called with that and their values
+first, on the machine that fetches, and returns fetch. ``rate`` is the most requests a second of all tasks together, of which ``tasks`` (1
 where it isn't said) run at once, so that each keeps to its share.
 
 A history's symbols share the options ``start`` and ``end``, or each has its own in ``ranges``: JSON {symbol: [start, end]}.
@@ -79,8 +79,10 @@ def throttled(fetch: Callable, rate: float, clock: Callable[[], float] = time.mo
 def _client(options: dict) -> Callable:
     module, _, name = options["client"].partition(":")
     fetch = getattr(importlib.import_module(module), name)
-    if options.get("keys"):
-        fetch = fetch(*(os.environ.get(x, "") for x in options["keys"].split(",")))
+    keys = [os.environ.get(x, "") for x in options["keys"].split(",")] if options.get("keys") else []
+    first = ([options["target"]] if options.get("target") else []) + keys
+    if first:
+        fetch = fetch(*first)
     return throttled(fetch, float(options["rate"]) / int(options.get("tasks", 1))) if options.get("rate") else fetch
 
 
