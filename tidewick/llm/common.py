@@ -6,7 +6,6 @@ import re
 import shutil
 import tempfile
 from collections.abc import Iterator
-from contextlib import contextmanager
 from pathlib import Path
 
 import pyarrow as pa
@@ -33,18 +32,6 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-@contextmanager
-def short_plans(spark: SparkSession, length: int = 20_000) -> Iterator[None]:
-    """Cut the texts of plans, which the driver keeps, while plans hold large constants."""
-    setting = "spark.sql.maxPlanStringLength"
-    before = spark.conf.get(setting)
-    spark.conf.set(setting, str(length))
-    try:
-        yield
-    finally:
-        spark.conf.set(setting, before)
-
-
 def text_of(column: str = "text") -> Column:
     """The text, a null one as the empty text."""
     return F.coalesce(F.col(column).cast("string"), F.lit(""))

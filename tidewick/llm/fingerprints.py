@@ -13,8 +13,8 @@ and 57 of its hash.
 Native: only SQL functions. The lexicon has at most (mean distinct terms of a text) / ``LOW`` terms, whatever the number of
 texts. Where it has ``BROADCAST`` terms at most it goes to all tasks with the plan, as an array of small buckets by hash in which
 each text's terms are looked up in place, so that no terms are shuffled. A larger one is joined by a shuffle, where adaptive
-execution can split the most frequent terms. Texts are shuffled once, by id, for each to meet the part of its neighbour that the
-edited text needs.
+execution can split the most frequent terms. Texts are shuffled once, by id, with their fingerprints; the part of a text that its
+neighbour's edited text needs goes there with the fingerprint, so that nothing else is shuffled.
 
 Defined cases: a null text counts as empty; very long texts are read whole; a text without lexicon terms has two
 hashes of all its terms, of 114 bits together, so that only equal sets of terms agree; a null id comes last; of rows that repeat an id the greatest beginning is
@@ -30,7 +30,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import checkpointed, short_plans, text_of
+from .common import checkpointed, text_of
 
 LOW, HIGH = 0.002, 0.2
 BROADCAST, IN_BUCKET = 500_000, 2  # terms of a lexicon that goes with the plan, and of a bucket on average
@@ -40,7 +40,6 @@ HALVES = 4
 SCALES = ((4, 3, 8), (7, 5, 32), (12, 8, 32), (20, 11, 16))
 NAME_BITS, NO_SUBSETS = 7, (126, 127)
 NO_ID = -(2**63)
-ABOUT = "struct<n:int,sha:binary,own:array<bigint>,new:array<bigint>>"
 
 
 def terms(text: Column) -> Column:
@@ -136,20 +135,26 @@ def _known(band: DataFrame) -> Callable[[Column], Column]:
     return lambda t: F.array_contains(F.get(table, F.pmod(t, F.lit(len(buckets))).cast("int")), t)
 
 
-def _joined(sides: DataFrame, band: DataFrame) -> DataFrame:
-    """sides with own and new cut to lexicon terms, by a join on terms."""
-    # A row for each term and the sides that have it (1, 2, or both: 3), and one with what belongs to the text as a whole.
-    about = F.struct("n", "sha", "own_whole", "new_whole").cast(ABOUT)
-    element = lambda terms, side: F.transform(terms, lambda t: F.struct(t.alias("term"), F.lit(side).alias("side"), F.lit(None).cast(ABOUT).alias("about")))
-    elements = F.concat(
-        F.array(F.struct(F.lit(None).cast("bigint").alias("term"), F.lit(0).alias("side"), about.alias("about"))),
-        element(F.array_intersect("own", "new"), 3), element(F.array_except("own", "new"), 1), element(F.array_except("new", "own"), 2),
-    )
-    spread = checkpointed(sides.select("key", "row", F.explode(elements).alias("e")).select("key", "row", "e.*"))
-    marked = spread.where("side > 0").join(band, "term").select(*spread.columns).unionByName(spread.where("side = 0"))
-    on = lambda bit: F.collect_list(F.when(F.col("side").bitwiseAND(bit) > 0, F.col("term")))
-    found = marked.groupBy("key", "row").agg(F.max("about").alias("about"), on(1).alias("own"), on(2).alias("new"))
-    return found.select("key", "row", "about.n", "about.sha", "own", "new", F.col("about.own").alias("own_whole"), F.col("about.new").alias("new_whole"))
+Cut = Callable[[DataFrame, str], DataFrame]
+
+
+def _cut(band: DataFrame) -> Cut:
+    """What cuts a column of terms to those of the lexicon: in place, or for a large lexicon by a join on terms."""
+    if band.count() <= BROADCAST:
+        known = _known(band)
+        return lambda df, column: df.withColumn(column, F.filter(column, known))
+
+    def joined(df: DataFrame, column: str) -> DataFrame:
+        rows = checkpointed(df.withColumn("row", F.monotonically_increasing_id()))
+        found = rows.select("row", F.explode(column).alias("term")).join(band, "term").groupBy("row").agg(F.collect_list("term").alias("known_"))
+        return rows.join(found, "row", "left").withColumn(column, F.coalesce("known_", F.array().cast("array<bigint>"))).drop("row", "known_")
+
+    return joined
+
+
+def _with_print(df: DataFrame, text: str, out: str, cut: Cut) -> DataFrame:
+    held = cut(df.withColumn("terms", terms(F.col(text))).withColumn("found", F.col("terms")), "found")
+    return held.withColumn(out, fingerprint(F.col("found"), whole(F.col("terms")))).drop("terms", "found")
 
 
 def with_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", low: float = LOW, high: float = HIGH) -> DataFrame:
@@ -158,29 +163,23 @@ def with_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     The edited text has the last half of its code points replaced by the first as many of the next document, by falling id.
     """
     texts = docs.select(F.coalesce(F.col(id_col).cast("bigint"), F.lit(NO_ID)).alias("key"), text_of(text_col).alias("text"))
-    band = lexicon(texts, "text", low, high)
+    spark = docs.sparkSession
+    cut = _cut(lexicon(texts, "text", low, high))
+    # The lexicon is a constant of the plan, whose texts the driver keeps.
+    spark.conf.set("spark.sql.maxPlanStringLength", "20000")
     order = checkpointed(neighbours(texts.groupBy("key").agg(F.max(F.length("text")).alias("n"))))
-    begin = texts.join(order.select(F.col("key").alias("owner"), F.floor(F.col("n") / 2).cast("int").alias("need"), F.col("next").alias("key")), "key")
-    begin = begin.select(F.col("owner").alias("key"), F.expr("substring(text, 1, need)").alias("begin")).groupBy("key").agg(F.max("begin").alias("begin"))
-    both = texts.join(begin, "key").withColumn("n", F.length("text"))
+    printed = _with_print(texts, "text", "print", cut)
+    # The next document's beginning and fingerprint come to each by its id; of rows that repeat the next id the greatest.
+    owned = printed.join(order.select(F.col("key").alias("owner"), F.floor(F.col("n") / 2).cast("int").alias("need"), F.col("next").alias("key")), "key")
+    begin = owned.select(F.col("owner").alias("key"), F.expr("substring(text, 1, need)").alias("begin"), F.col("print").alias("after"))
+    begin = begin.groupBy("key").agg(F.max("begin").alias("begin"), F.max("after").alias("after"))
+    both = printed.join(begin, "key").withColumn("n", F.length("text"))
     half = F.expr("concat(substring(text, 1, n - n div 2), substring(begin, 1, n div 2))")
-    both = both.withColumn("edited", half).withColumn("row", F.monotonically_increasing_id())
-    sides = both.select("key", "row", "n", F.unhex(F.sha2("edited", 256)).alias("sha"), terms(F.col("text")).alias("own"), terms(F.col("edited")).alias("new"))
-    sides = sides.withColumns({"own_whole": whole(F.col("own")), "new_whole": whole(F.col("new"))})
-    if band.count() <= BROADCAST:
-        known = _known(band)
-        found = sides.withColumns({c: F.filter(c, known) for c in ("own", "new")})
-    else:
-        found = _joined(sides, band)
-    with short_plans(docs.sparkSession):
-        rows = checkpointed(found.select("key", "n", "sha", fingerprint(F.col("own"), F.col("own_whole")).alias("print"), fingerprint(F.col("new"), F.col("new_whole")).alias("edited")))
-    # Rows that repeat an id stand for their neighbour by the greatest fingerprint.
-    after = rows.groupBy("key").agg(F.max("print").alias("print")).join(order.select(F.col("key").alias("owner"), F.col("next").alias("key")), "key")
-    joined = rows.join(after.select(F.col("owner").alias("key"), F.col("print").alias("after")), "key")
-    return joined.select(
+    rows = _with_print(both.withColumn("edited_text", half).drop("text", "begin"), "edited_text", "edited", cut)
+    return rows.select(
         F.when(F.col("key") != NO_ID, F.col("key")).alias(id_col),
         F.col("n").cast("bigint").alias("n_chars"),
-        F.lower(F.hex("sha")).alias("edited_sha256"),
+        F.sha2("edited_text", 256).alias("edited_sha256"),
         shown(F.col("print")).alias("fingerprint"),
         shown(F.col("edited")).alias("edited_fingerprint"),
         likeness(F.col("print"), F.col("edited")).alias("near_edited"),
