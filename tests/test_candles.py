@@ -264,6 +264,14 @@ def test_throttle():
     assert [call(k) for k in range(3)] == [0, 1, 2] and slept == [0.5, 0.5]
 
 
+def test_tasks_share_the_rate(monkeypatch):
+    rates = []
+    monkeypatch.setattr(exchange, "throttled", lambda fetch, rate: rates.append(rate) or fetch)
+    for options in ({"rate": "10"}, {"rate": "10", "tasks": "5"}, {}):
+        exchange._client({"client": "test_candles:fake_client", **options})
+    assert rates == [10.0, 2.0]
+
+
 def test_live_job(spark, tmp_path):
     """The newest bars go through the exchange stream into the store by days; a replayed batch adds nothing."""
     options = UNEVEN | {"client": "tests.test_candles:uneven_client"}
