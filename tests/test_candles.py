@@ -101,6 +101,13 @@ def test_batches_shuffle_train_only(spark):
     assert max(sizes.values()) == 32
 
 
+def test_shards_follow_the_rows(spark, monkeypatch):
+    monkeypatch.setattr(windows, "SHARD_ROWS", 100)
+    rows = spark.range(1050).select(F.lit("A").alias("symbol"), F.col("id").alias("i"), F.lit("train").alias("split"))
+    found = windows.training_batches(rows, size=16).toPandas()
+    assert len(found) == 1050 and found.shard.nunique() == 11 and found.groupby("shard").size().max() < 160
+
+
 def test_no_window_in_short_series(spark):
     feats = features.build_features(frame(spark, bars(rng_closes(10))))
     assert windows.valid_indices(feats, 6, 3).count() == 0

@@ -35,7 +35,7 @@ SYMBOL, TIME, VOLUME = ("symbol",), ("ts_ms",), ("volume",)
 ])
 def test_filters_choose_pages(spark, where, filters, requests, rows):
     """Only pages that may hold wanted bars are asked for; other filters are left to Spark."""
-    reader = exchange.PageReader(OPTIONS | {"client": "clients:counted"})
+    reader = exchange.FilteringReader(OPTIONS | {"client": "clients:counted"})
     assert len(reader.partitions()) == 30
     assert all(f.attribute == VOLUME for f in reader.pushFilters(filters))
     asked.clear()

@@ -8,7 +8,8 @@ first, on the machine that fetches, and returns fetch. ``rate`` is the most requ
 where it isn't said) run at once, so that each keeps to its share.
 
 A history's symbols share the options ``start`` and ``end``, or each has its own in ``ranges``: JSON {symbol: [start, end]}.
-Filters on ``symbol`` and ``ts_ms`` reach the source (see ``read_pages``), so that pages without wanted bars aren't fetched.
+With the option ``pushdown``, which ``read_pages`` sets with the session's setting that it needs, filters on ``symbol`` and ``ts_ms``
+reach the source, so that pages without wanted bars aren't fetched.
 
 A stream's offset tells for each symbol the time from which its bars are still to be read: {"since": {symbol: ms}}, or
 {"since": ms} where it is the same for all. A symbol that an offset doesn't name begins at the option ``start``.
@@ -94,13 +95,24 @@ def _rows_of(options: dict, page: Page) -> Iterator[tuple]:
 
 
 class PageReader(DataSourceReader):
-    """Filters on symbol and ts_ms narrow what is asked for, so that only pages that may hold wanted bars are fetched."""
-
     def __init__(self, options: dict):
         self.options = options
         self.wanted: set[str] | None = None
         self.start, self.end = 0, 1 << 62
 
+    def partitions(self) -> list[Page]:
+        o, size = self.options, int(self.options.get("page", 1000))
+        ranges = json.loads(o["ranges"]) if o.get("ranges") else {s: (o["start"], o["end"]) for s in o["symbols"].split(",")}
+        kept = [(s, max(int(start), self.start), min(int(end), self.end)) for s, (start, end) in ranges.items() if self.wanted is None or s in self.wanted]
+        return [page for s, start, end in kept for page in pages([s], start, end, size)]
+
+    def read(self, page: Page | None) -> Iterator[tuple]:
+        return _rows_of(self.options, page) if page else iter(())
+
+
+class FilteringReader(PageReader):
+    """Filters on symbol and ts_ms narrow what is asked for, so that only pages that may hold wanted bars are fetched."""
+
     def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:
         for f in filters:
             column = f.attribute[0] if hasattr(f, "attribute") else None
@@ -116,15 +128,6 @@ class PageReader(DataSourceReader):
             else:
                 yield f  # left to Spark
 
-    def partitions(self) -> list[Page]:
-        o, size = self.options, int(self.options.get("page", 1000))
-        ranges = json.loads(o["ranges"]) if o.get("ranges") else {s: (o["start"], o["end"]) for s in o["symbols"].split(",")}
-        kept = [(s, max(int(start), self.start), min(int(end), self.end)) for s, (start, end) in ranges.items() if self.wanted is None or s in self.wanted]
-        return [page for s, start, end in kept for page in pages([s], start, end, size)]
-
-    def read(self, page: Page | None) -> Iterator[tuple]:
-        return _rows_of(self.options, page) if page else iter(())
-
 
 def _by_symbol(options: dict, offset: dict) -> dict[str, int]:
     since, symbols = offset["since"], options["symbols"].split(",")
@@ -199,7 +202,8 @@ class CandlePages(DataSource):
         return ROW
 
     def reader(self, schema) -> DataSourceReader:
-        return PageReader(self.options)
+        # A reader that takes filters may only be used where the session lets it.
+        return FilteringReader(self.options) if self.options.get("pushdown") == "true" else PageReader(self.options)
 
     def streamReader(self, schema) -> DataSourceStreamReader:
         return LiveReader(self.options)
@@ -212,7 +216,7 @@ def read_pages(spark: SparkSession, options: dict, symbols: list[str] | None = N
     """A history from the source, of some of its symbols and from start on and before end; only pages of these are fetched."""
     spark.dataSource.register(CandlePages)
     spark.conf.set(PUSHDOWN, "true")
-    rows = spark.read.format("candle_pages").options(**options).load()
+    rows = spark.read.format("candle_pages").options(**options, pushdown="true").load()
     if symbols is not None:
         rows = rows.where(F.col("symbol").isin(symbols))
     if start_ms is not None:
