@@ -74,7 +74,8 @@ def _buckets(classes: DataFrame, percent: int) -> DataFrame:
     """From rows (row, n, summary): rows (bucket, row, n) such that linked classes meet in a bucket."""
     sampled = _sample_size(unshared_of(F.col("n"), percent), lambda d: F.ceil(d / 2))
     tokens = classes.select("row", F.explode("summary").alias("token"))
-    common = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
+    # Kept, as heads below, so that joins deal both sides anew and adaptive execution can split a token of very many sets.
+    common = checkpointed(tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1"))
     # As many of the sample as go without the overlap that is certain; those of one document come first in order of frequency.
     least_d = unshared_of(F.ceil(F.col("n") * percent / 100), percent)
     prefix = sampled - F.ceil(least_d / 2)
@@ -87,7 +88,7 @@ def _buckets(classes: DataFrame, percent: int) -> DataFrame:
     member = checkpointed(marks.join(alike, ["n", "h", "x", "c"]).select("group", "row", "n", "members"))
     posted = prefixes.join(member.where("row = group").select("row", "group"), "row").select("token", "group")
     # A shingle's groups meet in the bucket of the least of them, so that the many shingles of near copies share a few buckets.
-    heads = posted.groupBy("token").agg(F.count(F.lit(1)).alias("c"), F.min("group").alias("bucket")).where("c > 1").select("token", "bucket")
+    heads = checkpointed(posted.groupBy("token").agg(F.count(F.lit(1)).alias("c"), F.min("group").alias("bucket")).where("c > 1").select("token", "bucket"))
     met = posted.join(heads, "token").select("bucket", "group")
     # A group of several classes is a bucket, too, in case it meets no other.
     alone = member.where("row = group and members > 1").select(F.col("group").alias("bucket"), "group")

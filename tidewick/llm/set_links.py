@@ -18,8 +18,8 @@ were counted, so that no two texts link by a clash of hashes. Components are fou
 a bucket's rows by a salted join, so that no bucket is one task anywhere. Texts are only shuffled for classes in a bucket,
 as far as a bitmap tells them from the rest on the map side.
 
-Joins by shingle or group have one row for each key on one side, and leave large keys to adaptive execution, which splits
-them.
+Joins by shingle or group have one row for each key on one side, which is kept first, so that adaptive execution can split
+large keys of the other.
 """
 
 from __future__ import annotations
@@ -266,13 +266,13 @@ def _tokens(words: int):
 def _refined(rows: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
     """From rows (row, n, root), their texts (row, text): new buckets (bucket, row, n, root) by prefixes of whole sets, of several components each."""
     tokens = checkpointed(texts.mapInArrow(_tokens(words), "row bigint, tokens array<bigint>").select("row", F.explode("tokens").alias("token")))
-    common = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
+    common = checkpointed(tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1"))
     own = Window.partitionBy("row")
     shared = tokens.join(common, "token").withColumns({"alike": F.count(F.lit(1)).over(own), "place": F.row_number().over(own.orderBy("df", "token"))})
     # Shingles that no other set has come first in order of frequency.
     least = shared.join(rows, "row").where(F.col("n") - F.col("alike") + F.col("place") <= unshared_of(F.col("n"), percent) + 1)
     posted = checkpointed(least.select("token", "row", "n", "root"))
-    heads = posted.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.min("row").alias("bucket")).where("lo <> hi").select("token", "bucket")
+    heads = checkpointed(posted.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.min("row").alias("bucket")).where("lo <> hi").select("token", "bucket"))
     return checkpointed(posted.join(heads, "token").select("bucket", "row", "n", "root").distinct())
 
 

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import in_parts
+from .common import checkpointed, in_parts
 from .set_links import Search, component_ids, least_shared, one_of_each, signatures, signed
 from .shingles import MIX, STEP, shingle_sets
 
@@ -154,7 +154,8 @@ def _buckets(classes: DataFrame) -> DataFrame:
     A band's classes meet in the bucket of the least of them, so that the many bands of near copies share a few buckets.
     """
     posted = classes.select("row", "n", F.explode("bands").alias("band"))
-    heads = posted.groupBy("band").agg(F.count(F.lit(1)).alias("c"), F.min("row").alias("bucket")).where("c > 1").select("band", "bucket")
+    # Kept, so that the join deals both sides anew and adaptive execution can split a band of very many sets.
+    heads = checkpointed(posted.groupBy("band").agg(F.count(F.lit(1)).alias("c"), F.min("row").alias("bucket")).where("c > 1").select("band", "bucket"))
     return posted.join(heads, "band").select("bucket", "row", "n").distinct()
 
 
