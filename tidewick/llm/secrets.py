@@ -251,11 +251,6 @@ def _values(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     yield told()
 
 
-def _by_kind(batch: pd.DataFrame) -> Iterator[tuple[str, list[tuple[str, int]]]]:
-    for kind, part in batch.groupby("kind"):
-        yield kind, list(zip(part["shape"], part["times"].tolist()))
-
-
 def rates(strata: dict[tuple, tuple[int, float]], sample: int) -> dict[tuple, float]:
     """For strata with numbers of strings and mean lengths, the share of each to take: an equal number of characters, so many in all.
 
