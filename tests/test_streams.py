@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from test_candles import T0, bars, frame, rng_closes
 
 from tidewick.operators import features, incremental, quality
-from tidewick.sources.candles import SCHEMA, compact, read_compacted, read_store, write_store
+from tidewick.sources.candles import compact, read_compacted, read_store, write_store
 from tidewick.streaming import live, state
 
 
