@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from pathlib import Path
 
 from tidewick.sources import requests
@@ -41,3 +42,11 @@ def failing_client(target: str):
     return type("Failing", (requests.FolderClient,), {"put": lambda self, request, rows: 1 / 0})(target)
 
 
+def logging_client(target: str):
+    """Leaves a file for each request."""
+
+    def fetch(symbol: str, since: int, limit: int) -> list:
+        Path(target, uuid.uuid4().hex).touch()
+        return every_minute(symbol, since, limit)
+
+    return fetch

@@ -1,0 +1,50 @@
+"""What keeps jobs from growing faster than their input: files, requests and tasks, counted on small tables."""
+
+from __future__ import annotations
+
+import datetime as dt
+from pathlib import Path
+
+from test_candles import T0, bars, frame, rng_closes
+
+from tidewick.plans import jobs
+from tidewick.sources import exchange, replay
+from tidewick.sources.candles import read_store, write_store
+
+MINUTE = exchange.MINUTE
+DAY = 1440
+
+
+def test_a_day_is_one_file(spark, tmp_path):
+    rows = bars(rng_closes(60), minutes=[97 * k for k in range(60)]) + bars(rng_closes(60), "B", [97 * k for k in range(60)])
+    write_store(frame(spark, rows).repartition(4), f"{tmp_path}/s")
+    folders = {p.parent for p in Path(tmp_path, "s").rglob("part-*.parquet")}
+    assert len(folders) == 4 == len(list(Path(tmp_path, "s").rglob("part-*.parquet"))) and read_store(spark, f"{tmp_path}/s").count() == 120
+
+
+def test_backfill_asks_for_a_page_once(spark, tmp_path):
+    (tmp_path / "asked").mkdir()
+    options = {"client": "tests.clients:logging_client", "target": f"{tmp_path}/asked"}
+    at = lambda k: str(dt.datetime(1970, 1, 1) + dt.timedelta(minutes=k))
+    jobs.backfill(spark, ["A", "B"], f"{tmp_path}/s", options, at(0), at(4500))
+    assert read_store(spark, f"{tmp_path}/s").count() == 9000 and len(list((tmp_path / "asked").iterdir())) == 10
+
+
+def test_replay_opens_only_what_it_needs(spark, tmp_path, monkeypatch):
+    """A request reads the slices that hold its bars, and gives the same as all bars gone through."""
+    minutes = [k * 7 + (k > 900) * 200_000 for k in range(1800)]
+    for symbol in ("A/B", "C"):
+        frame(spark, bars(rng_closes(1800), symbol, minutes)).write.mode("append").parquet(f"{tmp_path}/in")
+    replay.store_history(spark.read.parquet(f"{tmp_path}/in"), f"{tmp_path}/h")
+    begin = int((T0 - dt.datetime(1970, 1, 1)).total_seconds() * 1000)
+    every, closes, read = [begin + k * MINUTE for k in minutes], rng_closes(1800), []
+    held = replay._bars
+    monkeypatch.setattr(replay, "_bars", lambda *x: read.append(x) or held(*x))
+    fetch = replay.exchange(f"{tmp_path}/h")
+    for since, limit in ((0, 5), (begin + 1, 3), (every[899], 40), (every[1795], 100), (every[-1] + 1, 5), (every[3], 0)):
+        read.clear()
+        found = fetch("A/B", since, limit)
+        wanted = [(t, c) for t, c in zip(every, closes) if t >= since][:limit]
+        assert [(r[0], r[4]) for r in found] == wanted and len(read) <= 2
+    assert fetch("D", 0, 5) == [] and len(fetch("C", 0, 5000)) == 1800
+    assert len(list(Path(tmp_path, "h").rglob("part-*.parquet"))) == len(list(Path(tmp_path, "h").glob("*/slice=*"))) >= 4

@@ -13,6 +13,7 @@ from ..operators.collect import PAGE, backfill_plan, existing_range, load_symbol
 from ..operators.features import build_features
 from ..sources.candles import SCHEMA, read_store, write_store
 from ..sources.exchange import CandlePages
+from ..sources.shared import kept
 
 DAYS = 365
 
@@ -39,7 +40,8 @@ def backfill(
 ) -> DataFrame:
     """Fetch what a store lacks before its first bar of each symbol, and add it; returns the records (of a dry run, too).
 
-    Only the plan, one row for each symbol, reaches the driver; pages are fetched by tasks.
+    Only the plan, one row for each symbol, reaches the driver; pages are fetched by tasks, and kept, as records are made of them by
+    two passes, neither of which should ask the exchange again.
     """
     begin, last = default_range(start, end, days, now)
     requests = spark.createDataFrame([(s, begin, last) for s in symbols], "symbol string, start timestamp_ntz, end timestamp_ntz")
@@ -48,7 +50,7 @@ def backfill(
     ranges = {r["symbol"]: [ms(r["plan_start"]), ms(r["plan_end"])] for r in plan.where("plan_start < plan_end").collect()}
     spark.dataSource.register(CandlePages)
     fetched = spark.read.format("candle_pages").options(**options, ranges=json.dumps(ranges), page=str(page)).load()
-    records = to_records(fetched, F.current_timestamp().cast("timestamp_ntz"), page)
+    records = to_records(kept(fetched), F.current_timestamp().cast("timestamp_ntz"), page)
     return write_store(records, store, dry_run=dry_run).drop("trade_day")
 
 
