@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from pathlib import Path
 
+from clients import asked
 from test_candles import T0, bars, frame, rng_closes
 
 from tidewick.plans import jobs
@@ -48,3 +49,12 @@ def test_replay_opens_only_what_it_needs(spark, tmp_path, monkeypatch):
         assert [(r[0], r[4]) for r in found] == wanted and len(read) <= 2
     assert fetch("D", 0, 5) == [] and len(fetch("C", 0, 5000)) == 1800
     assert len(list(Path(tmp_path, "h").rglob("part-*.parquet"))) == len(list(Path(tmp_path, "h").glob("*/slice=*"))) >= 4
+
+
+def test_pages_go_together(spark):
+    options = {"client": "clients:counted", "symbols": "A,B,C", "start": "0", "end": str(9_500 * MINUTE), "page": "1000", "together": "4"}
+    reader = exchange.PageReader(options)
+    assert [(p.since // MINUTE, p.until // MINUTE) for p in reader.partitions()][:3] == [(0, 4000), (4000, 8000), (8000, 9500)] and len(reader.partitions()) == 9
+    asked.clear()
+    rows = [r for p in reader.partitions() for r in reader.read(p)]
+    assert len(asked) == 30 and {a[2] for a in asked} == {1000, 500} and len(rows) == 28_500 == len(set(rows))
