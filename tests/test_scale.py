@@ -5,12 +5,16 @@ from __future__ import annotations
 import datetime as dt
 from pathlib import Path
 
+import pytest
 from clients import asked
+from compare import TINY, assert_same, tables
+from pyspark.sql import functions as F
 from test_candles import T0, bars, frame, rng_closes
 
-from tidewick.plans import jobs
-from tidewick.sources import exchange, replay
+from tidewick.plans import jobs, registry
+from tidewick.sources import candles, exchange, replay
 from tidewick.sources.candles import read_store, write_store
+from tidewick.streaming import state
 
 MINUTE = exchange.MINUTE
 DAY = 1440
@@ -58,3 +62,30 @@ def test_pages_go_together(spark):
     asked.clear()
     rows = [r for p in reader.partitions() for r in reader.read(p)]
     assert len(asked) == 30 and {a[2] for a in asked} == {1000, 500} and len(rows) == 28_500 == len(set(rows))
+
+
+@pytest.mark.parametrize("keys", [7, 256, candles.KEYS])
+def test_candles_by_ranges_of_keys(spark, keys):
+    assert_same(candles.derived(spark, TINY, keys).toPandas(), tables(TINY).sql(registry.ORACLES["fixture"]).df())
+
+
+def test_no_task_has_a_whole_symbol(spark):
+    """Derived candles of a symbol come from several tasks, each with a part of them."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        rows = candles.derived(spark, TINY, 64).groupBy("symbol", F.spark_partition_id().alias("task")).count().toPandas()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    held = rows.groupby("symbol")["count"]
+    assert (held.max() < 0.6 * held.sum()).all()
+
+
+@pytest.mark.parametrize("minutes", [[*range(10), *range(12, 20), 40, *range(60, 90)], [0, 1439, 1440, 1441, 2879, 2880, 5000, *range(5759, 7300), 7400], [5]])
+@pytest.mark.parametrize("gap", ["90 seconds", "120 seconds", "1 day"])
+def test_sessions_over_days(spark, minutes, gap):
+    """Runs that go on over days, or lie within one, as Spark's session windows tell them; no window or group holds all bars of a symbol."""
+    rows = frame(spark, bars([1.0] * len(minutes), minutes=minutes) + bars([1.0] * 3, "B", [1438, 1439, 1440])).withColumn("timestamp", F.col("timestamp").cast("timestamp"))
+    plain = rows.groupBy("symbol", F.session_window("timestamp", gap).alias("w")).agg(F.min("timestamp"), F.max("timestamp"), F.count("*")).drop("w")
+    found = state.sessions(rows, gap)
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, plain.collect()))
+    assert "Session" not in found._jdf.queryExecution().executedPlan().toString()
