@@ -14,7 +14,7 @@ from test_candles import T0, bars, frame, rng_closes
 from tidewick.plans import jobs, registry
 from tidewick.sources import candles, exchange, replay
 from tidewick.sources.candles import read_store, write_store
-from tidewick.streaming import state
+from tidewick.streaming import live, state
 
 MINUTE = exchange.MINUTE
 DAY = 1440
@@ -89,3 +89,18 @@ def test_sessions_over_days(spark, minutes, gap):
     found = state.sessions(rows, gap)
     assert sorted(map(tuple, found.collect())) == sorted(map(tuple, plain.collect()))
     assert "Session" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_batch_holds_many_arrivals(spark):
+    """Closed bars of days that come in one batch are those of days that come one by one."""
+    rows = frame(spark, bars(rng_closes(50), minutes=[97 * k for k in range(50)]) + bars([1.0, 2.0, -3.0, 1.0], "B", [0, 1, 1440, 2881])).withColumn("low", F.expr("if(symbol = 'B' AND close = 2, 9.0, low)"))
+    at, day = F.lit("2024-02-01 00:00:00").cast("timestamp_ntz"), F.to_date("timestamp")
+    alone = [tuple(r) for (d,) in rows.select(day).distinct().collect() for r in live.closed_bars(rows.where(day == d), at).collect()]
+    assert sorted(map(repr, alone)) == sorted(repr(tuple(r)) for r in live.closed_bars(rows, at, day).collect()) and len(alone) == 6
+
+
+def test_collector_catches_up_in_few_batches(spark, monkeypatch):
+    started, start = [], live.start_collector
+    monkeypatch.setattr(live, "start_collector", lambda *x, **y: started.append(start(*x, **y)) or started[-1])
+    assert registry.QUERIES["stream_closed_bars"](spark, "/root/testdata/sf0.01").count() == 4
+    assert sum(p.numInputRows > 0 for p in started[0].recentProgress) == 1

@@ -24,15 +24,18 @@ def batch_verdicts(symbols: DataFrame, candles: DataFrame) -> DataFrame:
     return symbols.join(found, "symbol", "left").withColumn("valid", F.coalesce("valid", F.lit(False)))
 
 
-def latest_closed_bar(candles: DataFrame, fetched: int = FETCHED, span: int = SPAN) -> DataFrame:
-    """The second newest of each symbol's last candles (the newest where there is one), with the volatility over these candles."""
-    newest = Window.partitionBy("symbol").orderBy(F.desc("timestamp"))
+def latest_closed_bar(candles: DataFrame, fetched: int = FETCHED, span: int = SPAN, by: tuple[str, ...] = ()) -> DataFrame:
+    """The second newest of each symbol's last candles (the newest where there is one), with the volatility over these candles.
+
+    With columns by, of each symbol and group of these.
+    """
+    newest = Window.partitionBy("symbol", *by).orderBy(F.desc("timestamp"))
     last = candles.withColumn("back_", F.row_number().over(newest)).where(F.col("back_") <= fetched)
-    order = Window.partitionBy("symbol").orderBy("timestamp")
+    order = Window.partitionBy("symbol", *by).orderBy("timestamp")
     recent = order.rowsBetween(1 - span, 0)
     rows = last.withColumn("r_", log_ratio(F.col("close"), F.lag("close").over(order)))
     rows = rows.withColumn("volatility_5m", F.when(F.count("r_").over(recent) == span, F.stddev_samp("r_").over(recent)))
-    rows = rows.withColumn("count_", F.count(F.lit(1)).over(Window.partitionBy("symbol")))
+    rows = rows.withColumn("count_", F.count(F.lit(1)).over(Window.partitionBy("symbol", *by)))
     return rows.where("back_ = least(2, count_)").drop("back_", "r_", "count_")
 
 

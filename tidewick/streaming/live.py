@@ -32,21 +32,27 @@ def exchange_stream(spark: SparkSession, options: dict, trail: int = TRAIL) -> D
     return rows.select("symbol", F.timestamp_millis("ts_ms").cast("timestamp_ntz").alias("timestamp"), "open", "high", "low", "close", "volume")
 
 
-def closed_bars(batch: DataFrame, collected_at: Column | None = None) -> DataFrame:
-    """Latest closed bars of the symbols whose last bars are all well formed, collected now unless said otherwise."""
+def closed_bars(batch: DataFrame, collected_at: Column | None = None, arrival: Column | None = None) -> DataFrame:
+    """Latest closed bars of the symbols whose last bars are all well formed, collected now unless said otherwise.
+
+    A batch may hold several arrivals, told apart by a column: each of them has its own closed bars, as if it had come alone.
+    """
+    by = () if arrival is None else ("arrival_",)
+    batch = batch if arrival is None else batch.withColumn("arrival_", arrival)
     last = batch.drop("volatility_5m").withColumn("collected_at", F.current_timestamp().cast("timestamp_ntz") if collected_at is None else collected_at)
-    good = batch.groupBy("symbol").agg(F.bool_and(well_formed()).alias("good_")).where("good_").select("symbol")
-    return latest_closed_bar(last.join(good, "symbol"), FETCHED).select(COLUMNS)
+    good = batch.groupBy("symbol", *by).agg(F.bool_and(well_formed()).alias("good_")).where("good_").select("symbol", *by)
+    return latest_closed_bar(last.join(good, ["symbol", *by]), FETCHED, by=by).select(COLUMNS)
 
 
-def start_collector(candles: DataFrame, store: str, checkpoint: str, trigger: dict | None = None, collected_at: Column | None = None, log: str | None = None) -> StreamingQuery:
+def start_collector(candles: DataFrame, store: str, checkpoint: str, trigger: dict | None = None, collected_at: Column | None = None, log: str | None = None, arrival: Column | None = None) -> StreamingQuery:
     """Add each batch's closed bars to the store's days. By default a batch begins every minute.
 
+    With an arrival, as closed_bars() takes, a batch may catch up on many of them; none may be cut by batches.
     With a log folder each record is also written there as a line of JSON, in a folder for each batch.
     """
 
     def put(batch: DataFrame, number: int) -> None:
-        bars = closed_bars(batch, collected_at)
+        bars = closed_bars(batch, collected_at, arrival)
         if log:
             bars = kept(bars)
             as_json(bars).select("record").write.mode("overwrite").text(f"{log}/batch={number}")
