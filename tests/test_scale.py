@@ -81,6 +81,14 @@ def test_no_task_has_a_whole_symbol(spark):
     assert (held.max() < 0.6 * held.sum()).all()
 
 
+def test_tasks_of_derived_candles_are_bounded(spark, monkeypatch):
+    """Many small ranges of keys don't come together in one task, whatever adaptive execution thinks of their bytes."""
+    monkeypatch.setattr(candles, "TASK_ROWS", 100, raising=False)
+    rows = candles.derived(spark, TINY, 16)
+    held = rows.groupBy(F.spark_partition_id()).count().toPandas()["count"]
+    assert held.sum() == rows.count() and held.max() <= 300
+
+
 @pytest.mark.parametrize("minutes", [[*range(10), *range(12, 20), 40, *range(60, 90)], [0, 1439, 1440, 1441, 2879, 2880, 5000, *range(5759, 7300), 7400], [5]])
 @pytest.mark.parametrize("gap", ["90 seconds", "120 seconds", "1 day"])
 def test_sessions_over_days(spark, minutes, gap):
