@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from test_candles import T0, bars, frame, rng_closes
 from test_streams import arrive
 
-from tidewick.operators import features
+from tidewick.operators import features, sequence, windows
 from tidewick.plans import jobs, registry
 from tidewick.sources import candles, exchange, replay
 from tidewick.sources.candles import read_store, write_store
@@ -89,6 +89,18 @@ def test_tasks_of_derived_candles_are_bounded(spark, monkeypatch):
     assert held.sum() == rows.count() and held.max() <= 300
 
 
+@pytest.mark.parametrize("made", [windows.window_norm_stats, windows.normalized_windows, lambda rows, *x: windows.windows_long(rows, ("close",), *x)])
+def test_tasks_of_wide_rows_are_bounded(spark, monkeypatch, made):
+    """Many small chunks don't come together in one task, whatever their bytes; windows get their rows without a join."""
+    monkeypatch.setattr(sequence, "TASK_ROWS", 100, raising=False)
+    monkeypatch.setattr(sequence.chunked, "__defaults__", (20,))
+    rows = features.build_features(frame(spark, bars(rng_closes(1500)) + bars(rng_closes(500, 2), "B"))).checkpoint()
+    found = made(rows, 4, 2)
+    ends = found.groupBy(F.spark_partition_id()).agg(F.count_distinct("symbol", "i").alias("n")).toPandas()["n"]
+    assert ends.sum() == 1499 + 499 - 2 * (4 + 2) and ends.max() <= 300
+    assert "Join" not in found._jdf.queryExecution().executedPlan().toString()
+
+
 @pytest.mark.parametrize("minutes", [[*range(10), *range(12, 20), 40, *range(60, 90)], [0, 1439, 1440, 1441, 2879, 2880, 5000, *range(5759, 7300), 7400], [5]])
 @pytest.mark.parametrize("gap", ["90 seconds", "120 seconds", "1 day"])
 def test_sessions_over_days(spark, minutes, gap):
