@@ -101,6 +101,15 @@ def test_tasks_of_wide_rows_are_bounded(spark, monkeypatch, made):
     assert "Join" not in found._jdf.queryExecution().executedPlan().toString()
 
 
+def test_tasks_of_features_are_bounded(spark, monkeypatch):
+    """What is done with features in the same tasks, as sorting them by folders, has a bounded part of them."""
+    monkeypatch.setattr(sequence, "TASK_ROWS", 100, raising=False)
+    monkeypatch.setattr(sequence.chunked, "__defaults__", (20,))
+    rows = features.build_features(frame(spark, bars(rng_closes(1500)) + bars(rng_closes(500, 2), "B")))
+    held = rows.groupBy(F.spark_partition_id()).count().toPandas()["count"]
+    assert held.sum() == 1499 + 499 and held.max() <= 300
+
+
 @pytest.mark.parametrize("minutes", [[*range(10), *range(12, 20), 40, *range(60, 90)], [0, 1439, 1440, 1441, 2879, 2880, 5000, *range(5759, 7300), 7400], [5]])
 @pytest.mark.parametrize("gap", ["90 seconds", "120 seconds", "1 day"])
 def test_sessions_over_days(spark, minutes, gap):
