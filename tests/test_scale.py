@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from test_candles import T0, bars, frame, rng_closes
 from test_streams import arrive
 
-from tidewick.operators import features, sequence, windows
+from tidewick.operators import features, quality, sequence, windows
 from tidewick.plans import jobs, registry
 from tidewick.sources import candles, exchange, replay
 from tidewick.sources.candles import read_store, write_store
@@ -89,8 +89,10 @@ def test_tasks_of_derived_candles_are_bounded(spark, monkeypatch):
     assert held.sum() == rows.count() and held.max() <= 300
 
 
-@pytest.mark.parametrize("made", [windows.window_norm_stats, windows.normalized_windows, lambda rows, *x: windows.windows_long(rows, ("close",), *x)])
-def test_tasks_of_wide_rows_are_bounded(spark, monkeypatch, made):
+@pytest.mark.parametrize("made", [
+    windows.window_norm_stats, windows.normalized_windows, lambda rows, *x: windows.windows_long(rows, ("close",), *x), windows.valid_indices, windows.realized_vol_label, windows.persistence,
+])
+def test_tasks_of_windows_are_bounded(spark, monkeypatch, made):
     """Many small chunks don't come together in one task, whatever their bytes; windows get their rows without a join."""
     monkeypatch.setattr(sequence, "TASK_ROWS", 100, raising=False)
     monkeypatch.setattr(sequence.chunked, "__defaults__", (20,))
@@ -110,6 +112,25 @@ def test_tasks_of_features_are_bounded(spark, monkeypatch):
     assert held.sum() == 1499 + 499 and held.max() <= 300
 
 
+def _most(df):
+    """Rows of the largest task, and of all."""
+    held = df.groupBy(F.spark_partition_id()).count().toPandas()["count"]
+    return held.max(), held.sum()
+
+
+def test_tasks_of_steps_before_features_are_bounded(spark, monkeypatch):
+    """What features keep on the way, and the latest candles that they come from, isn't held to Spark's number of shuffle partitions, 4 here."""
+    monkeypatch.setattr(sequence, "TASK_ROWS", 100)
+    monkeypatch.setattr(sequence.chunked, "__defaults__", (20,))
+    kept, seen = features.kept, []
+    monkeypatch.setattr(features, "kept", lambda df: seen.append(_most(kept_ := kept(df))) or kept_)
+    rows = frame(spark, bars(rng_closes(2000), minutes=[97 * k for k in range(2000)]))
+    features.build_features(rows).count()
+    assert [s for _, s in seen] == [1999, 1999] and max(m for m, _ in seen) <= 300
+    most, every = _most(quality.latest(rows.unionByName(rows), 20))
+    assert every == 2000 and most <= 300
+
+
 @pytest.mark.parametrize("minutes", [[*range(10), *range(12, 20), 40, *range(60, 90)], [0, 1439, 1440, 1441, 2879, 2880, 5000, *range(5759, 7300), 7400], [5]])
 @pytest.mark.parametrize("gap", ["90 seconds", "120 seconds", "1 day"])
 def test_sessions_over_days(spark, minutes, gap):
