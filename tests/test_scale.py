@@ -131,6 +131,18 @@ def test_tasks_of_steps_before_features_are_bounded(spark, monkeypatch):
     assert every == 2000 and most <= 300
 
 
+def test_tasks_of_splits_are_bounded(spark, monkeypatch):
+    """Index rows are placed by tasks that are counted by rows, whatever Spark's number of shuffle partitions."""
+    monkeypatch.setattr(sequence, "TASK_ROWS", 100)
+    monkeypatch.setattr(windows, "CHUNK", 20, raising=False)
+    rows = spark.range(3000).select(F.when(F.col("id") < 2000, "A").otherwise("B").alias("symbol"), (F.col("id") * 3).alias("i"))
+    found = windows.time_split(rows)
+    most, every = _most(found)
+    assert every == 3000 and most <= 300
+    told = found.groupBy("symbol", "split").agg(F.count("*"), F.min("i")).collect()
+    assert sorted(map(tuple, told)) == [("A", "test", 300, 5100), ("A", "train", 1400, 0), ("A", "val", 300, 4200), ("B", "test", 150, 8550), ("B", "train", 700, 6000), ("B", "val", 150, 8100)]
+
+
 @pytest.mark.parametrize("minutes", [[*range(10), *range(12, 20), 40, *range(60, 90)], [0, 1439, 1440, 1441, 2879, 2880, 5000, *range(5759, 7300), 7400], [5]])
 @pytest.mark.parametrize("gap", ["90 seconds", "120 seconds", "1 day"])
 def test_sessions_over_days(spark, minutes, gap):
