@@ -143,6 +143,14 @@ def test_tasks_of_splits_are_bounded(spark, monkeypatch):
     assert sorted(map(tuple, told)) == [("A", "test", 300, 5100), ("A", "train", 1400, 0), ("A", "val", 300, 4200), ("B", "test", 150, 8550), ("B", "train", 700, 6000), ("B", "val", 150, 8100)]
 
 
+def test_tasks_of_batches_are_bounded(spark, monkeypatch):
+    """There are as many tasks as shards, whatever Spark's number of shuffle partitions."""
+    monkeypatch.setattr(windows, "SHARD_ROWS", 100)
+    rows = spark.range(3000).select(F.lit("A").alias("symbol"), F.col("id").alias("i"), F.when(F.col("id") < 2900, "train").otherwise("val").alias("split"))
+    most, every = _most(windows.training_batches(rows, size=16))
+    assert every == 3000 and most <= 600
+
+
 @pytest.mark.parametrize("minutes", [[*range(10), *range(12, 20), 40, *range(60, 90)], [0, 1439, 1440, 1441, 2879, 2880, 5000, *range(5759, 7300), 7400], [5]])
 @pytest.mark.parametrize("gap", ["90 seconds", "120 seconds", "1 day"])
 def test_sessions_over_days(spark, minutes, gap):
